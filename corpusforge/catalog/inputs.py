@@ -10,6 +10,7 @@ from ..operators.qa import rule_pairs
 from ..rules import SKIPPED_URL_PARTS, DomainRules, Limits
 from ..schemas import METADATA
 from ..sinks.training import shuffled_pairs
+from ..sources.tables import read_table
 
 COLLECTED_AT = "2024-01-02T00:00:00"
 NOW = "2024-01-02 00:00:00"
@@ -49,8 +50,11 @@ REPLY = (
 )
 
 
+KEYS = {"documents": "doc_id", "pages": "page_id"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_table(spark, f"{folder}/{name}.parquet", KEYS.get(name))
 
 
 def documents(spark: SparkSession, folder: str, content: str = RICH, content_type: str | None = None) -> DataFrame:

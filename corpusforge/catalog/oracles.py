@@ -198,7 +198,7 @@ def _path(url: str) -> str:
 
 def _unescape(text: str) -> str:
     for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
-        text = f"replace({text}, '&{name};', '{char}')"
+        text = f"regexp_replace({text}, '&{name};?', '{char}', 'g')"
     return text
 
 

@@ -15,9 +15,14 @@ def _is_word(char: str) -> bool:
 
 
 def _bounded(pattern: str, first: str, last: str) -> str:
-    left = f"(?<!{WORD})" if _is_word(first) else f"(?<={WORD})"
+    """Word boundaries around ``pattern``.
+
+    The pattern comes first and the left boundary looks back over it, so that a search
+    looks for the literal instead of testing a boundary at every character.
+    """
+    left = f"(?<!{WORD}{pattern})" if _is_word(first) else f"(?<={WORD}{pattern})"
     right = f"(?!{WORD})" if _is_word(last) else f"(?={WORD})"
-    return f"{left}{pattern}{right}"
+    return f"{pattern}{left}{right}"
 
 
 def term_test(lower_text: Column, term: str, multiword: str = "hyphenated") -> Column:

@@ -21,12 +21,12 @@ from ..rules import (
 )
 from ..schemas import DRAFT_PAIRS
 from .concepts import concept_tags
-from .text import BLANK, fill, shorten, strip
+from .text import BLANK, fill, let, shorten, strip
 
 # Set before every heading; no text holds this sequence.
 _HEADING_MARK = "\x01￿\x01"
 _HEADING_LINE = rf"#{{1,3}}{BLANK}+[^\n]+\n"
-_SECTION = rf"(?dsmU)\A#{{1,3}}{BLANK}+([^\n]+)\n(.*?)(?=^#{{1,3}}{BLANK}|\z)"
+_HEADING_START = rf"(?dU)\A#{{1,3}}{BLANK}+([^\n]+)"
 
 
 def _draft(instruction: Column, response: Column, category: str, concepts: Column) -> Column:
@@ -59,15 +59,22 @@ def concept_pairs(
     """One pair per leading concept whose first long enough paragraph exists."""
     long = F.filter(F.split(content, "\n\n"), lambda text: F.length(text) > limits.min_content)
     paragraphs = F.transform(long, lambda text: F.struct(text.alias("text"), F.lower(text).alias("lower")))
+    leading = F.slice(concepts, 1, limits.concepts_per_document)
 
-    def pair(concept):
+    def first_about(concept, paragraphs):
         about = F.filter(paragraphs, lambda item: item["lower"].contains(F.lower(concept)))
-        answer = shorten(strip(F.get(about, F.lit(0))["text"]), limits.max_answer, ANSWER_MARK)
-        question = concept_question(seed, doc_id, concept, rules)
-        return F.when(answer.isNotNull(), _draft(question, answer, "concept", F.array(concept)))
+        return F.struct(concept.alias("concept"), strip(F.get(about, F.lit(0))["text"]).alias("text"))
 
-    leading = F.slice(concepts, 1, limits.concepts_per_document)
-    return F.array_compact(F.transform(leading, pair))
+    found = let(paragraphs, lambda item: F.transform(leading, lambda concept: first_about(concept, item)))
+    return F.transform(
+        F.filter(found, lambda item: item["text"].isNotNull()),
+        lambda item: _draft(
+            concept_question(seed, doc_id, item["concept"], rules),
+            shorten(item["text"], limits.max_answer, ANSWER_MARK),
+            "concept",
+            F.array(item["concept"]),
+        ),
+    )
 
 
 def code_pairs(
@@ -101,16 +108,25 @@ def heading_question(heading: Column, rules: DomainRules) -> Column:
 
 
 def sections(content: Column) -> Column:
-    """``array<struct<heading,body>>``: ``#`` to ``###`` lines and what follows each of them."""
+    """``array<struct<heading,body>>``: ``#`` to ``###`` lines and what follows each of them.
+
+    Headings are marked one after the other, so a bare ``#`` line takes the next line as its
+    text even if that is a heading itself.  A body ends at anything that looks like a
+    heading, also at a last line that is none because nothing follows it.
+    """
     marked = F.regexp_replace(content, rf"(?dmU)^({_HEADING_LINE})", f"{_HEADING_MARK}$1")
     blocks = F.split(marked, _HEADING_MARK)
-    return F.transform(
-        F.slice(blocks, F.lit(2), F.greatest(F.size(blocks) - 1, F.lit(0))),
-        lambda block: F.struct(
-            F.regexp_extract(block, _SECTION, 1).alias("heading"),
-            strip(F.regexp_extract(block, _SECTION, 2)).alias("body"),
-        ),
-    )
+
+    def section(block):
+        line = F.regexp_extract(block, _HEADING_START, 0)
+        rest = F.substring(block, F.length(line) + 1, F.length(block))
+        body = F.get(F.split(rest, rf"(?dmU)\n(?=#{{1,3}}{BLANK})", 2), F.lit(0))
+        return F.struct(
+            F.regexp_extract(block, _HEADING_START, 1).alias("heading"), strip(body).alias("body")
+        )
+
+    headed = let(blocks, lambda parts: F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))))
+    return F.transform(headed, section)
 
 
 def heading_pairs(content: Column, content_type: Column, rules: DomainRules, limits: Limits) -> Column:

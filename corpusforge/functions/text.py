@@ -3,22 +3,36 @@
 from __future__ import annotations
 
 import re
+from typing import Callable
 
 from pyspark.sql import Column, functions as F
 
-# Unicode blanks; \x1c-\x1f are blanks for the results we have to match, too.
+# The characters that count as blank.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# The same as a regex class, to be used with the flag (?U).
 BLANK = r"[\s\x1c-\x1f]"
 
 
 def strip(text: Column) -> Column:
-    # The look-behind keeps the right-hand strip linear on long inner runs of blanks.
-    return F.regexp_replace(text, rf"(?U)^{BLANK}+|(?<!{BLANK}){BLANK}+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def collapse_blanks(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, rf"(?U){BLANK}+", " "))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once.
+
+    Inside array functions an expression that is mentioned twice is computed twice, and one
+    mentioned in a lambda once per element; as a lambda variable it is only looked up.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def shorten(text: Column, size: int, mark: str = "") -> Column:
     """At most ``size`` code points; ``mark`` is added to what was cut."""
     return F.when(F.length(text) > size, F.concat(F.substring(text, 1, size), F.lit(mark))).otherwise(text)

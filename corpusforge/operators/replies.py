@@ -12,7 +12,7 @@ from typing import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import fill
+from ..functions.text import fill, let
 from ..rules import DomainRules, Limits
 from ..schemas import DRAFT_PAIRS
 from .qa import draft_pairs, pair_rows, tagged_documents
@@ -67,21 +67,20 @@ def parse_reply(reply: Column) -> Column:
     span = F.nullif(F.regexp_extract(reply, r"(?s)\[.*\]", 0), F.lit(""))
     envelope = F.concat(F.lit('{"pairs":'), span, F.lit("}"))
     pairs = F.from_json(envelope, _ENVELOPE, {"allowSingleQuotes": "false"})["pairs"]
-    return checked_pairs(pairs)
-
-
-def checked_pairs(pairs: Column) -> Column:
-    broken = F.exists(pairs, lambda pair: pair["instruction"].isNull() | pair["response"].isNull())
-    filled = F.transform(
-        pairs,
-        lambda pair: F.struct(
-            pair["instruction"].alias("instruction"),
-            pair["response"].alias("response"),
-            F.coalesce(pair["category"], F.lit("concept")).alias("category"),
-            F.coalesce(pair["concepts"], F.array().cast("array<string>")).alias("concepts"),
-        ),
+    return let(pairs, lambda parsed: F.when(F.forall(parsed, _is_complete), F.transform(parsed, _with_defaults)))
+
+
+def _is_complete(pair: Column) -> Column:
+    return pair["instruction"].isNotNull() & pair["response"].isNotNull()
+
+
+def _with_defaults(pair: Column) -> Column:
+    return F.struct(
+        pair["instruction"].alias("instruction"),
+        pair["response"].alias("response"),
+        F.coalesce(pair["category"], F.lit("concept")).alias("category"),
+        F.coalesce(pair["concepts"], F.array().cast("array<string>")).alias("concepts"),
     )
-    return F.when(~broken, filled)
 
 
 def with_model_replies(
