@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..rules import UNTITLED
-from .text import collapse_blanks, strip
+from .text import collapse_blanks, let, strip
 
 # Dropped parts leave this empty tag behind, because they separate text nodes.
 GAP = "<!>"
@@ -115,7 +115,11 @@ def page_title(bare: Column, h1: Column, suffix: str) -> Column:
     if suffix:
         title = F.replace(title, F.lit(suffix), F.lit(""))
     chosen = F.when(h1.isNotNull(), joined_text(h1)).otherwise(title)
-    return F.coalesce(F.nullif(chosen, F.lit("")), F.lit(UNTITLED))
+    return or_untitled(chosen)
+
+
+def or_untitled(title: Column) -> Column:
+    return let(title, lambda text: F.when(text != "", text).otherwise(F.lit(UNTITLED)))
 
 
 def pre_bodies(region: Column) -> Column:

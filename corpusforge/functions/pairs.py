@@ -139,7 +139,7 @@ def heading_pairs(content: Column, content_type: Column, rules: DomainRules, lim
     answered = F.transform(
         F.slice(useful, 1, limits.sections_per_document),
         lambda part: F.struct(
-            heading_question(strip(part["heading"]), rules).alias("question"),
+            let(strip(part["heading"]), lambda text: heading_question(text, rules)).alias("question"),
             shorten(part["body"], limits.max_answer, ANSWER_MARK).alias("answer"),
         ),
     )

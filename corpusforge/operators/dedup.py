@@ -12,21 +12,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import question_key
 
 
-def _one_per_key(df: DataFrame, key: Column, order, pick) -> DataFrame:
-    row = F.struct(*df.columns).alias("row")
-    order = [F.col(item) if isinstance(item, str) else item for item in order]
-    ranked = F.struct(*[item.alias(f"o{number}") for number, item in enumerate(order)], row)
-    return df.groupBy(key.alias("_key")).agg(pick(ranked).alias("_picked")).select("_picked.row.*")
+def _one_per_key(df: DataFrame, key: Column, order: tuple[str, ...], pick) -> DataFrame:
+    """``order`` names the columns to compare by; the other columns ride along in ``row``."""
+    row = F.struct(*[name for name in df.columns if name not in order]).alias("row")
+    ranked = F.struct(*[F.col(name).alias(f"o{number}") for number, name in enumerate(order)], row)
+    picked = df.groupBy(key.alias("_key")).agg(pick(ranked).alias("_picked"))
+    fields = {name: f"_picked.row.`{name}`" for name in df.columns}
+    fields |= {name: f"_picked.o{number}" for number, name in enumerate(order)}
+    return picked.select(*[F.col(path).alias(name) for name, path in fields.items()])
 
 
-def first_per_key(df: DataFrame, key: Column, *order) -> DataFrame:
+def first_per_key(df: DataFrame, key: Column, *order: str) -> DataFrame:
     """The row with the smallest ``order`` of each key."""
     return _one_per_key(df, key, order, F.min)
 
 
-def latest_per_key(df: DataFrame, key, *order) -> DataFrame:
+def latest_per_key(df: DataFrame, key: Column, *order: str) -> DataFrame:
     """The row with the largest ``order`` of each key."""
-    return _one_per_key(df, F.col(key) if isinstance(key, str) else key, order, F.max)
+    return _one_per_key(df, key, order, F.max)
 
 
 def distinct_urls(urls: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import html as H
 from ..functions.html_tree import tree_result
 from ..functions.paths import is_document_url, page_class, url_path, url_priority
-from ..rules import UNTITLED, DomainRules, Limits
+from ..rules import DomainRules, Limits
 from ..schemas import METADATA
 from ..sources.jsonl import utc_now
 from .rows import keep_where
@@ -46,7 +46,7 @@ def extract_pages(pages: DataFrame, rules: DomainRules, limits: Limits = Limits(
         F.replace(tree["title"], F.lit(rules.title_suffix), F.lit("")) if rules.title_suffix else tree["title"]
     )
     page = F.struct(
-        F.when(F.col("_hard"), F.coalesce(F.nullif(tree_title, F.lit("")), F.lit(UNTITLED)))
+        F.when(F.col("_hard"), H.or_untitled(tree_title))
         .otherwise(H.page_title(F.col("_bare"), F.col("_h1"), rules.title_suffix))
         .alias("title"),
         F.when(F.col("_hard"), tree["content"]).otherwise(H.final_text(F.col("_spaced"))).alias("content"),

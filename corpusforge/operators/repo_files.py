@@ -66,7 +66,7 @@ def search_hits(
     if language:
         files = files.where(file_language(F.col("path")) == language)
     terms = rules.vocabulary[: limits.searched_concepts]
-    lower = F.lower(F.col("content"))
+    lower = F.col("_lower")
     found = F.array_compact(
         F.array(
             *[
@@ -79,7 +79,8 @@ def search_hits(
         )
     )
     doc_id = F.concat_ws("/", F.col("repo"), F.col("path"))
-    hits = with_content(files).select("html_url", doc_id.alias("doc_id"), F.inline(found))
+    searched = with_content(files).withColumn("_lower", F.lower("content"))
+    hits = searched.select("html_url", doc_id.alias("doc_id"), F.inline(found))
 
     hits = hits.withColumn("group", F.pmod(F.xxhash64("doc_id", "html_url"), F.lit(_HIT_GROUPS)))
     for key in (["term_position", "group"], ["term_position"]):

@@ -17,7 +17,7 @@ from ..sinks.jsonl import write_documents, write_pairs
 from ..sinks.training import shuffled_pairs, write_formats, write_run_stats
 from ..sources.jsonl import read_documents, read_documents_if_present
 from ..sources.sitemap import sitemap_urls, with_seed_fallback
-from ..sources.snapshots import successful
+from ..sources.snapshots import newest_pages, successful
 
 DEFAULT_FORMATS = ("trl", "torchtune", "alpaca")
 
@@ -30,13 +30,16 @@ def wanted_urls(sitemaps: DataFrame, rules: DomainRules) -> DataFrame:
 def collect_pages(
     snapshots: DataFrame, rules: DomainRules, limits: Limits = Limits(), urls: DataFrame | None = None
 ) -> DataFrame:
-    """Documents of the snapshots, of the wanted ``urls`` only if those are given."""
+    """Documents of the newest successful snapshot of each URL, of the wanted ``urls`` if given.
+
+    URLs are filtered before the pages are moved and before they are taken apart.
+    """
     pages = successful(snapshots)
     if urls is None:
         pages = document_urls(pages, rules)
     else:
         pages = pages.join(urls.select("url"), "url", "left_semi")
-    return page_documents(pages, rules, limits)
+    return page_documents(newest_pages(pages), rules, limits)
 
 
 def build_corpus(

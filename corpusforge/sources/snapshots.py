@@ -12,6 +12,11 @@ def successful(snapshots: DataFrame) -> DataFrame:
     return snapshots.where((F.col("status") == 200) & (F.col("html") != ""))
 
 
+def newest_pages(snapshots: DataFrame) -> DataFrame:
+    """One page per URL, the last one fetched."""
+    return latest_per_key(snapshots, F.col("url"), "fetched_at")
+
+
 def fresh(snapshots: DataFrame, now, hours: int = 24) -> DataFrame:
     """Stored pages that have not expired at ``now`` (a timestamp literal or column)."""
     now = F.to_timestamp(F.lit(now)) if isinstance(now, str) else now
@@ -28,4 +33,4 @@ def urls_to_fetch(urls: DataFrame, snapshots: DataFrame, now, hours: int = 24) -
 def servable_pages(urls: DataFrame, snapshots: DataFrame, now, hours: int = 24) -> DataFrame:
     """The newest unexpired page of each wanted URL."""
     wanted = fresh(snapshots, now, hours).join(urls.select("url"), "url", "left_semi")
-    return latest_per_key(wanted, "url", "fetched_at")
+    return newest_pages(wanted)
