@@ -91,5 +91,6 @@ def is_relevant(path: Column, content: Column, rules: DomainRules) -> Column:
 
 
 def decode_base64(body: Column) -> Column:
-    """Text of a base64 body; null if it is not base64 or not UTF-8."""
-    return F.try_validate_utf8(F.try_to_binary(body, F.lit("base64")).cast("string"))
+    """Text of a base64 body, which may be wrapped in lines; null if it is not base64 or not UTF-8."""
+    joined = F.translate(body, " \t\r\n", "")
+    return F.try_validate_utf8(F.try_to_binary(joined, F.lit("base64")).cast("string"))
