@@ -1,0 +1,35 @@
+from pyspark.sql import functions as F
+
+from corpusforge.operators.dedup import distinct_content, distinct_urls, first_per_key, latest_per_key
+
+
+def test_first_and_latest(spark):
+    rows = [("k", 2, "b", [1]), ("k", 1, "a", [2]), ("l", 1, "c", None), (None, 5, "d", []), (None, 4, "e", [])]
+    table = spark.createDataFrame(rows, "key string, place int, text string, items array<int>")
+    for parts in (1, 4):
+        first = first_per_key(table.repartition(parts), F.col("key"), "place")
+        assert first.columns == table.columns
+        assert sorted(map(tuple, first.collect()), key=repr) == sorted([rows[1], rows[2], rows[4]], key=repr)
+        latest = latest_per_key(table.repartition(parts), F.col("key"), "place")
+        assert sorted(map(tuple, latest.collect()), key=repr) == sorted([rows[0], rows[2], rows[3]], key=repr)
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    table = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key"), F.col("id").alias("place"), F.lit("x").alias("text")
+    )
+    first = first_per_key(table, F.col("key"), "place")
+    assert first.count() == 20_001
+    assert first.where("key = 0").first()["place"] == 0
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and plan.count("Exchange") == 1
+
+
+def test_distinct_content(spark, make_docs):
+    docs = make_docs({"id": "b", "content": "same"}, {"id": "a", "content": "same"}, {"id": "c", "content": "Same"})
+    assert sorted(row["id"] for row in distinct_content(docs).collect()) == ["a", "c"]
+
+
+def test_distinct_urls(spark):
+    urls = spark.createDataFrame([("a",), ("b",), ("a",)], "url string")
+    assert sorted(row[0] for row in distinct_urls(urls).collect()) == ["a", "b"]
