@@ -14,10 +14,11 @@ from ..operators.replies import pairs_with_fallback, with_model_replies
 from ..operators.repo_files import repo_documents
 from ..rules import DomainRules, Limits
 from ..sinks.jsonl import write_documents, write_pairs
-from ..sinks.training import shuffled_pairs, write_formats, write_run_stats
+from ..sinks.training import ordered_pairs, write_formats, write_run_stats
 from ..sources.jsonl import read_documents, read_documents_if_present
 from ..sources.sitemap import sitemap_urls, with_seed_fallback
 from ..sources.snapshots import newest_pages, successful
+from ..staging import staged
 
 DEFAULT_FORMATS = ("trl", "torchtune", "alpaca")
 
@@ -88,16 +89,17 @@ def build_corpus(
         found = rule_pairs(docs, rules, limits, seed)
     else:
         found = pairs_with_fallback(with_model_replies(docs, model, rules, limits), rules, limits, seed)
-    pairs = shuffled_pairs(first_questions(found), seed, partitions)
-    write_pairs(pairs, f"{root}/processed/qa_pairs")
-    outputs = write_formats(
-        pairs, f"{root}/processed/training_data", rules.system_prompt, formats, template, limits.train_fraction
-    )
+    with staged(ordered_pairs(first_questions(found), seed, partitions), "pairs") as pairs:
+        write_pairs(pairs, f"{root}/processed/qa_pairs")
+        outputs = write_formats(
+            pairs, f"{root}/processed/training_data", rules.system_prompt, formats, template, limits.train_fraction
+        )
+        total = pairs.count()
 
     stats = {
         "docs_collected": counts["docs"],
         "code_collected": counts["code"],
-        "qa_pairs_generated": pairs.count(),
+        "qa_pairs_generated": total,
         "start_time": started,
         "end_time": _utc_iso(),
     }

@@ -14,9 +14,14 @@ from .jsonl import write_jsonl
 logger = logging.getLogger(__name__)
 
 
+def ordered_pairs(pairs: DataFrame, seed: str = "0", partitions: int | None = None) -> DataFrame:
+    """Pairs in shuffled order: the one global shuffle that all formats share."""
+    return in_shuffled_order(with_shuffle_key(pairs, seed), partitions)
+
+
 def shuffled_pairs(pairs: DataFrame, seed: str = "0", partitions: int | None = None) -> DataFrame:
-    """Stored pairs in shuffled order: the one global shuffle that all formats share."""
-    return stage(in_shuffled_order(with_shuffle_key(pairs, seed), partitions), "pairs")
+    """Stored pairs in shuffled order, ready to be split."""
+    return stage(ordered_pairs(pairs, seed, partitions), "pairs")
 
 
 def write_formats(

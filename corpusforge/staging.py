@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from typing import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +41,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like ``stage``, for one ``with`` block; the table is dropped after it."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        drop_path(spark, path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Does a file or folder exist, on whatever file system ``path`` names?"""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
