@@ -15,20 +15,21 @@ from .text import collapse_blanks, let, strip
 # Dropped parts leave this empty tag behind, because they separate text nodes.
 GAP = "<!>"
 
+# One leading "<" for all alternatives, so that other characters fail at once.
 _RAW_PARTS = (
-    r"(?is)<!--.*?-->"
-    r"|<script\b[^>]*>.*?</script\s*>"
-    r"|<style\b[^>]*>.*?</style\s*>"
+    r"(?is)<(?:!--.*?-->"
+    r"|script\b[^>]*>.*?</script\s*>"
+    r"|style\b[^>]*>.*?</style\s*>)"
 )
 _CHROME_PARTS = (
-    r"(?is)<nav\b[^>]*>.*?</nav\s*>"
-    r"|<footer\b[^>]*>.*?</footer\s*>"
-    r"|<header\b[^>]*>.*?</header\s*>"
+    r"(?is)<(?:nav\b[^>]*>.*?</nav\s*>"
+    r"|footer\b[^>]*>.*?</footer\s*>"
+    r"|header\b[^>]*>.*?</header\s*>)"
 )
-_LEFTOVER = r"(?i)</?(?:script|style|nav|footer|header)\b|<!--"
+_LEFTOVER = r"(?i)<(?:/?(?:script|style|nav|footer|header)\b|!--)"
 
 # A tag with quoted attribute values, which may hold ">"; else up to the next ">".
-_TAG = r"<[a-zA-Z/!?](?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>|<[a-zA-Z/!?][^>]*>"
+_TAG = r"<[a-zA-Z/!?](?:(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*>)"
 
 _REGION_DIV = (
     r"(?is)<div\b[^>]*?\bclass\s*=\s*"

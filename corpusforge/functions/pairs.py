@@ -23,10 +23,9 @@ from ..schemas import DRAFT_PAIRS
 from .concepts import concept_tags
 from .text import BLANK, fill, let, shorten, strip
 
-# Set before every heading; no text holds this sequence.
-_HEADING_MARK = "\x01￿\x01"
-_HEADING_LINE = rf"#{{1,3}}{BLANK}+[^\n]+\n"
-_HEADING_START = rf"(?dU)\A#{{1,3}}{BLANK}+([^\n]+)"
+# Set around every heading; no text holds this sequence.
+_MARK = "\x01\uffff\x01"
+_SECTIONS = "array<struct<heading:string,body:string>>"
 
 
 def _draft(instruction: Column, response: Column, category: str, concepts: Column) -> Column:
@@ -114,19 +113,28 @@ def sections(content: Column) -> Column:
     text even if that is a heading itself.  A body ends at anything that looks like a
     heading, also at a last line that is none because nothing follows it.
     """
-    marked = F.regexp_replace(content, rf"(?dmU)^({_HEADING_LINE})", f"{_HEADING_MARK}$1")
-    blocks = F.split(marked, _HEADING_MARK)
-
-    def section(block):
-        line = F.regexp_extract(block, _HEADING_START, 0)
-        rest = F.substring(block, F.length(line) + 1, F.length(block))
-        body = F.get(F.split(rest, rf"(?dmU)\n(?=#{{1,3}}{BLANK})", 2), F.lit(0))
-        return F.struct(
-            F.regexp_extract(block, _HEADING_START, 1).alias("heading"), strip(body).alias("body")
-        )
-
-    headed = let(blocks, lambda parts: F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))))
-    return F.transform(headed, section)
+    line = rf"(?dmU)^#{{1,3}}{BLANK}+([^\n]+)(?=\n)"
+    parts = F.split(F.regexp_replace(content, line, f"{_MARK}$1{_MARK}"), _MARK)
+    # text before the first heading, heading, body, heading, body, ...
+    headed = let(
+        parts,
+        lambda part: F.when(
+            F.size(part) > 1,
+            F.transform(
+                F.sequence(F.lit(1), F.size(part) - 1, F.lit(2)),
+                lambda place: F.struct(
+                    F.get(part, place).alias("heading"), strip(_body(F.get(part, place + 1))).alias("body")
+                ),
+            ),
+        ),
+    )
+    return F.coalesce(F.when(content.contains("#"), headed), F.array().cast(_SECTIONS))
+
+
+def _body(rest: Column) -> Column:
+    """Text up to a line that looks like a heading; only a text's last lines can be one here."""
+    cut = F.get(F.split(rest, rf"(?dmU)\n(?=#{{1,3}}{BLANK})", 2), F.lit(0))
+    return F.when(rest.contains("\n#"), cut).otherwise(rest)
 
 
 def heading_pairs(content: Column, content_type: Column, rules: DomainRules, limits: Limits) -> Column:

@@ -14,6 +14,7 @@ BLANKS = (
 )
 # The same as a regex class, to be used with the flag (?U).
 BLANK = r"[\s\x1c-\x1f]"
+_IRREGULAR_BLANKS = rf"(?U)[\s\x1c-\x1f&&[^ ]]{BLANK}*| {BLANK}+"
 
 
 def strip(text: Column) -> Column:
@@ -21,7 +22,8 @@ def strip(text: Column) -> Column:
 
 
 def collapse_blanks(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, rf"(?U){BLANK}+", " "))
+    # Single blanks, by far the most frequent, are left alone instead of replaced by themselves.
+    return F.trim(F.regexp_replace(text, _IRREGULAR_BLANKS, " "))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -39,19 +39,26 @@ def extract_pages(pages: DataFrame, rules: DomainRules, limits: Limits = Limits(
     )
     hard = H.needs_tree(*map(F.col, ("_bare", "_kind", "_region", "_spaced", "_h1", "_pres")))
     step = step.withColumn("_hard", F.coalesce(hard, F.lit(False)))
-    step = step.withColumn("_tree", tree_result(F.when(F.col("_hard"), F.col("html"))))
-
+    easy = F.struct(
+        H.page_title(F.col("_bare"), F.col("_h1"), rules.title_suffix).alias("title"),
+        H.final_text(F.col("_spaced")).alias("content"),
+        H.code_blocks(F.col("_pres")).alias("code_blocks"),
+    )
+    # The finished page, not its intermediate texts, waits next to the Python worker.
+    step = step.select(
+        *kept,
+        F.when(~F.col("_hard"), easy).alias("_easy"),
+        F.when(F.col("_hard"), F.col("html")).alias("_hard_html"),
+    )
+    step = step.withColumn("_tree", tree_result(F.col("_hard_html")))
     tree = F.col("_tree")
-    tree_title = F.when(tree["heading"].isNotNull(), tree["heading"]).otherwise(
+    title = F.when(tree["heading"].isNotNull(), tree["heading"]).otherwise(
         F.replace(tree["title"], F.lit(rules.title_suffix), F.lit("")) if rules.title_suffix else tree["title"]
     )
-    page = F.struct(
-        F.when(F.col("_hard"), H.or_untitled(tree_title))
-        .otherwise(H.page_title(F.col("_bare"), F.col("_h1"), rules.title_suffix))
-        .alias("title"),
-        F.when(F.col("_hard"), tree["content"]).otherwise(H.final_text(F.col("_spaced"))).alias("content"),
-        F.when(F.col("_hard"), tree["code_blocks"]).otherwise(H.code_blocks(F.col("_pres"))).alias("code_blocks"),
+    walked = F.struct(
+        H.or_untitled(title).alias("title"), tree["content"].alias("content"), tree["code_blocks"].alias("code_blocks")
     )
+    page = F.coalesce(F.col("_easy"), walked)
     return keep_where(step, kept, page, lambda item: F.length(item["content"]) >= limits.min_content)
 
 
