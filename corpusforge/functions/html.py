@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..rules import UNTITLED
-from .text import collapse_blanks, let, strip
+from .text import let, strip
 
 # Dropped parts leave this empty tag behind, because they separate text nodes.
 GAP = "<!>"
@@ -57,14 +57,18 @@ _RARE_REFERENCE = r"&(?!(?:lt|gt|amp);)[#a-zA-Z]"
 
 def drop_page_furniture(html: Column) -> Column:
     """Remove comments, scripts, styles, navigation, headers and footers."""
-    bare = F.regexp_replace(html, _RAW_PARTS, GAP)
-    bare = F.regexp_replace(bare, _CHROME_PARTS, GAP)
+    return F.regexp_replace(F.regexp_replace(html, _RAW_PARTS, GAP), _CHROME_PARTS, GAP)
+
+
+def replace_references(bare: Column) -> Column:
+    """Replace the known character references; pages without any are only looked at once."""
+    text = bare
     for reference, char in _REFERENCES.items():
-        bare = F.replace(bare, F.lit(reference), F.lit(char))
-    return bare
+        text = F.replace(text, F.lit(reference), F.lit(char))
+    return F.when(bare.rlike(_RARE_REFERENCE), text).otherwise(bare)
 
 
-def _markup_references(text: Column) -> Column:
+def markup_references(text: Column) -> Column:
     # "&amp;" last, so that "&amp;lt;" ends as "&lt;".
     for reference, char in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         text = F.replace(text, F.lit(reference), F.lit(char))
@@ -94,13 +98,9 @@ def spaced_text(region: Column) -> Column:
     return F.regexp_replace(region, _TAG, " ")
 
 
-def final_text(spaced: Column) -> Column:
-    return collapse_blanks(_markup_references(spaced))
-
-
 def joined_text(fragment: Column) -> Column:
     """Stripped text nodes joined by nothing."""
-    return strip(_markup_references(F.regexp_replace(fragment, rf"(?U)\s*(?:{_TAG})\s*", "")))
+    return strip(markup_references(F.regexp_replace(fragment, rf"(?U)\s*(?:{_TAG})\s*", "")))
 
 
 def heading_html(bare: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import html as H
 from ..functions.html_tree import tree_result
+from ..functions.text import collapse_blanks
 from ..functions.paths import is_document_url, page_class, url_path, url_priority
 from ..rules import DomainRules, Limits
 from ..schemas import METADATA
@@ -32,16 +33,19 @@ def extract_pages(pages: DataFrame, rules: DomainRules, limits: Limits = Limits(
     """Add ``title``, ``content`` and ``code_blocks``; pages without enough text go away."""
     kept = pages.columns
     step = pages.withColumn("_bare", H.drop_page_furniture(F.col("html")))
+    step = step.withColumn("_bare", H.replace_references(F.col("_bare")))
     step = step.withColumns({"_kind": H.region_kind(F.col("_bare")), "_h1": H.heading_html(F.col("_bare"))})
     step = step.withColumn("_region", H.region_html(F.col("_bare"), F.col("_kind")))
     step = step.withColumns(
         {"_spaced": H.spaced_text(F.col("_region")), "_pres": H.pre_bodies(F.col("_region"))}
     )
     hard = H.needs_tree(*map(F.col, ("_bare", "_kind", "_region", "_spaced", "_h1", "_pres")))
-    step = step.withColumn("_hard", F.coalesce(hard, F.lit(False)))
+    step = step.withColumns(
+        {"_hard": F.coalesce(hard, F.lit(False)), "_plain": H.markup_references(F.col("_spaced"))}
+    )
     easy = F.struct(
         H.page_title(F.col("_bare"), F.col("_h1"), rules.title_suffix).alias("title"),
-        H.final_text(F.col("_spaced")).alias("content"),
+        collapse_blanks(F.col("_plain")).alias("content"),
         H.code_blocks(F.col("_pres")).alias("code_blocks"),
     )
     # The finished page, not its intermediate texts, waits next to the Python worker.
