@@ -14,9 +14,8 @@ BLANKS = (
 )
 # The same as a regex class, to be used with the flag (?U).
 BLANK = r"[\s\x1c-\x1f]"
-_IRREGULAR_BLANKS = rf"(?U)[\s\x1c-\x1f&&[^ ]]{BLANK}*| {BLANK}+"
-_IRREGULAR_ASCII_BLANKS = r"[\t-\r\x1c-\x1f][\t-\r\x1c-\x20]*| [\t-\r\x1c-\x20]+"
-_OTHER_BLANKS = r"[\x85\xa0\u1680\u2000-\u200a\u2028-\u202f\u205f\u3000]"
+_ASCII_BLANKS = r"[\t-\r\x1c-\x20]+"
+_OTHER_BLANK = r"[\p{Z}\x85&&[^ ]]"
 
 
 def strip(text: Column) -> Column:
@@ -24,13 +23,10 @@ def strip(text: Column) -> Column:
 
 
 def collapse_blanks(text: Column) -> Column:
-    # Single blanks, by far the most frequent, are left alone instead of replaced by themselves,
-    # and only texts with blanks beyond ASCII pay for Unicode classes.
-    return F.trim(
-        F.when(text.rlike(_OTHER_BLANKS), F.regexp_replace(text, _IRREGULAR_BLANKS, " ")).otherwise(
-            F.regexp_replace(text, _IRREGULAR_ASCII_BLANKS, " ")
-        )
-    )
+    """Runs of blanks to one blank.  Unicode classes are slow, so only texts beyond ASCII pay for them."""
+    is_ascii = F.octet_length(text) == F.length(text)
+    plain = F.when(is_ascii, text).otherwise(F.regexp_replace(text, _OTHER_BLANK, " "))
+    return F.trim(F.regexp_replace(plain, _ASCII_BLANKS, " "))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
