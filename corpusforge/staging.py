@@ -7,27 +7,27 @@ unlike an RDD checkpoint, can still be read column by column.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 from typing import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
+    """Folder named by ``spark.checkpoint.dir``, else a folder of the session's warehouse.
+
+    The warehouse may only stand in where executors can see it: on a local master, or on a
+    file system other than each machine's own.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    own_disk = warehouse.startswith(("file:", "/"))
+    if own_disk and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_roots:
-        _local_roots[application] = tempfile.mkdtemp(prefix="corpusforge-")
-    return _local_roots[application]
+    return f"{warehouse}/.staging"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
