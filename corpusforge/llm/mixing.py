@@ -7,7 +7,8 @@ r = most / (1 + exp(-(tilt * size / mean size))).  Newton steps, kept inside a b
 
 A rate depends on a document's source and size alone, so each step is an aggregation over (source, size) cells
 with their counts, never over documents.  Rounding is systematic in order of size: the copies of a cell are
-the whole numbers that its running rate passes, so a source misses its target by about one document's words;
+the whole numbers that its running rate passes, so a source misses its target by about one document's words,
+and a few single copies, each chosen to bring its source nearest to the target, make up for that;
 inside a cell the remainder goes to the documents of smallest hash.  Sums are exact decimals: reruns agree.
 
 Defined cases: a null or wordless text has size 0 and takes nothing; a null source is a source, ordered last;
@@ -26,6 +27,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 STEPS = 40
+#: Single copies changed at most per source after rounding.
+CORRECTIONS = 3
 #: Documents of a cell that are ranked together at most; larger cells are split by hash.
 RANKED = 5_000
 _EXACT = "decimal(38,12)"
@@ -116,6 +119,28 @@ def cell_copies(cells: DataFrame, targets: DataFrame, solved: DataFrame, most: i
     return counted.withColumn("copies", F.least(F.col("passed") - before, most * F.col("n"))).select("source", "size", "n", "copies", "source_size", "target")
 
 
+def settle(cells: DataFrame, steps: int = CORRECTIONS, most: int = MOST) -> DataFrame:
+    """``cells`` with single copies added or taken away, each the one that brings its source nearest to its target."""
+    cells = stage(cells, "rounded-cells")
+    for _ in range(steps):
+        taken = stage(
+            cells.groupBy("source").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("short")), "shortfalls"
+        )
+        n_sources = taken.count()
+        met = join_small(cells, taken, ["source"], salt=["size"], rows=n_sources).where("size > 0")
+        able = F.when(F.col("short") > 0, F.col("copies") < most * F.col("n")).otherwise(F.col("copies") > 0)
+        left = F.abs(F.abs("short") - F.col("size"))
+        best = (
+            met.where(able & (left < F.abs("short")))
+            .groupBy("source")
+            .agg(F.min(F.struct(left.alias("left"), F.col("size").alias("at"), F.sign("short").alias("change"))).alias("best"))
+        )
+        changed = join_small(cells, stage(best, "corrections"), ["source"], "left", salt=["size"], rows=n_sources)
+        copies = F.col("copies") + F.when(F.col("size") == F.col("best.at"), F.col("best.change").cast("long")).otherwise(F.lit(0))
+        cells = stage(changed.withColumn("copies", F.coalesce(copies, F.col("copies"))).drop("best"), "rounded-cells")
+    return cells
+
+
 def with_size(docs: DataFrame) -> DataFrame:
     """``docs`` with ``size``, the number of words of the whole text."""
     return docs.withColumn("size", F.size(split_words(F.col("text"))).cast("long"))
@@ -128,7 +153,7 @@ def mix(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE
     """
     cells = stage(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "size-cells")
     targets = stage(source_targets(cells, weights, share, most), "source-targets")
-    shared = cell_copies(cells, targets, tilts(cells, targets, most), most)
+    shared = settle(cell_copies(cells, targets, tilts(cells, targets, most), most), most=most)
     shared = stage(shared.withColumn("parts", F.ceil(F.col("n") / RANKED).cast("int")), "cell-copies")
     placed = join_small(sized.withColumn("_h", F.xxhash64("doc_id")), shared, ["source", "size"], salt=["doc_id"])
     # The remainder of a cell goes to its documents of smallest (part, hash): counts of whole parts first.

@@ -31,10 +31,10 @@ FLOOR = (0.25, 0.05, 0.10, 0.15, 0.15)
 SUPPORT = 0.75
 MIN_ROWS = 200
 STEPS = 5
-# Fixed values for five dimensions: 0.75 and 0.99995 quantiles of chi-square with 5 degrees of freedom, and
+# Fixed values for five dimensions: 0.75 and 0.999999 quantiles of chi-square with 5 degrees of freedom, and
 # the factor 0.75 / P(chi-square with 7 degrees of freedom <= the first) that makes the covariance of the inner
 # 75 % consistent under the normal law.
-CHI2_SUPPORT, CHI2_CUT, CONSISTENCY = 6.62568, 27.2886, 1.41207
+CHI2_SUPPORT, CHI2_CUT, CONSISTENCY = 6.62568, 35.888, 1.41207
 #: Distance bins: equal steps of the logarithm.
 BINS_PER_UNIT = 64
 
