@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, outliers, perspectives
+from ..staging import new_path
+from . import decontaminate, density, jaccard, mixing, outliers, perspectives, toxicity, warc
 from .common import stage, table
 
 
@@ -12,6 +13,19 @@ def op1_quality_rules(spark, folder):
     return outliers.judge(table(spark, folder, "documents"))
 
 
+def op2_warc(spark, folder):
+    """Every page written to archives and read back from them."""
+    path = new_path(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    records = warc.read_archives(spark, path, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "valid", "error")
+
+
+def op3_jaccard_join(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return jaccard.join_classes(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_source_mix(spark, folder):
     sized = mixing.with_size(table(spark, folder, "documents").select("doc_id", "source", "text")).drop("text")
     return mixing.mix(stage(sized, "sizes")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
@@ -21,12 +35,24 @@ def op6_perspectives(spark, folder):
     return perspectives.rotate(table(spark, folder, "conversations"))
 
 
+def op8_toxicity(spark, folder):
+    docs, labels = (table(spark, folder, name) for name in ("documents", "labels"))
+    scored = toxicity.detect(docs.select("doc_id", "text"), labels)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_decontaminate(spark, folder):
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, items))
 
 
+def op10_main_text(spark, folder):
+    return density.extract(table(spark, folder, "pages"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op4_source_mix, op6_perspectives, op9_decontaminate)
+    for f in (
+        op1_quality_rules, op2_warc, op3_jaccard_join, op4_source_mix, op6_perspectives, op8_toxicity, op9_decontaminate, op10_main_text,
+    )
 }

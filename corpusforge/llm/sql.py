@@ -1,5 +1,41 @@
 """DuckDB SQL counterparts of the queries that SQL can express."""
 
+# Base32 from the hexadecimal digest: five digits are 20 bits, four letters.
+OP2 = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, upper(sha1(coalesce(html, ''))) AS hex
+  FROM pages),
+d AS (
+  SELECT page_id, payload_bytes,
+         list_aggregate(list_transform(range(0, 8), lambda k:
+           list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+             substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, (5 * k + 1)::BIGINT, 5))::INT >> s) & 31) + 1, 1)),
+             'string_agg', '')), 'string_agg', '') AS payload_digest,
+         max(page_id) OVER (PARTITION BY hex, payload_bytes) AS first
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to, true AS valid, NULL::VARCHAR AS error
+FROM d
+"""
+
+OP3 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+pairs AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.rid AS a, y.rid AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.rid <> y.rid GROUP BY x.rid, y.rid)
+  JOIN n na ON na.rid = a JOIN n nb ON nb.rid = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+reach AS (
+  WITH RECURSIVE r(origin, here) AS (SELECT rid, rid FROM d UNION SELECT origin, b FROM r JOIN pairs ON a = here) SELECT * FROM r)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(e.doc_id) AS component_id
+FROM d LEFT JOIN n USING (rid) JOIN reach ON origin = d.rid JOIN d e ON e.rid = here GROUP BY d.rid, d.doc_id, n.n
+"""
+
 OP6 = r"""
 SELECT t.conv_id, p.perspective, t.turn, t.role AS speaker,
        CASE WHEN t.role = p.perspective THEN 'assistant' WHEN t.role = 'system' THEN 'system' ELSE 'user' END AS role,
@@ -42,4 +78,4 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN spots USING (rid) LEFT JOIN items USING (rid)
 """
 
-ORACLES = {"op6_perspectives": OP6, "op9_decontaminate": OP9}
+ORACLES = {"op2_warc": OP2, "op3_jaccard_join": OP3, "op6_perspectives": OP6, "op9_decontaminate": OP9}

@@ -1,28 +1,27 @@
 """Toxicity: a subsequence string kernel with Nyström landmarks and a linear support vector machine.
 
-The kernel of two tokens counts their common three-letter subsequences, each weighed by ``DECAY`` to the power
-of the letters it spans (``SPAN`` at most), normalised and raised to ``SHARPEN``; so an insult with letters
-inserted, left out or replaced by signs still resembles its landmark.  The kernel of two sentences is the sum
-over their tokens.  Landmarks are tokens of the labelled rows; K_mm^(-1/2) turns similarities to them into
-features (Nyström), and the machine is trained on the sentences of the labelled documents.  A document's label
-says nothing about which sentence earned it, so training alternates: the highest-scoring sentence of each toxic
-document is its example, all sentences of clean documents are examples to the contrary.
+The kernel of two tokens counts their common three-letter subsequences, begin and end marks included, each
+weighed by ``DECAY`` to the power of the letters it spans (``SPAN`` at most), normalised and raised to ``SHARPEN``;
+so an insult with letters inserted, left out or replaced by signs still resembles its landmark.  Landmarks are
+tokens of the labelled rows; K_mm^(-1/2) turns similarities to them into features (Nyström).
 
-A document scores as its most toxic sentence.  As the machine is linear, a token has one value, which each
-task computes once per distinct token (``CACHE`` of them are kept).
+A sentence is as toxic as its most toxic token, a document as its most toxic sentence.  A document's label says
+nothing about which of them earned it, so training alternates: the highest token of each toxic document is an
+example, and so are, to the contrary, all tokens of clean documents; then the machine is fitted again.
+As it is linear, a token has one value, which each task computes once per distinct token (``CACHE`` are kept).
 
 The machine is fitted on at most ``SAMPLE`` labelled rows of at most ``SAMPLE_CHARS`` characters, those of
 smallest hash, half of either label at most; scoring covers every whole text.
 
-Defined cases: null and empty texts score as a sentence without tokens; a null doc_id is not held out; rows
-labelled twice are toxic if either label says so; without labels of both kinds every score is 0; an empty table
-gives no rows.
+Defined cases: null and empty texts have no token and score 0; a null doc_id is not held out; rows labelled
+twice are toxic if either label says so; without labels of both kinds every score is 0; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from dataclasses import dataclass
 from typing import Iterator
 
@@ -30,13 +29,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-DECAY, SPAN, SHARPEN = 0.6, 7, 4
-LANDMARKS = 96
+DECAY, SPAN, SHARPEN = 0.7, 6, 2
+LANDMARKS = 128
 SAMPLE, SAMPLE_CHARS = 4_000, 50_000
 ROUNDS = 5
 CACHE = 200_000
-LETTERS = 32  # letter classes; 0 is a gap
-_SENTENCE = re.compile(r"[^.!?\n\r]+")
+LETTERS = 35  # letter classes: gap, a to z, others by code, begin, end
+BEGIN, END = 33, 34
 _SINGLES = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
 # Signs often written for letters.
 LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
@@ -53,8 +52,8 @@ def letters(token: str) -> np.ndarray:
     """Letter classes of a token; signs and digits that stand for no letter are gaps."""
     inner = token.strip("#*%&$|<>.,;:!?\"'()[]")
     plain = unicodedata.normalize("NFKD", inner.translate(LOOKALIKE).lower())
-    codes = [ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 5 if c.isalpha() else 0 for c in plain if not unicodedata.combining(c)]
-    return np.array(codes, dtype=np.int64)
+    codes = [ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 6 if c.isalpha() else 0 for c in plain if not unicodedata.combining(c)]
+    return np.array([BEGIN, *codes, END] if any(codes) else [], dtype=np.int64)
 
 
 def subsequences(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,16 +94,12 @@ def similarities(tokens: list[str], table: np.ndarray) -> np.ndarray:
     return out**SHARPEN
 
 
-def sentences(text: str | None) -> list[list[str]]:
-    """Tokens of each sentence; three or more single letters in a row also count as one token."""
-    found = []
-    for sentence in _SENTENCE.findall(text or ""):
-        tokens = sentence.split()
-        if len(tokens) > 2:
-            tokens += ["".join(run.split()) for run in _SINGLES.findall(sentence)]
-        if tokens:
-            found.append(tokens)
-    return found
+def distinct_tokens(text: str | None) -> set[str]:
+    """Tokens of a text; three or more single letters in a row also count as one token."""
+    tokens = set((text or "").split())
+    if sum(len(t) == 1 for t in tokens) > 1:
+        tokens.update("".join(run.split()) for run in _SINGLES.findall(text))
+    return tokens
 
 
 @dataclass
@@ -118,117 +113,76 @@ class Model:
         self.table = landmark_table(self.landmarks)
         self.known: dict[str, float] = {}
 
-    def values(self, tokens: list[str]) -> list[float]:
-        """Contribution of each token to its sentence's margin."""
-        known = self.known
-        new = list({t for t in tokens if t not in known})
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = list(set(tokens))
+    def learn(self, tokens: set[str]) -> None:
+        """Put the values of new tokens into the cache."""
+        new = [t for t in tokens if t not in self.known]
+        if len(self.known) + len(new) > CACHE:
+            self.known.clear()
+            new = list(tokens)
         for begin in range(0, len(new), 5_000):
             part = new[begin : begin + 5_000]
-            known.update(zip(part, (similarities(part, self.table) @ self.weights).tolist()))
-        return [known[t] for t in tokens]
-
-    def score(self, text: str | None) -> float:
-        best = 0.0
-        for margin in self.margins(sentences(text)):
-            best = max(best, margin)
-        return float(1 / (1 + np.exp(-np.clip(self.scale * (best + self.bias), -50, 50))))
-
-    def margins(self, found: list[list[str]]) -> Iterator[float]:
-        block: list[list[str]] = []
-        size = 0
-        for tokens in found:
-            block.append(tokens)
-            size += len(tokens)
-            if size > 50_000:
-                yield from self._sums(block)
-                block, size = [], 0
-        yield from self._sums(block)
-
-    def _sums(self, block: list[list[str]]) -> Iterator[float]:
-        if block:
-            flat = self.values([t for tokens in block for t in tokens])
-            at = 0
-            for tokens in block:
-                yield sum(flat[at : at + len(tokens)])
-                at += len(tokens)
+            self.known.update(zip(part, (similarities(part, self.table) @ self.weights).tolist()))
+
+    def margins(self, texts: list[str | None]) -> list[float]:
+        """Value of each text's most toxic token, a hundred texts at a time; -inf without tokens."""
+        found = []
+        for begin in range(0, len(texts), 100):
+            split = [distinct_tokens(text) for text in texts[begin : begin + 100]]
+            self.learn(set().union(*split))
+            found += [max((self.known[t] for t in tokens), default=-np.inf) for tokens in split]
+        return found
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        margin = np.clip(self.scale * (np.array(self.margins(texts)) + self.bias), -50, 50)
+        return np.where(margin == -50, 0.0, 1 / (1 + np.exp(-margin))).tolist()
 
 
 def landmark_table(landmarks: list[str]) -> np.ndarray:
-    table = np.zeros((LETTERS**3, len(landmarks)), dtype=np.float64)
+    table = np.zeros((LETTERS**3, len(landmarks)))
     owner, code, weight = subsequences(landmarks)
     table[code, owner] = weight
     return table
 
 
-def choose_landmarks(docs: list[tuple[set[str], int]], count: int) -> list[str]:
-    """Tokens that tell the labels apart best by document counts; half of them frequent tokens of clean documents."""
-    toxic: dict[str, int] = {}
-    clean: dict[str, int] = {}
-    for tokens, label in docs:
-        into = toxic if label else clean
-        for token in tokens:
-            into[token] = into.get(token, 0) + 1
-    n_toxic = max(1, sum(label for _, label in docs))
-    n_clean = max(1, len(docs) - n_toxic)
-
-    def contrast(token: str) -> float:
-        return np.log((toxic[token] + 0.5) / n_toxic) - np.log((clean.get(token, 0) + 0.5) / n_clean)
-
-    chosen = sorted(toxic, key=lambda t: (-contrast(t) * toxic[t] ** 0.5, t))[: count // 2]
-    usual = sorted(clean, key=lambda t: (-clean[t], t))
-    return chosen + [t for t in usual if t not in set(chosen)][: count - len(chosen)]
+def contrasts(docs: list[set[str]], labels: np.ndarray) -> dict[str, float]:
+    """How much more often, by documents, a token stands in toxic documents: log odds times the root of its count."""
+    toxic: Counter = Counter()
+    clean: Counter = Counter()
+    for tokens, label in zip(docs, labels):
+        (toxic if label else clean).update(tokens)
+    n_toxic, n_clean = labels.sum(), (1 - labels).sum()
+    odds = lambda t: np.log((toxic[t] + 0.5) / n_toxic) - np.log((clean[t] + 0.5) / n_clean)
+    return {t: float(odds(t) * toxic[t] ** 0.5) for t in toxic} | {t: float(-clean[t]) for t in clean if t not in toxic}
 
 
 def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROUNDS) -> Model | None:
     """Fit on (text, label) rows; None without both labels."""
-    if len({label for _, label in rows}) < 2:
-        return None
-    split = [sentences(text) for text, _ in rows]
     labels = np.array([label for _, label in rows])
-    normal = lambda t: "".join(chr(96 + c) if c < 27 else chr(c) for c in letters(t) if c)
-    named: dict[str, str] = {}
-    for found in split:
-        for tokens in found:
-            for t in tokens:
-                if t not in named:
-                    named[t] = normal(t)
-    landmarks = choose_landmarks([({named[t] for s in f for t in s if len(named[t]) > 2}, label) for f, label in zip(split, labels)], count)
+    if len(set(labels.tolist())) < 2:
+        return None
+    docs = [distinct_tokens(text) for text, _ in rows]
+    telling = contrasts(docs, labels)
+    named = sorted(telling, key=lambda t: (-telling[t], t))
+    usual = sorted(telling, key=lambda t: (telling[t], t))
+    landmarks = list(dict.fromkeys(named[: count * 2 // 3] + usual[: count // 3]))
     table = landmark_table(landmarks)
-    inner = similarities(landmarks, table)
-    value, vector = np.linalg.eigh(inner + 1e-6 * np.eye(len(landmarks)))
-    root = vector / np.sqrt(np.maximum(value, 1e-6)) @ vector.T
-    tokens = sorted(named)
-    place = {t: i for i, t in enumerate(tokens)}
-    mapped = np.concatenate([similarities(tokens[i : i + 5_000], table) @ root for i in range(0, len(tokens), 5_000)])
-    # One row per sentence: the sum of its tokens' features.
-    owner = np.array([d for d, found in enumerate(split) for _ in found])
-    features = np.zeros((len(owner), len(landmarks)))
-    at = 0
-    for found in split:
-        for sentence in found:
-            features[at] = mapped[[place[t] for t in sentence]].sum(axis=0)
-            at += 1
-    sentence_label = labels[owner]
-    active = np.ones(len(owner), dtype=bool)
-    weights, bias = np.zeros(len(landmarks)), 0.0
+    value, vector = np.linalg.eigh(similarities(landmarks, table))
+    root = vector / np.sqrt(np.maximum(value, 1e-3)) @ vector.T
+    mapped = np.concatenate([similarities(named[i : i + 5_000], table) @ root for i in range(0, len(named), 5_000)])
+    place = {t: i for i, t in enumerate(named)}
+    held = [np.array([place[t] for t in tokens], dtype=np.int64) for tokens in docs]
+    clean = np.unique(np.concatenate([at for at, label in zip(held, labels) if not label] or [np.zeros(0, np.int64)]))
+    rank = np.array([telling[t] for t in named])
     for _ in range(rounds):
-        target = np.where(sentence_label == 1, 1.0, -1.0)
-        weights, bias = squared_hinge(features[active], target[active])
-        margin = features @ weights + bias
-        # The best sentence of each toxic document, and every other one that is toxic by now.
-        order = np.lexsort((-margin, owner))
-        best = order[np.r_[True, owner[order][1:] != owner[order][:-1]]] if len(order) else order
-        active = (sentence_label == 0) | (margin > 0)
-        active[best] = True
-    model = Model(landmarks, root @ weights, bias, 1.0)
-    tops = np.array([max([0.0, *model.margins(found)]) for found in split]) + bias
-    threshold = best_threshold(tops, labels)
-    model.bias -= threshold
-    spread = np.median(np.abs(tops - threshold)) or 1.0
-    model.scale = float(2.0 / spread)
+        best = np.array([at[np.argmax(rank[at])] for at, label in zip(held, labels) if label and len(at)], dtype=np.int64)
+        x = mapped[np.concatenate([best, clean])]
+        weights, bias = squared_hinge(x, np.r_[np.ones(len(best)), -np.ones(len(clean))])
+        rank = mapped @ weights
+    model = Model(landmarks, root @ weights, 0.0, 1.0)
+    tops = np.array(model.margins([text for text, _ in rows]))
+    tops = np.where(np.isfinite(tops), tops, tops[np.isfinite(tops)].min(initial=0.0))
+    model.bias = -best_threshold(tops, labels)
+    model.scale = float(2.0 / (np.median(np.abs(tops + model.bias)) or 1.0))
     return model
 
 
@@ -283,7 +237,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = Model(*sent.value)
         for texts in batches:
-            yield pd.Series([own.score(text) for text in texts], dtype="float64")
+            yield pd.Series(own.scores(list(texts)), dtype="float64")
 
     scored = docs.withColumn("score", toxic("text"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
