@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..staging import new_path
-from . import decontaminate, density, jaccard, mixing, outliers, perspectives, toxicity, warc
+from . import decontaminate, density, jaccard, mixing, outliers, perspectives, repeats, toxicity, warc
 from .common import stage, table
 
 
@@ -35,6 +35,11 @@ def op6_perspectives(spark, folder):
     return perspectives.rotate(table(spark, folder, "conversations"))
 
 
+def op7_repeats(spark, folder):
+    done = repeats.cut(table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark, folder):
     docs, labels = (table(spark, folder, name) for name in ("documents", "labels"))
     scored = toxicity.detect(docs.select("doc_id", "text"), labels)
@@ -53,6 +58,6 @@ def op10_main_text(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op2_warc, op3_jaccard_join, op4_source_mix, op6_perspectives, op8_toxicity, op9_decontaminate, op10_main_text,
+        op1_quality_rules, op2_warc, op3_jaccard_join, op4_source_mix, op6_perspectives, op7_repeats, op8_toxicity, op9_decontaminate, op10_main_text,
     )
 }
