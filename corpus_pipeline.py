@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusforge.llm import decontaminate, mixing
+from corpusforge.llm import decontaminate, jaccard, mixing, repeats, toxicity
 from corpusforge.llm.common import stage, table
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the trained classifier calls toxic go."""
+    scored = toxicity.detect(docs, table(spark, sf_dir, "labels"))
+    return scored.where("predicted = 0").select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near and exact copies the document of smallest id stays; documents without words all stay."""
+    joined = stage(jaccard.join_classes(docs), "components")
+    # The smallest id of a component stands for it; rows without words or without id are in no group.
+    others = joined.where("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
+    stay = docs.join(others, docs.doc_id == others["_id"], "left_anti")
+    repeated = joined.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
+    repeated = stage(repeated, "repeated-ids")
+    if repeated.isEmpty():
+        return stay
+    once = stay.join(repeated, stay.doc_id == repeated["_id"], "left_anti")
+    again = stay.join(repeated, stay.doc_id == repeated["_id"], "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(again)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 400 bytes and more that stand elsewhere too are cut out; the rest of the text stays."""
+    return repeats.without_repeats(docs)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a verified benchmark window go; the rest stay as they are."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -20,8 +46,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("decontaminate", without_benchmark),
-    ("mix", mixed),
+    ("toxicity", without_toxic),
+    ("near_duplicates", one_of_each),
+    ("repeated_passages", without_repeats),
+    ("decontamination", without_benchmark),
+    ("mixing", mixed),
 ]
 
 #: Trained scores, links and suffix arrays are beyond SQL; tests compare the stages with brute force.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..staging import new_path
-from . import decontaminate, density, jaccard, mixing, outliers, perspectives, repeats, toxicity, warc
+from . import decontaminate, density, jaccard, licences, mixing, outliers, perspectives, repeats, toxicity, warc
 from .common import stage, table
 
 
@@ -31,6 +31,14 @@ def op4_source_mix(spark, folder):
     return mixing.mix(stage(sized, "sizes")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def op5_licences(spark, folder):
+    found = licences.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_parts", F.array_join("identifiers", ",").alias("identifiers"), F.array_join("licences", ",").alias("licences"),
+        F.size("matches").cast("long").alias("n_matches"),
+    )
+
+
 def op6_perspectives(spark, folder):
     return perspectives.rotate(table(spark, folder, "conversations"))
 
@@ -58,6 +66,6 @@ def op10_main_text(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op2_warc, op3_jaccard_join, op4_source_mix, op6_perspectives, op7_repeats, op8_toxicity, op9_decontaminate, op10_main_text,
+        op1_quality_rules, op2_warc, op3_jaccard_join, op4_source_mix, op5_licences, op6_perspectives, op7_repeats, op8_toxicity, op9_decontaminate, op10_main_text,
     )
 }

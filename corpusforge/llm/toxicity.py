@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-DECAY, SPAN, SHARPEN = 0.7, 6, 2
+DECAY, SPAN, SHARPEN = 0.7, 6, 4
 LANDMARKS = 128
 SAMPLE, SAMPLE_CHARS = 4_000, 50_000
 ROUNDS = 5
@@ -51,8 +51,8 @@ def held_out(doc_id="doc_id"):
 def letters(token: str) -> np.ndarray:
     """Letter classes of a token; signs and digits that stand for no letter are gaps."""
     inner = token.strip("#*%&$|<>.,;:!?\"'()[]")
-    plain = unicodedata.normalize("NFKD", inner.translate(LOOKALIKE).lower())
-    codes = [ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 6 if c.isalpha() else 0 for c in plain if not unicodedata.combining(c)]
+    plain = unicodedata.normalize("NFC", inner.translate(LOOKALIKE).lower())
+    codes = [ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 6 if c.isalpha() else 0 for c in plain]
     return np.array([BEGIN, *codes, END] if any(codes) else [], dtype=np.int64)
 
 
@@ -84,13 +84,13 @@ def subsequences(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def similarities(tokens: list[str], table: np.ndarray) -> np.ndarray:
     """Sharpened kernel of tokens (rows) and landmarks; ``table`` is the landmarks' map, subsequence by landmark."""
-    out = np.zeros((len(tokens), table.shape[1]))
+    out = np.zeros((len(tokens), table.shape[1]), dtype=np.float32)
     owner, code, weight = subsequences(tokens)
     for begin in range(0, len(owner), 500_000):
         part = slice(begin, begin + 500_000)
         ids, starts = np.unique(owner[part], return_index=True)
         if len(ids):
-            out[ids] += np.add.reduceat(table[code[part]] * weight[part, None], starts, axis=0)
+            out[ids] += np.add.reduceat(table[code[part]] * weight[part, None].astype(np.float32), starts, axis=0)
     return out**SHARPEN
 
 
@@ -138,7 +138,7 @@ class Model:
 
 
 def landmark_table(landmarks: list[str]) -> np.ndarray:
-    table = np.zeros((LETTERS**3, len(landmarks)))
+    table = np.zeros((LETTERS**3, len(landmarks)), dtype=np.float32)
     owner, code, weight = subsequences(landmarks)
     table[code, owner] = weight
     return table
@@ -163,22 +163,30 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROU
     docs = [distinct_tokens(text) for text, _ in rows]
     telling = contrasts(docs, labels)
     named = sorted(telling, key=lambda t: (-telling[t], t))
-    usual = sorted(telling, key=lambda t: (telling[t], t))
-    landmarks = list(dict.fromkeys(named[: count * 2 // 3] + usual[: count // 3]))
-    table = landmark_table(landmarks)
-    value, vector = np.linalg.eigh(similarities(landmarks, table))
-    root = vector / np.sqrt(np.maximum(value, 1e-3)) @ vector.T
-    mapped = np.concatenate([similarities(named[i : i + 5_000], table) @ root for i in range(0, len(named), 5_000)])
     place = {t: i for i, t in enumerate(named)}
     held = [np.array([place[t] for t in tokens], dtype=np.int64) for tokens in docs]
-    clean = np.unique(np.concatenate([at for at, label in zip(held, labels) if not label] or [np.zeros(0, np.int64)]))
+    in_clean = np.bincount(np.concatenate([at for at, label in zip(held, labels) if not label] or [np.zeros(0, np.int64)]), minlength=len(named))
+    clean = np.nonzero(in_clean)[0]
     rank = np.array([telling[t] for t in named])
-    for _ in range(rounds):
-        best = np.array([at[np.argmax(rank[at])] for at, label in zip(held, labels) if label and len(at)], dtype=np.int64)
-        x = mapped[np.concatenate([best, clean])]
-        weights, bias = squared_hinge(x, np.r_[np.ones(len(best)), -np.ones(len(clean))])
-        rank = mapped @ weights
+    chosen = named[: count * 2 // 3]
+    usual = sorted((named[i] for i in clean), key=lambda t: (-in_clean[place[t]], t))
+    landmarks = list(dict.fromkeys(chosen + usual))[:count]
+    for last in (False, True):
+        table = landmark_table(landmarks)
+        value, vector = np.linalg.eigh(similarities(landmarks, table).astype(np.float64))
+        root = vector / np.sqrt(np.maximum(value, 1e-2)) @ vector.T
+        mapped = np.concatenate([similarities(named[i : i + 5_000], table) @ root for i in range(0, len(named), 5_000)])
+        for _ in range(rounds):
+            best = np.array([at[np.argmax(rank[at])] for at, label in zip(held, labels) if label and len(at)], dtype=np.int64)
+            x = mapped[np.concatenate([best, clean])]
+            weights, bias = squared_hinge(x, np.r_[np.ones(len(best)), -np.ones(len(clean))], np.r_[np.ones(len(best)), np.sqrt(in_clean[clean])])
+            rank = mapped @ weights
+        if not last:  # the clean tokens taken most for insults become landmarks too
+            hardest = clean[np.argsort(-rank[clean] * np.sqrt(in_clean[clean]), kind="stable")]
+            landmarks = list(dict.fromkeys(chosen + [named[i] for i in hardest[: count // 6]] + usual))[:count]
+            rank = np.array([telling[t] for t in named])
     model = Model(landmarks, root @ weights, 0.0, 1.0)
+    model.known.update(zip(named, rank.tolist()) if len(named) <= CACHE else ())
     tops = np.array(model.margins([text for text, _ in rows]))
     tops = np.where(np.isfinite(tops), tops, tops[np.isfinite(tops)].min(initial=0.0))
     model.bias = -best_threshold(tops, labels)
@@ -186,11 +194,10 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROU
     return model
 
 
-def squared_hinge(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 30) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, classes balanced, by Newton steps."""
+def squared_hinge(x: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float = 1.0, steps: int = 30) -> tuple[np.ndarray, float]:
+    """Linear support vector machine with squared hinge loss, rows weighed by ``times``, classes balanced, by Newton steps."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
-    share = np.where(y > 0, len(y) / 2 / max(1, (y > 0).sum()), len(y) / 2 / max(1, (y < 0).sum()))
-    share /= len(y)
+    share = times / np.where(y > 0, 2 * max(1, times[y > 0].sum()), 2 * max(1, times[y < 0].sum()))
     ridge = np.full(x1.shape[1], 1e-3 * penalty)
     ridge[-1] = 1e-9
     w = np.zeros(x1.shape[1])
