@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+from contextlib import contextmanager
+from typing import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -50,3 +51,15 @@ def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
     )
     on = [salted[k].eqNullSafe(copies[f"_r_{k}"]) for k in keys] + [salted["_salt"] == copies["_r_salt"]]
     return salted.join(copies, on, how).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Fewer rows per Arrow batch for the jobs of one block, where rows are wide; the old setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -12,7 +12,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 #: Bytes of text that are hashed together.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -89,10 +89,10 @@ def shingle_sets(encoded: list[bytes], size: int) -> list[np.ndarray]:
         if n >= size:
             found.append(np.unique(grams[at : at + n - size + 1]))
         elif n:
-            whole = np.uint64(0)
-            for value in words[at : at + n]:
-                whole = mix(np.array([whole * factor + value], dtype=np.uint64))[0]
-            found.append(np.array([mix(np.array([whole + np.uint64(n)], dtype=np.uint64))[0]]))
+            whole = np.zeros(1, dtype=np.uint64)
+            for k in range(n):
+                whole = mix(whole * factor + words[at + k : at + k + 1])
+            found.append(mix(whole + np.uint64(n)))
         else:
             found.append(np.zeros(0, dtype=np.uint64))
         at += n

@@ -26,16 +26,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stage
+from .common import arrow_batches, stage
 from .components import connected
 from .hashing import in_blocks, mix, shingle_sets
 
 SIZE, PERCENT = 5, 80
 LEADS = 3
 #: A shingle in the leading part of more sets than this comes last in the order.
-COMMON = 64
+COMMON = 16
 #: Bits of the two bitmaps, whatever the input: common shingles, and documents whose sets are checked.
 BITS = 1 << 24
+#: Rows of an Arrow batch: texts, and pairs with both arrays.
+TEXT_ROWS, PAIR_ROWS = 2_000, 500
 _U = np.dtype("<u8")
 
 
@@ -186,7 +188,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int =
                 good.append(100 * shared >= percent * (len(p) + len(q) - shared))
             yield batch.loc[np.array(good, dtype=bool), ["a", "b"]]
 
-    return both.select("a", "b", "tokens_a", "tokens_b").mapInPandas(check, "a long, b long").distinct()
+    with arrow_batches(spark, PAIR_ROWS):
+        return stage(both.select("a", "b", "tokens_a", "tokens_b").mapInPandas(check, "a long, b long").distinct(), "links")
 
 
 def leads_of(sets: DataFrame, first: int | None, common: bool) -> DataFrame:
@@ -224,6 +227,7 @@ def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
                 continue
             flat = np.concatenate(tokens)
             row = np.repeat(np.arange(len(tokens)), sizes).astype("<u2")
+            rank = (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype("<u4")
             bucket = (mix(flat) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -232,8 +236,8 @@ def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 if b > a:
                     used, local = np.unique(row[order[a:b]], return_inverse=True)
-                    out.append((number, flat[order[a:b]].tobytes(), local.astype("<u2").tobytes(), *[held[c][used].tobytes() for c in held]))
-            yield pd.DataFrame(out, columns=["bucket", "tokens", "rows", "doc_id", "n", "comp"])
+                    out.append((number, flat[order[a:b]].tobytes(), local.astype("<u2").tobytes(), rank[order[a:b]].tobytes(), *[held[c][used].tobytes() for c in held]))
+            yield pd.DataFrame(out, columns=["bucket", "tokens", "rows", "ranks", "doc_id", "n", "comp"])
 
     def pairs(group: pd.DataFrame) -> pd.DataFrame:
         tokens = np.frombuffer(b"".join(group["tokens"]), _U)
@@ -245,6 +249,8 @@ def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         ids, n, comp = (np.frombuffer(b"".join(group[c]), "<i8") for c in ("doc_id", "n", "comp"))
         order = np.lexsort((n[row], tokens))
         token, row = tokens[order], row[order]
+        # At their first common shingle two sets can share no more than what follows it in either.
+        left = n[row] - np.frombuffer(b"".join(group["ranks"]), "<u4").astype(np.int64)[order]
         found = []
         # Neighbours at a distance of 1, 2, ... in a tile, sorted by size, until the sizes are too far apart.
         at, step = np.arange(len(token) - 1), 1
@@ -253,7 +259,8 @@ def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             at, other = at[other < len(token)], other[other < len(token)]
             near = (token[at] == token[other]) & (100 * n[row[at]] >= percent * n[row[other]])
             at, other = at[near], other[near]
-            apart = comp[row[at]] != comp[row[other]]
+            both = n[row[at]] + n[row[other]]
+            apart = (comp[row[at]] != comp[row[other]]) & ((100 + percent) * np.minimum(left[at], left[other]) >= percent * both)
             found.append(np.stack([ids[row[at[apart]]], ids[row[other[apart]]]]))
             if sum(f.shape[1] for f in found) > 2_000_000:
                 found = [np.unique(np.concatenate(found, axis=1), axis=1)]
@@ -262,7 +269,7 @@ def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         return pd.DataFrame({"a": both.min(axis=0), "b": both.max(axis=0)}) if both.size else pd.DataFrame({"a": [], "b": []}, dtype="int64")
 
     packed = sets.select("doc_id", "n", "comp", "lead", "n_rare").mapInPandas(
-        pack, "bucket int, tokens binary, rows binary, doc_id binary, n binary, comp binary"
+        pack, "bucket int, tokens binary, rows binary, ranks binary, doc_id binary, n binary, comp binary"
     )
     return packed.groupBy("bucket").applyInPandas(pairs, "a long, b long").distinct()
 
@@ -289,6 +296,11 @@ def common_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def join_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, key (of its set), component_id."""
+    with arrow_batches(docs.sparkSession, TEXT_ROWS):
+        return _join_classes(docs, size, percent)
+
+
+def _join_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     every = stage(profiles(docs, size, percent), "profiles")
     classes = every.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     classes = stage(classes, "set-classes")
@@ -296,12 +308,13 @@ def join_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> D
     sets = every.join(classes, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
     sets = stage(sets.withColumn("comp", F.col("doc_id")), "sets")
 
-    links = stage(verified(stage(pruned(hub_pairs(sets), sets, percent), "hub-pairs"), docs, classes, size, percent), "links")
+    hubs = stage(pruned(hub_pairs(sets), sets, percent), "hub-pairs")
+    links = verified(hubs, docs, classes, size, percent)
     roots = stage(connected(links), "roots")
     labelled = sets.drop("comp").join(roots.select(F.col("id").alias("doc_id"), "root"), "doc_id", "left")
     labelled = stage(labelled.withColumn("comp", F.coalesce("root", "doc_id")).drop("root"), "labelled-sets")
     more = rare_pairs(labelled, percent).unionByName(common_pairs(labelled, percent)).distinct()
-    rest = stage(verified(stage(pruned(more, sets, percent), "tile-pairs"), docs, classes, size, percent), "links")
+    rest = verified(stage(pruned(more, sets, percent), "tile-pairs"), docs, classes, size, percent)
     if not rest.isEmpty():
         roots = stage(connected(links.unionByName(rest)), "roots")
 

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 DECAY, SPAN, SHARPEN = 0.7, 6, 4
-LANDMARKS = 128
+LANDMARKS = 96
 SAMPLE, SAMPLE_CHARS = 4_000, 50_000
 ROUNDS = 5
 CACHE = 200_000
@@ -48,10 +48,14 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def bare(token: str) -> str:
+    """A token in lower case without the signs around it, signs that look like letters read as letters."""
+    return unicodedata.normalize("NFC", token.strip("#*%&$|<>.,;:!?\"'()[]").translate(LOOKALIKE).lower())
+
+
 def letters(token: str) -> np.ndarray:
     """Letter classes of a token; signs and digits that stand for no letter are gaps."""
-    inner = token.strip("#*%&$|<>.,;:!?\"'()[]")
-    plain = unicodedata.normalize("NFC", inner.translate(LOOKALIKE).lower())
+    plain = bare(token)
     codes = [ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 6 if c.isalpha() else 0 for c in plain]
     return np.array([BEGIN, *codes, END] if any(codes) else [], dtype=np.int64)
 
@@ -145,14 +149,17 @@ def landmark_table(landmarks: list[str]) -> np.ndarray:
 
 
 def contrasts(docs: list[set[str]], labels: np.ndarray) -> dict[str, float]:
-    """How much more often, by documents, a token stands in toxic documents: log odds times the root of its count."""
+    """How much more often, by documents, a token stands in toxic documents: log odds times the root of its count.
+
+    Tokens of one toxic document, or not even e times as frequent there, get minus their count in clean documents.
+    """
     toxic: Counter = Counter()
     clean: Counter = Counter()
     for tokens, label in zip(docs, labels):
         (toxic if label else clean).update(tokens)
     n_toxic, n_clean = labels.sum(), (1 - labels).sum()
     odds = lambda t: np.log((toxic[t] + 0.5) / n_toxic) - np.log((clean[t] + 0.5) / n_clean)
-    return {t: float(odds(t) * toxic[t] ** 0.5) for t in toxic} | {t: float(-clean[t]) for t in clean if t not in toxic}
+    return {t: float(odds(t) * toxic[t] ** 0.5 if toxic[t] > 1 and odds(t) > 1 else -clean[t]) for t in toxic.keys() | clean.keys()}
 
 
 def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROUNDS) -> Model | None:
@@ -160,31 +167,31 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROU
     labels = np.array([label for _, label in rows])
     if len(set(labels.tolist())) < 2:
         return None
-    docs = [distinct_tokens(text) for text, _ in rows]
+    # Tokens of the same letters are one here, whatever signs stand around them.
+    plain: dict[str, str] = {}
+    docs = []
+    for text, _ in rows:
+        tokens = distinct_tokens(text)
+        plain.update((t, bare(t)) for t in tokens if t not in plain)
+        docs.append({plain[t] for t in tokens} - {""})
     telling = contrasts(docs, labels)
     named = sorted(telling, key=lambda t: (-telling[t], t))
     place = {t: i for i, t in enumerate(named)}
     held = [np.array([place[t] for t in tokens], dtype=np.int64) for tokens in docs]
-    in_clean = np.bincount(np.concatenate([at for at, label in zip(held, labels) if not label] or [np.zeros(0, np.int64)]), minlength=len(named))
-    clean = np.nonzero(in_clean)[0]
+    clean = np.unique(np.concatenate([at for at, label in zip(held, labels) if not label] or [np.zeros(0, np.int64)]))
     rank = np.array([telling[t] for t in named])
-    chosen = named[: count * 2 // 3]
-    usual = sorted((named[i] for i in clean), key=lambda t: (-in_clean[place[t]], t))
-    landmarks = list(dict.fromkeys(chosen + usual))[:count]
-    for last in (False, True):
-        table = landmark_table(landmarks)
-        value, vector = np.linalg.eigh(similarities(landmarks, table).astype(np.float64))
-        root = vector / np.sqrt(np.maximum(value, 1e-2)) @ vector.T
-        mapped = np.concatenate([similarities(named[i : i + 5_000], table) @ root for i in range(0, len(named), 5_000)])
-        for _ in range(rounds):
-            best = np.array([at[np.argmax(rank[at])] for at, label in zip(held, labels) if label and len(at)], dtype=np.int64)
-            x = mapped[np.concatenate([best, clean])]
-            weights, bias = squared_hinge(x, np.r_[np.ones(len(best)), -np.ones(len(clean))], np.r_[np.ones(len(best)), np.sqrt(in_clean[clean])])
-            rank = mapped @ weights
-        if not last:  # the clean tokens taken most for insults become landmarks too
-            hardest = clean[np.argsort(-rank[clean] * np.sqrt(in_clean[clean]), kind="stable")]
-            landmarks = list(dict.fromkeys(chosen + [named[i] for i in hardest[: count // 6]] + usual))[:count]
-            rank = np.array([telling[t] for t in named])
+    suspicious = rank > 0  # only these can be what a toxic document is toxic for
+    landmarks = list(dict.fromkeys(named[: count * 2 // 3] + named[::-1][: count // 3]))
+    table = landmark_table(landmarks)
+    value, vector = np.linalg.eigh(similarities(landmarks, table).astype(np.float64))
+    root = vector / np.sqrt(np.maximum(value, 1e-3)) @ vector.T
+    mapped = np.concatenate([similarities(named[i : i + 5_000], table) @ root for i in range(0, len(named), 5_000)])
+    for _ in range(rounds):
+        own = [at[suspicious[at]] for at, label in zip(held, labels) if label]
+        best = np.array([at[np.argmax(rank[at])] for at in own if len(at)], dtype=np.int64)
+        x = mapped[np.concatenate([best, clean])]
+        weights, bias = squared_hinge(x, np.r_[np.ones(len(best)), -np.ones(len(clean))])
+        rank = mapped @ weights
     model = Model(landmarks, root @ weights, 0.0, 1.0)
     model.known.update(zip(named, rank.tolist()) if len(named) <= CACHE else ())
     tops = np.array(model.margins([text for text, _ in rows]))
@@ -194,20 +201,26 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROU
     return model
 
 
-def squared_hinge(x: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float = 1.0, steps: int = 30) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, rows weighed by ``times``, classes balanced, by Newton steps."""
+def squared_hinge(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 30) -> tuple[np.ndarray, float]:
+    """Linear support vector machine with squared hinge loss, classes balanced, by Newton steps."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
-    share = times / np.where(y > 0, 2 * max(1, times[y > 0].sum()), 2 * max(1, times[y < 0].sum()))
+    share = 0.5 / np.where(y > 0, max(1, (y > 0).sum()), max(1, (y < 0).sum()))
     ridge = np.full(x1.shape[1], 1e-3 * penalty)
     ridge[-1] = 1e-9
+    loss = lambda v: float((share * np.maximum(0, 1 - y * (x1 @ v)) ** 2).sum() + ridge @ v**2)
     w = np.zeros(x1.shape[1])
+    now = loss(w)
     for _ in range(steps):
         at = y * (x1 @ w) < 1
         z, s = x1[at], share[at]
-        new = np.linalg.solve((z * s[:, None]).T @ z + np.diag(ridge), (z * s[:, None]).T @ y[at])
-        if np.allclose(new, w, rtol=1e-8, atol=1e-10):
+        move = np.linalg.solve((z * s[:, None]).T @ z + np.diag(ridge), (z * s[:, None]).T @ y[at]) - w
+        size = 1.0
+        while loss(w + size * move) > now and size > 1e-4:
+            size /= 2
+        w = w + size * move
+        before, now = now, loss(w)
+        if before - now <= 1e-9 * before:
             break
-        w = new
     return w[:-1], float(w[-1])
 
 
