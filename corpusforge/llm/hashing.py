@@ -81,7 +81,7 @@ def shingle_sets(encoded: list[bytes], size: int) -> list[np.ndarray]:
     factor = np.uint64(0xD6E8FEB86659FD93)
     for k in range(size):
         part = np.zeros(len(words), dtype=np.uint64)
-        part[: len(words) - k] = words[k:] if k else words
+        part[: max(0, len(words) - k)] = words[k:]
         grams = grams * factor + part
     grams = mix(grams + np.uint64(size))
     found, at = [], 0

@@ -125,9 +125,11 @@ def profiles(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataF
                 often = _has(common.value, (tokens & np.uint64(BITS - 1)).astype(np.int64))
                 lead = np.concatenate([tokens[~often], tokens[often]])[: lead_length(n, percent) if n else 0]
                 out.append((n, _key(tokens), signature(tokens) if n else b"", lead.astype(_U).tobytes(), min(len(lead), int((~often).sum()))))
-            yield pd.DataFrame(out, columns=["n", "key", "sig", "lead", "n_rare"]).assign(doc_id=batch["doc_id"].astype("Int64").array)
+            yield pd.DataFrame(out, columns=["n", "key", "sig", "lead", "n_rare"]).assign(doc_id=batch["doc_id"])
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "n long, key binary, sig binary, lead binary, n_rare int, doc_id long")
+    # Ids go as text: beside nulls pandas would make them floats.
+    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(rows, "n long, key binary, sig binary, lead binary, n_rare int, doc_id string")
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _bound_ok(n_a: int, sig_a: bytes, n_b: int, sig_b: bytes, percent: int) -> bool:

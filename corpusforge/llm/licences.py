@@ -164,8 +164,10 @@ def scan(docs: DataFrame, gap: int = GAP) -> DataFrame:
                 n_parts, found = scanner.identifiers(text)
                 matches = scanner.licences(found)
                 out.append((n_parts, [x[2] for x in found], sorted({m[0] for m in matches}), [dict(zip(("licence", "first", "end"), m)) for m in matches]))
-            yield pd.DataFrame(out, columns=["n_parts", "identifiers", "licences", "matches"]).assign(doc_id=batch["doc_id"].astype("Int64").array)
+            yield pd.DataFrame(out, columns=["n_parts", "identifiers", "licences", "matches"]).assign(doc_id=batch["doc_id"])
 
-    return docs.select("doc_id", "text").mapInPandas(
-        rows, "n_parts long, identifiers array<string>, licences array<string>, matches array<struct<licence:string,first:long,end:long>>, doc_id long"
+    # Ids go as text: beside nulls pandas would make them floats.
+    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(
+        rows, "n_parts long, identifiers array<string>, licences array<string>, matches array<struct<licence:string,first:long,end:long>>, doc_id string"
     )
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -30,7 +30,7 @@ STEPS = 40
 #: Single copies changed at most per source after rounding.
 CORRECTIONS = 3
 #: Documents of a cell that are ranked together at most; larger cells are split by hash.
-RANKED = 5_000
+RANKED = 500
 _EXACT = "decimal(38,12)"
 
 

@@ -143,7 +143,7 @@ def _pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             known = batch["doc_id"].notna().to_numpy()
-            ids = batch["doc_id"].fillna(0).to_numpy(dtype=np.int64)
+            ids = batch["doc_id"].fillna("0").astype("int64").to_numpy()
             hashes = batch["text_hash"].to_numpy(dtype=np.int64)
             for data, owner, bounds, offsets in stretches(_encoded(batch["text"]), length):
                 first, count, anchor, stretch = anchored(data, bounds, length, gram)
@@ -170,7 +170,7 @@ def _pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     }
                 )
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInPandas(cut, PIECE)
+    return docs.select(F.col("doc_id").cast("string"), "text", F.xxhash64("text").alias("text_hash")).mapInPandas(cut, PIECE)
 
 
 def repeated_starts(pieces: list[bytes], times: np.ndarray, length: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -267,8 +267,10 @@ def find_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
                     fresh = set(strings[flags].view(np.int64).tolist()) - told
                     told |= fresh
                     rows += [(None, None, None, None, s, False) for s in fresh]
-        out = pd.DataFrame(rows, columns=["doc_id", "text_hash", "start", "stop", "string", "once"])
-        return out.astype({c: "Int64" for c in ("doc_id", "text_hash", "start", "stop", "string")} | {"once": "bool"})
+        # Column by column: a frame of rows would pass whole numbers beside nulls through floats.
+        columns = list(zip(*rows)) if rows else [()] * 6
+        whole = {name: pd.array(list(c), dtype="Int64") for name, c in zip(("doc_id", "text_hash", "start", "stop", "string"), columns)}
+        return pd.DataFrame(whole | {"once": pd.array(list(columns[5]), dtype="bool")})
 
     found = stage(_pieces(docs, length, gram).groupBy("bucket").applyInPandas(search, FOUND), "repeated-starts")
     sure = found.where("string is null").select("doc_id", "text_hash", "start", "stop")
