@@ -34,6 +34,8 @@ LANDMARKS = 96
 SAMPLE, SAMPLE_CHARS = 4_000, 50_000
 ROUNDS = 5
 CACHE = 200_000
+#: Entries of the sparse map that are multiplied at once, and tokens mapped at once.
+ENTRIES, TOKENS = 50_000, 2_000
 LETTERS = 35  # letter classes: gap, a to z, others by code, begin, end
 BEGIN, END = 33, 34
 _SINGLES = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
@@ -90,8 +92,8 @@ def similarities(tokens: list[str], table: np.ndarray) -> np.ndarray:
     """Sharpened kernel of tokens (rows) and landmarks; ``table`` is the landmarks' map, subsequence by landmark."""
     out = np.zeros((len(tokens), table.shape[1]), dtype=np.float32)
     owner, code, weight = subsequences(tokens)
-    for begin in range(0, len(owner), 500_000):
-        part = slice(begin, begin + 500_000)
+    for begin in range(0, len(owner), ENTRIES):
+        part = slice(begin, begin + ENTRIES)
         ids, starts = np.unique(owner[part], return_index=True)
         if len(ids):
             out[ids] += np.add.reduceat(table[code[part]] * weight[part, None].astype(np.float32), starts, axis=0)
@@ -123,8 +125,8 @@ class Model:
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
             new = list(tokens)
-        for begin in range(0, len(new), 5_000):
-            part = new[begin : begin + 5_000]
+        for begin in range(0, len(new), TOKENS):
+            part = new[begin : begin + TOKENS]
             self.known.update(zip(part, (similarities(part, self.table) @ self.weights).tolist()))
 
     def margins(self, texts: list[str | None]) -> list[float]:
@@ -182,16 +184,26 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROU
     rank = np.array([telling[t] for t in named])
     suspicious = rank > 0  # only these can be what a toxic document is toxic for
     landmarks = list(dict.fromkeys(named[: count * 2 // 3] + named[::-1][: count // 3]))
-    table = landmark_table(landmarks)
-    value, vector = np.linalg.eigh(similarities(landmarks, table).astype(np.float64))
-    root = vector / np.sqrt(np.maximum(value, 1e-3)) @ vector.T
-    mapped = np.concatenate([similarities(named[i : i + 5_000], table) @ root for i in range(0, len(named), 5_000)])
-    for _ in range(rounds):
-        own = [at[suspicious[at]] for at, label in zip(held, labels) if label]
-        best = np.array([at[np.argmax(rank[at])] for at in own if len(at)], dtype=np.int64)
-        x = mapped[np.concatenate([best, clean])]
-        weights, bias = squared_hinge(x, np.r_[np.ones(len(best)), -np.ones(len(clean))])
-        rank = mapped @ weights
+    in_clean = np.bincount(np.concatenate([at for at, label in zip(held, labels) if not label] or [np.zeros(0, np.int64)]), minlength=len(named))
+    own = [at[suspicious[at]] for at, label in zip(held, labels) if label]
+    own = [at for at in own if len(at)]
+    for last in (False, True):
+        table = landmark_table(landmarks)
+        value, vector = np.linalg.eigh(similarities(landmarks, table).astype(np.float64))
+        root = vector / np.sqrt(np.maximum(value, 1e-3)) @ vector.T
+        mapped = np.empty((len(named), len(landmarks)), dtype=np.float32)
+        for i in range(0, len(named), TOKENS):
+            mapped[i : i + TOKENS] = similarities(named[i : i + TOKENS], table) @ root
+        for _ in range(rounds):
+            best = np.array([at[np.argmax(rank[at])] for at in own], dtype=np.int64)
+            x = mapped[np.concatenate([best, clean])]
+            # A clean token weighs by its documents, and more if it looks like an insult by now.
+            times = in_clean[clean] * (np.where(rank[clean] > 0.5 * np.median(rank[best]), 20.0, 1.0) if last else 1.0)
+            weights, bias = squared_hinge(x, np.r_[np.ones(len(best)), -np.ones(len(clean))], np.r_[np.ones(len(best)), times])
+            rank = mapped @ weights
+        hardest = clean[np.argsort(-np.maximum(rank[clean], 0) * in_clean[clean] ** 0.5, kind="stable")][: count // 4]
+        if not last:
+            landmarks = list(dict.fromkeys(landmarks + [named[i] for i in hardest]))
     model = Model(landmarks, root @ weights, 0.0, 1.0)
     model.known.update(zip(named, rank.tolist()) if len(named) <= CACHE else ())
     tops = np.array(model.margins([text for text, _ in rows]))
@@ -201,10 +213,10 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROU
     return model
 
 
-def squared_hinge(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 30) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, classes balanced, by Newton steps."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
-    share = 0.5 / np.where(y > 0, max(1, (y > 0).sum()), max(1, (y < 0).sum()))
+def squared_hinge(x: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float = 1.0, steps: int = 30) -> tuple[np.ndarray, float]:
+    """Linear support vector machine with squared hinge loss, rows weighed by ``times``, classes balanced, by Newton steps."""
+    x1 = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
+    share = times / np.where(y > 0, 2 * max(1, times[y > 0].sum()), 2 * max(1, times[y < 0].sum()))
     ridge = np.full(x1.shape[1], 1e-3 * penalty)
     ridge[-1] = 1e-9
     loss = lambda v: float((share * np.maximum(0, 1 - y * (x1 @ v)) ** 2).sum() + ridge @ v**2)
@@ -212,8 +224,13 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int
     now = loss(w)
     for _ in range(steps):
         at = y * (x1 @ w) < 1
-        z, s = x1[at], share[at]
-        move = np.linalg.solve((z * s[:, None]).T @ z + np.diag(ridge), (z * s[:, None]).T @ y[at]) - w
+        square, right = np.diag(ridge), np.zeros(len(w))
+        for i in range(0, len(x1), 20_000):
+            z = x1[i : i + 20_000][at[i : i + 20_000]].astype(np.float64)
+            weighed = z.T * share[i : i + 20_000][at[i : i + 20_000]]
+            square += weighed @ z
+            right += weighed @ y[i : i + 20_000][at[i : i + 20_000]]
+        move = np.linalg.solve(square, right) - w
         size = 1.0
         while loss(w + size * move) > now and size > 1e-4:
             size /= 2
