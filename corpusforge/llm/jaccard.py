@@ -7,7 +7,8 @@ documents share do not make tiles.  Candidates meet in tiles of one shingle and
 pruned by sizes and by the bit counts of their signatures (equal bits bound the overlap from above), and are
 then checked by intersecting their sorted arrays.
 
-1. Every class is compared with one class per shingle among its first ``LEADS``: enough to link nearly all groups.
+1. Every class is compared with two classes for each of its ``LEADS`` shingles of least hash: the one with the smallest
+   share of uncommon shingles, which is the centre of a family of near copies, and one by chance.
 2. Only tiles whose classes are still in different components are compared in full; what is left is exact.
 
 Components, not all pairs, are the result, so pairs inside a component need no check and no link is lost.
@@ -31,7 +32,7 @@ from .components import connected
 from .hashing import in_blocks, mix, shingle_sets
 
 SIZE, PERCENT = 5, 80
-LEADS = 3
+LEADS = 4
 #: A shingle in the leading part of more sets than this comes last in the order.
 COMMON = 16
 #: Bits of the two bitmaps, whatever the input: common shingles, and documents whose sets are checked.
@@ -114,7 +115,7 @@ def _has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, key, sig, lead (packed shingles in order), n_rare (how many of lead are not common)."""
+    """doc_id, n, key, sig, lead (packed shingles in order), n_rare (how many of lead are not common), least (of least hash)."""
     common = docs.sparkSession.sparkContext.broadcast(_common_tokens(docs, size, percent))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -124,11 +125,11 @@ def profiles(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataF
                 n = len(tokens)
                 often = _has(common.value, (tokens & np.uint64(BITS - 1)).astype(np.int64))
                 lead = np.concatenate([tokens[~often], tokens[often]])[: lead_length(n, percent) if n else 0]
-                out.append((n, _key(tokens), signature(tokens) if n else b"", lead.astype(_U).tobytes(), min(len(lead), int((~often).sum()))))
-            yield pd.DataFrame(out, columns=["n", "key", "sig", "lead", "n_rare"]).assign(doc_id=batch["doc_id"])
+                out.append((n, _key(tokens), signature(tokens) if n else b"", lead.astype(_U).tobytes(), min(len(lead), int((~often).sum())), tokens[:LEADS].astype(_U).tobytes()))
+            yield pd.DataFrame(out, columns=["n", "key", "sig", "lead", "n_rare", "least"]).assign(doc_id=batch["doc_id"])
 
     # Ids go as text: beside nulls pandas would make them floats.
-    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(rows, "n long, key binary, sig binary, lead binary, n_rare int, doc_id string")
+    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(rows, "n long, key binary, sig binary, lead binary, n_rare int, least binary, doc_id string")
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -194,25 +195,31 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int =
         return stage(both.select("a", "b", "tokens_a", "tokens_b").mapInPandas(check, "a long, b long").distinct(), "links")
 
 
-def leads_of(sets: DataFrame, first: int | None, common: bool) -> DataFrame:
-    """token, doc_id, n, comp for the leading shingles: the first few, or the common ones among them."""
+def exploded(sets: DataFrame, packed: str, begin: str, columns: tuple[str, ...]) -> DataFrame:
+    """One row (token, ``columns``) for each packed shingle of a column from the place ``begin`` on."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            tokens = [np.frombuffer(lead, "<i8") for lead in batch["lead"]]
-            tokens = [t[rare:] if common else t[:first] for t, rare in zip(tokens, batch["n_rare"])]
+            tokens = [np.frombuffer(data, "<i8")[at:] for data, at in zip(batch["packed"], batch["begin"])]
             sizes = [len(t) for t in tokens]
             if sum(sizes):
-                yield pd.DataFrame({"token": np.concatenate(tokens)} | {c: np.repeat(batch[c].to_numpy(), sizes) for c in ("doc_id", "n", "comp")})
+                yield pd.DataFrame({"token": np.concatenate(tokens)} | {c: np.repeat(batch[c].to_numpy(), sizes) for c in columns})
 
-    return sets.select("doc_id", "n", "comp", "lead", "n_rare").mapInPandas(rows, "token long, doc_id long, n long, comp long")
+    narrow = sets.select(F.col(packed).alias("packed"), F.expr(begin).alias("begin"), *columns)
+    types = ", ".join(f"{c} {sets.schema[c].dataType.simpleString()}" for c in columns)
+    return narrow.mapInPandas(rows, f"token long, {types}")
 
 
 def hub_pairs(sets: DataFrame) -> DataFrame:
-    """Every class with one class (by hash) for each of its first shingles."""
-    leads = leads_of(sets, LEADS, False)
-    hub = leads.groupBy("token").agg(F.min_by("doc_id", F.struct(F.xxhash64("token", "doc_id"), "doc_id")).alias("hub"), F.count(F.lit(1)).alias("n_in"))
-    met = leads.join(hub.where("n_in > 1"), "token").where("doc_id <> hub")
+    """Every class with two classes for each of its shingles of least hash."""
+    rare = F.col("n_rare") / F.greatest(F.length("lead") / 8, F.lit(1))
+    least = exploded(sets.withColumn("rare", rare.cast("double")), "least", "0", ("doc_id", "n", "rare"))
+    hubs = least.groupBy("token").agg(
+        F.min_by("doc_id", F.struct("rare", "n", "doc_id")).alias("centre"),
+        F.min_by("doc_id", F.struct(F.xxhash64("token", "doc_id"), "doc_id")).alias("chance"),
+        F.count(F.lit(1)).alias("n_in"),
+    )
+    met = least.join(hubs.where("n_in > 1"), "token").select("doc_id", F.explode(F.array("centre", "chance")).alias("hub")).where("doc_id <> hub")
     return met.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
 
 
@@ -281,7 +288,7 @@ def common_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Of each shingle only classes outside its largest component are compared with the others.
     """
-    leads = leads_of(sets, None, True)
+    leads = exploded(sets, "lead", "n_rare", ("doc_id", "n", "comp"))
     shares = leads.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = shares.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
     mixed = stage(leads.join(main.where("comps > 1"), "token"), "common-leads")
