@@ -50,11 +50,8 @@ REPLY = (
 )
 
 
-KEYS = {"documents": "doc_id", "pages": "page_id"}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_table(spark, f"{folder}/{name}.parquet", KEYS.get(name))
+    return read_table(spark, f"{folder}/{name}.parquet")
 
 
 def documents(spark: SparkSession, folder: str, content: str = RICH, content_type: str | None = None) -> DataFrame:

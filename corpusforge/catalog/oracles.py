@@ -32,10 +32,6 @@ def _tags(text: str) -> str:
     return f"list_filter([{items}], lambda t: t IS NOT NULL)"
 
 
-def _cut(text: str, size: int, mark: str) -> str:
-    return f"CASE WHEN length({text}) > {size} THEN substr({text}, 1, {size}) || {mark} ELSE {text} END"
-
-
 # Documents with path, class and language, as in inputs.documents.
 def _docs(content: str, content_type: str | None = None) -> str:
     kind = _quote(content_type) if content_type else (
@@ -61,7 +57,7 @@ def _choice(doc: str, term: str) -> str:
 
 _CONCEPT = f"""
 terms AS (
-  SELECT id, url, content, unnest(tags[1:3]) AS term, unnest(range(1, 1 + least(len(tags), 3))) AS slot FROM tagged
+  SELECT id, url, content, unnest(tags) AS term, unnest(range(1, 1 + len(tags))) AS slot FROM tagged
 ),
 answered AS (
   SELECT *, {_strip("list_filter(string_split(content, chr(10)||chr(10)), lambda p: contains(lower(p), term) AND length(p) > 100)[1]")} AS answer
@@ -72,7 +68,7 @@ concept_pairs AS (
               WHEN 1 THEN 'Explain the concept of '||term||' in Acme.'
               WHEN 2 THEN 'How does '||term||' work in Acme?'
               ELSE 'What is the purpose of '||term||' in Acme?' END AS instruction,
-         {_cut('answer', 1500, "'...'")} AS response, id AS source_id, url AS source_url, 'concept' AS category,
+         answer AS response, id AS source_id, url AS source_url, 'concept' AS category,
          [term] AS concepts, 1 AS strategy, slot
   FROM answered WHERE answer IS NOT NULL
 )"""
@@ -81,7 +77,7 @@ _CODE = f"""
 code_pairs AS (
   SELECT 'How do I implement a '||tags[1]||' in Acme using '||name||'?' AS instruction,
          'Here''s an example of implementing a '||tags[1]||' in '||name||':'||chr(10)||chr(10)||'```'||language||chr(10)
-           ||{_cut('content', 2000, "chr(10)||'# ... (truncated)'")}||chr(10)||'```' AS response,
+           ||content||chr(10)||'```' AS response,
          id AS source_id, url AS source_url, 'code' AS category, tags AS concepts, 2 AS strategy, 1 AS slot
   FROM (SELECT *, CASE language WHEN 'python' THEN 'Python' WHEN 'typescript' THEN 'TypeScript' WHEN 'go' THEN 'Go'
                   WHEN 'java' THEN 'Java' ELSE language END AS name FROM tagged)
@@ -108,8 +104,8 @@ header_pairs AS (
               ELSE 'What is '||heading||' in Acme?' END AS instruction,
          answer AS response, id AS source_id, url AS source_url, 'concept' AS category,
          {_tags('lower(answer)')} AS concepts, 3 AS strategy, number AS slot
-  FROM (SELECT id, url, number, {_strip('heading')} AS heading, {_cut('body', 1500, "'...'")} AS answer
-        FROM useful WHERE number <= 5)
+  FROM (SELECT id, url, number, {_strip('heading')} AS heading, body AS answer
+        FROM useful)
 )"""
 
 _FIELDS = "instruction, response, source_id, source_url, category, to_json(concepts)::VARCHAR AS concepts"
@@ -284,16 +280,16 @@ _FILES = f"""
 files AS (SELECT doc_id, text, n_chars, {I.PATH} AS path FROM documents),
 walked AS (
   SELECT {_file_fields('md5(text)', 'n_chars', 'NULL::VARCHAR')}
-  FROM (SELECT *, substr(text, 1, 50000) AS content FROM files WHERE length(text) >= 100)
+  FROM (SELECT *, text AS content FROM files WHERE length(text) >= 100)
   WHERE NOT regexp_matches(path, '(^|/)(node_modules|vendor|\\.git|__pycache__|dist|build)/')
     AND regexp_extract(path, '\\.[a-z]+$') IN ('.py', '.ts', '.js', '.go', '.java', '.md', '.mdx')
     AND (contains(path, 'worker') OR regexp_matches(lower(content), '@que|nicht\\.|of.*that'))
 ),
 hits AS (
-  SELECT path, number, term, row_number() OVER (PARTITION BY number ORDER BY path) AS hit
+  SELECT path, number, term
   FROM files, (VALUES {_TERM_ROWS}) AS terms(number, term) WHERE contains(lower(text), term)
 ),
-claimed AS (SELECT path, min(number) AS number FROM hits WHERE hit <= 100 GROUP BY path),
+claimed AS (SELECT path, min(number) AS number FROM hits GROUP BY path),
 searched AS (
   SELECT {_file_fields('NULL::VARCHAR', 'NULL::BIGINT', 'term')}
   FROM (SELECT path, text AS content, term FROM files JOIN claimed USING (path)
@@ -307,14 +303,39 @@ _REPLY_PAIRS = (
 )
 
 
-def _prompt() -> str:
-    from ..operators.replies import PROMPT
+# Fixed value: the wording, stated here once more so that a change of the operator's shows.
+_WORDING = """You are creating training data for a language model that will answer questions about {subject}.
+
+Given the following document, generate 3-5 high-quality question-answer pairs.
+
+Document Title: {title}
+Document Type: {content_type}
+Source: {source}
 
+Content:
+{content}
+
+Generate questions that:
+1. Cover key concepts explained in the document
+2. Include "how-to" questions if code examples are present
+3. Ask about best practices or common patterns
+4. Are specific to {domain} concepts
+
+Return your response as a JSON array with objects containing:
+- "instruction": The question
+- "response": A comprehensive answer based on the document
+- "category": One of "concept", "howto", "code", "troubleshooting"
+- "concepts": Array of {domain} concepts covered
+
+JSON Output:"""
+
+
+def _prompt() -> str:
     slots = {
         "subject": "'Acme'", "domain": "'Acme'", "title": "title", "content_type": "content_type",
-        "source": "'acme_docs'", "content": "substr(content, 1, 4000)",
+        "source": "'acme_docs'", "content": "content",
     }
-    text = _quote(PROMPT)
+    text = _quote(_WORDING)
     for name, value in slots.items():
         text = text.replace("{" + name + "}", f"'||{value}||'")
     return text

@@ -18,21 +18,21 @@ GAP = "<!>"
 # One leading "<" for all alternatives, so that other characters fail at once.
 _RAW_PARTS = (
     r"(?is)<(?:!--.*?-->"
-    r"|script\b[^>]*>.*?</script\s*>"
-    r"|style\b[^>]*>.*?</style\s*>)"
+    r"|script(?=[\s/>])[^>]*>.*?</script\s*>"
+    r"|style(?=[\s/>])[^>]*>.*?</style\s*>)"
 )
 _CHROME_PARTS = (
-    r"(?is)<(?:nav\b[^>]*>.*?</nav\s*>"
-    r"|footer\b[^>]*>.*?</footer\s*>"
-    r"|header\b[^>]*>.*?</header\s*>)"
+    r"(?is)<(?:nav(?=[\s/>])[^>]*>.*?</nav\s*>"
+    r"|footer(?=[\s/>])[^>]*>.*?</footer\s*>"
+    r"|header(?=[\s/>])[^>]*>.*?</header\s*>)"
 )
-_LEFTOVER = r"(?i)<(?:/?(?:script|style|nav|footer|header)\b|!--)"
+_LEFTOVER = r"(?i)<(?:/?(?:script|style|nav|footer|header)(?=[\s/>])|!--)"
 
 # A tag with quoted attribute values, which may hold ">"; else up to the next ">".
 _TAG = r"<[a-zA-Z/!?](?:(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*>)"
 
 _REGION_DIV = (
-    r"(?is)<div\b[^>]*?\bclass\s*=\s*"
+    r"(?is)<div(?=[\s/>])[^>]*?\bclass\s*=\s*"
     r"(?:\"[^\"]*(?:content|docs|markdown)|'[^']*(?:content|docs|markdown)|[^\s\"'>]*(?:content|docs|markdown))"
 )
 
@@ -55,6 +55,10 @@ _REFERENCES = {
 _RARE_REFERENCE = r"&(?!(?:lt|gt|amp);)[#a-zA-Z]"
 
 
+# Quotes or ">" inside an attribute's value: patterns over tags would end too early.
+ODD_ATTRIBUTE = r"(?i)<[a-z][^<>]*=\s*(?:\"[^\"<>]*>|'[^'<>]*>|[^<>]*&(?:quot|apos|#39);)"
+
+
 def drop_page_furniture(html: Column) -> Column:
     """Remove comments, scripts, styles, navigation, headers and footers."""
     return F.regexp_replace(F.regexp_replace(html, _RAW_PARTS, GAP), _CHROME_PARTS, GAP)
@@ -77,19 +81,19 @@ def markup_references(text: Column) -> Column:
 
 def region_kind(bare: Column) -> Column:
     return (
-        F.when(bare.rlike(r"(?i)<main\b"), F.lit("main"))
-        .when(bare.rlike(r"(?i)<article\b"), F.lit("article"))
+        F.when(bare.rlike(r"(?i)<main(?=[\s/>])"), F.lit("main"))
+        .when(bare.rlike(r"(?i)<article(?=[\s/>])"), F.lit("article"))
         .when(bare.rlike(_REGION_DIV), F.lit("div"))
-        .when(bare.rlike(r"(?i)<body\b"), F.lit("body"))
+        .when(bare.rlike(r"(?i)<body(?=[\s/>])"), F.lit("body"))
         .otherwise(F.lit("none"))
     )
 
 
 def region_html(bare: Column, kind: Column) -> Column:
     return (
-        F.when(kind == "main", F.regexp_extract(bare, r"(?is)<main\b[^>]*>(.*?)</main\s*>", 1))
-        .when(kind == "article", F.regexp_extract(bare, r"(?is)<article\b[^>]*>(.*?)</article\s*>", 1))
-        .when(kind == "body", F.regexp_extract(bare, r"(?is)<body\b[^>]*>(.*)", 1))
+        F.when(kind == "main", F.regexp_extract(bare, r"(?is)<main(?=[\s/>])[^>]*>(.*?)</main\s*>", 1))
+        .when(kind == "article", F.regexp_extract(bare, r"(?is)<article(?=[\s/>])[^>]*>(.*?)</article\s*>", 1))
+        .when(kind == "body", F.regexp_extract(bare, r"(?is)<body(?=[\s/>])[^>]*>(.*)", 1))
     )
 
 
@@ -106,13 +110,13 @@ def joined_text(fragment: Column) -> Column:
 def heading_html(bare: Column) -> Column:
     """Inner HTML of the first ``h1``; null without one."""
     return F.when(
-        bare.rlike(r"(?i)<h1\b"), F.regexp_extract(bare, r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1)
+        bare.rlike(r"(?i)<h1(?=[\s/>])"), F.regexp_extract(bare, r"(?is)<h1(?=[\s/>])[^>]*>(.*?)</h1\s*>", 1)
     )
 
 
 def page_title(bare: Column, h1: Column, suffix: str) -> Column:
     """First ``h1``; without one the ``title`` minus the site's suffix.  An empty ``h1`` is untitled."""
-    title = joined_text(F.regexp_extract(bare, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
+    title = joined_text(F.regexp_extract(bare, r"(?is)<title(?=[\s/>])[^>]*>(.*?)</title\s*>", 1))
     if suffix:
         title = F.replace(title, F.lit(suffix), F.lit(""))
     chosen = F.when(h1.isNotNull(), joined_text(h1)).otherwise(title)
@@ -124,11 +128,11 @@ def or_untitled(title: Column) -> Column:
 
 
 def pre_bodies(region: Column) -> Column:
-    return F.regexp_extract_all(region, F.lit(r"(?is)<pre\b[^>]*>(.*?)</pre\s*>"), F.lit(1))
+    return F.regexp_extract_all(region, F.lit(r"(?is)<pre(?=[\s/>])[^>]*>(.*?)</pre\s*>"), F.lit(1))
 
 
 def _block_language(pre: Column) -> Column:
-    tag = F.regexp_extract(pre, r"(?is)<code\b[^>]*>", 0)
+    tag = F.regexp_extract(pre, r"(?is)<code(?=[\s/>])[^>]*>", 0)
     classes = F.concat(
         F.regexp_extract(tag, r"(?is)\bclass\s*=\s*\"([^\"]*)\"", 1),
         F.regexp_extract(tag, r"(?is)\bclass\s*=\s*'([^']*)'", 1),
@@ -149,8 +153,8 @@ def code_blocks(pres: Column) -> Column:
 
 def needs_tree(bare: Column, kind: Column, region: Column, spaced: Column, h1: Column, pres: Column) -> Column:
     """Pages the regexes cannot take apart exactly."""
-    nested = F.when(kind == "main", region.rlike(r"(?i)<main\b")).when(
-        kind == "article", region.rlike(r"(?i)<article\b")
+    nested = F.when(kind == "main", region.rlike(r"(?i)<main(?=[\s/>])")).when(
+        kind == "article", region.rlike(r"(?i)<article(?=[\s/>])")
     )
     return (
         kind.isin("div", "none")
@@ -158,7 +162,7 @@ def needs_tree(bare: Column, kind: Column, region: Column, spaced: Column, h1: C
         | F.coalesce(nested, F.lit(False))
         | bare.rlike(_LEFTOVER)
         | spaced.rlike(_RARE_REFERENCE)
-        | F.coalesce((h1 == "") | h1.rlike(_RARE_REFERENCE + r"|(?i)<h1\b"), F.lit(False))
-        | (h1.isNull() & F.regexp_extract(bare, r"(?is)<title\b[^>]*>(.*?)</title", 1).rlike(_RARE_REFERENCE))
-        | F.exists(pres, lambda pre: pre.rlike(r"(?i)<pre\b"))
+        | F.coalesce((h1 == "") | h1.rlike(_RARE_REFERENCE + r"|(?i)<h1(?=[\s/>])"), F.lit(False))
+        | (h1.isNull() & F.regexp_extract(bare, r"(?is)<title(?=[\s/>])[^>]*>(.*?)</title", 1).rlike(_RARE_REFERENCE))
+        | F.exists(pres, lambda pre: pre.rlike(r"(?i)<pre(?=[\s/>])"))
     )

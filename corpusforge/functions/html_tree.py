@@ -23,6 +23,7 @@ class _PageReader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open_tags: list[tuple[str, list]] = []  # tag, captures it ends
+        self.open_count: dict[str, int] = {}
         self.dropped = 0
         self.texts: dict[str, list[str]] = {}
         self.blocks: dict[str, list[dict]] = {}
@@ -73,9 +74,10 @@ class _PageReader(HTMLParser):
                         marked = [name for name in names.split() if name.startswith("language-")]
                         block["language"] = marked[0].replace("language-", "") if marked else None
         self.open_tags.append((tag, ends))
+        self.open_count[tag] = self.open_count.get(tag, 0) + 1
 
     def _inside(self, tag):
-        return any(name == tag for name, _ in self.open_tags)
+        return self.open_count.get(tag, 0) > 0
 
     def _start_outside_body(self):
         # A page without a body tag gets one at its first visible element or text.
@@ -91,6 +93,7 @@ class _PageReader(HTMLParser):
             return  # what follows the end of the body still belongs to it
         while self.open_tags:
             name, ends = self.open_tags.pop()
+            self.open_count[name] -= 1
             if name in _DROPPED:
                 self.dropped -= 1
             for item in ends:

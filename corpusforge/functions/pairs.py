@@ -21,7 +21,7 @@ from ..rules import (
 )
 from ..schemas import DRAFT_PAIRS
 from .concepts import concept_tags
-from .text import BLANK, fill, let, shorten, strip
+from .text import BLANK, fill, first_items, let, shorten, strip
 
 # Set around every heading; no text holds this sequence.
 _MARK = "\x01\uffff\x01"
@@ -55,10 +55,10 @@ def concept_question(seed: str, doc_id: Column, concept: Column, rules: DomainRu
 def concept_pairs(
     doc_id: Column, content: Column, concepts: Column, rules: DomainRules, limits: Limits, seed: str
 ) -> Column:
-    """One pair per leading concept whose first long enough paragraph exists."""
-    long = F.filter(F.split(content, "\n\n"), lambda text: F.length(text) > limits.min_content)
+    """One pair per concept whose first long enough paragraph exists."""
+    long = F.filter(F.split(content, "\n\n"), lambda text: F.length(text) > limits.min_paragraph)
     paragraphs = F.transform(long, lambda text: F.struct(text.alias("text"), F.lower(text).alias("lower")))
-    leading = F.slice(concepts, 1, limits.concepts_per_document)
+    leading = first_items(concepts, limits.concepts_per_document)
 
     def first_about(concept, paragraphs):
         about = F.filter(paragraphs, lambda item: item["lower"].contains(F.lower(concept)))
@@ -141,11 +141,11 @@ def heading_pairs(content: Column, content_type: Column, rules: DomainRules, lim
     """One pair per section with enough text, for documentation only."""
     useful = F.filter(
         sections(F.when(content_type == HEADING_TYPE, content)),
-        lambda part: (F.length(part["body"]) >= limits.min_content)
+        lambda part: (F.length(part["body"]) >= limits.min_section)
         & ~F.lower(part["heading"]).isin(*GENERIC_HEADINGS),
     )
     answered = F.transform(
-        F.slice(useful, 1, limits.sections_per_document),
+        first_items(useful, limits.sections_per_document),
         lambda part: F.struct(
             let(strip(part["heading"]), lambda text: heading_question(text, rules)).alias("question"),
             shorten(part["body"], limits.max_answer, ANSWER_MARK).alias("answer"),

@@ -38,11 +38,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def shorten(text: Column, size: int, mark: str = "") -> Column:
-    """At most ``size`` code points; ``mark`` is added to what was cut."""
+def shorten(text: Column, size: int | None, mark: str = "") -> Column:
+    """At most ``size`` code points, if a size is given; ``mark`` is added to what was cut."""
+    if size is None:
+        return text
     return F.when(F.length(text) > size, F.concat(F.substring(text, 1, size), F.lit(mark))).otherwise(text)
 
 
+def first_items(items: Column, count: int | None) -> Column:
+    """The first ``count`` items; all of them without a count."""
+    return items if count is None else F.slice(items, 1, count)
+
+
 def fill(template: str, **slots: Column | str) -> Column:
     """Concatenate the literal pieces of ``template`` with the slot values.
 

@@ -41,7 +41,7 @@ def extract_pages(pages: DataFrame, rules: DomainRules, limits: Limits = Limits(
     )
     hard = H.needs_tree(*map(F.col, ("_bare", "_kind", "_region", "_spaced", "_h1", "_pres")))
     step = step.withColumns(
-        {"_hard": F.coalesce(hard, F.lit(False)), "_plain": H.markup_references(F.col("_spaced"))}
+        {"_hard": F.coalesce(hard | F.col("html").rlike(H.ODD_ATTRIBUTE), F.lit(False)), "_plain": H.markup_references(F.col("_spaced"))}
     )
     easy = F.struct(
         H.page_title(F.col("_bare"), F.col("_h1"), rules.title_suffix).alias("title"),

@@ -12,7 +12,7 @@ from typing import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import fill, let
+from ..functions.text import fill, let, shorten
 from ..rules import DomainRules, Limits
 from ..schemas import DRAFT_PAIRS
 from .qa import draft_pairs, pair_rows, tagged_documents
@@ -54,7 +54,7 @@ def prompt_text(rules: DomainRules, limits: Limits = Limits()) -> Column:
         title=F.col("title"),
         content_type=F.col("content_type"),
         source=F.col("source"),
-        content=F.substring("content", 1, limits.max_prompt),
+        content=shorten(F.col("content"), limits.max_prompt),
     )
 
 

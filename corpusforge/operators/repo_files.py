@@ -11,25 +11,27 @@ from ..functions.paths import (
     in_skipped_folder,
     is_relevant,
 )
+from ..functions.text import shorten
 from ..rules import DomainRules, Limits
 from ..schemas import CODE_BLOCKS, METADATA
 from ..sources.jsonl import utc_now
 from ..sources.repos import with_content
+from ..staging import stage
 from .dedup import first_per_key
 from .rows import keep_where
 
-# The hits of one concept are first cut down in this many groups, so that a concept
-# found in most files does not sort them all in one task.
+# Where hits per concept are limited, they are first cut down in this many groups, so that a
+# concept found in most files does not sort them all in one task.
 _HIT_GROUPS = 64
 
-# More hit rows than this are joined back without a broadcast hint.
-_BROADCAST_HITS = 100_000
+# Up to this many hit rows, counted, are broadcast to the files; more are joined by a shuffle.
+_BROADCAST_HITS = 500_000
 
 
 def collected_files(files: DataFrame, rules: DomainRules, limits: Limits = Limits()) -> DataFrame:
-    """Files of the walk: folder and suffix filter, decoding, size, cut, relevance.
+    """Files of the walk: folder and suffix filter, decoding, size, relevance.
 
-    The path filters come first and only read ``path``; relevance sees the cut text.
+    The path filters come first and only read ``path``; a text that is cut is cut before relevance.
     """
     path = F.col("path")
     wanted = with_content(files.where(~in_skipped_folder(path, rules) & has_kept_extension(path, rules)))
@@ -38,7 +40,7 @@ def collected_files(files: DataFrame, rules: DomainRules, limits: Limits = Limit
     sized = keep_where(
         wanted, others, whole, lambda item: (item["whole"] != "") & (F.length(item["whole"]) >= limits.min_content)
     )
-    cut = F.struct(F.substring("whole", 1, limits.max_content).alias("content"))
+    cut = F.struct(shorten(F.col("whole"), limits.max_content).alias("content"))
     return keep_where(sized, others, cut, lambda item: is_relevant(path, item["content"], rules))
 
 
@@ -56,40 +58,37 @@ def search_hits(
     repo: str | None = None,
     language: str | None = None,
 ) -> DataFrame:
-    """``(html_url, search_term, term_position)``: each URL under the first concept that hit it.
+    """``(html_url, doc_id, search_term, copies)``: each URL under the first concept that hit it.
 
-    Every concept keeps its first hits by document id.  Only keys are shuffled; the
-    bodies are not.
+    The first concept a file holds is one expression, and only keys are shuffled.  With
+    ``hits_per_concept`` every concept keeps its first hits by document id.
     """
     if repo:
         files = files.where(F.col("repo") == repo)
+    elif rules.search_owner:
+        files = files.where(F.col("repo").startswith(f"{rules.search_owner}/"))
     if language:
         files = files.where(file_language(F.col("path")) == language)
-    terms = rules.vocabulary[: limits.searched_concepts]
     lower = F.col("_lower")
-    found = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    lower.contains(term.lower()),
-                    F.struct(F.lit(number).alias("term_position"), F.lit(term).alias("search_term")),
-                )
-                for number, term in enumerate(terms)
-            ]
-        )
-    )
-    doc_id = F.concat_ws("/", F.col("repo"), F.col("path"))
+    named = [
+        F.when(lower.contains(term.lower()), F.struct(F.lit(number).alias("term_position"), F.lit(term).alias("search_term")))
+        for number, term in enumerate(rules.vocabulary[: limits.searched_concepts])
+    ]
+    doc_id = F.concat_ws("/", F.col("repo"), F.col("path")).alias("doc_id")
     searched = with_content(files).withColumn("_lower", F.lower("content"))
-    hits = searched.select("html_url", doc_id.alias("doc_id"), F.inline(found))
-
-    hits = hits.withColumn("group", F.pmod(F.xxhash64("doc_id", "html_url"), F.lit(_HIT_GROUPS)))
-    for key in (["term_position", "group"], ["term_position"]):
-        window = Window.partitionBy(*key).orderBy("doc_id", "html_url")
-        hits = hits.withColumn("place", F.row_number().over(window))
-        hits = hits.where(F.col("place") <= limits.hits_per_concept)
-    return first_per_key(
-        hits.select("html_url", "search_term", "term_position", "doc_id"), F.col("html_url"), "term_position", "doc_id"
-    )
+    if limits.hits_per_concept is None:
+        hits = searched.select("html_url", doc_id, F.coalesce(*named).alias("hit")).where("hit is not null")
+        hits = hits.select("html_url", "doc_id", "hit.*")
+    else:
+        hits = searched.select("html_url", doc_id, F.inline(F.array_compact(F.array(*named))))
+        hits = hits.withColumn("group", F.pmod(F.xxhash64("doc_id", "html_url"), F.lit(_HIT_GROUPS)))
+        for key in (["term_position", "group"], ["term_position"]):
+            window = Window.partitionBy(*key).orderBy("doc_id", "html_url")
+            hits = hits.withColumn("place", F.row_number().over(window))
+            hits = hits.where(F.col("place") <= limits.hits_per_concept)
+    first = F.min(F.struct("term_position", "doc_id", "search_term")).alias("first")
+    counted = hits.groupBy("html_url").agg(first, F.count(F.lit(1)).alias("copies"))
+    return counted.select("html_url", "first.doc_id", "first.search_term", "copies")
 
 
 def search_documents(
@@ -100,14 +99,17 @@ def search_documents(
     repo: str | None = None,
     language: str | None = None,
 ) -> DataFrame:
-    """Documents of the concept search.  A URL is claimed before its content is checked."""
-    hits = search_hits(files, rules, limits, repo, language).select("html_url", "search_term", "doc_id")
-    # At most concepts x hits rows, so the files need not move for the join.
-    if limits.searched_concepts * limits.hits_per_concept <= _BROADCAST_HITS:
+    """Documents of the concept search.  A URL is claimed before its content is checked.
+
+    The hits, which are keys, are staged and counted: up to a bound they are broadcast, so no text moves.
+    """
+    hits = stage(search_hits(files, rules, limits, repo, language), "search-hits")
+    several = not hits.where("copies > 1").isEmpty()
+    hits = hits.select("html_url", "search_term", "doc_id")
+    if hits.count() <= _BROADCAST_HITS:
         hits = F.broadcast(hits)
     doc_id = F.concat_ws("/", F.col("repo"), F.col("path"))
-    matched = files.withColumn("doc_id", doc_id).join(hits, ["html_url", "doc_id"])
-    matched = with_content(matched)
+    matched = with_content(files.withColumn("doc_id", doc_id).join(hits, ["html_url", "doc_id"]))
     kept = [name for name in matched.columns if name != "content"]
     found = keep_where(
         matched,
@@ -115,7 +117,8 @@ def search_documents(
         F.struct("content"),
         lambda item: (item["content"] != "") & (F.length(item["content"]) >= limits.min_content),
     )
-    found = first_per_key(found, F.col("html_url"), "doc_id")
+    if several:  # a file that is listed twice counts once
+        found = first_per_key(found, F.col("html_url"), "doc_id")
     nothing = F.lit(None)
     return _documents(found, nothing.cast("string"), nothing.cast("bigint"), F.col("search_term"), collected_at)
 
@@ -152,13 +155,18 @@ def repo_documents(
     limits: Limits = Limits(),
     collected_at: str | None = None,
     limit: int | None = None,
+    repo: str | None = None,
+    language: str | None = None,
 ) -> DataFrame:
-    """Walk of the configured repositories, then search over all files; optionally the first ``limit``."""
+    """Walk of the configured repositories, then search over all files; optionally the first ``limit``.
+
+    ``repo`` and ``language`` restrict the search.
+    """
     walked = files
     if rules.repositories:
         walked = files.where(F.col("repo").isin(*rules.repositories))
     docs = walk_documents(walked, rules, limits, collected_at).unionByName(
-        search_documents(files, rules, limits, collected_at)
+        search_documents(files, rules, limits, collected_at, repo, language)
     )
     return first_documents(docs, rules, limit)
 

@@ -89,17 +89,23 @@ SITEMAP_NAMESPACE = "http://www.sitemaps.org/schemas/sitemap/0.9"
 
 @dataclass(frozen=True)
 class Limits:
-    """Sizes in code points and counts per document."""
+    """Sizes in code points and counts per document.
+
+    The least sizes are filters.  The others cut texts and lists only where they are given; without them
+    whole texts are read and every concept, section and hit counts.
+    """
 
     min_content: int = 100
-    max_content: int = 50_000
-    max_answer: int = 1_500
-    max_code: int = 2_000
-    max_prompt: int = 4_000
-    concepts_per_document: int = 3
-    sections_per_document: int = 5
-    searched_concepts: int = 10
-    hits_per_concept: int = 100
+    min_paragraph: int = 100
+    min_section: int = 100
+    max_content: int | None = None
+    max_answer: int | None = None
+    max_code: int | None = None
+    max_prompt: int | None = None
+    concepts_per_document: int | None = None
+    sections_per_document: int | None = None
+    searched_concepts: int | None = None
+    hits_per_concept: int | None = None
     train_fraction: float = 0.9
 
 
@@ -117,6 +123,8 @@ class DomainRules:
     title_suffix: str = ""
     priority_paths: tuple[str, ...] = ()
     repositories: tuple[str, ...] = ()
+    # Without a repository the search covers those of this owner; all without an owner.
+    search_owner: str = ""
     relevance_patterns: tuple[str, ...] = ()
     relevance_path_words: tuple[str, ...] = ()
     skipped_url_parts: tuple[str, ...] = SKIPPED_URL_PARTS

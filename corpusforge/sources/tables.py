@@ -5,18 +5,5 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    """A parquet table; with ``key`` (a unique column), see ``spread``."""
-    df = spark.read.parquet(path)
-    return spread(df, key) if key else df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for a table of fewer scan partitions than cores.
-
-    One row group is one task, and the text work after it costs far more than moving the
-    rows once.  Large tables have more partitions than the cluster has cores and are
-    returned as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from corpusforge import DomainRules, build_session  # noqa: E402
+from corpusforge import DomainRules, Limits, build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -63,6 +63,12 @@ def each(spark):
     return values
 
 
+# Limits that cut, for tests of the cuts; by default nothing is cut.
+CAPPED = Limits(
+    max_content=50_000, max_answer=1_500, max_code=2_000, max_prompt=4_000, concepts_per_document=3,
+    sections_per_document=5, searched_concepts=10, hits_per_concept=100,
+)
+
 PAGE = "https://docs.acme.example"
 
 

@@ -5,7 +5,7 @@ import pytest
 
 from corpusforge.operators.corpus import run_counts, source_counts, unite
 from corpusforge.plans.build_corpus import build_corpus, collect_pages
-from corpusforge.presets import workflow_platform
+from corpusforge.rules import DomainRules
 from corpusforge.schemas import REPO_FILE
 from corpusforge.sources.jsonl import read_documents, read_pairs
 
@@ -51,7 +51,17 @@ def inputs(spark):
 
 @pytest.fixture(scope="module")
 def preset():
-    return workflow_platform("Acme", "Acme.example", SITE, ["acme/core"])
+    return DomainRules(
+        domain="Acme",
+        vocabulary=("workflow", "worker", "signal", "timer"),
+        system_prompt="You answer questions about Acme.",
+        docs_source="acme_docs",
+        docs_base_url=SITE,
+        docs_host_pattern=r"https://docs\.acme\.example",
+        repositories=("acme/core",),
+        relevance_patterns=(r"import.*acme",),
+        relevance_path_words=("worker",),
+    )
 
 
 def lines(spark, path):
@@ -90,7 +100,7 @@ def test_whole_run(spark, inputs, preset, tmp_path):
         assert (paths["train_count"], paths["val_count"]) == (train, len(pairs) - train)
         assert len(lines(spark, paths["train"])) == train
     first = lines(spark, result["output_paths"]["trl"]["train"])[0]
-    assert first["messages"][0]["content"].startswith("You are an expert on Acme.example, a workflow")
+    assert first["messages"][0]["content"].startswith("You answer questions about Acme.")
     info = lines(spark, f"{root}/processed/training_data/dataset_info")[0]
     assert info["total_examples"] == len(pairs) and info["template"] == "llama3"
     saved = lines(spark, f"{root}/run_stats")[0]

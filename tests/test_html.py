@@ -93,3 +93,27 @@ def test_text_of_a_huge_page(spark, rules):
     html = body("<p>word <a href='x'>link</a></p>" * 30_000)
     got = extracted(spark, rules, [html])
     assert got[0][1] == " ".join(["word link"] * 30_000)
+
+
+ODD = {
+    '<img alt="5&quot; disk"><p>KEEP</p><img alt="3&quot; disk">': "KEEP",
+    "<nav-card>KEEP1</nav-card><p>KEEP2</p><nav>menu</nav>": "KEEP1 KEEP2",
+    "<header-title>T</header-title><p>KEEP</p><header>h</header>": "T KEEP",
+    '<article data-x="a>b"><p title="c>d">KEEP</p></article>': "KEEP",
+    "<main-part>A</main-part><p>B</p>": "A B",
+}
+
+
+def test_odd_markup_agrees_with_the_tree_walk(spark, rules):
+    pages = [f"<html><body>{text}</body></html>" for text in ODD]
+    got = extracted(spark, rules, pages, ANY)
+    assert [got[n][1] for n in range(len(pages))] == list(ODD.values())
+    assert [read_page(page)["content"] for page in pages] == list(ODD.values())
+
+
+def test_many_open_tags_are_walked_in_linear_time():
+    import time
+
+    begun = time.perf_counter()
+    assert read_page("<body>" + "<p>x" * 8_000)["content"].count("x") == 8_000
+    assert time.perf_counter() - begun < 0.5

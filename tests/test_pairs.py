@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 from corpusforge.functions.pairs import sections
 from corpusforge.operators.dedup import first_questions
 from corpusforge.operators.qa import documents_with_concepts, rule_pairs
+from conftest import CAPPED
+
 from corpusforge.rules import CONCEPT_QUESTIONS, Limits
 
 LONG = "This paragraph is about a workflow and it is quite long, " * 3
@@ -34,13 +36,15 @@ def test_paragraph_choice(make_docs, rules):
 
 def test_answers_are_cut_after_1500(make_docs, rules):
     texts = ["workflow " + "x" * 1491, "workflow " + "x" * 1492]
-    found = rows(rule_pairs(make_docs(*[{"content": text, "content_type": "code"} for text in texts]), rules))
+    found = rows(rule_pairs(make_docs(*[{"content": text, "content_type": "code"} for text in texts]), rules, CAPPED))
     assert [row["response"] for row in found] == [texts[0], texts[1][:1500] + "..."]
+    whole = rows(rule_pairs(make_docs({"content": texts[1], "content_type": "code"}), rules))
+    assert whole[0]["response"] == texts[1]
 
 
 def test_first_three_concepts_in_vocabulary_order(make_docs, rules):
     text = "query, task-queue, worker and workflow " * 4
-    found = rows(rule_pairs(make_docs({"content": text, "content_type": "test"}), rules))
+    found = rows(rule_pairs(make_docs({"content": text, "content_type": "test"}), rules, CAPPED))
     # "task queue" is a tag, but the paragraph only has its hyphenated form
     assert [row["concepts"] for row in found] == [["workflow"], ["worker"]]
 
@@ -111,14 +115,15 @@ def test_heading_pairs(make_docs, rules):
 
 def test_at_most_five_sections_and_their_own_concepts(make_docs, rules):
     text = "workflow\n" + "".join(f"# S{n}\n{BODY} query {n}\n" for n in range(6))
-    found = rows(rule_pairs(make_docs({"content": text}), rules, strategies=("headings",)))
+    assert len(rows(rule_pairs(make_docs({"content": text}), rules, strategies=("headings",)))) == 6
+    found = rows(rule_pairs(make_docs({"content": text}), rules, CAPPED, strategies=("headings",)))
     assert [row["instruction"][:10] for row in found] == [f"What is S{n}" for n in range(5)]
     assert all(row["concepts"] == ["query"] for row in found)
 
 
 def test_sections_are_cut_before_they_are_tagged(make_docs, rules):
     text = "workflow\n# S\n" + "b" * 1499 + " query"
-    found = rows(rule_pairs(make_docs({"content": text}), rules, strategies=("headings",)))
+    found = rows(rule_pairs(make_docs({"content": text}), rules, CAPPED, strategies=("headings",)))
     assert found[0]["response"] == "b" * 1499 + " ..." and found[0]["concepts"] == []
 
 
@@ -133,7 +138,7 @@ def test_code_pairs(make_docs, rules):
         {"content": "query " + "x" * 1994, "content_type": "implementation", "language": "go"},
         {"content": "query " + "x" * 1995, "content_type": "implementation", "language": "go"},
     )
-    found = rows(rule_pairs(docs, rules, strategies=("code",)))
+    found = rows(rule_pairs(docs, rules, CAPPED, strategies=("code",)))
     assert [row["source_id"] for row in found] == ["docs:000", "docs:001", "docs:005", "docs:006"]
     assert found[0]["instruction"] == "How do I implement a worker in Acme using Python?"
     assert found[0]["response"] == (

@@ -10,7 +10,7 @@ from corpusforge.catalog.queries import QUERIES
 from corpusforge.operators.dedup import first_questions
 from corpusforge.operators.pages import extract_pages
 from corpusforge.operators.qa import documents_with_concepts, rule_pairs
-from corpusforge.operators.repo_files import search_documents, walk_documents
+from corpusforge.operators.repo_files import search_documents, search_hits, walk_documents
 from corpusforge.operators.split import split_pairs
 from corpusforge.sources.snapshots import urls_to_fetch
 
@@ -23,7 +23,7 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
-    """Whole-table inputs with more partitions than cores, so that nothing is spread first."""
+    """Whole-table inputs of many partitions."""
     root = str(tmp_path_factory.mktemp("stored"))
     for name in ("documents", "pages"):
         spark.read.parquet(f"{FOLDER}/{name}.parquet").repartition(40).write.parquet(f"{root}/{name}.parquet")
@@ -83,11 +83,19 @@ def test_walk_filters_paths_before_decoding(spark, stored):
 
 
 def test_search_shuffles_keys_only(spark, stored):
-    text = plan(search_documents(I.repo_files(spark, stored), I.RULES))
-    assert text.count("WindowGroupLimit") == 4
-    for line in re.findall(r"Exchange hashpartitioning\((.*?)\)", text):
-        assert "content" not in line
-    assert "BroadcastHashJoin" in text
+    hits = search_hits(I.repo_files(spark, stored), I.RULES)
+    assert plan(hits).count("FileScan") == 1 and "Window" not in plan(hits)
+    found = search_documents(I.repo_files(spark, stored), I.RULES)
+    for text in (plan(hits), plan(found)):
+        for below in exchanged_columns(text):
+            assert not re.search("content|text|_lower", below), below
+    assert "BroadcastHashJoin" in plan(found) and "Exchange hashpartitioning" not in plan(found)
+
+
+def exchanged_columns(text):
+    """What stands right below each exchange of a plan: the node whose rows are moved."""
+    rows = text.split("\n")
+    return [rows[at + 1].partition("output=")[2] or rows[at + 1] for at, row in enumerate(rows) if "Exchange hashpartitioning" in row]
 
 
 def test_refresh_reads_urls_only(spark, tmp_path):

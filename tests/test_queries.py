@@ -4,9 +4,10 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_file
+from corpusforge.catalog.oracles import ORACLES
+from corpusforge.catalog.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_file.queries(), entry_file.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,7 @@ def connection():
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_file.queries()) and set(ORACLES) <= set(entry_file.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -1,3 +1,4 @@
+from conftest import CAPPED
 import pandas as pd
 import pytest
 
@@ -43,7 +44,7 @@ def test_null_reply(spark):
 
 def test_prompt(make_docs, rules):
     docs = make_docs({"title": "The {title}", "content": "c" * 4_001, "source": "s"})
-    prompt = docs.select(prompt_text(rules)).first()[0]
+    prompt = docs.select(prompt_text(rules, CAPPED)).first()[0]
     assert "Document Title: The {title}\nDocument Type: documentation\nSource: s\n" in prompt
     assert "\n" + "c" * 4_000 + "\n" in prompt and "c" * 4_001 not in prompt
     assert prompt.endswith("JSON Output:") and "about Acme." in prompt

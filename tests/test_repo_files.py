@@ -9,6 +9,8 @@ from corpusforge.operators.repo_files import (
     search_hits,
     walk_documents,
 )
+from conftest import CAPPED
+
 from corpusforge.rules import Limits
 from corpusforge.schemas import REPO_FILE
 from corpusforge.sources.repos import read_checkout, read_repo_files
@@ -41,6 +43,7 @@ def test_walk(spark, rules):
                 ("worker/late.py", late), ("edge.py", "import acme" + "z" * 89), ("edge1.py", "import acme" + "z" * 88),
             ),
             rules,
+            CAPPED,
             collected_at="now",
         )
     )
@@ -71,6 +74,7 @@ def test_search_claims_before_it_checks(spark, rules):
 def test_search_limits_and_filters(spark, rules):
     text = "workflow worker " + "z" * 200
     many = files(spark, *[(f"f{n:03}.py" if n % 2 else f"f{n:03}.go", text) for n in range(60)])
+    assert search_documents(many, rules).count() == 60
     limits = Limits(hits_per_concept=10)
     hits = {(row["doc_id"][-7:-3], row["search_term"]) for row in search_hits(many, rules, limits).collect()}
     assert hits == {(f"f{n:03}", "workflow") for n in range(10)}
@@ -80,6 +84,18 @@ def test_search_limits_and_filters(spark, rules):
     assert search_documents(many, rules, limits).count() == 10
 
 
+def test_search_owner_and_files_listed_twice(spark, rules):
+    import dataclasses
+
+    text = "workflow " + "z" * 200
+    table = files(spark, ("a.py", text), ("a.py", text), ("other/repo:b.py", text))
+    assert sorted(by_path(search_documents(table, rules))) == ["a.py", "b.py"]
+    assert search_documents(table, rules).count() == 2
+    owned = dataclasses.replace(rules, search_owner="acme")
+    assert sorted(by_path(search_documents(table, owned))) == ["a.py"]
+    assert sorted(by_path(search_documents(table, owned, repo="other/repo"))) == ["b.py"]
+
+
 def test_search_agrees_with_brute_force_when_a_term_is_everywhere(spark, rules):
     texts = [("worker " if n % 3 else "") + ("query " if n % 7 == 0 else "") + "workflow " * (n % 5 == 0) + "z" * 150 for n in range(300)]
     table = files(spark, *[(f"p{n:04}.py", text) for n, text in enumerate(texts)]).repartition(5)
