@@ -33,9 +33,11 @@ DECAY, SPAN, SHARPEN = 0.7, 6, 4
 LANDMARKS = 96
 SAMPLE, SAMPLE_CHARS = 4_000, 50_000
 ROUNDS = 5
-CACHE = 200_000
+CACHE = 600_000
 #: Entries of the sparse map that are multiplied at once, and tokens mapped at once.
-ENTRIES, TOKENS = 50_000, 2_000
+ENTRIES, TOKENS = 20_000, 2_000
+#: Tokens that share less than this with the landmarks are unlike all of them.
+LEAST = 0.6
 LETTERS = 35  # letter classes: gap, a to z, others by code, begin, end
 BEGIN, END = 33, 34
 _SINGLES = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
@@ -88,15 +90,21 @@ def subsequences(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return owner, code, total / norm[owner]
 
 
-def similarities(tokens: list[str], table: np.ndarray) -> np.ndarray:
+def similarities(tokens: list[str], table: np.ndarray, used: np.ndarray | None = None) -> np.ndarray:
     """Sharpened kernel of tokens (rows) and landmarks; ``table`` is the landmarks' map, subsequence by landmark."""
     out = np.zeros((len(tokens), table.shape[1]), dtype=np.float32)
     owner, code, weight = subsequences(tokens)
+    # Most subsequences are in no landmark; they only count for the token's length.
+    met = table.any(axis=1)[code] if used is None else used[code]
+    owner, code, weight = owner[met], code[met], weight[met]
+    # No similarity exceeds the length of what is shared with all landmarks; tokens below LEAST count as unlike all.
+    near = np.sqrt(np.bincount(owner, weight**2, minlength=len(tokens)))[owner] >= LEAST
+    owner, code, weight = owner[near], code[near], weight[near].astype(np.float32)
     for begin in range(0, len(owner), ENTRIES):
         part = slice(begin, begin + ENTRIES)
         ids, starts = np.unique(owner[part], return_index=True)
         if len(ids):
-            out[ids] += np.add.reduceat(table[code[part]] * weight[part, None].astype(np.float32), starts, axis=0)
+            out[ids] += np.add.reduceat(table[code[part]] * weight[part, None], starts, axis=0)
     return out**SHARPEN
 
 
@@ -117,17 +125,23 @@ class Model:
 
     def __post_init__(self):
         self.table = landmark_table(self.landmarks)
-        self.known: dict[str, float] = {}
+        self.used = self.table.any(axis=1)
+        self.known: dict[str, float] = {}  # by token as written
+        self.plain: dict[str, float] = {}  # by bare token
 
     def learn(self, tokens: set[str]) -> None:
         """Put the values of new tokens into the cache."""
-        new = [t for t in tokens if t not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = list(tokens)
+        known, plain = self.known, self.plain
+        if len(known) > CACHE:
+            known.clear()
+        if len(plain) > CACHE:
+            plain.clear()
+        written = {t: bare(t) for t in tokens if t not in known}
+        new = list({t for t in written.values() if t not in plain})
         for begin in range(0, len(new), TOKENS):
             part = new[begin : begin + TOKENS]
-            self.known.update(zip(part, (similarities(part, self.table) @ self.weights).tolist()))
+            plain.update(zip(part, (similarities(part, self.table, self.used) @ self.weights).tolist()))
+        known.update((t, plain[b]) for t, b in written.items())
 
     def margins(self, texts: list[str | None]) -> list[float]:
         """Value of each text's most toxic token, a hundred texts at a time; -inf without tokens."""
