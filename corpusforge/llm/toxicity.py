@@ -35,7 +35,7 @@ SAMPLE, SAMPLE_CHARS = 4_000, 50_000
 ROUNDS = 5
 CACHE = 600_000
 #: Entries of the sparse map that are multiplied at once, and tokens mapped at once.
-ENTRIES, TOKENS = 20_000, 2_000
+ENTRIES, TOKENS = 100_000, 2_000
 #: Tokens that share less than this with the landmarks are unlike all of them.
 LEAST = 0.6
 LETTERS = 35  # letter classes: gap, a to z, others by code, begin, end
@@ -90,22 +90,42 @@ def subsequences(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return owner, code, total / norm[owner]
 
 
-def similarities(tokens: list[str], table: np.ndarray, used: np.ndarray | None = None) -> np.ndarray:
-    """Sharpened kernel of tokens (rows) and landmarks; ``table`` is the landmarks' map, subsequence by landmark."""
-    out = np.zeros((len(tokens), table.shape[1]), dtype=np.float32)
+@dataclass
+class Table:
+    """Maps of the landmarks by subsequence: begin and number of entries of each code, their landmarks and weights."""
+
+    begin: np.ndarray
+    number: np.ndarray
+    landmark: np.ndarray
+    weight: np.ndarray
+    count: int
+
+
+def landmark_table(landmarks: list[str]) -> Table:
+    owner, code, weight = subsequences(landmarks)
+    order = np.argsort(code, kind="stable")
+    number = np.bincount(code, minlength=LETTERS**3)
+    return Table(np.cumsum(number) - number, number, owner[order], weight[order], len(landmarks))
+
+
+def similarities(tokens: list[str], table: Table) -> np.ndarray:
+    """Sharpened kernel of tokens (rows) and landmarks."""
     owner, code, weight = subsequences(tokens)
     # Most subsequences are in no landmark; they only count for the token's length.
-    met = table.any(axis=1)[code] if used is None else used[code]
+    met = table.number[code] > 0
     owner, code, weight = owner[met], code[met], weight[met]
     # No similarity exceeds the length of what is shared with all landmarks; tokens below LEAST count as unlike all.
     near = np.sqrt(np.bincount(owner, weight**2, minlength=len(tokens)))[owner] >= LEAST
-    owner, code, weight = owner[near], code[near], weight[near].astype(np.float32)
-    for begin in range(0, len(owner), ENTRIES):
-        part = slice(begin, begin + ENTRIES)
-        ids, starts = np.unique(owner[part], return_index=True)
-        if len(ids):
-            out[ids] += np.add.reduceat(table[code[part]] * weight[part, None], starts, axis=0)
-    return out**SHARPEN
+    owner, code, weight = owner[near], code[near], weight[near]
+    out = np.zeros(len(tokens) * table.count)
+    for at in range(0, len(owner), ENTRIES):
+        part = slice(at, at + ENTRIES)
+        number = table.number[code[part]]
+        entry = np.repeat(table.begin[code[part]] - np.cumsum(number) + number, number) + np.arange(number.sum())
+        cell = np.repeat(owner[part], number) * table.count + table.landmark[entry]
+        low = int(cell.min())
+        out[low : int(cell.max()) + 1] += np.bincount(cell - low, np.repeat(weight[part], number) * table.weight[entry])
+    return (out.reshape(len(tokens), table.count) ** SHARPEN).astype(np.float32)
 
 
 def distinct_tokens(text: str | None) -> set[str]:
@@ -125,7 +145,6 @@ class Model:
 
     def __post_init__(self):
         self.table = landmark_table(self.landmarks)
-        self.used = self.table.any(axis=1)
         self.known: dict[str, float] = {}  # by token as written
         self.plain: dict[str, float] = {}  # by bare token
 
@@ -140,7 +159,7 @@ class Model:
         new = list({t for t in written.values() if t not in plain})
         for begin in range(0, len(new), TOKENS):
             part = new[begin : begin + TOKENS]
-            plain.update(zip(part, (similarities(part, self.table, self.used) @ self.weights).tolist()))
+            plain.update(zip(part, (similarities(part, self.table) @ self.weights).tolist()))
         known.update((t, plain[b]) for t, b in written.items())
 
     def margins(self, texts: list[str | None]) -> list[float]:
@@ -157,13 +176,6 @@ class Model:
         return np.where(margin == -50, 0.0, 1 / (1 + np.exp(-margin))).tolist()
 
 
-def landmark_table(landmarks: list[str]) -> np.ndarray:
-    table = np.zeros((LETTERS**3, len(landmarks)), dtype=np.float32)
-    owner, code, weight = subsequences(landmarks)
-    table[code, owner] = weight
-    return table
-
-
 def contrasts(docs: list[set[str]], labels: np.ndarray) -> dict[str, float]:
     """How much more often, by documents, a token stands in toxic documents: log odds times the root of its count.
 
