@@ -152,6 +152,17 @@ def snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return fetched.unionByName(older).withColumn("status", F.lit(200))
 
 
+def chat_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with all its turns as messages, and once more as an instruction and an output."""
+    turns = table(spark, folder, "conversations")
+    whole = F.transform(
+        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))),
+        lambda turn: F.struct(turn["role"].alias("role"), turn["text"].alias("content")),
+    )
+    own = turns.groupBy("conv_id").agg(whole.alias("messages"))
+    return own.unionByName(trainable_rows(spark, folder), allowMissingColumns=True)
+
+
 def trainable_rows(spark: SparkSession, folder: str) -> DataFrame:
     """First user and first assistant turn of each conversation."""
     turns = table(spark, folder, "conversations")

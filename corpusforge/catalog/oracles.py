@@ -385,7 +385,9 @@ ORACLES = {
         "arg_min(text, turn) FILTER (WHERE role = 'assistant') AS output FROM conversations GROUP BY conv_id) "
         f"SELECT conv_id, instruction, output, CASE WHEN instruction IS NOT NULL AND output IS NOT NULL THEN "
         f"to_json([{{'role': 'system', 'content': {_PROMPT}}}, {{'role': 'user', 'content': instruction}}, "
-        "{'role': 'assistant', 'content': output}])::VARCHAR END AS messages FROM rows"
+        "{'role': 'assistant', 'content': output}])::VARCHAR END AS messages FROM rows "
+        "UNION ALL SELECT conv_id, NULL, NULL, to_json(list({'role': role, 'content': text} ORDER BY turn))::VARCHAR "
+        "FROM conversations GROUP BY conv_id"
     ),
     "question_prompts": (
         f"SELECT conv_id, turn, question, to_json([{{'role': 'system', 'content': {_PROMPT}}}, "

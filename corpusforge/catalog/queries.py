@@ -154,7 +154,7 @@ def training_rows(spark, folder):
 
 
 def normalize_chat(spark, folder):
-    return as_text(with_messages(I.trainable_rows(spark, folder), RULES.system_prompt), "messages")
+    return as_text(with_messages(I.chat_rows(spark, folder), RULES.system_prompt), "messages")
 
 
 def question_prompts(spark, folder):

@@ -42,8 +42,14 @@ def first_questions(pairs: DataFrame) -> DataFrame:
 
 
 def distinct_content(docs: DataFrame, content: str = "content", order: str = "id") -> DataFrame:
-    """Keep the document with the lowest id of each content hash."""
-    return first_per_key(docs, content_hash(F.col(content)), order)
+    """Keep the document with the lowest id of each content hash; ids are unique.
+
+    Hashes and ids alone are aggregated; the texts only meet the winners, unsorted.
+    """
+    digest = content_hash(F.col(content))
+    first = docs.groupBy(digest.alias("_hash")).agg(F.min(order).alias("_first"))
+    on = digest.eqNullSafe(first["_hash"]) & (docs[order] == first["_first"])
+    return docs.join(first.hint("shuffle_hash"), on, "left_semi")
 
 
 def content_hash(content: Column) -> Column:

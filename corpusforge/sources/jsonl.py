@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import DOCUMENT, METADATA, QA_PAIR
 from ..staging import path_exists
@@ -38,9 +39,13 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(QA_PAIR).option("mode", "FAILFAST").json(path)
 
 
-def read_training_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Training rows with an inferred schema."""
-    return spark.read.json(path)
+def read_training_rows(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """Training rows; a malformed line fails the job.
+
+    Without a schema one is inferred, which reads all rows once more.
+    """
+    reader = spark.read.option("mode", "FAILFAST")
+    return (reader.schema(schema) if schema else reader).json(path)
 
 
 def read_validation_rows(spark: SparkSession, path: str | None) -> DataFrame | None:

@@ -8,7 +8,6 @@ from corpusforge.sinks.jsonl import write_documents
 from corpusforge.sources.jsonl import read_documents, read_documents_if_present
 from corpusforge.sources.sitemap import read_sitemaps, seed_urls, sitemap_urls, with_seed_fallback
 from corpusforge.sources.snapshots import fresh, servable_pages, successful, urls_to_fetch
-from corpusforge.sources.tables import spread
 
 NAMESPACE = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
 DOC = {"id": "1", "source": "s", "url": "u", "title": "t", "content": "größe", "content_type": "code"}
@@ -106,7 +105,12 @@ def test_document_urls(spark, rules):
     assert [row[0] for row in document_urls(urls, rules).collect()] == ["https://h/x"]
 
 
-def test_spread_only_moves_tables_of_few_partitions(spark):
-    few, many = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 8)
-    assert spread(few, "id").rdd.getNumPartitions() == 8
-    assert spread(many, "id") is many
+def test_a_broken_training_line_fails(spark, tmp_path):
+    from corpusforge.sources.jsonl import read_training_rows
+
+    path = tmp_path / "rows.jsonl"
+    path.write_text('{"instruction": "a", "output": "b"}\n{"instruction": "a", \n')
+    with pytest.raises(Exception):
+        read_training_rows(spark, str(path), "instruction string, output string").collect()
+    with pytest.raises(Exception):
+        read_training_rows(spark, str(path)).collect()
