@@ -33,6 +33,8 @@ from .hashing import in_blocks, mix, shingle_sets
 
 SIZE, PERCENT = 5, 80
 LEADS = 4
+#: Times common shingles are looked for.
+ROUNDS = 3
 #: A shingle in the leading part of more sets than this comes last in the order.
 COMMON = 16
 #: Bits of the two bitmaps, whatever the input: common shingles, and documents whose sets are checked.
@@ -55,6 +57,12 @@ def signature(tokens: np.ndarray) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
+def folded(sig: bytes) -> list[int]:
+    """A signature as four whole numbers, 256 bits."""
+    bits = np.frombuffer(sig or bytes(32), np.uint8)
+    return np.bitwise_or.reduce(bits.reshape(-1, 32), axis=0).view("<i8").tolist()
+
+
 def overlap_bound(a: bytes, b: bytes, size_a: int, size_b: int) -> int:
     """No two sets of these signatures and sizes share more: each differing bit stands for a shingle of one alone."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -77,15 +85,38 @@ def _key(tokens: np.ndarray) -> bytes:
     return np.array([tokens.sum(), other.sum()], dtype=_U).tobytes()
 
 
-def _common_tokens(docs: DataFrame, size: int, percent: int) -> np.ndarray:
-    """Bitmap of shingles that lead more than ``COMMON`` rows; counts are of all rows, exact per hash."""
+def in_order(tokens: np.ndarray, common: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The leading shingles of a set, common ones last, and how many of them are not common."""
+    often = _has(common, (tokens & np.uint64(BITS - 1)).astype(np.int64))
+    lead = np.concatenate([tokens[~often], tokens[often]])[: lead_length(len(tokens), percent) if len(tokens) else 0]
+    return lead, min(len(lead), int((~often).sum()))
+
+
+def _common_tokens(docs: DataFrame, size: int, percent: int, rounds: int = ROUNDS) -> np.ndarray:
+    """Bitmap of shingles that lead more than ``COMMON`` rows; counts are of all rows, exact per hash.
+
+    When common shingles go last, others come up that may be as common: the rows this happens to are counted again.
+    """
+    bitmap = np.zeros(BITS // 8, dtype=np.uint8)
+    for number in range(rounds):
+        bitmap = bitmap | _leading_often(docs, size, percent, bitmap, number > 0)
+    return bitmap
+
+
+def _leading_often(docs: DataFrame, size: int, percent: int, bitmap: np.ndarray, changed: bool) -> np.ndarray:
+    """Bitmap of shingles that lead often under the order of ``bitmap``; ``changed`` counts rows with another lead than by hash."""
     spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(bitmap)
     parts = 1 << max(6, (int(spark.conf.get("spark.sql.shuffle.partitions")) * 2 - 1).bit_length())
     width = BITS // parts
 
     def leads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [tokens[: lead_length(len(tokens), percent)] for _, tokens in _sets(list(batch["text"]), size) if len(tokens)]
+            found = []
+            for _, tokens in _sets(list(batch["text"]), size):
+                lead, rare = in_order(tokens, sent.value, percent)
+                if rare and not (changed and np.array_equal(lead, tokens[: len(lead)])):
+                    found.append(lead[:rare])
             if found:
                 token, count = np.unique(np.concatenate(found), return_counts=True)
                 part = ((token & np.uint64(BITS - 1)) // np.uint64(width)).astype(np.int64)
@@ -115,7 +146,7 @@ def _has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, key, sig, lead (packed shingles in order), n_rare (how many of lead are not common), least (of least hash)."""
+    """doc_id, n, key, sig, lead (packed shingles in order), n_rare (how many of lead are not common), least (of least hash), f0..f3 (sig folded)."""
     common = docs.sparkSession.sparkContext.broadcast(_common_tokens(docs, size, percent))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,13 +154,13 @@ def profiles(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataF
             out = []
             for _, tokens in _sets(list(batch["text"]), size):
                 n = len(tokens)
-                often = _has(common.value, (tokens & np.uint64(BITS - 1)).astype(np.int64))
-                lead = np.concatenate([tokens[~often], tokens[often]])[: lead_length(n, percent) if n else 0]
-                out.append((n, _key(tokens), signature(tokens) if n else b"", lead.astype(_U).tobytes(), min(len(lead), int((~often).sum())), tokens[:LEADS].astype(_U).tobytes()))
-            yield pd.DataFrame(out, columns=["n", "key", "sig", "lead", "n_rare", "least"]).assign(doc_id=batch["doc_id"])
+                lead, rare = in_order(tokens, common.value, percent)
+                sig = signature(tokens) if n else b""
+                out.append((n, _key(tokens), sig, lead.astype(_U).tobytes(), rare, tokens[:LEADS].astype(_U).tobytes(), *folded(sig)))
+            yield pd.DataFrame(out, columns=["n", "key", "sig", "lead", "n_rare", "least", "f0", "f1", "f2", "f3"]).assign(doc_id=batch["doc_id"])
 
     # Ids go as text: beside nulls pandas would make them floats.
-    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(rows, "n long, key binary, sig binary, lead binary, n_rare int, least binary, doc_id string")
+    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(rows, "n long, key binary, sig binary, lead binary, n_rare int, least binary, f0 long, f1 long, f2 long, f3 long, doc_id string")
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -196,18 +227,19 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int =
 
 
 def exploded(sets: DataFrame, packed: str, begin: str, columns: tuple[str, ...]) -> DataFrame:
-    """One row (token, ``columns``) for each packed shingle of a column from the place ``begin`` on."""
+    """One row (token, place, ``columns``) for each packed shingle of a column from the place ``begin`` on."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             tokens = [np.frombuffer(data, "<i8")[at:] for data, at in zip(batch["packed"], batch["begin"])]
             sizes = [len(t) for t in tokens]
             if sum(sizes):
-                yield pd.DataFrame({"token": np.concatenate(tokens)} | {c: np.repeat(batch[c].to_numpy(), sizes) for c in columns})
+                place = np.concatenate([np.arange(at, at + n) for at, n in zip(batch["begin"], sizes)])
+                yield pd.DataFrame({"token": np.concatenate(tokens), "place": place} | {c: np.repeat(batch[c].to_numpy(), sizes) for c in columns})
 
     narrow = sets.select(F.col(packed).alias("packed"), F.expr(begin).alias("begin"), *columns)
     types = ", ".join(f"{c} {sets.schema[c].dataType.simpleString()}" for c in columns)
-    return narrow.mapInPandas(rows, f"token long, {types}")
+    return narrow.mapInPandas(rows, f"token long, place long, {types}")
 
 
 def hub_pairs(sets: DataFrame) -> DataFrame:
@@ -288,17 +320,25 @@ def common_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Of each shingle only classes outside its largest component are compared with the others.
     """
-    leads = exploded(sets, "lead", "n_rare", ("doc_id", "n", "comp"))
+    folds = ("f0", "f1", "f2", "f3")
+    leads = exploded(sets, "lead", "n_rare", ("doc_id", "n", "comp", *folds))
     shares = leads.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = shares.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
     mixed = stage(leads.join(main.where("comps > 1"), "token"), "common-leads")
     band = F.floor(F.log("n") / float(np.log(100 / percent))).cast("int")
-    few = mixed.where("comp <> main").select("token", F.explode(F.array(band - 1, band, band + 1)).alias("band"), *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "comp")])
-    all_ = mixed.select("token", band.alias("band"), "main", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "n", "comp")])
+    carried = ("doc_id", "n", "comp", "place", *folds)
+    few = mixed.where("comp <> main").select("token", F.explode(F.array(band - 1, band, band + 1)).alias("band"), *[F.col(c).alias(f"{c}_a") for c in carried])
+    all_ = mixed.select("token", band.alias("band"), "main", *[F.col(c).alias(f"{c}_b") for c in carried])
+    both = F.col("n_a") + F.col("n_b")
+    # Equal bits bound the overlap, and so does what follows the first common shingle in either set.
+    bits = sum((F.bit_count(F.col(f"{f}_a").bitwiseXOR(F.col(f"{f}_b"))) for f in folds), F.lit(0))
+    after = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     met = few.join(all_, ["token", "band"]).where(
         (F.col("comp_a") != F.col("comp_b"))
         & ((F.col("comp_b") == F.col("main")) | (F.col("doc_id_a") < F.col("doc_id_b")))
         & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        & ((100 + percent) * (both - bits) >= 2 * percent * both)
+        & ((100 + percent) * after >= percent * both)
     )
     return met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
 
