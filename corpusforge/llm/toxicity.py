@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame, functions as F
 
 DECAY, SPAN, SHARPEN = 0.7, 6, 4
 LANDMARKS = 96
-SAMPLE, SAMPLE_CHARS = 4_000, 50_000
+SAMPLE, SAMPLE_CHARS = 2_500, 50_000
 ROUNDS = 5
 CACHE = 600_000
 #: Entries of the sparse map that are multiplied at once, and tokens mapped at once.
-ENTRIES, TOKENS = 100_000, 2_000
+ENTRIES, TOKENS, BLOCK = 50_000, 1_000, 5_000
 #: Tokens that share less than this with the landmarks are unlike all of them.
 LEAST = 0.6
 LETTERS = 35  # letter classes: gap, a to z, others by code, begin, end
@@ -208,6 +208,7 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROU
     held = [np.array([place[t] for t in tokens], dtype=np.int64) for tokens in docs]
     clean = np.unique(np.concatenate([at for at, label in zip(held, labels) if not label] or [np.zeros(0, np.int64)]))
     rank = np.array([telling[t] for t in named])
+    del docs, plain
     suspicious = rank > 0  # only these can be what a toxic document is toxic for
     landmarks = list(dict.fromkeys(named[: count * 2 // 3] + named[::-1][: count // 3]))
     in_clean = np.bincount(np.concatenate([at for at, label in zip(held, labels) if not label] or [np.zeros(0, np.int64)]), minlength=len(named))
@@ -222,10 +223,10 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROU
             mapped[i : i + TOKENS] = similarities(named[i : i + TOKENS], table) @ root
         for _ in range(rounds):
             best = np.array([at[np.argmax(rank[at])] for at in own], dtype=np.int64)
-            x = mapped[np.concatenate([best, clean])]
             # A clean token weighs by its documents, and more if it looks like an insult by now.
             times = in_clean[clean] * (np.where(rank[clean] > 0.5 * np.median(rank[best]), 20.0, 1.0) if last else 1.0)
-            weights, bias = squared_hinge(x, np.r_[np.ones(len(best)), -np.ones(len(clean))], np.r_[np.ones(len(best)), times])
+            y = np.r_[np.ones(len(best)), -np.ones(len(clean))]
+            weights, _ = squared_hinge(mapped, np.concatenate([best, clean]), y, np.r_[np.ones(len(best)), times])
             rank = mapped @ weights
         hardest = clean[np.argsort(-np.maximum(rank[clean], 0) * in_clean[clean] ** 0.5, kind="stable")][: count // 4]
         if not last:
@@ -239,30 +240,49 @@ def train(rows: list[tuple[str, int]], count: int = LANDMARKS, rounds: int = ROU
     return model
 
 
-def squared_hinge(x: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float = 1.0, steps: int = 30) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, rows weighed by ``times``, classes balanced, by Newton steps."""
-    x1 = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
+def squared_hinge(features: np.ndarray, rows: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float = 1e-3, steps: int = 30) -> tuple[np.ndarray, float]:
+    """Linear support vector machine on some rows of ``features``, by damped Newton steps over blocks of rows.
+
+    Squared hinge loss, rows weighed by ``times``, classes balanced.
+    """
     share = times / np.where(y > 0, 2 * max(1, times[y > 0].sum()), 2 * max(1, times[y < 0].sum()))
-    ridge = np.full(x1.shape[1], 1e-3 * penalty)
+    width = features.shape[1]
+    ridge = np.full(width + 1, penalty)
     ridge[-1] = 1e-9
-    loss = lambda v: float((share * np.maximum(0, 1 - y * (x1 @ v)) ** 2).sum() + ridge @ v**2)
-    w = np.zeros(x1.shape[1])
-    now = loss(w)
+    blocks = [slice(i, i + BLOCK) for i in range(0, len(rows), BLOCK)]
+
+    def block(part: slice) -> np.ndarray:
+        held = np.ones((len(rows[part]), width + 1))
+        held[:, :-1] = features[rows[part]]
+        return held
+
+    def margins(w: np.ndarray) -> np.ndarray:
+        return np.concatenate([block(part) @ w for part in blocks]) * y
+
+    def loss(w: np.ndarray, margin: np.ndarray) -> float:
+        return float((share * np.maximum(0, 1 - margin) ** 2).sum() + ridge @ w**2)
+
+    w = np.zeros(width + 1)
+    margin = margins(w)
+    now = loss(w, margin)
     for _ in range(steps):
-        at = y * (x1 @ w) < 1
         square, right = np.diag(ridge), np.zeros(len(w))
-        for i in range(0, len(x1), 20_000):
-            z = x1[i : i + 20_000][at[i : i + 20_000]].astype(np.float64)
-            weighed = z.T * share[i : i + 20_000][at[i : i + 20_000]]
+        for part in blocks:
+            inside = margin[part] < 1
+            z = block(part)[inside]
+            weighed = z.T * share[part][inside]
             square += weighed @ z
-            right += weighed @ y[i : i + 20_000][at[i : i + 20_000]]
+            right += weighed @ y[part][inside]
         move = np.linalg.solve(square, right) - w
-        size = 1.0
-        while loss(w + size * move) > now and size > 1e-4:
+        size, before = 1.0, now
+        while True:
+            margin = margins(w + size * move)
+            now = loss(w + size * move, margin)
+            if now <= before or size < 1e-4:
+                break
             size /= 2
         w = w + size * move
-        before, now = now, loss(w)
-        if before - now <= 1e-9 * before:
+        if before - now <= 1e-6 * before:
             break
     return w[:-1], float(w[-1])
 
