@@ -44,6 +44,10 @@ RICH = (
     "'## Topic '||doc_id||chr(10)||replace(text, chr(10), chr(10)||chr(10))||chr(10)||"
     "'### How it works'||chr(10)||text"
 )
+SECTION_URL = (
+    "'https://docs.acme.example'||CASE doc_id % 7 WHEN 0 THEN '/develop/p' WHEN 1 THEN '/REFERENCES/p' WHEN 2 THEN '/glossary/' "
+    "WHEN 3 THEN '/production' WHEN 4 THEN '/en/develop' WHEN 5 THEN '/en?x=/develop' ELSE '/sdk/deploy' END||doc_id"
+)
 REPLY = (
     "CASE WHEN doc_id % 3 = 0 THEN 'Sure: [{\"instruction\":\"Q'||doc_id||'\", ]' "
     "ELSE 'Sure: [{\"instruction\":\"Q'||doc_id||'\",\"response\":\"A\"}] done' END"

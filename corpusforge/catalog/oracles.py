@@ -449,6 +449,26 @@ ORACLES = {
         f"{_PAIRS}, {_page_ctes()} SELECT (SELECT count(*) FROM page_docs) AS docs_collected, 0 AS code_collected, "
         "(SELECT count(*) FROM pairs) AS qa_pairs_generated"
     ),
+    "page_class": (
+        f"SELECT doc_id, CASE WHEN regexp_matches(p, '/develop|/sdk') THEN 'tutorial' WHEN regexp_matches(p, '/references|/api') "
+        "THEN 'reference' WHEN regexp_matches(p, '/encyclopedia|/glossary') THEN 'concept' WHEN regexp_matches(p, "
+        "'/production|/deploy') THEN 'guide' ELSE 'documentation' END AS page_class "
+        f"FROM (SELECT doc_id, lower({_path('url')}) AS p FROM (SELECT doc_id, {I.SECTION_URL} AS url FROM documents))"
+    ),
+    "arrived_pages": (
+        f"WITH {_SNAPSHOTS} SELECT url, strftime(fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at FROM snapshots "
+        "WHERE html <> '' AND hour(fetched_at) % 3 = 0"
+    ),
+    "wanted_urls": (
+        "WITH locations AS (SELECT url, page_id % 2 = 1 AND regexp_matches(url, '&[^;]*$') AS broken FROM pages), "
+        "listed AS (SELECT DISTINCT 'sitemap' AS \"case\", url FROM locations WHERE CASE WHEN broken THEN "
+        f"regexp_matches(url, '^https://[^/<]+[^<]+$') ELSE {_good_url('url')} END "
+        "UNION ALL SELECT 'none', 'https://docs.acme.example'||path FROM (VALUES ('/en'), ('/de'), ('/fr')) AS seeds(path)), "
+        f"ranked AS (SELECT *, ({_PRIORITY})::BIGINT AS priority FROM listed) SELECT \"case\", "
+        "row_number() OVER (PARTITION BY \"case\" ORDER BY priority, url) AS place, url, priority FROM ranked"
+    ),
+    "qa_pairs_file": f"{_PAIRS} SELECT {_FIELDS} FROM pairs",
+    "earlier_documents": f"WITH {_docs('text')} SELECT id, content FROM docs",
     "jsonl_documents": (
         f"WITH {_docs('text')} SELECT id, 'acme_docs' AS source, url, title, content, content_type, language, path, "
         f"'{I.COLLECTED_AT}' AS collected_at FROM docs"

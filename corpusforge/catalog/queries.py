@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import partial
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.paths import (
     decode_base64,
@@ -20,16 +20,16 @@ from ..operators.chat import prompt_messages, with_messages
 from ..operators.corpus import run_counts, source_counts, unite
 from ..operators.dedup import distinct_content, distinct_urls
 from ..operators.formats import FORMATS, to_format
-from ..operators.pages import document_urls, extract_pages, page_documents, ranked_urls
+from ..operators.pages import by_priority, document_urls, extract_pages, page_documents, ranked_urls
 from ..operators.qa import documents_with_concepts, rule_pairs
 from ..operators.replies import attach_replies, pairs_with_fallback, parse_reply, prompt_text, with_model_replies
 from ..operators.repo_files import first_documents, repo_documents, search_documents, walk_documents
 from ..operators.split import split_counts, split_pairs
 from ..operators.templates import TEMPLATES, rendered
-from ..sinks.jsonl import write_documents, write_jsonl
+from ..sinks.jsonl import write_documents, write_jsonl, write_pairs
 from ..sinks.training import write_dataset, write_formats
-from ..sources.jsonl import read_documents, read_training_rows
-from ..sources.sitemap import sitemap_urls
+from ..sources.jsonl import read_documents, read_documents_if_present, read_pairs, read_training_rows
+from ..sources.sitemap import sitemap_urls, with_seed_fallback
 from ..sources.snapshots import servable_pages, successful, urls_to_fetch
 from ..staging import new_path
 from . import inputs as I
@@ -221,6 +221,44 @@ def cached_pages(spark, folder):
     return served.select("url", "html", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"))
 
 
+def page_classes(spark, folder):
+    """Class of a page by its path, over adapter paths of all five classes and mixed case."""
+    docs = I.table(spark, folder, "documents").selectExpr("doc_id", f"{I.SECTION_URL} AS url")
+    return docs.select("doc_id", page_class(F.col("url")).alias("page_class"))
+
+
+def arrived_pages(spark, folder):
+    """Snapshots that arrived with a body, of several status codes."""
+    shots = I.snapshots(spark, folder).withColumn("status", F.expr("CAST(CASE hour(fetched_at) % 3 WHEN 0 THEN 200 WHEN 1 THEN 404 ELSE 500 END AS INT)"))
+    return successful(shots).select("url", F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"))
+
+
+def wanted_urls(spark, folder):
+    """The ranked list from the sitemaps, and the one that seeds stand in for where there are none."""
+    listed = I.sitemaps(spark, folder)
+    parts = []
+    for case, xml in (("sitemap", listed), ("none", listed.where("xml = ''"))):
+        ranked = ranked_urls(with_seed_fallback(sitemap_urls(xml, RULES), RULES), RULES)
+        place = F.row_number().over(Window.partitionBy("case").orderBy("priority", "url"))
+        parts.append(by_priority(ranked.withColumn("case", F.lit(case))).withColumn("place", place.cast("bigint")))
+    return unite(*parts).select("case", "place", "url", F.col("priority").cast("bigint").alias("priority"))
+
+
+def qa_pairs_file(spark, folder):
+    """Pairs written as JSON lines and read back."""
+    path = new_path(spark, "pairs")
+    write_pairs(I.pairs(spark, folder), path)
+    return pair_columns(read_pairs(spark, path))
+
+
+def earlier_documents(spark, folder):
+    """Documents of an earlier run, and of a run that never was."""
+    path = new_path(spark, "documents")
+    write_documents(I.documents(spark, folder, "text").drop("doc_id"), path)
+    found = [read_documents_if_present(spark, at) for at in (path, new_path(spark, "absent"))]
+    return unite(*found).select("id", "content")
+
+
 # --- repository files -------------------------------------------------------
 
 
@@ -364,4 +402,9 @@ QUERIES = {
     "source_counts": documents_per_source,
     "run_stats": run_totals,
     "jsonl_documents": jsonl_documents,
+    "page_class": page_classes,
+    "arrived_pages": arrived_pages,
+    "wanted_urls": wanted_urls,
+    "qa_pairs_file": qa_pairs_file,
+    "earlier_documents": earlier_documents,
 }
