@@ -7,8 +7,9 @@ unlike an RDD checkpoint, can still be read column by column.
 
 from __future__ import annotations
 
+import atexit
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from typing import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,22 @@ def shared_root(spark: SparkSession) -> str:
     return f"{warehouse}/.staging"
 
 
+_registered: set[str] = set()
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/corpusforge/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A path below the application's own folder, which goes when this process ends."""
+    folder = f"{shared_root(spark)}/corpusforge/{spark.sparkContext.applicationId}"
+    if folder not in _registered:
+        _registered.add(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        atexit.register(_drop_at_exit, path, spark.sparkContext._jsc.hadoopConfiguration())
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def _drop_at_exit(path, configuration) -> None:
+    with suppress(Exception):  # the JVM may be gone; what stays is named after the application
+        path.getFileSystem(configuration).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
