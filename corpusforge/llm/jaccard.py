@@ -15,7 +15,8 @@ Components, not all pairs, are the result, so pairs inside a component need no c
 Nothing about all documents reaches the driver but the bitmaps, whose sizes are fixed.
 
 Defined cases: a null or wordless text is an empty set, linked with nothing; fewer words than ``SIZE`` are one
-shingle; rows of one doc_id and different texts are separate sets, which count as one node where they share their smallest id; rows without doc_id get the component of an equal or
+shingle; rows of one doc_id and different texts are separate sets, which count as one node where they share
+their smallest id; rows without doc_id get the component of an equal or
 linked set, null if that has no id either; an empty table gives no rows.
 """
 

@@ -23,7 +23,6 @@ separate texts (each repeats the other); an empty table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
 from typing import Iterator
 
 import numpy as np
