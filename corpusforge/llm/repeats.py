@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stage
+from .common import arrow_batches, stage
 from .hashing import mix, powers, prefix_hashes, window_hashes
 from .suffixes import common_prefixes, suffix_array
 
@@ -40,7 +40,9 @@ CROWD = 2_000
 #: Cells of the bitmap of repeated anchors, whatever the input.
 CELLS = 1 << 24
 #: Bytes of text handled together, and of one stretch of a longer text.
-BLOCK = 4_000_000
+BLOCK = 1_200_000
+#: Texts in an Arrow batch.
+TEXT_ROWS = 2_000
 _PLACE_BITS = np.uint64(24)
 
 
@@ -271,7 +273,8 @@ def find_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         whole = {name: pd.array(list(c), dtype="Int64") for name, c in zip(("doc_id", "text_hash", "start", "stop", "string"), columns)}
         return pd.DataFrame(whole | {"once": pd.array(list(columns[5]), dtype="bool")})
 
-    found = stage(_pieces(docs, length, gram).groupBy("bucket").applyInPandas(search, FOUND), "repeated-starts")
+    with arrow_batches(docs.sparkSession, TEXT_ROWS):
+        found = stage(_pieces(docs, length, gram).groupBy("bucket").applyInPandas(search, FOUND), "repeated-starts")
     sure = found.where("string is null").select("doc_id", "text_hash", "start", "stop")
     between = found.where("string is not null")
     again = between.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")

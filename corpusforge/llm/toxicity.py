@@ -33,7 +33,7 @@ DECAY, SPAN, SHARPEN = 0.7, 6, 4
 LANDMARKS = 96
 SAMPLE, SAMPLE_CHARS = 2_500, 50_000
 ROUNDS = 5
-CACHE = 600_000
+CACHE = 400_000
 #: Entries of the sparse map that are multiplied at once, and tokens mapped at once.
 ENTRIES, TOKENS, BLOCK = 50_000, 1_000, 5_000
 #: Tokens that share less than this with the landmarks are unlike all of them.
@@ -151,7 +151,7 @@ class Model:
     def learn(self, tokens: set[str]) -> None:
         """Put the values of new tokens into the cache."""
         known, plain = self.known, self.plain
-        if len(known) > CACHE:
+        if len(known) > CACHE // 2:
             known.clear()
         if len(plain) > CACHE:
             plain.clear()
