@@ -30,8 +30,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes and more that stand elsewhere too are cut out; the rest of the text stays."""
-    return repeats.without_repeats(docs)
+    """Passages of over 50 words that stand elsewhere too are cut out; the rest of the text stays."""
+    return repeats.without_passages(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,8 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_ALNUM = np.zeros(256, dtype=bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 #: Bytes of text that are hashed together.
 BLOCK = 1_000_000
@@ -97,3 +99,26 @@ def shingle_sets(encoded: list[bytes], size: int) -> list[np.ndarray]:
             found.append(np.zeros(0, dtype=np.uint64))
         at += n
     return found
+
+
+def word_starts(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and ends of the words between blanks; kana and ideographs, which have no blanks, are words each."""
+    word = ~_BLANK[data]
+    alone = (data >= 0xE3) & (data <= 0xE9)  # lead bytes of U+3000 to U+9FFF
+    begin = word & np.r_[True, ~word[:-1]][: len(data)] | alone
+    begin[3:] |= alone[:-3] & word[3:]
+    last = word & np.r_[~word[1:] | begin[1:], True][: len(data)]
+    return np.nonzero(begin)[0], np.nonzero(last)[0] + 1
+
+
+def bare_word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of all words of a text, each without the ASCII signs around it; a word of signs only has that of no word."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    starts, ends = word_starts(data)
+    core = np.r_[np.nonzero(_ALNUM[data])[0], len(data)]
+    first = np.minimum(core[np.searchsorted(core[:-1], starts)], ends)
+    last = np.maximum(core[np.searchsorted(core[:-1], ends) - 1] + 1, first)
+    last = np.where(first == ends, ends, last)
+    _, down = powers(len(data) + 1)
+    sums = prefix_hashes(data)
+    return mix((sums[last] - sums[first]) * down[first])

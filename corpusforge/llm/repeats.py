@@ -17,24 +17,29 @@ once, or keeps of what it found, is matched between the tasks by one aggregation
 lands in one task, and nothing is dropped.  The bitmap saves work only: with more anchors than it can tell
 apart, more pieces are sent, the result is the same.
 
+What is counted is told by a rule: ``BYTES``, as above, or ``WORDS``, where a text is the row of its words' 64-bit hashes
+and a passage is ``PASSAGE`` of them, whatever their bytes, blanks and outer punctuation; words are cut with the blanks behind them.
+
 Defined cases: a null text is empty; texts shorter than ``LENGTH`` have no string; rows repeated in all columns are
 separate texts (each repeats the other); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
+from typing import Iterator, NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .common import arrow_batches, stage
-from .hashing import mix, powers, prefix_hashes, window_hashes
+from .hashing import bare_word_hashes, mix, powers, prefix_hashes, window_hashes, word_starts
 from .suffixes import common_prefixes, suffix_array
 
 LENGTH, GRAM = 400, 64
 FINE_WINDOW, FINE_GRAM = 64, 16
+#: Words of the shortest passage of the word rule: over 50.
+PASSAGE = 51
 #: Places of an anchor in one task at most; more are spread.
 CROWD = 2_000
 #: Cells of the bitmap of repeated anchors, whatever the input.
@@ -46,6 +51,36 @@ TEXT_ROWS = 2_000
 _PLACE_BITS = np.uint64(24)
 
 
+class Rule(NamedTuple):
+    """The units that texts are compared by, and how many make a string, a gram and a block."""
+
+    length: int
+    gram: int
+    fine_window: int = FINE_WINDOW
+    fine_gram: int = FINE_GRAM
+    block: int = BLOCK
+    words: bool = False
+
+    @property
+    def dtype(self) -> np.dtype:
+        return np.dtype("<u8" if self.words else "u1")
+
+    def units(self, texts) -> list[np.ndarray]:
+        encoded = [(text or "").encode() for text in texts]
+        if self.words:
+            return [bare_word_hashes(data) for data in encoded]
+        return [np.frombuffer(data, dtype=np.uint8) for data in encoded]
+
+    def at(self, data: bytes) -> np.ndarray | None:
+        """Byte at which each unit of a text begins, and the text's end; None where units are bytes."""
+        return np.r_[word_starts(np.frombuffer(data, dtype=np.uint8))[0], len(data)] if self.words else None
+
+
+BYTES = Rule(LENGTH, GRAM)
+# A word stands for eight bytes in all sizes, so that a passage holds as many anchors as a string of bytes.
+WORDS = Rule(PASSAGE, GRAM // 8, FINE_WINDOW // 8, FINE_GRAM // 8, BLOCK // 8, True)
+
+
 def least_in_windows(hashes: np.ndarray, window: int) -> np.ndarray:
     """Position of the leftmost least hash of every window, by block-wise running minima."""
     mask = (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
@@ -60,13 +95,13 @@ def least_in_windows(hashes: np.ndarray, window: int) -> np.ndarray:
     return (np.minimum(backward[:count], forward[window - 1 : window - 1 + count]) & mask).astype(np.int64)
 
 
-def stretches(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def stretches(texts: list[np.ndarray], rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Blocks of text: data, and per stretch its text's index, its begin in the block and its offset in the text."""
     held, size = [], 0
     for at, data in enumerate(texts):
-        for offset in range(0, max(0, len(data) - length + 1), BLOCK):
-            piece = data[offset : offset + BLOCK + length - 1]
-            if held and size + len(piece) > BLOCK:
+        for offset in range(0, max(0, len(data) - rule.length + 1), rule.block):
+            piece = data[offset : offset + rule.block + rule.length - 1]
+            if held and size + len(piece) > rule.block:
                 yield _block(held)
                 held, size = [], 0
             held.append((at, offset, piece))
@@ -77,7 +112,7 @@ def stretches(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.
 
 def _block(held):
     sizes = np.array([len(piece) for _, _, piece in held], dtype=np.int64)
-    data = np.frombuffer(b"".join(piece for _, _, piece in held), dtype=np.uint8)
+    data = np.concatenate([piece for _, _, piece in held])
     return data, np.array([at for at, _, _ in held]), np.r_[0, np.cumsum(sizes)], np.array([offset for _, offset, _ in held])
 
 
@@ -96,19 +131,15 @@ def anchored(data: np.ndarray, bounds: np.ndarray, length: int, gram: int):
     return first, count, grams[anchor[first]], stretch[first]
 
 
-def _encoded(texts) -> list[bytes]:
-    return [(text or "").encode() for text in texts]
-
-
-def _repeated_anchors(docs: DataFrame, length: int, gram: int) -> np.ndarray:
+def _repeated_anchors(docs: DataFrame, rule: Rule) -> np.ndarray:
     """Per cell of the bitmap 0 for anchors seen once, else 1 plus how many times their places double ``CROWD``."""
     parts = 1 << max(6, (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     width = CELLS // parts
 
     def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for data, _, bounds, _ in stretches(_encoded(batch["text"]), length):
-                value, count = np.unique(anchored(data, bounds, length, gram)[2], return_counts=True)
+            for data, _, bounds, _ in stretches(rule.units(batch["text"]), rule):
+                value, count = np.unique(anchored(data, bounds, rule.length, rule.gram)[2], return_counts=True)
                 part = ((value & np.uint64(CELLS - 1)) // np.uint64(width)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 cuts = np.searchsorted(part[order], np.arange(parts + 1))
@@ -135,10 +166,11 @@ FOUND = "doc_id long, text_hash long, start long, stop long, string long, once b
 _PLACE = np.dtype([("doc", "<i8"), ("known", "?"), ("text", "<i8"), ("start", "<i8")])
 
 
-def _pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """The bytes of all strings of each repeated anchor, with the places where they stand."""
+def _pieces(docs: DataFrame, rule: Rule) -> DataFrame:
+    """The units of all strings of each repeated anchor, with the places where they stand."""
     spark = docs.sparkSession
-    levels = spark.sparkContext.broadcast(_repeated_anchors(docs, length, gram))
+    levels = spark.sparkContext.broadcast(_repeated_anchors(docs, rule))
+    width = rule.dtype.itemsize
     buckets = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -146,8 +178,8 @@ def _pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
             known = batch["doc_id"].notna().to_numpy()
             ids = batch["doc_id"].fillna("0").astype("int64").to_numpy()
             hashes = batch["text_hash"].to_numpy(dtype=np.int64)
-            for data, owner, bounds, offsets in stretches(_encoded(batch["text"]), length):
-                first, count, anchor, stretch = anchored(data, bounds, length, gram)
+            for data, owner, bounds, offsets in stretches(rule.units(batch["text"]), rule):
+                first, count, anchor, stretch = anchored(data, bounds, rule.length, rule.gram)
                 level = levels.value[(anchor & np.uint64(CELLS - 1)).astype(np.int64)]
                 used = np.nonzero(level)[0]
                 raw = data.tobytes()
@@ -156,7 +188,7 @@ def _pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 salt = (mix(hashes.astype(np.uint64) ^ ids.astype(np.uint64))[at] % (np.uint64(1) << np.maximum(level, 1).astype(np.uint64) - np.uint64(1))).astype(np.int64)
                 held: dict[tuple, list] = {}
                 for i in used.tolist():
-                    piece = raw[first[i] : first[i] + count[i] + length - 1]
+                    piece = raw[first[i] * width : (first[i] + count[i] + rule.length - 1) * width]
                     held.setdefault((int(anchor[i]), int(salt[i]), int(level[i]), piece), []).append((ids[at[i]], known[at[i]], hashes[at[i]], start[i]))
                 keys = list(held)
                 bucket = (mix(np.array([k[0] for k in keys], dtype=np.uint64) + np.array([k[1] for k in keys], dtype=np.uint64)) % np.uint64(buckets)).astype(np.int32)
@@ -174,20 +206,21 @@ def _pieces(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("string"), "text", F.xxhash64("text").alias("text_hash")).mapInPandas(cut, PIECE)
 
 
-def repeated_starts(pieces: list[bytes], times: np.ndarray, length: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def repeated_starts(pieces: list[bytes], times: np.ndarray, rule: Rule) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For each piece, which of its strings occur more than once among all pieces, and the strings' hashes.
 
     ``times`` counts the places of each piece.  Candidates come from one suffix array over phrase symbols: two equal
     strings share the phrases between the fine anchors that neither's surroundings can move.
     """
-    data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-    sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+    length, fine_window, fine_gram = rule.length, rule.fine_window, rule.fine_gram
+    data = np.frombuffer(b"".join(pieces), dtype=rule.dtype)
+    sizes = np.array([len(p) // rule.dtype.itemsize for p in pieces], dtype=np.int64)
     bounds = np.r_[0, np.cumsum(sizes)]
     sums = prefix_hashes(data)
     owner = np.repeat(np.arange(len(pieces)), sizes)
-    grams = window_hashes(sums, np.arange(len(data) - FINE_GRAM + 1), FINE_GRAM)
-    fine = least_in_windows(grams, FINE_WINDOW)
-    inside = np.arange(len(fine)) + FINE_WINDOW + FINE_GRAM - 1 <= bounds[owner[: len(fine)] + 1]
+    grams = window_hashes(sums, np.arange(len(data) - fine_gram + 1), fine_gram)
+    fine = least_in_windows(grams, fine_window)
+    inside = np.arange(len(fine)) + fine_window + fine_gram - 1 <= bounds[owner[: len(fine)] + 1]
     edges = np.unique(fine[inside])
     mine = owner[edges]
     # A phrase reaches to the next edge of its piece; the last one of a piece is its end mark.
@@ -204,14 +237,14 @@ def repeated_starts(pieces: list[bytes], times: np.ndarray, length: int) -> tupl
     begin = edges[order]
     common = edges[np.minimum(order + shared, len(edges) - 1)] - begin
     # Two strings that are equal share all phrases from the first edge that is safe on the left to the last on the right.
-    enough = common >= length - 2 * (FINE_WINDOW - 1) - 2 * (FINE_WINDOW + FINE_GRAM - 1) + FINE_GRAM
+    enough = common >= length - 2 * (fine_window - 1) - 2 * (fine_window + fine_gram - 1) + fine_gram
     member = np.zeros(len(edges), dtype=bool)
     member[order[enough]] = True
     member[order[:-1][enough[1:]]] = True
-    # Strings that an edge stands for: it is the first edge at least FINE_WINDOW - 1 bytes after their start.
-    before = np.where(np.r_[True, mine[1:] != mine[:-1]], bounds[mine] - 1, np.r_[0, edges[:-1]] - (FINE_WINDOW - 1))
+    # Strings that an edge stands for: it is the first edge at least fine_window - 1 units after their start.
+    before = np.where(np.r_[True, mine[1:] != mine[:-1]], bounds[mine] - 1, np.r_[0, edges[:-1]] - (fine_window - 1))
     low = np.maximum(before + 1, bounds[mine])
-    high = np.minimum(edges - (FINE_WINDOW - 1), bounds[mine + 1] - length)
+    high = np.minimum(edges - (fine_window - 1), bounds[mine + 1] - length)
     candidate = np.zeros(len(data) + 1, dtype=np.int64)
     some = member & (low <= high)
     np.add.at(candidate, low[some], 1)
@@ -233,7 +266,7 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.nonzero(edge == 1)[0].tolist(), np.nonzero(edge == -1)[0].tolist()))
 
 
-def find_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def find_starts(docs: DataFrame, rule: Rule = BYTES) -> DataFrame:
     """doc_id, text_hash, start, stop: runs of starts of repeated strings in the texts of (doc_id, text)."""
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
@@ -251,12 +284,12 @@ def find_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         at = 0
         while at < len(chosen):  # anchors together until a block is full, but an anchor never split
             end, size = at, 0
-            while end < len(chosen) and (size < BLOCK or chosen[end][0][:2] == chosen[end - 1][0][:2]):
-                size += len(chosen[end][0][3])
+            while end < len(chosen) and (size < rule.block or chosen[end][0][:2] == chosen[end - 1][0][:2]):
+                size += len(chosen[end][0][3]) // rule.dtype.itemsize
                 end += 1
             part, at = chosen[at:end], end
             times = np.array([len(where) for _, where in part])
-            repeated, hashes = repeated_starts([key[3] for key, _ in part], times, length)
+            repeated, hashes = repeated_starts([key[3] for key, _ in part], times, rule)
             told: set[int] = set()
             for (key, where), flags, strings in zip(part, repeated, hashes):
                 runs = _runs(flags)
@@ -274,7 +307,7 @@ def find_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         return pd.DataFrame(whole | {"once": pd.array(list(columns[5]), dtype="bool")})
 
     with arrow_batches(docs.sparkSession, TEXT_ROWS):
-        found = stage(_pieces(docs, length, gram).groupBy("bucket").applyInPandas(search, FOUND), "repeated-starts")
+        found = stage(_pieces(docs, rule).groupBy("bucket").applyInPandas(search, FOUND), "repeated-starts")
     sure = found.where("string is null").select("doc_id", "text_hash", "start", "stop")
     between = found.where("string is not null")
     again = between.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
@@ -282,15 +315,20 @@ def find_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     return sure.unionByName(more)
 
 
-def removed_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """_id, _hash, runs: sorted (start, stop) of removed bytes of each text that has some; runs may overlap."""
-    starts = find_starts(docs, length, gram).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    return starts.agg(F.array_sort(F.collect_set(F.struct("start", (F.col("stop") + length - 1).alias("stop")))).alias("runs"))
+def removed_spans(docs: DataFrame, rule: Rule = BYTES) -> DataFrame:
+    """_id, _hash, runs: sorted (start, stop) of removed units of each text that has some; runs may overlap."""
+    starts = find_starts(docs, rule).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    return starts.agg(F.array_sort(F.collect_set(F.struct("start", (F.col("stop") + rule.length - 1).alias("stop")))).alias("runs"))
 
 
 def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs`` with ``kept`` (the remaining bytes), ``n_bytes``, ``n_removed`` and ``n_spans``."""
-    spans = removed_spans(docs, length, gram)
+    return cut_by(docs, Rule(length, gram))
+
+
+def cut_by(docs: DataFrame, rule: Rule) -> DataFrame:
+    """``cut`` by any rule."""
+    spans = removed_spans(docs, rule)
     on = docs.doc_id.eqNullSafe(spans["_id"]) & (F.xxhash64(docs.text) == spans["_hash"])
     met = docs.join(spans, on, "left").drop("_id", "_hash")
     schema = "kept binary, n_bytes long, n_removed long, n_spans long"
@@ -301,8 +339,11 @@ def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
         for text, found in zip(texts, runs):
             data = (text or "").encode()
             kept, at, spans = [], 0, 0
+            begins = rule.at(data) if found is not None else None
             for run in found if found is not None else ():
                 start, stop = run["start"], run["stop"]
+                if begins is not None:
+                    start, stop = int(begins[start]), int(begins[stop])
                 if spans == 0 or start > at:
                     kept.append(data[at:start])
                     spans += 1
@@ -317,7 +358,16 @@ def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs`` with the remaining text in place of ``text``; characters that lost bytes go whole."""
-    done = cut(docs, length, gram)
+    return _with_rest(docs, Rule(length, gram))
+
+
+def without_passages(docs: DataFrame) -> DataFrame:
+    """``docs`` without the passages of ``PASSAGE`` words and more that stand elsewhere too."""
+    return _with_rest(docs, WORDS)
+
+
+def _with_rest(docs: DataFrame, rule: Rule) -> DataFrame:
+    done = cut_by(docs, rule)
 
     @F.pandas_udf("string")
     def decoded(kept: pd.Series) -> pd.Series:

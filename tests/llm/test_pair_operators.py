@@ -169,3 +169,44 @@ def test_windows_in_blocks(spark, monkeypatch):
     items = spark.createDataFrame([(1, ten)], "item_id long, text string")
     docs = spark.createDataFrame([(1, ten), (2, "nothing")], "doc_id long, text string")
     assert {(r.doc_id, r.n_hit) for r in decontaminate.contamination(docs, items).collect()} == {(1, 15), (2, 0)}
+
+
+def brute_words(texts, length):
+    """Texts without the words that a row of ``length`` words covers which stands elsewhere too."""
+    split = [[(m.start(), m[0].strip(".,\"")) for m in re.finditer(r"\S+\s*", t)] for t in texts]
+    bare = [[w.strip().strip(".,\"") for _, w in words] for words in split]
+    seen = {}
+    for words in bare:
+        for k in range(len(words) - length + 1):
+            seen[tuple(words[k : k + length])] = seen.get(tuple(words[k : k + length]), 0) + 1
+    out = []
+    for text, words, places in zip(texts, bare, split):
+        gone = {j for k in range(len(words) - length + 1) if seen[tuple(words[k : k + length])] > 1 for j in range(k, k + length)}
+        edges = [p for p, _ in places] + [len(text)]
+        out.append(text[: edges[0]] + "".join(text[edges[j] : edges[j + 1]] for j in range(len(words)) if j not in gone))
+    return out
+
+
+@pytest.mark.parametrize("crowd", [2, 2000])
+def test_repeated_passages_equal_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(repeats, "CROWD", crowd)
+    rng = random.Random(13)
+    row = lambda n: "".join(rng.choice(["a", "be", "ü", "cat", "dogs", "é."]) + rng.choice([" ", "\n", "  "]) for _ in range(n))
+    exact, short, long = row(51), row(50), row(130)
+    texts = ["", " \n", row(50), "x " * 200, " lead" + row(60), "For a, " * 40]
+    for _ in range(12):
+        texts.append(row(rng.randrange(40)) + exact + row(rng.randrange(40)))
+        texts.append(row(rng.randrange(40)) + f"q{rng.randrange(10**6)} " + short + f"q{rng.randrange(10**6)}")
+        texts.append(row(rng.randrange(40)) + long[rng.randrange(60) :] + row(rng.randrange(90)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = [r.text for r in repeats.without_passages(docs).orderBy("doc_id").collect()]
+    assert got == brute_words(texts, 51)
+
+
+def test_passage_between_signs_and_without_blanks(spark):
+    rng = random.Random(3)
+    words = " ".join(rng.choice("abcdefgh") for _ in range(51))
+    signs = "".join(chr(0x4E00 + rng.randrange(500)) for _ in range(60))
+    texts = [f'one "{words}." two', f"three ({words}), four", f"five {signs} six", f"seven{signs}eight", "clean " + words[2:], None]
+    got = repeats.without_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.text for r in got] == ["one two", "three four", "five six", "seveneight", "clean " + words[2:], None]

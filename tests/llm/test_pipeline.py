@@ -81,3 +81,17 @@ def test_stages_on_empty_documents(spark, tables):
     for _, function in corpus_pipeline.STAGES:
         now = function(spark, now, folder)
     assert now.count() == 0
+
+
+def test_passage_of_51_short_words_goes(spark):
+    """Shared by otherwise different documents, and well under 400 bytes; 50 shared words stay."""
+    rng = random.Random(17)
+    text = lambda n: " ".join(rng.choice("bcdfgl") + rng.choice("aeiou") + rng.choice(["", "n", "rt"]) for _ in range(n))
+    passage, shorter = text(51), text(50)
+    assert len(passage) < 250 < repeats.LENGTH
+    ends = [(text(30), text(30)) for _ in range(8)]
+    docs = [f"{a} {passage if i < 4 else shorter} {b}" for i, (a, b) in enumerate(ends)] + [text(120) for _ in range(20)]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(docs)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in dict(corpus_pipeline.STAGES)["repeated_passages"](spark, table, "").collect()}
+    want = [f"{a} {b}" if i < 4 else docs[i] for i, (a, b) in enumerate(ends)] + docs[8:]
+    assert got == {i: (t, len(t)) for i, t in enumerate(want)}
