@@ -1,8 +1,9 @@
 """Main text of HTML pages by composite text density.
 
 A page becomes a DOM (implied end tags, raw-text elements, comments and broken nesting handled), parts that
-are never an article (scripts, menus, adverts, forms, comments ...) are cut off, and every remaining node gets
-a density: characters per tag, raised or lowered by how much of it are links.  The node whose children's
+are never an article (scripts, menus, forms ...) are cut off, and so are parts whose class or id speaks of
+adverts, comments and the like, unless they hold the page's article or most of its text.  Every remaining node
+gets a density: characters per tag, raised or lowered by how much of it are links.  The node whose children's
 densities have the largest sum is the article's subtree; the smallest density on its path to the body is the
 threshold, and other subtrees at least that dense add their own largest-sum node.
 
@@ -30,13 +31,15 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr".split()
 )
 NEVER = frozenset("script style noscript template iframe svg math object head nav aside footer form button select textarea input dialog menu".split())
-#: Words in a class or id that mark a part as no article.
+#: Words in a class or id that mark a part as no article, if it is not the part that holds it.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner popup modal overlay cookie cookies "
     "consent gdpr notice notices alert newsletter subscribe subscription signup login nav navbar navigation menu breadcrumb breadcrumbs sidebar "
     "aside widget related recommended share sharing social comment comments disqus replies respond footer header masthead toolbar "
     "pagination pager skip tags copyright legal".split()
 )
+#: Words before a mark that make it a property of something else: has-sidebar, no-ads.
+OWNING = frozenset("has have no not non with without".split())
 #: Roles that say the same.
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 # Which open elements a start tag ends, and where the search for them stops.
@@ -51,10 +54,10 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("name", "children", "parent", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "children", "parent", "chars", "tags", "link_chars", "link_tags", "density", "total", "marked", "article")
 
-    def __init__(self, name: str, parent: "Node | None"):
-        self.name, self.parent, self.children = name, parent, []
+    def __init__(self, name: str, parent: "Node | None", marked: bool = False):
+        self.name, self.parent, self.children, self.marked = name, parent, [], marked
 
 
 def is_furniture(name: str, attributes: str, in_article: bool) -> bool:
@@ -64,18 +67,23 @@ def is_furniture(name: str, attributes: str, in_article: bool) -> bool:
         return False
     if _HIDDEN.search(attributes):
         return True
-    for key, *values in _NAMES.findall(attributes):
-        value = "".join(values)
+    return any(key.lower() == "role" and "".join(values).lower() in ROLES for key, *values in _NAMES.findall(attributes))
+
+
+def is_marked(attributes: str, in_article: bool) -> bool:
+    """Whether a class or id holds a word of ``MARKS``; inside an article a header is the article's own."""
+    for key, *values in _NAMES.findall(attributes) if attributes else ():
         if key.lower() == "role":
-            if value.lower() in ROLES:
+            continue
+        for name in "".join(values).split():
+            parts = ["", *(part.lower() for part in _PART.findall(name))]
+            if any(part in MARKS and before not in OWNING and not (in_article and part == "header") for before, part in zip(parts, parts[1:])):
                 return True
-        elif any(part.lower() in MARKS for part in _PART.findall(value)):
-            return True
     return False
 
 
 def parse(html: str) -> Node:
-    """The DOM without furniture; text is kept as strings among the children."""
+    """The DOM without furniture, marked parts included; text is kept as strings among the children."""
     root = at = Node("#root", None)
     skip: str | None = None  # the furniture element that is open, and how many of its name
     depth = inside = 0
@@ -116,7 +124,7 @@ def parse(html: str) -> Node:
             if name not in VOID and not token[3].endswith("/"):
                 skip, depth = name, 1
             continue
-        node = Node(name, at)
+        node = Node(name, at, is_marked(token[3], inside > 0))
         at.children.append(node)
         if name not in VOID and not (token[3].endswith("/") and name not in INLINE):
             at = node
@@ -157,11 +165,10 @@ def walk(root: Node) -> list[Node]:
     return order
 
 
-def weigh(order: list[Node]) -> None:
-    """Counts, densities and sums of child densities of every node.
+def count(order: list[Node]) -> None:
+    """Characters and tags of every node, and those of them that are links.
 
-    Inline formatting is part of its block's text: only blocks and links count as tags, and only blocks, and text
-    that stands beside blocks, as children of the sum.
+    Inline formatting is part of its block's text: only blocks and links count as tags.
     """
     for node in reversed(order):
         chars = tags = link_chars = link_tags = 0
@@ -174,6 +181,11 @@ def weigh(order: list[Node]) -> None:
                 link_chars += child.link_chars
                 link_tags += child.link_tags + (child.name == "a")
         node.chars, node.tags, node.link_chars, node.link_tags = chars, tags, chars if node.name == "a" else link_chars, link_tags
+
+
+def weigh(order: list[Node]) -> None:
+    """Counts, densities and sums of child densities of every node; only blocks, and text beside blocks, count as children."""
+    count(order)
     share = order[0].link_chars / max(1, order[0].chars)
     for node in order:
         node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, share)
@@ -183,6 +195,40 @@ def weigh(order: list[Node]) -> None:
         node.total = sum(inner) + sum(loose)
 
 
+def prune(root: Node) -> None:
+    """Cut off the marked parts that are not what the page is about.
+
+    A marked part stays, for the densities to judge, if it holds an article that is no small one beside the page's largest,
+    or most of the page's characters, few of them links, with little of an article outside it.
+    """
+    order = walk(root)
+    if not any(node.marked for node in order):
+        return
+    count(order)
+    largest = None
+    for node in reversed(order):
+        node.article = max((c.article for c in node.children if isinstance(c, Node)), default=0)
+        if not node.marked and (node.name == "article" or (node.name == "main" and not node.article)):
+            node.article = node.chars
+            if largest is None or node.chars > largest.chars:
+                largest = node
+    open_nodes = [(root, False)]
+    while open_nodes:
+        node, within = open_nodes.pop()
+        within = within or node is largest
+
+        def stays(child) -> bool:
+            if isinstance(child, str) or not child.marked or child.name in ("html", "body", "article", "main"):
+                return True
+            if child.article and 4 * child.article >= largest.chars:
+                return True
+            rest = 0 if largest is None else largest.chars - within * child.chars
+            return 2 * child.chars > root.chars and 2 * child.link_chars <= child.chars and 10 * rest < child.chars
+
+        node.children = [child for child in node.children if stays(child)]
+        open_nodes.extend((c, within) for c in node.children if isinstance(c, Node))
+
+
 def density(chars: int, tags: int, link_chars: int, link_tags: int, share: float) -> float:
     """Characters per tag times a logarithm whose base grows with the links."""
     if not chars:
@@ -244,6 +290,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    prune(root)
     return " ".join(block for block in blocks(root, content_nodes(root)) if block)
 
 

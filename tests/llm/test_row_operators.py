@@ -192,6 +192,27 @@ def test_two_dense_parts_are_both_found():
     assert "three" not in density.main_text(html)
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "page no-ads", "site-content with-comments", "pageWithSidebar", "entry-header", "site-content comments-open", "share-page"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_wrappers_with_marks_keep_their_article(name, tag):
+    long = "Many words stand here, one after the other, and none of them is a link at all. " * 4
+    inner = f'<{tag}><div class="entry-header"><h1>T</h1></div><p>{long}</p><p>{long}</p><div class="share"><a href=1>share it</a></div></{tag}>'
+    other = '<div class="sidebar"><a href=1>one</a> <a href=2>two</a> off</div><div class="ad">Buy this</div><div id="comments"><p>I say so.</p></div>'
+    for page in (f'<body><div class="{name}">{inner}{other}</div></body>', f'<body><div id="x" class="a {name}"><div>{inner}</div></div>{other}</body>'):
+        text = density.main_text(page)
+        assert text.count("Many words") == 8
+        assert not any(w in text for w in ("two", "off", "Buy", "say", "share it"))
+
+
+def test_comments_longer_than_the_article_stay_out():
+    long = "Many words stand here, one after the other, and none of them is a link at all. " * 3
+    comment = "<li><article class='comment-body'><p>" + "This reader has much to say about the matter, and says it. " * 9 + "</p></article></li>"
+    card = "<div class='related'><article><p>A card about something else.</p></article></div>"
+    for article in (f"<article><h1>T</h1><p>{long}</p></article>", f"<main><p>{long}</p></main>"):
+        text = density.main_text(f"<body><div class='has-sidebar'>{article}<ol class='comments'>{comment}</ol>{card}</div></body>")
+        assert text.count("Many words") == 3 and "reader" not in text and "card" not in text
+
+
 # --- licences -----------------------------------------------------------------
 
 
