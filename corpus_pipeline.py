@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusforge.llm import decontaminate, jaccard, mixing, repeats, toxicity
 from corpusforge.llm.common import stage, table
@@ -40,9 +40,20 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies of every document towards the sources' target weights."""
-    sized = mixing.with_size(docs).select("doc_id", "lang", "source", "n_chars", "size")
-    return mixing.mix(stage(sized, "sizes"))
+    """Every document, text included, with the copies of it that bring the sources to their target weights.
+
+    ``copies`` says how often a document stands in the mix; one of 0 copies is listed but is no part of it.
+    """
+    key = ["doc_id", "lang", "source", "n_chars", "_hash"]
+    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    sized = mixing.with_size(hashed).select(*key, "size")
+    narrow = mixing.mix(stage(sized, "sizes"))
+    # Rows that are equal in all of the key are told apart by a number; which of them takes which copies is all one.
+    narrow = narrow.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy("copies")))
+    shares = narrow.select(*[F.col(c).alias(f"_r{c}") for c in (*key, "_nth")], "size", "source_size", "target", "copies", "taken")
+    whole = hashed.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1))))
+    on = [whole[c].eqNullSafe(shares[f"_r{c}"]) for c in (*key, "_nth")]
+    return whole.join(shares, on).select(*docs.columns, "size", "source_size", "target", "copies", "taken")
 
 
 STAGES = [

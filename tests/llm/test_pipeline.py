@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import corpus_pipeline
-from corpusforge.llm import queries, repeats, sql
+from corpusforge.llm import mixing, queries, repeats, sql
 
 SMALL = "/root/testdata/sf0.001"
 TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
@@ -95,3 +95,17 @@ def test_passage_of_51_short_words_goes(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in dict(corpus_pipeline.STAGES)["repeated_passages"](spark, table, "").collect()}
     want = [f"{a} {b}" if i < 4 else docs[i] for i, (a, b) in enumerate(ends)] + docs[8:]
     assert got == {i: (t, len(t)) for i, t in enumerate(want)}
+
+
+def test_mix_delivers_the_texts(spark):
+    """Each row once with its text beside its copies, repeated rows, null ids and documents without words included."""
+    rng = random.Random(19)
+    rows = [(i, " ".join("w" * rng.randrange(1, 4) for _ in range(rng.randrange(1, 30))), "en", f"s{i % 3}") for i in range(40)]
+    rows += [(None, "a b c", "en", "s1")] * 5 + [(None, "d e", None, None), (None, None, "en", "s1"), (50, "", "en", "s2"), (7, "x", "en", "s0")]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = dict(corpus_pipeline.STAGES)["mixing"](spark, docs, "").collect()
+    assert sorted(str((r.doc_id, r.text, r.lang, r.source)) for r in got) == sorted(map(str, rows))
+    sizes = mixing.with_size(docs).select("doc_id", "lang", "source", "n_chars", "size")
+    narrow = [tuple(r) for r in mixing.mix(sizes).select("doc_id", "source", "n_chars", "size", "copies", "taken").collect()]
+    assert sorted(map(str, narrow)) == sorted(str((r.doc_id, r.source, r.n_chars, r["size"], r.copies, r.taken)) for r in got)
+    assert all(r["size"] == len((r.text or "").split()) for r in got)
