@@ -124,8 +124,11 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 
 
 def remove_spans(text: Column, spans: Column) -> Column:
-    """``text`` without the words of ``spans`` and the gaps between them."""
-    gap = NON_ALNUM[:-1]
+    """``text`` without the words of ``spans`` and the gaps behind them.
+
+    The text is as written, so capitals are letters here, unlike in the folded text that was scanned.
+    """
+    gap = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
     lead = F.regexp_extract(text, f"^{gap}*", 0)
     pieces = F.regexp_extract_all(text, F.lit(f"([^{gap[1:-1]}]+{gap}*)"), F.lit(1))
 

@@ -210,3 +210,12 @@ def test_passage_between_signs_and_without_blanks(spark):
     texts = [f'one "{words}." two', f"three ({words}), four", f"five {signs} six", f"seven{signs}eight", "clean " + words[2:], None]
     got = repeats.without_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
     assert [r.text for r in got] == ["one two", "three four", "five six", "seveneight", "clean " + words[2:], None]
+
+
+def test_removed_spans_keep_capitals_around_them(spark):
+    item = " ".join(f"q{i}" for i in range(10))
+    text = f"The BIG Cat said NO and {item.upper()}! Then left, ÉTÉ [x]"
+    docs = spark.createDataFrame([(1, text), (2, f"{item} {item}"), (3, f"A\n{item}")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r.text for r in decontaminate.decontaminate(docs, items, action="spans").collect()}
+    assert got == {1: "The BIG Cat said NO and Then left, ÉTÉ [x]", 2: "", 3: "A\n"}
