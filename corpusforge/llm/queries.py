@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..staging import new_path
-from . import decontaminate, density, jaccard, licences, mixing, outliers, perspectives, repeats, toxicity, warc
+from . import decontaminate, density, jaccard, licences, mixing, outliers, perspectives, repeats, toxicity, turn_repair, warc
 from .common import stage, table
 
 
@@ -63,9 +63,15 @@ def op10_main_text(spark, folder):
     return density.extract(table(spark, folder, "pages"))
 
 
+def op11_turn_repair(spark, folder):
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.report(turn_repair.damaged(turns))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_warc, op3_jaccard_join, op4_source_mix, op5_licences, op6_perspectives, op7_repeats, op8_toxicity, op9_decontaminate, op10_main_text,
+        op11_turn_repair,
     )
 }

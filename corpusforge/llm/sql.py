@@ -78,4 +78,69 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN spots USING (rid) LEFT JOIN items USING (rid)
 """
 
-ORACLES = {"op2_warc": OP2, "op3_jaccard_join": OP3, "op6_perspectives": OP6, "op9_decontaminate": OP9}
+# Rows are taken from the last one on; q0 to q3 hold the cheapest edits (cost, initials, repaired lines) of what
+# follows if the repaired dialogue is empty so far or ends with a system, user or assistant turn.
+OP11 = r"""
+WITH RECURSIVE
+crc AS MATERIALIZED (
+  SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) ORDER BY n) AS t
+  FROM (SELECT unnest(range(0, 256)) AS n)),
+d AS MATERIALIZED (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT),
+                         lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 20 AS harm
+  FROM conversations, crc),
+m AS (
+  SELECT conv_id, turn, CASE harm WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE harm WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM d WHERE harm <> 0),
+n AS (
+  SELECT conv_id, turn, role, text, substr(role, 1, 1) AS l,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+         lead(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS after
+  FROM m),
+f AS MATERIALIZED (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+  FROM n),
+dp AS (
+  SELECT conv_id, max(i) + 1 AS i, {'c': 0, 's': '', 't': []::VARCHAR[]} AS q0, {'c': 10, 's': 'II', 't': ['user:', 'assistant:']} AS q1,
+         {'c': 5, 's': 'I', 't': ['assistant:']} AS q2, {'c': 0, 's': '', 't': []::VARCHAR[]} AS q3
+  FROM f GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, i,
+         list_min([h0, {'c': h2.c + 5, 's': 'I' || h2.s, 't': ['user:'] || h2.t}]),
+         list_min([h1, {'c': h2.c + 5, 's': 'I' || h2.s, 't': ['user:'] || h2.t}]),
+         list_min([h2, {'c': h3.c + 5, 's': 'I' || h3.s, 't': ['assistant:'] || h3.t}]),
+         list_min([h3, {'c': h2.c + 5, 's': 'I' || h2.s, 't': ['user:'] || h2.t}])
+  FROM (
+    SELECT f.conv_id, f.i,
+           list_min([d0, CASE WHEN stays AND l = 's' THEN {'c': q1.c + e, 's': 'K' || q1.s, 't': [k] || q1.t} END,
+                     CASE WHEN stays AND l = 'u' THEN {'c': q2.c + e, 's': 'K' || q2.s, 't': [k] || q2.t} END, ru]) AS h0,
+           list_min([d1, CASE WHEN stays AND l = 'u' THEN {'c': q2.c + e, 's': 'K' || q2.s, 't': [k] || q2.t} END, ru]) AS h1,
+           list_min([d2, CASE WHEN stays AND l = 'a' THEN {'c': q3.c + e, 's': 'K' || q3.s, 't': [k] || q3.t} END, ra]) AS h2,
+           list_min([d3, CASE WHEN stays AND l = 'u' THEN {'c': q2.c + e, 's': 'K' || q2.s, 't': [k] || q2.t} END, ru]) AS h3
+    FROM (
+      SELECT f.*, q1, q2, q3, fault NOT IN ('blank', 'duplicate') AS stays, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS e,
+             role || ':' || text AS k,
+             {'c': q0.c + 2, 's': 'D' || q0.s, 't': q0.t} AS d0, {'c': q1.c + 2, 's': 'D' || q1.s, 't': q1.t} AS d1,
+             {'c': q2.c + 2, 's': 'D' || q2.s, 't': q2.t} AS d2, {'c': q3.c + 2, 's': 'D' || q3.s, 't': q3.t} AS d3,
+             CASE WHEN stays THEN {'c': q2.c + e + 1, 's': 'R' || q2.s, 't': ['user:' || text] || q2.t} END AS ru,
+             CASE WHEN stays THEN {'c': q3.c + e + 1, 's': 'R' || q3.s, 't': ['assistant:' || text] || q3.t} END AS ra
+      FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i - 1) f)),
+g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (after IS NOT NULL AND l || after NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(q0.c, 0)::BIGINT AS cost, coalesce(q0.s, '') AS audit,
+       sha256(coalesce(array_to_string(q0.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM o.conv_id AND dp.i = 1
+"""
+
+ORACLES = {"op2_warc": OP2, "op3_jaccard_join": OP3, "op6_perspectives": OP6, "op9_decontaminate": OP9, "op11_turn_repair": OP11}
