@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..staging import new_path
-from . import decontaminate, density, jaccard, licences, mixing, outliers, perspectives, repeats, token_align, toxicity, turn_repair, warc
+from . import decontaminate, density, jaccard, licences, mixing, outliers, perspectives, repeats, secret_links, token_align, toxicity, turn_repair, warc
 from .common import stage, table
 
 
@@ -72,10 +72,14 @@ def op12_token_align(spark, folder):
     return token_align.aligned_counts(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op13_secret_links(spark, folder):
+    return secret_links.digest(secret_links.scan(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_warc, op3_jaccard_join, op4_source_mix, op5_licences, op6_perspectives, op7_repeats, op8_toxicity, op9_decontaminate, op10_main_text,
-        op11_turn_repair, op12_token_align,
+        op11_turn_repair, op12_token_align, op13_secret_links,
     )
 }
