@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.paths import file_class, file_language
 from ..operators.dedup import first_questions
 from ..operators.qa import rule_pairs
+from ..operators.split import with_shuffle_key
 from ..rules import SKIPPED_URL_PARTS, DomainRules, Limits
 from ..schemas import METADATA
 from ..sinks.training import shuffled_pairs
@@ -29,9 +30,17 @@ RULES = DomainRules(
     relevance_patterns=(r"@que", r"nicht\.", r"of.*that"),
     relevance_path_words=("worker",),
     skipped_url_parts=SKIPPED_URL_PARTS + ("/fr/",),
+    implementation_words=("workflow", "activity", "worker"),
 )
 LIMITS = Limits()
 
+# Two of these in a row are a term: 1,024 terms for searches with a large vocabulary.
+SYLLABLES = (
+    "th", "he", "an", "in", "er", "on", "re", "ti", "en", "ng", "ch", "sch", "ein", "ung", "keit", "lich",
+    "qu", "eau", "aux", "tre", "ment", "os", "as", "ado", "ción", "rr", "ll", "ue", "ü", "ä", "é", "zu",
+)
+MANY_TERMS = tuple(first + second for first in SYLLABLES for second in SYLLABLES)
+
 PATH = (
     "CASE doc_id % 6 WHEN 0 THEN 'src/worker_'||doc_id||'.py' WHEN 1 THEN 'samples/a_'||doc_id||'.go' "
     "WHEN 2 THEN 'docs/p_'||doc_id||'.md' WHEN 3 THEN 'node_modules/x_'||doc_id||'.js' "
@@ -71,7 +80,7 @@ def documents(spark: SparkSession, folder: str, content: str = RICH, content_typ
             F.concat(F.lit("https://docs.acme.example/"), path).alias("url"),
             F.concat(F.lit("Document "), "doc_id").alias("title"),
             "content",
-            (F.lit(content_type) if content_type else file_class(path)).alias("content_type"),
+            (F.lit(content_type) if content_type else file_class(path, RULES.implementation_words)).alias("content_type"),
             file_language(path).alias("language"),
             F.struct(
                 path.alias("path"),
@@ -96,6 +105,11 @@ def pairs(spark: SparkSession, folder: str) -> DataFrame:
     return first_questions(found_pairs(spark, folder))
 
 
+def keyed_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Questions are unique, so their keys are."""
+    return with_shuffle_key(pairs(spark, folder), SEED, copies=False)
+
+
 def stored_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return shuffled_pairs(pairs(spark, folder), SEED)
 

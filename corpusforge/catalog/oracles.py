@@ -423,6 +423,14 @@ ORACLES = {
         f"(VALUES {_TERM_ROWS}) AS terms(number, term) ON term = search_term) "
         "SELECT id, url, search_term FROM code ORDER BY rank, position, id LIMIT 50"
     ),
+    "concept_search_many": (
+        f"WITH files AS (SELECT text, lower(text) AS low, {I.PATH} AS path FROM documents), "
+        f"syllables AS (SELECT unnest([{', '.join(map(_quote, I.SYLLABLES))}]) AS part, unnest(range({len(I.SYLLABLES)})) AS slot), "
+        f"terms AS (SELECT a.part||b.part AS term, a.slot * {len(I.SYLLABLES)} + b.slot AS number FROM syllables a, syllables b), "
+        "hits AS (SELECT path, arg_min(term, number) AS search_term FROM files, terms "
+        "WHERE contains(low, term) AND length(text) >= 100 GROUP BY path) "
+        "SELECT 'github:acme/tools/'||path AS id, 'https://code.example/acme/tools/'||path AS url, search_term FROM hits"
+    ),
     "file_class": (
         f"SELECT doc_id, path, regexp_extract(path, '\\.[a-z]+$') AS extension, {_LANGUAGE} AS language, "
         f"{_KIND} AS content_type, starts_with(path, 'node_modules/') AS skipped "

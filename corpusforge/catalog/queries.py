@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import partial
 
 import pandas as pd
@@ -23,7 +24,7 @@ from ..operators.formats import FORMATS, to_format
 from ..operators.pages import by_priority, document_urls, extract_pages, page_documents, ranked_urls
 from ..operators.qa import documents_with_concepts, rule_pairs
 from ..operators.replies import attach_replies, pairs_with_fallback, parse_reply, prompt_text, with_model_replies
-from ..operators.repo_files import first_documents, repo_documents, search_documents, walk_documents
+from ..operators.repo_files import repo_documents, search_documents, walk_documents
 from ..operators.split import split_counts, split_pairs
 from ..operators.templates import TEMPLATES, rendered
 from ..sinks.jsonl import write_documents, write_jsonl, write_pairs
@@ -91,12 +92,12 @@ def content_dedup(spark, folder):
 
 
 def train_split(spark, folder):
-    split = split_pairs(I.stored_pairs(spark, folder), LIMITS.train_fraction)
+    split = split_pairs(I.keyed_pairs(spark, folder), LIMITS.train_fraction)
     return split.select("instruction", "source_id", "shuffle_key", "split")
 
 
 def split_totals(spark, folder):
-    return split_counts(split_pairs(I.stored_pairs(spark, folder), LIMITS.train_fraction))
+    return split_counts(split_pairs(I.keyed_pairs(spark, folder), LIMITS.train_fraction))
 
 
 def training_format(name, spark, folder):
@@ -280,8 +281,15 @@ def concept_search(spark, folder):
 
 
 def first_code_docs(spark, folder):
-    docs = repo_documents(I.repo_files(spark, folder), RULES, LIMITS, I.COLLECTED_AT)
-    return _file_columns(first_documents(docs, RULES, 50)).select("id", "url", "search_term")
+    docs = repo_documents(I.repo_files(spark, folder), RULES, LIMITS, I.COLLECTED_AT, limit=50)
+    return _file_columns(docs).select("id", "url", "search_term")
+
+
+def concept_search_many(spark, folder):
+    """The search for more terms than can be tested one by one."""
+    rules = replace(RULES, vocabulary=I.MANY_TERMS)
+    docs = search_documents(I.repo_files(spark, folder), rules, LIMITS, I.COLLECTED_AT)
+    return _file_columns(docs).select("id", "url", "search_term")
 
 
 def file_classes(spark, folder):
@@ -292,7 +300,7 @@ def file_classes(spark, folder):
         "path",
         extension(path).alias("extension"),
         file_language(path).alias("language"),
-        file_class(path).alias("content_type"),
+        file_class(path, RULES.implementation_words).alias("content_type"),
         in_skipped_folder(path, RULES).alias("skipped"),
     )
 
@@ -394,6 +402,7 @@ QUERIES = {
     "b64_decode": base64_text,
     "concept_search": concept_search,
     "first_code_docs": first_code_docs,
+    "concept_search_many": concept_search_many,
     "reply_parse": reply_parse,
     "reply_fallback": reply_fallback,
     "model_prompts": model_prompts,

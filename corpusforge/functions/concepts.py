@@ -28,9 +28,10 @@ def _bounded(pattern: str, first: str, last: str) -> str:
 def term_test(lower_text: Column, term: str, multiword: str = "hyphenated") -> Column:
     """Does the lower-cased text contain ``term`` as a whole word?
 
-    The substring test in front is a plain byte search; the regex runs only for
-    texts that pass it.
+    The term's case is all one.  The substring test in front is a plain byte search; the regex
+    runs only for texts that pass it.
     """
+    term = term.lower()
     joint = "[ -]?"
     if multiword == "literal":
         literal = term.replace(" ", joint)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, functions as F
 
 from ..rules import (
     DEFAULT_PAGE_CLASS,
-    IMPLEMENTATION_WORDS,
     LANGUAGES,
     PAGE_CLASSES,
     DomainRules,
@@ -67,13 +66,14 @@ def file_language(path: Column) -> Column:
     return F.try_element_at(table, extension(path))
 
 
-def file_class(path: Column) -> Column:
+def file_class(path: Column, implementation_words: tuple[str, ...] = ()) -> Column:
+    """Class of a file by its path; ``implementation_words`` are the domain's."""
     lower = F.lower(path)
     return (
         F.when(lower.contains("test"), F.lit("test"))
         .when(contains_any(lower, ("sample", "example")), F.lit("example"))
         .when(path.endswith(".md") | path.endswith(".mdx") | lower.contains("readme"), F.lit("documentation"))
-        .when(contains_any(lower, IMPLEMENTATION_WORDS), F.lit("implementation"))
+        .when(contains_any(lower, implementation_words), F.lit("implementation"))
         .otherwise(F.lit("code"))
     )
 

@@ -52,5 +52,11 @@ FORMATS = {
 DEFAULT_FORMATS = ("trl", "torchtune", "raw")
 
 
+def json_row(name: str, system_prompt: str) -> Column:
+    """A row of the layout as one JSON line, nulls written."""
+    fields = [F.col(field) if isinstance(field, str) else field for field in FORMATS[name](system_prompt)]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
 def to_format(pairs: DataFrame, name: str, system_prompt: str) -> DataFrame:
     return pairs.select(*FORMATS[name](system_prompt))

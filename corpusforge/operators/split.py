@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import question_key
 
-# Hex digits looked at per counting step; four more digits are at most 16**4 counts.
-_KEY_STEPS = (4, 8, 12, 32)
-_COPY_STEPS = (4, 8, 12, 16)
+# Hex digits of the key that rows are counted by: at most 16**4 counts.
+_PREFIX = 4
 
 
 class Boundary(NamedTuple):
@@ -30,14 +28,14 @@ def shuffle_key(seed: str = "0") -> Column:
     )
 
 
-def with_shuffle_key(pairs: DataFrame, seed: str = "0") -> DataFrame:
-    """Add ``shuffle_key`` and ``copy``, a row number that only tells equal keys apart.
+def with_shuffle_key(pairs: DataFrame, seed: str = "0", copies: bool = True) -> DataFrame:
+    """Add ``shuffle_key`` and, for tables whose keys may repeat, ``copy``.
 
-    Store the result before splitting it (``staging.stage``): a row number is only
-    stable once written.
+    ``copy`` is a row number that only tells equal keys apart.  Store the result before splitting it
+    (``staging.stage``): a row number is only stable once written.  Keys alone are stable as they are.
     """
-    copy = F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0")
-    return pairs.withColumns({"shuffle_key": shuffle_key(seed), "copy": copy})
+    keyed = pairs.withColumn("shuffle_key", shuffle_key(seed))
+    return keyed.withColumn("copy", F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0")) if copies else keyed
 
 
 def in_shuffled_order(keyed: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -53,35 +51,37 @@ def in_shuffled_order(keyed: DataFrame, partitions: int | None = None) -> DataFr
     return keyed.repartitionById(count, part).sortWithinPartitions("shuffle_key")
 
 
-def _descend(rows: DataFrame, column: str, steps, rank: int) -> tuple[str, int, int]:
-    """``(value, rank left, rows with it)`` of the value that holds the ``rank``-th row.
+def boundary_row(keyed: DataFrame, fraction: float = 0.9) -> DataFrame:
+    """One row ``total, train, key, copy``: where train ends, as a plan; building it starts no job.
 
-    Counts rows by ever longer prefixes of ``column``, each time inside the prefix found
-    before.  A step shuffles at most 65,536 counts and hands one of them to the driver;
-    no row is sorted or moved.
+    Rows are counted by the first digits of their key, which makes at most 65,536 counts; the boundary lies in one of
+    these buckets, and only its rows are numbered.  No row is sorted or moved but the keys of that bucket, which is
+    one part in 65,536 because keys are uniform hashes.
     """
-    value, count = "", 0
-    for length in steps:
-        inside = rows.where(F.col(column).startswith(value)) if value else rows
-        counts = inside.groupBy(F.substring(column, 1, length).alias("value")).count()
-        running = counts.withColumn("upto", F.sum("count").over(Window.orderBy("value")))
-        row = running.where(F.col("upto") >= rank).orderBy("value").first()
-        value, count = row["value"], row["count"]
-        rank -= row["upto"] - count
-    return value, rank, count
+    order = [name for name in ("shuffle_key", "copy") if name in keyed.columns]
+    keys = keyed.select(*order)
+    prefix = F.substring("shuffle_key", 1, _PREFIX)
+    every = Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counted = keys.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("rows"))
+    counted = counted.select(
+        "prefix", "rows", F.sum("rows").over(Window.orderBy("prefix")).alias("upto"), F.sum("rows").over(every).alias("all")
+    )
+    train = F.floor(F.col("all") * F.lit(float(fraction)))
+    inside = F.when((train > 0) & (F.col("upto") >= train), F.struct("prefix", (train - F.col("upto") + F.col("rows")).alias("rank")))
+    edge = counted.agg(
+        F.coalesce(F.max("all"), F.lit(0)).alias("total"), F.coalesce(F.max(train), F.lit(0)).alias("train"), F.min(inside).alias("edge")
+    )
+    numbered = keys.where(prefix == edge.select("edge.prefix").scalar()).select(
+        F.struct(*order).alias("at"), F.row_number().over(Window.orderBy(*order)).alias("rank")
+    )
+    last = numbered.where(F.col("rank") == edge.select("edge.rank").scalar()).select("at").scalar()
+    copy = F.col("at.copy") if "copy" in order else F.lit(None).cast("string")
+    return edge.select("total", "train", last.alias("at")).select("total", "train", F.col("at.shuffle_key").alias("key"), copy.alias("copy"))
 
 
 def split_boundary(keyed: DataFrame, fraction: float = 0.9) -> Boundary:
-    """Find the row of rank ``floor(rows * fraction)``, reading the key column only."""
-    total = keyed.count()
-    train = math.floor(total * fraction)
-    if not train:
-        return Boundary(total, 0, None, None)
-    key, rank, count = _descend(keyed, "shuffle_key", _KEY_STEPS, train)
-    copy = None
-    if rank < count:
-        copy, _, _ = _descend(keyed.where(F.col("shuffle_key") == key), "copy", _COPY_STEPS, rank)
-    return Boundary(total, train, key, copy)
+    """The boundary as values, for writers that need the counts: one job over the key columns."""
+    return Boundary(*boundary_row(keyed, fraction).first())
 
 
 def in_train(boundary: Boundary) -> Column:
@@ -95,12 +95,18 @@ def in_train(boundary: Boundary) -> Column:
 
 
 def split_pairs(keyed: DataFrame, fraction: float = 0.9) -> DataFrame:
-    """Add ``split`` with exactly ``floor(n * fraction)`` rows in train.
+    """Add ``split`` with exactly ``floor(n * fraction)`` rows in train, all in one plan.
 
-    ``keyed`` is a stored table with ``shuffle_key`` and ``copy``, as it is read several times.
+    ``keyed`` has ``shuffle_key``, and ``copy`` if its keys may repeat (``with_shuffle_key``).  Rows are only compared
+    with the boundary, which is a scalar subquery over the keys; where ``keyed`` ends in a shuffle, both share it.
     """
-    label = F.when(in_train(split_boundary(keyed, fraction)), F.lit("train"))
-    return keyed.withColumn("split", label.otherwise(F.lit("validation")))
+    end = boundary_row(keyed, fraction).select(F.struct("key", "copy")).scalar()
+    key = F.col("shuffle_key")
+    before = key <= end["key"]
+    if "copy" in keyed.columns:
+        before = (key < end["key"]) | ((key == end["key"]) & (F.col("copy") <= end["copy"]))
+    # Without any row in train the boundary is null.
+    return keyed.withColumn("split", F.when(before, F.lit("train")).otherwise(F.lit("validation")))
 
 
 def split_counts(split: DataFrame) -> DataFrame:

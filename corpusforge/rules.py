@@ -52,9 +52,6 @@ LANGUAGE_NAMES = {
     "java": "Java",
 }
 
-# Parts of a lower-cased file path that mark an implementation.
-IMPLEMENTATION_WORDS = ("workflow", "activity", "worker")
-
 # Content types that may carry a code answer, and the one with headings.
 CODE_TYPES = ("example", "code", "implementation")
 HEADING_TYPE = "documentation"
@@ -130,6 +127,8 @@ class DomainRules:
     skipped_url_parts: tuple[str, ...] = SKIPPED_URL_PARTS
     skipped_folders: tuple[str, ...] = SKIPPED_FOLDERS
     kept_extensions: tuple[str, ...] = KEPT_EXTENSIONS
+    # Parts of a lower-cased file path that mark an implementation.
+    implementation_words: tuple[str, ...] = ()
     # "hyphenated": the words of a term may be joined by a blank, a hyphen or
     # nothing.  "literal": a several-word term only matches the text of its own
     # pattern, e.g. "task[ -]?queue".

@@ -6,9 +6,9 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.formats import DEFAULT_FORMATS, FORMATS, to_format
+from ..operators.formats import DEFAULT_FORMATS, FORMATS, json_row
 from ..operators.split import Boundary, in_shuffled_order, in_train, split_boundary, with_shuffle_key
-from ..staging import stage
+from ..staging import drop_path, move_path, path_exists, stage
 from .jsonl import write_jsonl
 
 logger = logging.getLogger(__name__)
@@ -34,28 +34,54 @@ def write_formats(
 ) -> dict:
     """Write ``<format>/train`` and ``<format>/validation`` and the manifest.
 
-    ``shuffled`` comes from ``shuffled_pairs``.  Every write is map-only: the split is a
-    comparison with one boundary key.  Returns the paths and counts per format.
+    ``shuffled`` comes from ``shuffled_pairs``.  One job writes the rows of all formats and splits: every pair is
+    rendered once per format and goes to the folder of its format and split, in shuffled order.  It is map-only, as
+    the split is a comparison with one boundary key.  Returns the paths and counts per format.
     """
-    boundary = split_boundary(shuffled, fraction)
-    outputs = {}
+    root = output_dir.rstrip("/")
+    names = []
     for name in DEFAULT_FORMATS if formats is None else formats:
         if name not in FORMATS:
             logger.warning("unknown format: %s", name)
-            continue
-        paths = {split: f"{output_dir.rstrip('/')}/{name}/{split}" for split in ("train", "validation")}
-        write_jsonl(to_format(shuffled.where(in_train(boundary)), name, system_prompt), paths["train"])
-        write_jsonl(to_format(shuffled.where(~in_train(boundary)), name, system_prompt), paths["validation"])
-        outputs[name] = {
-            **paths,
-            "train_count": boundary.train,
-            "val_count": boundary.total - boundary.train,
-        }
+        elif name not in names:
+            names.append(name)
+    boundary = split_boundary(shuffled, fraction)
+    counts = {"train": boundary.train, "validation": boundary.total - boundary.train}
+    outputs = {
+        name: {**{split: f"{root}/{name}/{split}" for split in counts}, "train_count": counts["train"], "val_count": counts["validation"]}
+        for name in names
+    }
+    if names:
+        _write_rendered(shuffled, boundary, root, names, system_prompt)
     info = manifest(shuffled.sparkSession, boundary, outputs, template)
-    write_jsonl(info.coalesce(1), f"{output_dir.rstrip('/')}/dataset_info")
+    write_jsonl(info.coalesce(1), f"{root}/dataset_info")
     return outputs
 
 
+def rendered_rows(shuffled: DataFrame, boundary: Boundary, names: list[str], system_prompt: str) -> DataFrame:
+    """``(value, format, split)``: the JSON line of every pair in every format, in the order of their files."""
+    split = F.when(in_train(boundary), F.lit("train")).otherwise(F.lit("validation"))
+    lines = F.array(*[F.struct(json_row(name, system_prompt).alias("value"), F.lit(name).alias("format")) for name in names])
+    rows = shuffled.select(F.inline(lines), split.alias("split"), "shuffle_key", "copy")
+    # A task's files are written one after the other; within each of them the shuffled order stays.
+    return rows.sortWithinPartitions("format", "split", "shuffle_key", "copy")
+
+
+def _write_rendered(shuffled: DataFrame, boundary: Boundary, root: str, names: list[str], system_prompt: str) -> None:
+    spark = shuffled.sparkSession
+    written = f"{root}/_rendered"
+    rows = rendered_rows(shuffled, boundary, names, system_prompt)
+    rows.select("value", "format", "split").write.mode("overwrite").partitionBy("format", "split").text(written)
+    for name in names:
+        for split in ("train", "validation"):
+            part = f"{written}/format={name}/split={split}"
+            if path_exists(spark, part):
+                move_path(spark, part, f"{root}/{name}/{split}")
+            else:  # no pair is in this split
+                spark.createDataFrame([], "value string").write.mode("overwrite").text(f"{root}/{name}/{split}")
+    drop_path(spark, written)
+
+
 def manifest(spark: SparkSession, boundary: Boundary, outputs: dict, template: str) -> DataFrame:
     """One row: counts, per-format paths and counts, template name."""
     per_format = "struct<train:string,validation:string,train_count:bigint,val_count:bigint>"

@@ -74,6 +74,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder within one file system; the target's parent folders are made, an older target goes."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(path) for path in (source, target))
+    file_system = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    file_system.mkdirs(new.getParent())
+    file_system.delete(new, True)
+    if not file_system.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     file_system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

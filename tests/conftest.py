@@ -38,6 +38,7 @@ def rules():
         repositories=("acme/core", "acme/samples"),
         relevance_patterns=(r"@workflow", r"import.*acme"),
         relevance_path_words=("acme", "worker"),
+        implementation_words=("workflow", "activity", "worker"),
     )
 
 

@@ -53,7 +53,9 @@ def test_file_class(each):
         "a/b.MD": "code", "README.MD": "documentation", "src/Workflow.java": "implementation", "src/a.go": "code",
         "docs/worker.mdx": "documentation",
     }
-    assert each(P.file_class, cases) == list(cases.values())
+    words = ("workflow", "activity", "worker")
+    assert each(lambda path: P.file_class(path, words), cases) == list(cases.values())
+    assert each(P.file_class, ["src/Workflow.java", "a/worker.md"]) == ["code", "documentation"]
 
 
 def test_skipped_folder(each, rules):

@@ -1,6 +1,8 @@
 """The physical plans have the shape that large inputs need."""
 
+import dataclasses
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +12,8 @@ from corpusforge.catalog.queries import QUERIES
 from corpusforge.operators.dedup import first_questions
 from corpusforge.operators.pages import extract_pages
 from corpusforge.operators.qa import documents_with_concepts, rule_pairs
-from corpusforge.operators.repo_files import search_documents, search_hits, walk_documents
-from corpusforge.operators.split import split_pairs
+from corpusforge.operators.repo_files import repo_documents, search_documents, search_hits, walk_documents
+from corpusforge.operators.split import boundary_row, split_pairs
 from corpusforge.sources.snapshots import urls_to_fetch
 
 FOLDER = "/root/testdata/sf0.001"
@@ -85,11 +87,27 @@ def test_walk_filters_paths_before_decoding(spark, stored):
 def test_search_shuffles_keys_only(spark, stored):
     hits = search_hits(I.repo_files(spark, stored), I.RULES)
     assert plan(hits).count("FileScan") == 1 and "Window" not in plan(hits)
-    found = search_documents(I.repo_files(spark, stored), I.RULES)
-    for text in (plan(hits), plan(found)):
-        for below in exchanged_columns(text):
-            assert not re.search("content|text|_lower", below), below
-    assert "BroadcastHashJoin" in plan(found) and "Exchange hashpartitioning" not in plan(found)
+    for below in exchanged_columns(plan(hits)):
+        assert not re.search("content|text|_lower", below), below
+
+
+def test_walk_and_search_share_one_scan_and_one_decoding(spark, stored):
+    for found in (search_documents(I.repo_files(spark, stored), I.RULES), repo_documents(I.repo_files(spark, stored), I.RULES)):
+        text = plan(found)
+        assert text.count("FileScan") == 1 and "Exchange" not in text
+        assert text.count("unbase64") + text.count("try_to_binary") == 1
+
+
+def test_a_limit_sorts_keys_only(spark, stored):
+    text = plan(QUERIES["first_code_docs"](spark, stored))
+    sorts = re.findall(r"TakeOrderedAndProject\(.*", text)
+    assert sorts and all("content" not in sort and "output=[order" in sort for sort in sorts)
+
+
+def test_many_terms_are_one_python_node(spark, stored):
+    rules = dataclasses.replace(I.RULES, vocabulary=I.MANY_TERMS)
+    text = plan(search_documents(I.repo_files(spark, stored), rules))
+    assert text.count("ArrowEvalPython") == 1 and "Contains" not in text
 
 
 def exchanged_columns(text):
@@ -107,11 +125,48 @@ def test_refresh_reads_urls_only(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(status)" in text and "GreaterThan(fetched_at" in text
 
 
-def test_split_is_map_only_and_prunes(spark):
+def test_split_rows_are_only_compared(spark):
     split = split_pairs(I.stored_pairs(spark, FOLDER))
     text = plan(split.where("split = 'train'").select("instruction"))
-    assert "Exchange" not in text and "Window" not in text
-    assert "ReadSchema: struct<instruction:string,shuffle_key:string>" in text
+    scans = re.findall(r"ReadSchema: (struct<.*>)", text)
+    assert scans.count("struct<instruction:string,shuffle_key:string,copy:string>") == 1
+    assert {column for scan in scans if "instruction" not in scan for column in re.findall(r"(\w+):", scan)} <= {"shuffle_key", "copy"}
+    # Only counts and the keys of one bucket are moved.
+    for below in exchanged_columns(text) + re.findall(r"Exchange SinglePartition.*\n(.*)", text):
+        assert "instruction" not in below and "response" not in below
+
+
+def jobs_of(spark, build):
+    """Jobs that ``build`` starts."""
+    name = f"build-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(name, "")
+    try:
+        built = build()
+        return built, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", ["train_split", "split_counts"])
+def test_building_a_split_starts_no_job(spark, name):
+    built, jobs = jobs_of(spark, lambda: QUERIES[name](spark, FOLDER))
+    assert jobs == 0
+    found, jobs = jobs_of(spark, built.count)
+    assert found and jobs > 0, "jobs of the group are seen"
+
+
+def test_a_split_makes_its_pairs_once(spark):
+    split = QUERIES["train_split"](spark, FOLDER)
+    split.collect()
+    text = plan(split).split("== Initial Plan ==")[0]
+    assert text.count("ReusedExchange") >= 1 and text.count("Generate posexplode") <= 1
+
+
+def test_one_job_finds_the_boundary(spark):
+    stored_pairs = I.stored_pairs(spark, FOLDER)
+    text = plan(boundary_row(stored_pairs))
+    columns = {column for scan in re.findall(r"ReadSchema: (struct<.*>)", text) for column in re.findall(r"(\w+):", scan)}
+    assert columns == {"shuffle_key", "copy"}
 
 
 def test_train_filter_reaches_the_scan(spark):

@@ -154,3 +154,48 @@ def test_file_table(spark, rules, tmp_path):
     write_jsonl(table, str(tmp_path / "files"))
     assert read_repo_files(spark, str(tmp_path / "files")).collect() == table.collect()
     assert table.select(F.col("content_b64")).count() == 1
+
+
+def test_many_terms_give_what_few_give(spark, rules, monkeypatch):
+    """The automaton and the single tests find the same terms."""
+    import dataclasses
+
+    from corpusforge.functions import terms as T
+
+    vocabulary = ("Workflow", "work", "ork", "task queue", "zz", "é", "workflow", "q", "\n", "a.b*")
+    texts = ["workflow", "ORK", "a task queue", "É", "x\ny", "a.b*", "nothing he", "zzzz work", "", None]
+    table = spark.createDataFrame(list(enumerate(texts)), "n int, x string").select("n", F.lower("x").alias("x"))
+
+    def both():
+        found = table.select("n", T.first_term_position(F.col("x"), vocabulary).alias("first"), T.term_positions(F.col("x"), vocabulary).alias("every"))
+        return [(r.n, r.first, None if texts[r.n] is None else r.every) for r in found.orderBy("n").collect()]
+
+    few = both()
+    assert few[0][1] == 0 and set(few[0][2]) >= {0, 1, 2, 6} and few[3][1] == 5
+    monkeypatch.setattr(T, "FEW_TERMS", 0)
+    many = both()
+    # Of equal terms the automaton reports the first one.
+    assert [(n, first, every and [p for p in every if p != 6]) for n, first, every in few] == many
+    large = dataclasses.replace(rules, vocabulary=tuple(f"no{k}" for k in range(2_000)) + ("worker",))
+    docs = search_documents(files(spark, ("a.rs", "the WORKER " + "z" * 200), ("b.rs", "z" * 200)), large)
+    assert [(row["metadata"]["path"], row["metadata"]["search_term"]) for row in docs.collect()] == [("a.rs", "worker")]
+
+
+def test_files_of_one_url_compete_and_the_rest_pass(spark, rules):
+    """A URL that two files claim goes to the first concept; files of other URLs are not moved."""
+    text = "import acme " * 20
+    table = files(spark, ("a.py", f"query {text}"), ("b.py", f"workflow {text}"), ("c.py", f"worker {text}"), ("c.py", f"worker {text}"))
+    shared = F.when(F.col("path").isin("a.py", "b.py"), F.lit("https://one")).otherwise(F.col("html_url"))
+    table = table.withColumn("html_url", shared)
+    found = search_documents(table, rules).collect()
+    assert sorted((row["metadata"]["path"], row["metadata"]["search_term"]) for row in found) == [("b.py", "workflow"), ("c.py", "worker")]
+    # The walk keeps a file as often as it is listed.
+    assert sorted((row["metadata"]["path"], row["metadata"]["search_term"] or "") for row in repo_documents(table, rules).collect()) == [
+        ("a.py", ""), ("b.py", ""), ("b.py", "workflow"), ("c.py", ""), ("c.py", ""), ("c.py", "worker"),
+    ]
+
+
+def test_limit_counts_equal_documents(spark, rules):
+    """Files that stand twice in the walk have equal order keys; exactly ``limit`` documents come."""
+    table = files(spark, ("a.py", TEXT), ("a.py", TEXT), ("b.py", TEXT))
+    assert [repo_documents(table, rules, limit=n).count() for n in (1, 2, 3, 9)] == [1, 2, 3, 3]

@@ -67,6 +67,24 @@ def test_boundary_among_copies(spark):
     assert split_pairs(stored, 0.37).where("split = 'train'").count() == 37
 
 
+def test_unique_keys_need_no_row_numbers(spark):
+    keyed = with_shuffle_key(pairs(spark, 1_000).repartition(6), copies=False)
+    assert "copy" not in keyed.columns
+    train = {row[0] for row in split_pairs(keyed).where("split = 'train'").select("instruction").collect()}
+    assert train == expected_train(1_000)
+    assert split_boundary(keyed)[:2] == (1_000, 900) and split_boundary(keyed).copy is None
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.001, 0.37, 0.999, 1.0])
+def test_one_crowded_bucket(spark, fraction):
+    """All keys begin alike, so one bucket holds every row."""
+    keyed = spark.range(3_000).select(F.concat(F.lit("abcd"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("shuffle_key"))
+    split = split_pairs(keyed, fraction)
+    most = math.floor(3_000 * fraction)
+    assert split.where("split = 'train'").count() == most
+    assert split.where("split = 'train'").agg(F.max("shuffle_key")).first()[0] == (f"abcd{most - 1:08}" if most else None)
+
+
 def test_physical_order_is_the_shuffled_order(spark):
     ordered = in_shuffled_order(with_shuffle_key(pairs(spark, 2_000)), 5)
     placed = ordered.select("shuffle_key", F.spark_partition_id().alias("part")).collect()
