@@ -97,6 +97,14 @@ def documents(spark: SparkSession, folder: str, content: str = RICH, content_typ
     )
 
 
+def drawn_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """A vocabulary drawn from the documents: the first word and the first two words of each line-free beginning."""
+    first = F.regexp_extract("text", "^([A-Za-z]+)[ ,.]", 1)
+    second = F.regexp_extract("text", "^([A-Za-z]+ [A-Za-z]+)[ ,.]", 1)
+    drawn = table(spark, folder, "documents").select(F.explode(F.array(first, second)).alias("term"), "doc_id")
+    return drawn.where("term <> ''").groupBy("term").agg(F.min("doc_id").alias("position"))
+
+
 def found_pairs(spark: SparkSession, folder: str, **options) -> DataFrame:
     return rule_pairs(documents(spark, folder), RULES, LIMITS, SEED, **options)
 

@@ -353,6 +353,18 @@ ORACLES = {
         f"SELECT doc_id, to_json(tags)::VARCHAR AS concepts FROM "
         f"(SELECT doc_id, {_tags('lower(text)')} AS tags FROM documents) WHERE len(tags) > 0"
     ),
+    "concept_tags_many": (
+        "WITH drawn AS (SELECT doc_id, unnest([regexp_extract(text, '^([A-Za-z]+)[ ,.]', 1), "
+        "regexp_extract(text, '^([A-Za-z]+ [A-Za-z]+)[ ,.]', 1)]) AS term FROM documents), "
+        "terms AS (SELECT term, min(doc_id) AS position FROM drawn WHERE term <> '' GROUP BY term), "
+        "keys AS (SELECT lower(term) AS key, * FROM terms UNION SELECT replace(lower(term), ' ', ''), * FROM terms), "
+        "tokens AS (SELECT doc_id, unnest(t) AS w, unnest(range(len(t))) AS i FROM (SELECT doc_id, "
+        "regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_]') AS t FROM documents)), "
+        "seen AS (SELECT doc_id, w, lead(w) OVER here AS gap, lead(w, 2) OVER here AS next FROM tokens WINDOW here AS (PARTITION BY doc_id ORDER BY i)), "
+        "sequences AS (SELECT DISTINCT doc_id, w AS key FROM seen UNION SELECT doc_id, w||' '||next FROM seen WHERE gap IN (' ', '-')) "
+        "SELECT doc_id, to_json(list(term ORDER BY position, term))::VARCHAR AS concepts "
+        "FROM (SELECT DISTINCT doc_id, position, term FROM sequences JOIN keys USING (key)) GROUP BY doc_id"
+    ),
     "concept_qa": f"WITH {_docs(I.PARAGRAPHS)}, {_CONCEPT} {_placed('SELECT * FROM concept_pairs')}",
     "header_qa": f"WITH {_docs(I.HEADINGS, 'documentation')}, {_HEADERS} {_placed('SELECT * FROM header_pairs')}",
     "code_qa": f"WITH {_docs(I.RICH)}, {_CODE} {_placed('SELECT * FROM code_pairs')}",

@@ -27,6 +27,7 @@ from ..operators.replies import attach_replies, pairs_with_fallback, parse_reply
 from ..operators.repo_files import repo_documents, search_documents, walk_documents
 from ..operators.split import split_counts, split_pairs
 from ..operators.templates import TEMPLATES, rendered
+from ..operators.vocabulary import tag_with_table
 from ..sinks.jsonl import write_documents, write_jsonl, write_pairs
 from ..sinks.training import write_dataset, write_formats
 from ..sources.jsonl import read_documents, read_documents_if_present, read_pairs, read_training_rows
@@ -61,6 +62,12 @@ def concept_tags(spark, folder):
     return as_text(documents_with_concepts(docs, RULES).select("doc_id", "concepts"), "concepts")
 
 
+def concept_tags_many(spark, folder):
+    """Tags of a vocabulary that is a table of thousands of terms."""
+    docs = I.table(spark, folder, "documents").select("doc_id", F.col("text").alias("content"))
+    return as_text(tag_with_table(docs, I.drawn_terms(spark, folder), key="doc_id"), "concepts")
+
+
 def concept_qa(spark, folder):
     docs = I.documents(spark, folder, I.PARAGRAPHS)
     return with_place(rule_pairs(docs, RULES, LIMITS, I.SEED, strategies=("concept",)))
@@ -372,6 +379,7 @@ def jsonl_documents(spark, folder):
 
 QUERIES = {
     "concept_tags": concept_tags,
+    "concept_tags_many": concept_tags_many,
     "concept_qa": concept_qa,
     "header_qa": header_qa,
     "code_qa": code_qa,

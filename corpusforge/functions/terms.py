@@ -1,12 +1,19 @@
-"""Plain substring search for the terms of a vocabulary."""
+"""Search for the terms of a vocabulary: as plain substrings, and as whole words."""
 
 from __future__ import annotations
 
+import re
 from typing import Callable, Iterator
 
 import pandas as pd
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, functions as F
 
+from .concepts import _is_word
+
+# Runs of word characters, and every other character alone.
+_TOKEN = re.compile(r"\w+|\W")
+
 #: Up to this many terms are tested one by one in the JVM; more are searched together by an automaton.
 #: Both give the same positions.
 FEW_TERMS = 32
@@ -51,3 +58,46 @@ def _automaton(terms: tuple[str, ...], returns: str, pick: Callable):
             yield pd.Series(values, index=texts.index, dtype="Int32" if returns == "int" else object)
 
     return search
+
+
+def whole_terms(lower_text: Column, spellings: Broadcast) -> Column:
+    """Terms that the lower-cased text holds as whole words, in vocabulary order.
+
+    ``spellings`` are ``(key, number, term)`` rows, ``number`` being a term's place in the vocabulary.  A text is cut into
+    tokens once; its sequences of as many tokens as spellings have are met with them as sets.
+    """
+
+    @F.pandas_udf("array<string>")
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        terms: dict[int, str] = {}
+        by_size: dict[int, dict[str, list[int]]] = {}
+        for key, number, term in spellings.value:
+            terms[number] = term
+            by_size.setdefault(len(_TOKEN.findall(key)), {}).setdefault(key, []).append(number)
+
+        def held(text: str | None) -> list[str]:
+            found: set[int] = set()
+            tokens = _TOKEN.findall(text or "")
+            for size, numbers in by_size.items():
+                shifted = [tokens[at:] for at in range(size)]
+                met = numbers.keys() & (set(tokens) if size == 1 else set(map("".join, zip(*shifted))))
+                for key in met:
+                    if _is_word(key[0]) and _is_word(key[-1]) or _bounded_somewhere(tokens, key, size):
+                        found.update(numbers[key])
+            return [terms[number] for number in sorted(found)]
+
+        for texts in batches:
+            yield pd.Series([held(text) for text in texts], index=texts.index, dtype=object)
+
+    return search(lower_text)
+
+
+def _bounded_somewhere(tokens: list[str], key: str, size: int) -> bool:
+    """Is a sequence with another character than a word's at an end somewhere bounded by a word there?"""
+    for at in range(len(tokens) - size + 1):
+        if "".join(tokens[at : at + size]) == key:
+            before = at > 0 and _is_word(tokens[at - 1][0])
+            after = at + size < len(tokens) and _is_word(tokens[at + size][0])
+            if before != _is_word(key[0]) and after != _is_word(key[-1]):
+                return True
+    return False

@@ -243,7 +243,7 @@ def repo_documents(
     docs = collect(*parts)
     if not limit:
         return docs
-    first = _first_keys(docs, rules, limit)
+    first = stage(_first_keys(docs, rules, limit), "first-keys")
     # Only the files of the chosen documents are decoded again.
     urls = first.select(F.col("order.url").alias("html_url")).distinct()
     chosen = [part and part.join(_small(urls, limit), "html_url", "left_semi") for part in parts]

@@ -12,7 +12,7 @@ from corpusforge.catalog.queries import QUERIES
 from corpusforge.operators.dedup import first_questions
 from corpusforge.operators.pages import extract_pages
 from corpusforge.operators.qa import documents_with_concepts, rule_pairs
-from corpusforge.operators.repo_files import repo_documents, search_documents, search_hits, walk_documents
+from corpusforge.operators.repo_files import first_documents, repo_documents, search_documents, search_hits, walk_documents
 from corpusforge.operators.split import boundary_row, split_pairs
 from corpusforge.sources.snapshots import urls_to_fetch
 
@@ -99,9 +99,11 @@ def test_walk_and_search_share_one_scan_and_one_decoding(spark, stored):
 
 
 def test_a_limit_sorts_keys_only(spark, stored):
-    text = plan(QUERIES["first_code_docs"](spark, stored))
-    sorts = re.findall(r"TakeOrderedAndProject\(.*", text)
-    assert sorts and all("content" not in sort and "output=[order" in sort for sort in sorts)
+    docs = repo_documents(I.repo_files(spark, stored), I.RULES)
+    text = plan(first_documents(docs, I.RULES, 50))
+    assert re.findall(r"TakeOrderedAndProject\(.*?output=\[(.*?)#", text) == ["order"]
+    # The chosen documents are then looked up by their keys.
+    assert "BroadcastHashJoin" in text and "TakeOrderedAndProject" not in plan(QUERIES["first_code_docs"](spark, stored))
 
 
 def test_many_terms_are_one_python_node(spark, stored):
