@@ -57,6 +57,8 @@ SECTION_URL = (
     "'https://docs.acme.example'||CASE doc_id % 7 WHEN 0 THEN '/develop/p' WHEN 1 THEN '/REFERENCES/p' WHEN 2 THEN '/glossary/' "
     "WHEN 3 THEN '/production' WHEN 4 THEN '/en/develop' WHEN 5 THEN '/en?x=/develop' ELSE '/sdk/deploy' END||doc_id"
 )
+# A heading between every two paragraphs.
+SECOND_HEADING = "replace(html, '</p><p>', '</p><h2 class=\"x\">How <i>'||page_id||'</i> works</h2><p>')"
 REPLY = (
     "CASE WHEN doc_id % 3 = 0 THEN 'Sure: [{\"instruction\":\"Q'||doc_id||'\", ]' "
     "ELSE 'Sure: [{\"instruction\":\"Q'||doc_id||'\",\"response\":\"A\"}] done' END"
@@ -138,6 +140,22 @@ def repo_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def repo_file_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The file table as JSON lines of three repositories; every fifth line is cut, every seventh names no path."""
+    files = table(spark, folder, "documents").selectExpr("doc_id", "text", "n_chars", f"{PATH} AS path")
+    line = F.to_json(
+        F.struct(
+            F.concat(F.lit("acme/r"), F.col("doc_id") % 3).alias("repo"),
+            F.when(F.col("doc_id") % 7 != 0, F.col("path")).alias("path"),
+            F.md5("text").alias("sha"),
+            F.col("n_chars").alias("size"),
+            F.base64(F.encode("text", "UTF-8")).alias("content_b64"),
+        )
+    )
+    cut = F.substring(line, 1, 40)
+    return files.select(F.when(F.col("doc_id") % 5 == 0, cut).otherwise(line).alias("value"))
+
+
 def replies(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "documents")

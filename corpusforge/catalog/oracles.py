@@ -341,6 +341,31 @@ def _prompt() -> str:
     return text
 
 
+def _block_ctes() -> str:
+    """Pages by blocks, as documents and with their terms."""
+    edge, level = "chr(2)", "chr(3)"
+    names = "article|div|footer|h1|h2|li|ol|p|section|table|td|tr|ul"
+    marked = (
+        f"regexp_replace(regexp_replace(region, '(?i)<h([1-6])(\\s[^>]*)?>', {edge}||{level}||'\\1', 'g'), "
+        f"'(?i)</?({names})(\\s[^>]*)?/?>', {edge}, 'g')"
+    )
+    plain = _unescape(f"regexp_replace(b, '{_TAG}', ' ', 'g')")
+    clean = f"trim(regexp_replace({plain}, '{_SPACE}', ' ', 'g'))"
+    written = f"CASE WHEN starts_with(c, {level}) THEN repeat('#', substr(c, 2, 1)::INT)||' '||trim(substr(c, 3)) ELSE c END"
+    useful = f"c <> '' AND NOT regexp_matches(c, '^'||{level}||'[1-6]\\s*$')"
+    blocks = f"list_filter(list_transform(string_split({marked}, {edge}), lambda b: {clean}), lambda c: {useful})"
+    return _page_ctes(I.SECOND_HEADING) + f""",
+blocks_text AS (
+  SELECT page_id, array_to_string(list_transform({blocks}, lambda c: {written}), chr(10)||chr(10)) AS content FROM extracted
+),
+block_docs AS (
+  SELECT 'docs:'||{_path('e.url')} AS id, e.url, e.title, b.content, p.content_type
+  FROM extracted e JOIN blocks_text b USING (page_id)
+  JOIN (SELECT DISTINCT url, content_type FROM page_docs) p ON p.url = e.url WHERE length(b.content) >= 100
+),
+tagged AS (SELECT * FROM (SELECT *, {_tags('lower(content)')} AS tags FROM block_docs) WHERE len(tags) > 0)"""
+
+
 _CORPUS = f"""WITH {_page_ctes()}, {_FILES},
 corpus AS (
   SELECT id, source, url, title, content_type, language FROM page_docs
@@ -413,6 +438,9 @@ ORACLES = {
         "to_json([{'code': 'x='||page_id, 'language': 'py'}])::VARCHAR AS code_blocks FROM extracted"
     ),
     "page_docs": f"{_PAGES} SELECT *, '{I.COLLECTED_AT}' AS collected_at FROM page_docs",
+    "page_blocks": f"WITH {_block_ctes()} SELECT id, url, title, content FROM block_docs",
+    "page_paragraph_qa": f"WITH {_block_ctes()}, {_CONCEPT} {_placed('SELECT * FROM concept_pairs')}",
+    "page_heading_qa": f"WITH {_block_ctes()}, {_HEADERS} {_placed('SELECT * FROM header_pairs')}",
     "url_filter": f"SELECT page_id, url, {_path('url')} AS path FROM pages WHERE {_good_url('url')}",
     "url_priority": (
         f"SELECT url, ({_PRIORITY})::BIGINT AS priority, 'documentation' AS page_class FROM (SELECT DISTINCT url FROM pages)"
@@ -449,6 +477,19 @@ ORACLES = {
         f"FROM (SELECT doc_id, {I.PATH} AS path FROM documents)"
     ),
     "b64_decode": "SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN text END AS content FROM documents",
+    "repo_good_files": (
+        f"SELECT 'acme/r'||doc_id % 3 AS repo, {I.PATH} AS path, md5(text) AS sha, n_chars AS size, length(text)::BIGINT AS characters "
+        "FROM documents WHERE doc_id % 5 <> 0 AND doc_id % 7 <> 0"
+    ),
+    "repo_rejects": (
+        "SELECT 'acme/r'||doc_id % 3 AS repo, CASE WHEN doc_id % 5 = 0 THEN 'malformed' ELSE 'no repository or path' END AS reason, "
+        "count(*) AS rejects FROM documents WHERE doc_id % 5 = 0 OR doc_id % 7 = 0 GROUP BY ALL"
+    ),
+    "reply_errors": (
+        f"WITH {_docs('text')}, sizes AS (SELECT length({_prompt()}) AS n FROM docs) "
+        "SELECT CASE WHEN n % 3 = 0 THEN 'ValueError: refused, remainder '||n % 2 ELSE 'none' END AS error, count(*) AS documents "
+        "FROM sizes GROUP BY ALL"
+    ),
     "reply_parse": f"WITH {_REPLIES} SELECT id, CASE WHEN usable THEN {_REPLY_PAIRS} END AS pairs FROM usable",
     "reply_fallback": (
         f"{_ALL_CTES}, {_REPLIES}, "

@@ -23,7 +23,7 @@ from ..operators.dedup import distinct_content, distinct_urls
 from ..operators.formats import FORMATS, to_format
 from ..operators.pages import by_priority, document_urls, extract_pages, page_documents, ranked_urls
 from ..operators.qa import documents_with_concepts, rule_pairs
-from ..operators.replies import attach_replies, pairs_with_fallback, parse_reply, prompt_text, with_model_replies
+from ..operators.replies import attach_replies, pairs_with_fallback, parse_reply, prompt_text, reply_errors, with_model_replies
 from ..operators.repo_files import repo_documents, search_documents, walk_documents
 from ..operators.split import split_counts, split_pairs
 from ..operators.templates import TEMPLATES, rendered
@@ -31,6 +31,7 @@ from ..operators.vocabulary import tag_with_table
 from ..sinks.jsonl import write_documents, write_jsonl, write_pairs
 from ..sinks.training import write_dataset, write_formats
 from ..sources.jsonl import read_documents, read_documents_if_present, read_pairs, read_training_rows
+from ..sources.repos import read_repo_files_and_rejects, reject_counts, with_content
 from ..sources.sitemap import sitemap_urls, with_seed_fallback
 from ..sources.snapshots import servable_pages, successful, urls_to_fetch
 from ..staging import new_path
@@ -204,6 +205,24 @@ def page_docs(spark, folder):
     )
 
 
+def _block_docs(spark, folder):
+    """Documents of the pages by blocks, with a heading between every two paragraphs."""
+    pages = distinct_pages(spark, folder).selectExpr("page_id", "url", f"{I.SECOND_HEADING} AS html")
+    return page_documents(pages, RULES, LIMITS, I.COLLECTED_AT, keep_paragraphs=True)
+
+
+def page_blocks(spark, folder):
+    return _block_docs(spark, folder).select("id", "url", "title", "content")
+
+
+def page_paragraph_qa(spark, folder):
+    return with_place(rule_pairs(_block_docs(spark, folder), RULES, LIMITS, I.SEED, strategies=("concept",)))
+
+
+def page_heading_qa(spark, folder):
+    return with_place(rule_pairs(_block_docs(spark, folder), RULES, LIMITS, I.SEED, strategies=("headings",)))
+
+
 def url_filter(spark, folder):
     pages = I.pages(spark, folder)
     return document_urls(pages, RULES).select("page_id", "url", url_path(F.col("url")).alias("path"))
@@ -317,6 +336,22 @@ def base64_text(spark, folder):
     return I.table(spark, folder, "documents").select("doc_id", decode_base64(body).alias("content"))
 
 
+def _read_file_lines(spark, folder):
+    path = new_path(spark, "file-lines")
+    I.repo_file_lines(spark, folder).write.text(path)
+    return read_repo_files_and_rejects(spark, path)
+
+
+def repo_good_files(spark, folder):
+    good, _ = _read_file_lines(spark, folder)
+    return with_content(good).select("repo", "path", "sha", "size", F.length("content").cast("bigint").alias("characters"))
+
+
+def repo_rejects(spark, folder):
+    _, rejects = _read_file_lines(spark, folder)
+    return reject_counts(rejects)
+
+
 # --- model replies ----------------------------------------------------------
 
 
@@ -345,6 +380,21 @@ def model_answers(spark, folder):
     return with_place(pairs_with_fallback(docs, RULES, LIMITS, I.SEED))
 
 
+def refusing_model(prompts: pd.Series) -> pd.Series:
+    """Stand-in for a model that fails on some prompts, and with them on every batch that holds one."""
+    lengths = prompts.str.len()
+    if (lengths % 3 == 0).any():
+        raise ValueError(f"refused, remainder {lengths.iloc[0] % 2}" if len(prompts) == 1 else "refused")
+    return prompt_length_model(prompts)
+
+
+def model_failures(spark, folder):
+    """Errors of the model by their texts, beside the replies that it gave."""
+    docs = with_model_replies(I.documents(spark, folder, "text"), refusing_model, RULES, LIMITS)
+    given = F.when(F.col("reply_error").isNull(), F.lit("none")).otherwise(F.col("reply_error"))
+    return reply_errors(docs.withColumn("outcome", given), "outcome")
+
+
 # --- whole corpus -----------------------------------------------------------
 
 
@@ -400,6 +450,9 @@ QUERIES = {
     "page_title": page_title,
     "page_code_blocks": page_code_blocks,
     "page_docs": page_docs,
+    "page_blocks": page_blocks,
+    "page_paragraph_qa": page_paragraph_qa,
+    "page_heading_qa": page_heading_qa,
     "url_filter": url_filter,
     "url_priority": url_rank,
     "sitemap_urls": sitemap_locations,
@@ -411,6 +464,9 @@ QUERIES = {
     "concept_search": concept_search,
     "first_code_docs": first_code_docs,
     "concept_search_many": concept_search_many,
+    "repo_good_files": repo_good_files,
+    "repo_rejects": repo_rejects,
+    "reply_errors": model_failures,
     "reply_parse": reply_parse,
     "reply_fallback": reply_fallback,
     "model_prompts": model_prompts,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from ..rules import UNTITLED
-from .text import let, strip
+from .text import collapse_blanks, let, strip
 
 # Dropped parts leave this empty tag behind, because they separate text nodes.
 GAP = "<!>"
@@ -31,6 +31,15 @@ _LEFTOVER = r"(?i)<(?:/?(?:script|style|nav|footer|header)(?=[\s/>])|!--)"
 # A tag with quoted attribute values, which may hold ">"; else up to the next ">".
 _TAG = r"<[a-zA-Z/!?](?:(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*>)"
 
+# Elements that stand on lines of their own.
+BLOCK_TAGS = (
+    "address", "article", "aside", "blockquote", "caption", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "form",
+    "h1", "h2", "h3", "h4", "h5", "h6", "hr", "li", "main", "ol", "p", "pre", "section", "summary", "table", "td", "th", "tr", "ul",
+)
+# Set at the edges of blocks and before a heading's level; no text holds these sequences.
+_EDGE, _LEVEL = "\x01\uffff\x02", "\x01\uffff\x03"
+_REST = r"(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+>"
+
 _REGION_DIV = (
     r"(?is)<div(?=[\s/>])[^>]*?\bclass\s*=\s*"
     r"(?:\"[^\"]*(?:content|docs|markdown)|'[^']*(?:content|docs|markdown)|[^\s\"'>]*(?:content|docs|markdown))"
@@ -102,6 +111,24 @@ def spaced_text(region: Column) -> Column:
     return F.regexp_replace(region, _TAG, " ")
 
 
+def block_text(region: Column) -> Column:
+    """A paragraph per block, with a blank line between two; headings are Markdown lines.
+
+    Blanks inside a block, line breaks included, are one blank.  Empty blocks leave nothing.
+    """
+    names = "|".join(BLOCK_TAGS)
+    headed = F.regexp_replace(region, rf"(?i)<h([1-6])(?=[\s/>]){_REST}", f"{_EDGE}{_LEVEL}$1")
+    blocks = F.split(F.regexp_replace(headed, rf"(?i)</?(?:{names})(?=[\s/>]){_REST}", _EDGE), _EDGE)
+
+    def written(block: Column) -> Column:
+        level = F.when(block.startswith(_LEVEL), F.substring(block, 4, 1).cast("int"))
+        text = F.when(level.isNotNull(), F.substring(block, 5, 2**31 - 1)).otherwise(block)
+        clean = collapse_blanks(markup_references(F.regexp_replace(text, _TAG, " ")))
+        return let(clean, lambda text: F.when(text != "", F.concat(F.coalesce(F.concat(F.repeat(F.lit("#"), level), F.lit(" ")), F.lit("")), text)))
+
+    return F.array_join(F.array_compact(F.transform(blocks, written)), "\n\n")
+
+
 def joined_text(fragment: Column) -> Column:
     """Stripped text nodes joined by nothing."""
     return strip(markup_references(F.regexp_replace(fragment, rf"(?U)\s*(?:{_TAG})\s*", "")))

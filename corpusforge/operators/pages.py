@@ -29,8 +29,12 @@ def by_priority(ranked: DataFrame) -> DataFrame:
     return ranked.orderBy("priority", "url")
 
 
-def extract_pages(pages: DataFrame, rules: DomainRules, limits: Limits = Limits()) -> DataFrame:
-    """Add ``title``, ``content`` and ``code_blocks``; pages without enough text go away."""
+def extract_pages(pages: DataFrame, rules: DomainRules, limits: Limits = Limits(), keep_paragraphs: bool = False) -> DataFrame:
+    """Add ``title``, ``content`` and ``code_blocks``; pages without enough text go away.
+
+    The content is one line, or with ``keep_paragraphs`` a paragraph per block and a Markdown line per heading, from
+    which pairs about paragraphs and headings can be made.
+    """
     kept = pages.columns
     step = pages.withColumn("_bare", H.drop_page_furniture(F.col("html")))
     step = step.withColumn("_bare", H.replace_references(F.col("_bare")))
@@ -43,9 +47,10 @@ def extract_pages(pages: DataFrame, rules: DomainRules, limits: Limits = Limits(
     step = step.withColumns(
         {"_hard": F.coalesce(hard | F.col("html").rlike(H.ODD_ATTRIBUTE), F.lit(False)), "_plain": H.markup_references(F.col("_spaced"))}
     )
+    text = H.block_text(F.col("_region")) if keep_paragraphs else collapse_blanks(F.col("_plain"))
     easy = F.struct(
         H.page_title(F.col("_bare"), F.col("_h1"), rules.title_suffix).alias("title"),
-        collapse_blanks(F.col("_plain")).alias("content"),
+        text.alias("content"),
         H.code_blocks(F.col("_pres")).alias("code_blocks"),
     )
     # The finished page, not its intermediate texts, waits next to the Python worker.
@@ -60,17 +65,23 @@ def extract_pages(pages: DataFrame, rules: DomainRules, limits: Limits = Limits(
         F.replace(tree["title"], F.lit(rules.title_suffix), F.lit("")) if rules.title_suffix else tree["title"]
     )
     walked = F.struct(
-        H.or_untitled(title).alias("title"), tree["content"].alias("content"), tree["code_blocks"].alias("code_blocks")
+        H.or_untitled(title).alias("title"),
+        tree["paragraphs" if keep_paragraphs else "content"].alias("content"),
+        tree["code_blocks"].alias("code_blocks"),
     )
     page = F.coalesce(F.col("_easy"), walked)
     return keep_where(step, kept, page, lambda item: F.length(item["content"]) >= limits.min_content)
 
 
 def page_documents(
-    pages: DataFrame, rules: DomainRules, limits: Limits = Limits(), collected_at: str | None = None
+    pages: DataFrame,
+    rules: DomainRules,
+    limits: Limits = Limits(),
+    collected_at: str | None = None,
+    keep_paragraphs: bool = False,
 ) -> DataFrame:
     """Documents of the pages ``(url, html)``."""
-    found = extract_pages(pages.select("url", "html"), rules, limits)
+    found = extract_pages(pages.select("url", "html"), rules, limits, keep_paragraphs)
     path = url_path(F.col("url"))
     return found.select(
         F.concat(F.lit("docs:"), path).alias("id"),

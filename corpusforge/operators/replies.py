@@ -86,44 +86,53 @@ def _with_defaults(pair: Column) -> Column:
 def with_model_replies(
     docs: DataFrame, model: Callable[[pd.Series], pd.Series], rules: DomainRules, limits: Limits = Limits()
 ) -> DataFrame:
-    """Add ``reply``: the model's text for each document, null where it fails."""
+    """Add ``reply``, the model's text for each document, and ``reply_error``: why there is none, else null."""
 
-    @F.pandas_udf("string")
-    def ask(prompts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("reply string, error string")
+    def ask(prompts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in prompts:
             yield _answers(model, batch)
 
-    return docs.withColumn("reply", ask.asNondeterministic()(prompt_text(rules, limits)))
+    asked = docs.withColumn("_asked", ask.asNondeterministic()(prompt_text(rules, limits)))
+    return asked.withColumns({"reply": F.col("_asked.reply"), "reply_error": F.col("_asked.error")}).drop("_asked")
 
 
 def model_replies(
     docs: DataFrame, model: Callable[[pd.Series], pd.Series], rules: DomainRules, limits: Limits = Limits()
 ) -> DataFrame:
-    """Table ``(id, url, reply)`` of the model's answers."""
+    """Table ``(id, url, reply, error)`` of the model's answers and failures."""
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame(
-                {"id": batch["id"], "url": batch["url"], "reply": _answers(model, batch["prompt"])}
-            )
+            yield pd.concat([batch[["id", "url"]], _answers(model, batch["prompt"])], axis=1)
 
     prompts = docs.select("id", "url", prompt_text(rules, limits).alias("prompt"))
-    return prompts.mapInPandas(ask, "id string, url string, reply string")
+    return prompts.mapInPandas(ask, "id string, url string, reply string, error string")
 
 
-def _answers(model, prompts: pd.Series) -> pd.Series:
-    """A failing batch is asked one prompt at a time; a failing prompt has no reply."""
+def reply_errors(answered: DataFrame, error: str = "reply_error") -> DataFrame:
+    """``(error, documents)``: how often the model failed, by the text of its failure."""
+    failed = answered.where(F.col(error).isNotNull())
+    return failed.groupBy(F.col(error).alias("error")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+def _answers(model, prompts: pd.Series) -> pd.DataFrame:
+    """A failing batch is asked one prompt at a time; a failing prompt has no reply but an error."""
     try:
-        return pd.Series(list(model(prompts)), index=prompts.index, dtype=object)
+        rows = [(reply, None) for reply in model(prompts)]
+        if len(rows) != len(prompts):
+            raise ValueError(f"{len(rows)} replies to {len(prompts)} prompts")
     except Exception:
-        return pd.Series([_answer(model, prompt) for prompt in prompts], index=prompts.index, dtype=object)
+        rows = [_answer(model, prompt) for prompt in prompts]
+    return pd.DataFrame(rows, columns=["reply", "error"], index=prompts.index, dtype=object)
 
 
-def _answer(model, prompt):
+def _answer(model, prompt) -> tuple[str | None, str | None]:
     try:
-        return list(model(pd.Series([prompt])))[0]
-    except Exception:
-        return None
+        (reply,) = model(pd.Series([prompt]))
+        return reply, None
+    except Exception as failure:
+        return None, f"{type(failure).__name__}: {failure}"
 
 
 def attach_replies(docs: DataFrame, replies: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ def write_run_stats(spark: SparkSession, stats: dict, outputs: dict, path: str)
     names = ",".join(f"`{name}`:{per_format}" for name in outputs)
     row = spark.createDataFrame(
         [(stats, outputs)],
-        "stats struct<docs_collected:bigint,code_collected:bigint,qa_pairs_generated:bigint,"
+        "stats struct<docs_collected:bigint,code_collected:bigint,qa_pairs_generated:bigint,files_rejected:bigint,model_errors:bigint,"
         f"start_time:string,end_time:string>, output_paths struct<{names}>",
     )
     write_jsonl(row.coalesce(1), path)

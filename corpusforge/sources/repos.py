@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.paths import decode_base64
 from ..rules import DomainRules
 from ..schemas import REPO_FILE
+from ..staging import stage
 
 
 def read_repo_files(spark: SparkSession, path: str) -> DataFrame:
@@ -14,6 +15,32 @@ def read_repo_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REPO_FILE).option("mode", "FAILFAST").json(path)
 
 
+def read_repo_files_and_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The file table's good rows, and the lines that are none, so that one broken row does not stop the others.
+
+    A reject is ``(repo, reason, line)``: lines that are not valid JSON of the table's types, and rows that do not name
+    their repository and path.  A broken line's repository is what it tells of it, else null.  The lines are parsed
+    once, into a written table that both results read.
+    """
+    lines = spark.read.schema(f"{REPO_FILE}, _line string").option("columnNameOfCorruptRecord", "_line").json(path)
+    rows = stage(lines, "repo-lines")
+    nameless = F.coalesce("repo", F.lit("")).eqNullSafe("") | F.coalesce("path", F.lit("")).eqNullSafe("")
+    broken = F.col("_line").isNotNull()
+    good = rows.where(~broken & ~nameless).drop("_line")
+    told = F.nullif(F.regexp_extract("_line", r'"repo"\s*:\s*"([^"]*)"', 1), F.lit(""))
+    line = F.coalesce("_line", F.to_json(F.struct(*good.columns)))
+    reason = F.when(broken, F.lit("malformed")).otherwise(F.lit("no repository or path"))
+    rejects = rows.where(broken | nameless).select(
+        F.coalesce(told, F.nullif(F.col("repo"), F.lit(""))).alias("repo"), reason.alias("reason"), line.alias("line")
+    )
+    return good, rejects
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """``(repo, reason, rejects)`` per repository and reason."""
+    return rejects.groupBy("repo", "reason").agg(F.count(F.lit(1)).alias("rejects"))
+
+
 def read_checkout(spark: SparkSession, folder: str, repo: str, base_url: str, rules: DomainRules) -> DataFrame:
     """Files of a checked-out repository ``owner/name`` under ``folder``.
 

@@ -153,3 +153,26 @@ def test_counts(spark, make_docs):
     assert tuple(run_counts(docs, docs, "acme_docs").first()) == (1, 2, 3)
     assert tuple(run_counts(docs, docs, "acme_docs", collected_docs=False).first()) == (0, 2, 3)
     assert unite(docs, docs.drop("language"), docs).count() == 9
+
+
+def test_failures_and_rejects_are_counted(spark, rules, tmp_path):
+    """A model that fails on every prompt and a broken file row leave a run that tells of both."""
+    from corpusforge.sources.repos import read_repo_files_and_rejects
+
+    text = "This paragraph is about a workflow and it is quite long, " * 3
+    body = __import__("base64").b64encode(text.encode()).decode()
+    rows = [{"repo": "acme/core", "path": f"worker/{n}.py", "name": f"{n}.py", "html_url": f"u{n}", "sha": "s", "size": 1, "content_b64": body} for n in range(3)]
+    (tmp_path / "files.jsonl").write_text("\n".join([*map(__import__("json").dumps, rows), '{"repo": "acme/other", ']))
+    files, rejects = read_repo_files_and_rejects(spark, str(tmp_path / "files.jsonl"))
+
+    def failing(prompts):
+        raise RuntimeError("no model today")
+
+    root = str(tmp_path / "out")
+    result = build_corpus(spark, rules, root, repo_files=files, repo_rejects=rejects, model=failing)
+    stats = result["stats"]
+    assert (stats["code_collected"], stats["files_rejected"], stats["model_errors"]) == (6, 1, 6)
+    assert stats["qa_pairs_generated"] > 0  # by the rules
+    saved = spark.read.json(f"{root}/run_stats").first()["stats"]
+    assert (saved["files_rejected"], saved["model_errors"]) == (1, 6)
+    assert spark.read.json(f"{root}/raw/rejects").first()["repo"] == "acme/other"

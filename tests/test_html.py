@@ -117,3 +117,48 @@ def test_many_open_tags_are_walked_in_linear_time():
     begun = time.perf_counter()
     assert read_page("<body>" + "<p>x" * 8_000)["content"].count("x") == 8_000
     assert time.perf_counter() - begun < 0.5
+
+
+def blocks(spark, html):
+    from corpusforge.operators.pages import extract_pages
+    from corpusforge.rules import DomainRules, Limits
+
+    pages = spark.createDataFrame([(n, page) for n, page in enumerate(html)], "n int, html string")
+    found = extract_pages(pages, DomainRules("d", ("x",)), Limits(min_content=0), keep_paragraphs=True)
+    return [row.content for row in found.orderBy("n").collect()]
+
+
+BLOCKS = {
+    "<article><h1 id='a>b'>A <b>big</b>\n title</h1><p>one<br>two<p>three</p><div></div><ul><li>x<li>y &amp; z</ul></article>":
+        "# A big title\n\none two\n\nthree\n\nx\n\ny & z",
+    "<article>lead <i>text</i><h3>Deep</h3><h2> </h2>tail</article>": "lead text\n\n### Deep\n\ntail",
+    "<article><table><tr><td>1</td><td>2</td></tr></table><pre>a\n b</pre></article>": "1\n\n2\n\na b",
+}
+
+
+def test_blocks_become_paragraphs_and_headings(spark):
+    easy = list(BLOCKS)
+    # The same pages through the tree walk: a rare character reference sends them there.
+    hard = [page.replace("<article>", "<article><span>&thinsp;</span>") for page in easy]
+    assert blocks(spark, easy + hard) == list(BLOCKS.values()) * 2
+
+
+def test_tree_walk_is_linear_in_nested_code():
+    import time
+
+    from corpusforge.functions.html_tree import read_page
+
+    begun = time.time()
+    page = read_page("<main>" + "<pre>a" * 8_000 + "<code class='language-go'>x</code>" + "</pre>" * 8_000 + "</main>")
+    assert time.time() - begun < 2
+    assert page["code_blocks"][0] == {"code": "a" * 8_000 + "x", "language": "go"} and page["code_blocks"][-1] == {"code": "ax", "language": "go"}
+
+
+def test_languages_of_neighbouring_and_nested_code():
+    from corpusforge.functions.html_tree import read_page
+
+    html = "<main><pre>a<code>1</code></pre><pre>b</pre><pre><code class='x language-py'>2</code><code class='language-go'>3</code></pre><pre>c<pre><code class='language-js'>4</code></pre></main>"
+    assert read_page(html)["code_blocks"] == [
+        {"code": "a1", "language": None}, {"code": "b", "language": None}, {"code": "23", "language": "py"},
+        {"code": "c4", "language": "js"}, {"code": "4", "language": "js"},
+    ]

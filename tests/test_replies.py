@@ -88,3 +88,24 @@ def test_empty_reply_array_is_no_fallback(spark, make_docs, rules):
     docs = make_docs({"content": LONG})
     replies = docs.selectExpr("id", "url", "'nothing: []' AS reply")
     assert pairs_with_fallback(attach_replies(docs, replies), rules).count() == 0
+
+
+def test_failures_of_the_model_are_data(make_docs, rules, answers):
+    from corpusforge.operators.replies import reply_errors
+
+    docs = make_docs({"content": LONG}, {"content": LONG + "explode"}, {"content": "explode"}).coalesce(1)
+    asked = with_model_replies(docs, answers, rules)
+    assert [(r.reply is None, r.reply_error) for r in asked.orderBy("id").collect()] == [
+        (False, None), (True, "ValueError: no answer"), (True, "ValueError: no answer"),
+    ]
+    assert [tuple(r) for r in reply_errors(asked).collect()] == [("ValueError: no answer", 2)]
+    table = model_replies(docs, answers, rules)
+    assert [tuple(r) for r in reply_errors(table, "error").collect()] == [("ValueError: no answer", 2)]
+
+
+def test_a_model_that_answers_too_little_is_asked_one_by_one(make_docs, rules):
+    docs = make_docs({"content": LONG}, {"content": LONG}).coalesce(1)
+    short = with_model_replies(docs, lambda prompts: list(prompts)[:1], rules)
+    assert short.where("reply_error is null and reply is not null").count() == 2
+    none = with_model_replies(docs, lambda prompts: [], rules)
+    assert none.where("reply is null and reply_error like 'ValueError%'").count() == 2

@@ -114,3 +114,23 @@ def test_a_broken_training_line_fails(spark, tmp_path):
         read_training_rows(spark, str(path), "instruction string, output string").collect()
     with pytest.raises(Exception):
         read_training_rows(spark, str(path)).collect()
+
+
+def test_broken_file_rows_go_to_a_table_of_their_own(spark, tmp_path):
+    from corpusforge.sources.repos import read_repo_files_and_rejects, reject_counts
+
+    good = {"repo": "a/b", "path": "x.py", "name": "x.py", "html_url": "u", "sha": "s", "size": 3, "content_b64": "eA=="}
+    lines = [
+        json.dumps(good), '{"repo": "a/b", "path": "y.p', "nonsense", "", json.dumps({**good, "size": "many"}),
+        json.dumps({**good, "path": None}), json.dumps({**good, "repo": ""}), json.dumps({**good, "extra": 1}),
+    ]
+    (tmp_path / "files.jsonl").write_text("\n".join(lines))
+    files, rejects = read_repo_files_and_rejects(spark, str(tmp_path / "files.jsonl"))
+    assert [(r.repo, r.path, r.size) for r in files.collect()] == [("a/b", "x.py", 3)] * 2
+    assert {(r.repo, r.reason): r.rejects for r in reject_counts(rejects).collect()} == {
+        ("a/b", "malformed"): 2, (None, "malformed"): 1, ("a/b", "no repository or path"): 1, (None, "no repository or path"): 1,
+    }
+    assert lines[1] in {r.line for r in rejects.collect()}
+    (tmp_path / "none.jsonl").write_text("")
+    files, rejects = read_repo_files_and_rejects(spark, str(tmp_path / "none.jsonl"))
+    assert files.count() == rejects.count() == 0
