@@ -184,6 +184,23 @@ def sitemaps(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def sitemap_files(spark: SparkSession, folder: str, path: str) -> None:
+    """Eight sitemap files of all pages; the odd ones do not escape ampersands."""
+    number = F.pmod("page_id", F.lit(8)).cast("int")
+    location = F.when(number % 2 == 0, F.replace("url", F.lit("&"), F.lit("&amp;"))).otherwise(F.col("url"))
+    entry = F.concat(F.lit("<url><loc>"), location, F.lit("</loc></url>"))
+    entries = pages(spark, folder).select(number.alias("number"), F.lit(1).alias("place"), entry.alias("value"))
+    frame = spark.range(8).select(
+        F.col("id").cast("int").alias("number"),
+        F.inline(F.array(
+            F.struct(F.lit(0).alias("place"), F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">').alias("value")),
+            F.struct(F.lit(2).alias("place"), F.lit("</urlset>").alias("value")),
+        )),
+    )
+    rows = entries.unionByName(frame).repartitionById(8, F.col("number")).sortWithinPartitions("number", "place")
+    rows.select("value").write.text(path)
+
+
 def snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """Each page fetched ``page_id`` hours ago, and once more an hour before that."""
     fetched = pages(spark, folder).select(

@@ -450,6 +450,12 @@ ORACLES = {
         f"SELECT url FROM locations WHERE CASE WHEN broken THEN regexp_matches(url, '^https://[^/<]+[^<]+$') "
         f"ELSE {_good_url('url')} END"
     ),
+    "sitemap_files": (
+        "WITH files AS (SELECT *, page_id % 8 AS number FROM pages), "
+        "broken AS (SELECT number FROM files WHERE number % 2 = 1 AND regexp_matches(url, '&([^;]*$|[^;]*[^a-z;])') GROUP BY number) "
+        "SELECT url FROM files WHERE CASE WHEN number IN (SELECT number FROM broken) THEN regexp_matches(url, '^https://[^/<]+[^<]+$') "
+        f"ELSE {_good_url('url')} END"
+    ),
     "url_refresh": f"WITH {_SNAPSHOTS} SELECT DISTINCT url FROM pages WHERE url NOT IN (SELECT url FROM fresh)",
     "cached_pages": (
         f"WITH {_SNAPSHOTS} SELECT url, html, strftime(fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at FROM "

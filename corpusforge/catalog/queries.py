@@ -32,7 +32,7 @@ from ..sinks.jsonl import write_documents, write_jsonl, write_pairs
 from ..sinks.training import write_dataset, write_formats
 from ..sources.jsonl import read_documents, read_documents_if_present, read_pairs, read_training_rows
 from ..sources.repos import read_repo_files_and_rejects, reject_counts, with_content
-from ..sources.sitemap import sitemap_urls, with_seed_fallback
+from ..sources.sitemap import sitemap_file_urls, sitemap_urls, with_seed_fallback
 from ..sources.snapshots import servable_pages, successful, urls_to_fetch
 from ..staging import new_path
 from . import inputs as I
@@ -237,6 +237,13 @@ def sitemap_locations(spark, folder):
     return sitemap_urls(I.sitemaps(spark, folder), RULES)
 
 
+def sitemap_files(spark, folder):
+    """Locations of large sitemap files, some of them malformed."""
+    path = new_path(spark, "sitemaps")
+    I.sitemap_files(spark, folder, path)
+    return sitemap_file_urls(spark, path, RULES).select("url")
+
+
 def url_refresh(spark, folder):
     urls = distinct_urls(I.pages(spark, folder).select("url"))
     return urls_to_fetch(urls, I.snapshots(spark, folder), I.NOW)
@@ -456,6 +463,7 @@ QUERIES = {
     "url_filter": url_filter,
     "url_priority": url_rank,
     "sitemap_urls": sitemap_locations,
+    "sitemap_files": sitemap_files,
     "url_refresh": url_refresh,
     "cached_pages": cached_pages,
     "repo_docs": repo_docs,

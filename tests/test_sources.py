@@ -134,3 +134,51 @@ def test_broken_file_rows_go_to_a_table_of_their_own(spark, tmp_path):
     (tmp_path / "none.jsonl").write_text("")
     files, rejects = read_repo_files_and_rejects(spark, str(tmp_path / "none.jsonl"))
     assert files.count() == rejects.count() == 0
+
+
+def file_urls(spark, rules, tmp_path, **files):
+    from corpusforge.sources.sitemap import sitemap_file_urls
+
+    folder = tmp_path / "maps"
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / f"{name}.xml").write_text(text)
+    rows = sitemap_file_urls(spark, str(folder), rules).collect()
+    return sorted((row.file.split("/")[-1].removesuffix(".xml"), row.url) for row in rows)
+
+
+def test_sitemap_files_agree_with_whole_texts(spark, rules, tmp_path):
+    entry = "<url><loc>https://docs.acme.example/{}</loc><lastmod>2024</lastmod></url>"
+    head = f"<?xml version='1.0'?>\n<!-- a > b -->\n<urlset {NAMESPACE}>\n"
+    files = {
+        "good": head + entry.format("a?x=1&amp;y=2") + "\n <url  >\n<loc>https://docs.acme.example/b</loc></url>" + entry.format("api/no") + "\n</urlset >\n",
+        "cut": head + entry.format("api/b") + "<url><loc>https://docs.acme.example/c",
+        "unclosed": head + entry.format("d"),
+        "entity": head + entry.format("e") + entry.format("x&y") + "</urlset>",
+        "nested": head + "<url><loc>https://docs.acme.example/f</lok></url></urlset>",
+        "junk": head + "text" + entry.format("g") + "</urlset>",
+        "empty": f"<urlset {NAMESPACE}></urlset>",
+        "foreign": "<urlset><url><loc>https://docs.acme.example/h</loc></url></urlset>",
+        "plain": "plain text",
+    }
+    got = file_urls(spark, rules, tmp_path, **files)
+    # Loose text between entries is the one case that a parser of the whole lets pass.
+    want = sorted((name, url) for name, text in files.items() if name != "junk" for url in sitemap(spark, rules, text))
+    assert [row for row in got if row[0] != "junk"] == want
+    assert [row for row in got if row[0] == "junk"] == [("junk", "https://docs.acme.example/g")]
+
+
+def test_one_large_sitemap_is_read_by_several_tasks(spark, rules, tmp_path):
+    from corpusforge.sources.sitemap import sitemap_file_urls
+
+    many = 20_000
+    text = f"<urlset {NAMESPACE}>" + "".join(f"<url><loc>https://docs.acme.example/p/{n}</loc></url>" for n in range(many)) + "</urlset>"
+    (tmp_path / "large.xml").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        urls = sitemap_file_urls(spark, str(tmp_path / "large.xml"), rules)
+        written = spark.read.option("lineSep", "</url>").text(str(tmp_path / "large.xml"))
+        assert written.rdd.getNumPartitions() > 4
+        assert urls.select("url").distinct().count() == urls.count() == many
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
