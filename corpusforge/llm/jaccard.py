@@ -14,10 +14,11 @@ then checked by intersecting their sorted arrays.
 Components, not all pairs, are the result, so pairs inside a component need no check and no link is lost.
 Nothing about all documents reaches the driver but the bitmaps, whose sizes are fixed.
 
+A class is a number of its own, so ids only matter for the result.
+
 Defined cases: a null or wordless text is an empty set, linked with nothing; fewer words than ``SIZE`` are one
-shingle; rows of one doc_id and different texts are separate sets, which count as one node where they share
-their smallest id; rows without doc_id get the component of an equal or
-linked set, null if that has no id either; an empty table gives no rows.
+shingle; rows of one doc_id and different texts are separate sets; rows without doc_id link like others, their
+component is null if it holds no id at all; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -146,8 +147,13 @@ def _has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+def row_hash():
+    """What tells rows of (doc_id, text) apart, beside their ids."""
+    return F.xxhash64("doc_id", "text").alias("row_hash")
+
+
 def profiles(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, key, sig, lead (packed shingles in order), n_rare (how many of lead are not common), least (of least hash), f0..f3 (sig folded)."""
+    """doc_id, row_hash, n, key, sig, lead (packed shingles in order), n_rare (how many of lead are not common), least (of least hash), f0..f3 (sig folded)."""
     common = docs.sparkSession.sparkContext.broadcast(_common_tokens(docs, size, percent))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,10 +164,11 @@ def profiles(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataF
                 lead, rare = in_order(tokens, common.value, percent)
                 sig = signature(tokens) if n else b""
                 out.append((n, _key(tokens), sig, lead.astype(_U).tobytes(), rare, tokens[:LEADS].astype(_U).tobytes(), *folded(sig)))
-            yield pd.DataFrame(out, columns=["n", "key", "sig", "lead", "n_rare", "least", "f0", "f1", "f2", "f3"]).assign(doc_id=batch["doc_id"])
+            yield pd.DataFrame(out, columns=["n", "key", "sig", "lead", "n_rare", "least", "f0", "f1", "f2", "f3"]).assign(doc_id=batch["doc_id"], row_hash=batch["row_hash"])
 
     # Ids go as text: beside nulls pandas would make them floats.
-    found = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(rows, "n long, key binary, sig binary, lead binary, n_rare int, least binary, f0 long, f1 long, f2 long, f3 long, doc_id string")
+    named = docs.select(F.col("doc_id").cast("string"), "text", row_hash())
+    found = named.mapInPandas(rows, "n long, key binary, sig binary, lead binary, n_rare int, least binary, f0 long, f1 long, f2 long, f3 long, doc_id string, row_hash long")
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -185,11 +192,15 @@ def pruned(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of class representatives that are links, by intersecting their sorted arrays."""
+    """The pairs (a, b) of classes that are links, by intersecting their sorted arrays.
+
+    The row that stands for a class is found again by its hash; a bitmap of fixed size keeps other rows from being hashed.
+    """
     spark = docs.sparkSession
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    spot = F.pmod(F.xxhash64("id"), F.lit(BITS))
-    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {BITS}) & 31 as int))")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stage(classes.join(wanted, "node", "left_semi").select("node", F.col("key").alias("_key"), F.col("rep_hash").alias("row_hash")), "wanted-classes")
+    spot = F.pmod("row_hash", F.lit(BITS))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(row_hash, {BITS}) & 31 as int))")
     words = wanted.select(F.shiftright(spot, 5).cast("int").alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     bitmap = np.zeros(BITS // 32, dtype=np.uint32)
     for row in words.toLocalIterator():  # at most BITS / 32 rows
@@ -198,20 +209,20 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int =
 
     def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            at = batch["spot"].to_numpy()
-            batch = batch[(wanted_bits.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1]
+            at = batch["row_hash"].to_numpy() % BITS
+            # Equal rows of a batch are hashed once.
+            batch = batch[(wanted_bits.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1].drop_duplicates("row_hash")
             found = [(tokens.astype(_U).tobytes(), _key(tokens)) for _, tokens in _sets(list(batch["text"]), size)]
-            yield pd.DataFrame(found, columns=["tokens", "key"]).assign(doc_id=batch["doc_id"].array)
-
-    some = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(BITS)).alias("spot"))
-    sets = some.mapInPandas(arrays, "tokens binary, key binary, doc_id long")
-    # Only the row that stands for a class, once: other rows of its id hold other sets or the same.
-    own = classes.select("doc_id", F.col("key").alias("_key"))
-    sets = sets.join(own, "doc_id").where("key = _key").join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    sets = stage(sets.select("doc_id", "tokens"), "checked-sets")
-    left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("tokens_a")), "a")
-    hubs = sets.join(pairs.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    both = left.join(hubs.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tokens_b")), "b")
+            yield pd.DataFrame(found, columns=["tokens", "key"]).assign(row_hash=batch["row_hash"].array)
+
+    sets = docs.select("text", row_hash()).mapInPandas(arrays, "tokens binary, key binary, row_hash long")
+    sets = sets.join(wanted, "row_hash").where("key = _key").select("node", "tokens")
+    sets = stage(sets, "checked-sets")
+    if sets.count() > wanted.count():  # rows that are equal in id and text stand for one class
+        sets = stage(sets.groupBy("node").agg(F.min("tokens").alias("tokens")), "checked-sets")
+    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a")), "a")
+    hubs = sets.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
+    both = left.join(hubs.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b")), "b")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -345,17 +356,24 @@ def common_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def join_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, key (of its set), component_id."""
+    """One row per row of ``docs`` (doc_id, text): doc_id, row_hash, n_shingles, component_id, and group.
+
+    ``group`` numbers the components, also those without any id; null for empty sets.
+    """
     with arrow_batches(docs.sparkSession, TEXT_ROWS):
         return _join_classes(docs, size, percent)
 
 
 def _join_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     every = stage(profiles(docs, size, percent), "profiles")
-    classes = every.where("n > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    classes = stage(classes, "set-classes")
-    # A class is stood for by its smallest id.
-    sets = every.join(classes, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
+    # A class is stood for by a row of its smallest id, if it has one.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_hash")).alias("first")
+    classes = every.where("n > 0").groupBy("key").agg(first)
+    classes = classes.select("key", F.col("first.doc_id").alias("first_id"), F.col("first.row_hash").alias("rep_hash"))
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "set-classes")
+    own = classes.select(F.col("key").alias("_key"), "rep_hash", "node")
+    sets = every.join(own, (every.key == own["_key"]) & (every.row_hash == own.rep_hash)).drop("_key", "rep_hash", "row_hash", "doc_id")
+    sets = sets.withColumnRenamed("node", "doc_id").dropDuplicates(["doc_id"])
     sets = stage(sets.withColumn("comp", F.col("doc_id")), "sets")
 
     hubs = stage(pruned(hub_pairs(sets), sets, percent), "hub-pairs")
@@ -368,10 +386,12 @@ def _join_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     if not rest.isEmpty():
         roots = stage(connected(links.unionByName(rest)), "roots")
 
-    of_class = classes.join(roots.select(F.col("id").alias("doc_id"), "root"), "doc_id", "left")
-    of_class = of_class.select(F.col("key").alias("_k"), F.coalesce("root", "doc_id").alias("component"))
-    rows = every.select("doc_id", "n", "key")
-    joined = rows.join(of_class, (rows.key == of_class["_k"]) & (rows.n > 0), "left")
-    return joined.select(
-        "doc_id", F.col("n").alias("n_shingles"), "key", F.coalesce("component", F.when(F.col("n") == 0, F.col("doc_id"))).alias("component_id")
+    of_class = classes.join(roots.select(F.col("id").alias("node"), "root"), "node", "left").withColumn("group", F.coalesce("root", "node"))
+    smallest = of_class.where("root is not null").groupBy("group").agg(F.min("first_id").alias("smallest"))
+    of_class = of_class.join(smallest, "group", "left").select(
+        F.col("key").alias("_k"), "group", F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("smallest")).alias("component")
     )
+    rows = every.select("doc_id", "row_hash", "n", "key")
+    joined = rows.join(of_class, (rows.key == of_class["_k"]) & (rows.n > 0), "left")
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
+    return joined.select("doc_id", "row_hash", F.col("n").alias("n_shingles"), component.alias("component_id"), "group")

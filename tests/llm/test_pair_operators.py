@@ -219,3 +219,19 @@ def test_removed_spans_keep_capitals_around_them(spark):
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = {r.doc_id: r.text for r in decontaminate.decontaminate(docs, items, action="spans").collect()}
     assert got == {1: "The BIG Cat said NO and Then left, ÉTÉ [x]", 2: "", 3: "A\n"}
+
+
+def test_links_through_rows_without_id_and_of_one_id(spark):
+    """A null id bridges two documents, gets their component, and one id may have several texts."""
+    words = [f"b{i}" for i in range(100)]
+    bridge = [*words[:94], *[f"c{i}" for i in range(6)]]
+    far = [*words[:88], *[f"d{i}" for i in range(6)], *[f"c{i}" for i in range(6)]]
+    other, alone = " ".join(f"z{i}" for i in range(50)), "no id at all here"
+    rows = [(1, " ".join(words)), (None, " ".join(bridge)), (2, " ".join(far)), (7, " ".join(words)), (7, other), (5, other), (5, alone), (None, alone + " x"), (None, alone + " x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = [text for _, text in rows]
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) or {tuple(t.split())} for t in texts]
+    link = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    assert link(sets[0], sets[1]) and link(sets[1], sets[2]) and not link(sets[0], sets[2])
+    got = sorted(((r.doc_id, r.component_id) for r in jaccard.join_classes(docs).collect()), key=str)
+    assert got == sorted([(1, 1), (None, 1), (2, 1), (7, 1), (7, 5), (5, 5), (5, 5), (None, None), (None, None)], key=str)
