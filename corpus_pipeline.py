@@ -15,17 +15,28 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near and exact copies the document of smallest id stays; documents without words all stay."""
-    joined = stage(jaccard.join_classes(docs), "components")
-    # The smallest id of a component stands for it; rows without words or without id are in no group.
-    others = joined.where("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    stay = docs.join(others, docs.doc_id == others["_id"], "left_anti")
-    repeated = joined.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id")
-    repeated = stage(repeated, "repeated-ids")
+    """Of each group of near and exact copies one document stays: that of smallest id, else of smallest hash.
+
+    Documents without words all stay.  Rows are told apart by id and text: another text of a removed document's id stays
+    if it is no copy, rows equal in both are copies of each other, and null ids take part like others.
+    """
+    joined = jaccard.join_classes(docs).where("n_shingles > 0").select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_h"), "group")
+    joined = stage(joined, "components")
+    first = F.min(F.struct(F.col("_id").isNull().alias("nameless"), "_id", "_h")).alias("first")
+    kept = stage(joined.groupBy("group").agg(first).select(F.col("first._id").alias("_kid"), F.col("first._h").alias("_kh")), "kept-copies")
+    among_kept = joined["_id"].eqNullSafe(kept["_kid"]) & (joined["_h"] == kept["_kh"])
+    gone = joined.join(kept, among_kept, "left_anti").select("_id", "_h").distinct()
+    repeated = joined.join(kept, among_kept, "left_semi").groupBy("_id", "_h").count().where("count > 1").select("_id", "_h")
+    repeated = stage(repeated, "repeated-rows")
+
+    def these(rows: DataFrame):
+        return docs.doc_id.eqNullSafe(rows["_id"]) & (F.xxhash64(docs.doc_id, docs.text) == rows["_h"])
+
+    stay = docs.join(gone, these(gone), "left_anti")
     if repeated.isEmpty():
         return stay
-    once = stay.join(repeated, stay.doc_id == repeated["_id"], "left_anti")
-    again = stay.join(repeated, stay.doc_id == repeated["_id"], "left_semi").dropDuplicates(["doc_id"])
+    once = stay.join(repeated, these(repeated), "left_anti")
+    again = stay.join(repeated, these(repeated), "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(again)
 
 
