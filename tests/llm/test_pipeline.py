@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpusforge.llm import mixing, queries, repeats, sql
@@ -109,3 +110,13 @@ def test_mix_delivers_the_texts(spark):
     narrow = [tuple(r) for r in mixing.mix(sizes).select("doc_id", "source", "n_chars", "size", "copies", "taken").collect()]
     assert sorted(map(str, narrow)) == sorted(str((r.doc_id, r.source, r.n_chars, r["size"], r.copies, r.taken)) for r in got)
     assert all(r["size"] == len((r.text or "").split()) for r in got)
+
+
+def test_copies_are_rows_not_ids(spark):
+    """Another text of a copy's id stays, wordless rows stay, and rows without id are copies too."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (7, a), (7, b), (3, b), (3, b), (None, c), (None, c), (None, a), (9, ""), (9, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("group", F.lit("clash")).withColumn("_id", F.lit(1))
+    kept = corpus_pipeline.one_of_each(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (3, b), (None, c), (9, ""), (9, ""), (None, None)], key=str)
