@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame, functions as F
 
 # Element names of HTML by what they mean for text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+RAW = frozenset("script style textarea title noscript template iframe svg object annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "strike strong sub sup time tt u var wbr math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder semantics".split()
 )
-NEVER = frozenset("script style noscript template iframe svg math object head nav aside footer form button select textarea input dialog menu".split())
+NEVER = frozenset("script style noscript template iframe svg object annotation annotation-xml head nav aside footer button select textarea input".split())
+#: Elements that mark a part like a word of ``MARKS``: a form or dialog may hold the whole page.
+MARKED_NAMES = frozenset("form dialog menu".split())
 #: Words in a class or id that mark a part as no article, if it is not the part that holds it.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner popup modal overlay cookie cookies "
@@ -47,9 +49,12 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 PHRASE = INLINE | VOID | RAW
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-_NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_TEXT = re.compile(r"[^<]+")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_UNQUOTED = re.compile(r"[^>\"']*")
+_VALUE_FOLLOWS = re.compile(r"=\s*\Z")
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NOT_DISPLAYED = re.compile(r"display\s*:\s*none", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -60,103 +65,179 @@ class Node:
         self.name, self.parent, self.children, self.marked = name, parent, [], marked
 
 
-def is_furniture(name: str, attributes: str, in_article: bool) -> bool:
+def attributes_of(written: str) -> dict[str, str]:
+    """Attributes by their lower-cased names; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(written):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def is_furniture(name: str, attributes: dict[str, str], in_article: bool) -> bool:
     if name in NEVER or (name == "header" and not in_article):
         return True
     if not attributes or name in ("html", "body", "article", "main"):
         return False
-    if _HIDDEN.search(attributes):
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or _NOT_DISPLAYED.search(attributes.get("style", "")):
         return True
-    return any(key.lower() == "role" and "".join(values).lower() in ROLES for key, *values in _NAMES.findall(attributes))
+    return attributes.get("role", "").lower() in ROLES
 
 
-def is_marked(attributes: str, in_article: bool) -> bool:
-    """Whether a class or id holds a word of ``MARKS``; inside an article a header is the article's own."""
-    for key, *values in _NAMES.findall(attributes) if attributes else ():
-        if key.lower() == "role":
-            continue
-        for name in "".join(values).split():
-            parts = ["", *(part.lower() for part in _PART.findall(name))]
-            if any(part in MARKS and before not in OWNING and not (in_article and part == "header") for before, part in zip(parts, parts[1:])):
-                return True
+def is_marked(name: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether the element, or a word of its class or id, marks a part; inside an article a header is the article's own."""
+    if name in MARKED_NAMES:
+        return True
+    for written in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        parts = ["", *(part.lower() for part in _PART.findall(written))]
+        if any(part in MARKS and before not in OWNING and not (in_article and part == "header") for before, part in zip(parts, parts[1:])):
+            return True
     return False
 
 
+class Scanner:
+    """Tags and texts of a page, each sign looked at a bounded number of times, however broken the page is."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.at = html, 0
+        self.lost: set[str] = set()  # signs that close nothing any more up to the page's end
+
+    def text(self) -> str | None:
+        """The text from here on up to the next tag; null if there is none."""
+        found = _TEXT.match(self.html, self.at)
+        if found:
+            self.at = found.end()
+            return found[0]
+        after = self.html[self.at + 1 : self.at + 2]
+        if after in ("!", "?", "/") or (after.isascii() and after.isalpha()):
+            return None
+        self.at += 1
+        return "<"
+
+    def tag(self) -> tuple[str, bool, str] | None:
+        """Name, whether it is an end tag, and attributes as written; null for comments and the like."""
+        html, begin = self.html, self.at
+        found = _TAG.match(html, begin)
+        if found is None:
+            mark = "-->" if html.startswith("<!--", begin) else ">"
+            end = html.find(mark, begin + 2)
+            self.at = end + len(mark) if end >= 0 else len(html)
+            return None
+        stop, self.at = self._tag_end(found.end())
+        return found[2].lower(), found[1] == "/", html[found.end() : stop]
+
+    def _tag_end(self, begin: int) -> tuple[int, int]:
+        """Where a tag's attributes end, and what follows.  Quotes count where a value begins.
+
+        A tag that does not end, because a quote stays open or the page is cut, ends before the next tag.
+        """
+        html, at = self.html, begin
+        while ">" not in self.lost:
+            at = _UNQUOTED.match(html, at).end()
+            sign = html[at : at + 1]
+            if sign == ">":
+                return at, at + 1
+            if not sign:
+                self.lost.add(">")
+                break
+            if not _VALUE_FOLLOWS.search(html, max(begin, at - 20), at):
+                at += 1
+                continue
+            close = -1 if sign in self.lost else html.find(sign, at + 1)
+            if close < 0:
+                self.lost.add(sign)
+                break
+            at = close + 1
+        following = html.find("<", begin)
+        following = len(html) if following < 0 else following
+        end = html.find(">", begin, following)
+        return (end, end + 1) if end >= 0 else (following, following)
+
+
+class Path:
+    """The open elements, and where those of each name are among them."""
+
+    def __init__(self, root: Node) -> None:
+        self.nodes, self.places = [root], {root.name: [0]}
+
+    @property
+    def top(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.name, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, names) -> int:
+        """Place of the innermost open element of one of the names; -1 if none is open."""
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=-1)
+
+    def is_open(self, name: str) -> bool:
+        return bool(self.places.get(name))
+
+    def cut(self, place: int) -> None:
+        """Close the element at ``place`` and all inside it; the root stays open."""
+        while len(self.nodes) > max(place, 1):
+            self.places[self.nodes.pop().name].pop()
+
+    def close(self, name: str) -> None:
+        if self.is_open(name):
+            self.cut(self.places[name][-1])
+
+    def end_open(self, names, stops) -> None:
+        """What a start tag ends: the innermost element of ``names``, unless one of ``stops`` is further inside."""
+        place = self.last(names)
+        if place > self.last(stops):
+            self.cut(place)
+
+
 def parse(html: str) -> Node:
     """The DOM without furniture, marked parts included; text is kept as strings among the children."""
-    root = at = Node("#root", None)
+    root = Node("#root", None)
+    path, scanner = Path(root), Scanner(html)
     skip: str | None = None  # the furniture element that is open, and how many of its name
-    depth = inside = 0
-    position, length = 0, len(html)
-    while position < length:
-        token = _TOKEN.match(html, position)
-        position = token.end()
-        name = token[2]
-        if name is None:
-            text = token[0]
-            if not skip and (text[0] != "<" or text == "<"):
-                at.children.append(unescape(text))
+    depth = 0
+    while scanner.at < len(html):
+        text = scanner.text()
+        if text is not None:
+            if not skip:
+                path.top.children.append(unescape(text))
+            continue
+        tag = scanner.tag()
+        if tag is None:
             continue
-        name, closing = name.lower(), token[1] == "/"
-        if not closing and name in RAW and not token[3].endswith("/"):
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, position)
-            position = end.end() if end else length
+        name, closing, written = tag
+        if not closing and name in RAW and not written.endswith("/"):
+            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, scanner.at)
+            scanner.at = end.end() if end else len(html)
             continue
         if skip:
             if name == skip:
                 depth += -1 if closing else 1
                 skip = skip if depth else None
-            elif closing and name in ("body", "html", "article", "main") and any_open(at, name):
+            elif closing and name in ("body", "html", "article", "main") and path.is_open(name):
                 skip, depth = None, 0  # an unclosed piece of furniture ends with what holds it
-                at = close(at, name)
+                path.close(name)
             continue
         if closing:
-            if name == "p" and not any_open(at, "p"):
-                continue
-            inside -= name == "article" and inside > 0 and any_open(at, name)
-            at = close(at, name)
+            path.close(name)
             continue
         if name not in PHRASE:  # a block ends an open paragraph
-            at = end_open(at, {"p"}, {"#root", "td", "th", "table", "button"})
+            path.end_open(("p",), ("#root", "td", "th", "table", "button"))
         if name in ENDS:
-            at = end_open(at, ENDS[name], STOPS[name] | {"#root"})
-        if is_furniture(name, token[3], inside > 0):
-            if name not in VOID and not token[3].endswith("/"):
+            path.end_open(ENDS[name], STOPS[name] | {"#root"})
+        in_article = path.is_open("article")
+        attributes = attributes_of(written) if written else {}
+        if is_furniture(name, attributes, in_article):
+            if name not in VOID and not written.endswith("/"):
                 skip, depth = name, 1
             continue
-        node = Node(name, at, is_marked(token[3], inside > 0))
-        at.children.append(node)
-        if name not in VOID and not (token[3].endswith("/") and name not in INLINE):
-            at = node
-            inside += name == "article"
+        node = Node(name, path.top, is_marked(name, attributes, in_article))
+        path.top.children.append(node)
+        if name not in VOID and not (written.endswith("/") and name not in INLINE):
+            path.push(node)
     return root
 
 
-def any_open(at: Node, name: str) -> bool:
-    while at is not None:
-        if at.name == name:
-            return True
-        at = at.parent
-    return False
-
-
-def close(at: Node, name: str) -> Node:
-    """Where the tree goes on after an end tag; as before if nothing of that name is open."""
-    here = at
-    while here is not None and here.name != name:
-        here = here.parent
-    return at if here is None or here.parent is None else here.parent
-
-
-def end_open(at: Node, names: set, stops: set) -> Node:
-    here = at
-    while here is not None and here.name not in stops:
-        if here.name in names:
-            return here.parent
-        here = here.parent
-    return at
-
-
 def walk(root: Node) -> list[Node]:
     """All element nodes, parents before children."""
     order = [root]

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -282,3 +283,49 @@ def test_toxicity_learns_and_scores_every_row(spark):
     assert {r.predicted for r in got if r.doc_id in (1000, 1001)} == {0} and all(r.predicted == 1 for r in got if r.doc_id in (None, 1002))
     assert {r.score for r in toxicity.detect(docs, labels.where("toxic = 0")).collect()} == {0.0}
     assert toxicity.detect(docs.where("doc_id = -1"), labels).count() == 0
+
+
+ARTICLE = "<article><h1>Title</h1>" + "<p>Some long enough text of the article here, with words.</p>" * 5 + "</article>"
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<form action='x'>%s</form>", "<div class='layout hidden lg:block'>%s</div>", "<div title='not hidden here'>%s</div>",
+        "<div data-note='x display:none y'>%s</div>", "<dialog open>%s</dialog>", "<p><a title=\"foo>link</a></p>%s",
+        "%s<form><label>Name</label><input></form>", "<menu><li>a</menu>%s<dialog>Sure?</dialog>", "<div title=it's>%s</div>", "<!doctype html><!-- > -->%s<!-- cut",
+    ],
+)
+def test_wrappers_keep_their_article(around):
+    want = density.main_text(f"<html><body>{ARTICLE}</body></html>")
+    assert want.startswith("Title Some long") and density.main_text(f"<html><body>{around % ARTICLE}</body></html>") == want
+
+
+@pytest.mark.parametrize("attribute", ["hidden", "HIDDEN=''", "aria-hidden=true", "style='color:red; display : none'", "role=navigation"])
+def test_hidden_parts_are_no_text(attribute):
+    page = f"<html><body>{ARTICLE.replace('</article>', f'<div {attribute}>secret</div></article>')}</body></html>"
+    assert "secret" not in density.main_text(page) and density.main_text(page).startswith("Title")
+
+
+def test_markup_never_becomes_text():
+    assert density.main_text(ARTICLE.replace("</article>", '<p>tail <a title="foo>link')) .endswith("tail link")
+    assert "annotation" not in density.main_text(ARTICLE.replace("Some", "<math><mi>x</mi><annotation>annotation</annotation></math> Some"))
+    assert "x Some" in density.main_text(ARTICLE.replace("Some", "<math><mi>x</mi></math> Some"))
+    assert "1 < 2 and a<3" in density.main_text(ARTICLE.replace("Some", "1 < 2 and a&lt;3 Some"))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 100_000 + "x", '<a title="x ' * 80_000, "<! " * 100_000, "<p><button>" + "<div>" * 50_000, "<div>" * 50_000 + "</span>" * 50_000,
+        "<table><tr><td><p>" * 20_000, "<li>x" * 50_000, "<!--" * 100_000, "<" * 300_000,
+    ],
+)
+def test_broken_pages_of_any_size_take_linear_time(page):
+    def seconds(html):
+        begun = time.perf_counter()
+        density.main_text(html)
+        return time.perf_counter() - begun
+
+    small, whole = seconds(page[: len(page) // 4]), seconds(page)
+    assert whole < 12 * small + 0.5 and whole < 15
