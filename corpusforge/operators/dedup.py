@@ -1,8 +1,9 @@
 """First-seen and newest-row selection by key.
 
-All of them are one aggregation ``min``/``max`` over a struct: every task first
+Most are one aggregation ``min``/``max`` over a struct: every task first
 reduces its own rows to one per key, so a key that holds a third of all rows
-sends one row per task and never fills a reducer.
+sends one row per task and never fills a reducer.  Where rows are wide and are read
+from a table, only keys are aggregated and the winners are looked up.
 """
 
 from __future__ import annotations
@@ -32,6 +33,21 @@ def latest_per_key(df: DataFrame, key: Column, *order: str) -> DataFrame:
     return _one_per_key(df, key, order, F.max)
 
 
+def latest_rows(df: DataFrame, key: str, order: str) -> DataFrame:
+    """The row with the largest ``order`` of each key, for wide rows; rows equal in both compare by their other columns.
+
+    Keys and orders alone are aggregated.  The wide rows meet the winners unsorted, spread by key and order together, so
+    that a key with very many rows is no hot one; only rows that are equal in both are compared as a whole.
+    """
+    keys = [F.col(key).alias("_key"), F.col(order).alias("_order")]
+    times = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    latest = times.groupBy("_key").agg(F.max(F.struct("_order", "_n")).alias("_last")).select("_key", "_last.*")
+    on = df[key].eqNullSafe(latest["_key"]) & df[order].eqNullSafe(latest["_order"])
+    met = df.join(latest.hint("shuffle_hash"), on).select(*df.columns, "_n")
+    tied = met.where("_n > 1").drop("_n")
+    return met.where("_n = 1").drop("_n").unionByName(latest_per_key(tied, F.col(key), order))
+
+
 def distinct_urls(urls: DataFrame) -> DataFrame:
     return urls.dropDuplicates(["url"])
 

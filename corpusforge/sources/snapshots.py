@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.dedup import latest_per_key
+from ..operators.dedup import latest_rows
 
 
 def successful(snapshots: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def successful(snapshots: DataFrame) -> DataFrame:
 
 def newest_pages(snapshots: DataFrame) -> DataFrame:
     """One page per URL, the last one fetched."""
-    return latest_per_key(snapshots, F.col("url"), "fetched_at")
+    return latest_rows(snapshots, "url", "fetched_at")
 
 
 def fresh(snapshots: DataFrame, now, hours: int = 24) -> DataFrame:

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from corpusforge.operators.dedup import distinct_content, distinct_urls, first_per_key, latest_per_key
+from corpusforge.operators.dedup import distinct_content, distinct_urls, first_per_key, latest_per_key, latest_rows
 
 
 def test_first_and_latest(spark):
@@ -33,3 +33,12 @@ def test_distinct_content(spark, make_docs):
 def test_distinct_urls(spark):
     urls = spark.createDataFrame([("a",), ("b",), ("a",)], "url string")
     assert sorted(row[0] for row in distinct_urls(urls).collect()) == ["a", "b"]
+
+
+def test_latest_rows_equal_the_aggregate(spark):
+    """Null keys and orders, ties that differ and repeated rows."""
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 3, "q"), ("b", 3, "q"), ("c", None, "n"), (None, 4, "m"), (None, 5, "o"), ("d", 1, None)]
+    table = spark.createDataFrame(rows, "key string, place int, body string").repartition(4)
+    want = sorted(map(str, latest_per_key(table, F.col("key"), "place").select(*table.columns).collect()))
+    assert sorted(map(str, latest_rows(table, "key", "place").collect())) == want
+    assert latest_rows(table.where("place = 9"), "key", "place").count() == 0

@@ -14,7 +14,7 @@ from corpusforge.operators.pages import extract_pages
 from corpusforge.operators.qa import documents_with_concepts, rule_pairs
 from corpusforge.operators.repo_files import first_documents, repo_documents, search_documents, search_hits, walk_documents
 from corpusforge.operators.split import boundary_row, split_counts, split_pairs
-from corpusforge.sources.snapshots import urls_to_fetch
+from corpusforge.sources.snapshots import newest_pages, urls_to_fetch
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -127,6 +127,18 @@ def test_refresh_reads_urls_only(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(status)" in text and "GreaterThan(fetched_at" in text
 
 
+def test_newest_pages_aggregate_keys_only(spark, tmp_path):
+    path = str(tmp_path / "snapshots")
+    I.snapshots(spark, FOLDER).write.parquet(path)
+    found = newest_pages(spark.read.parquet(path))
+    text = plan(found.where("status >= 0"))
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    keys = [row for row in text.split("\n") if "partial_max(struct(_order" in row or "partial_count" in row]
+    assert keys and not any("html" in row for row in keys)
+    # Only the branch of equal (url, fetched_at) compares whole rows.
+    assert len([row for row in text.split("\n") if "partial_max(" in row and "html" in row]) == 1
+
+
 def test_split_rows_are_only_compared(spark):
     split = split_pairs(I.stored_pairs(spark, FOLDER))
     text = plan(split.where("split = 'train'").select("instruction"))
