@@ -3,9 +3,10 @@
 Documents are sets of hashed word shingles.  Equal sets are one class from the start, so copies of any number
 are one set.  Two sets of Jaccard ``PERCENT`` % or more share a shingle among the first n - ceil(n * PERCENT / 100) + 1
 of either under any fixed order; here shingles seen often (a bounded bitmap) come last, so passages that many
-documents share do not make tiles.  Candidates meet in tiles of one shingle and neighbouring size bands, are
-pruned by sizes and by the bit counts of their signatures (equal bits bound the overlap from above), and are
-then checked by intersecting their sorted arrays.
+documents share do not make tiles.  Candidates meet in tiles of one shingle and neighbouring size bands.  Sizes,
+places and the bit counts of their folded signatures (equal bits bound the overlap from above) stand beside the rows
+of a tile, so a pair that these rule out is never emitted; the rest is pruned by whole signatures and then
+checked by intersecting the sorted arrays.
 
 1. Every class is compared with two classes for each of its ``LEADS`` shingles of least hash: the one with the smallest
    share of uncommon shingles, which is the centre of a family of near copies, and one by chance.
@@ -44,6 +45,7 @@ BITS = 1 << 24
 #: Rows of an Arrow batch: texts, and pairs with both arrays.
 TEXT_ROWS, PAIR_ROWS = 2_000, 500
 _U = np.dtype("<u8")
+FOLDS = ("f0", "f1", "f2", "f3")
 
 
 def lead_length(n, percent: int = PERCENT):
@@ -254,16 +256,28 @@ def exploded(sets: DataFrame, packed: str, begin: str, columns: tuple[str, ...])
     return narrow.mapInPandas(rows, f"token long, place long, {types}")
 
 
-def hub_pairs(sets: DataFrame) -> DataFrame:
-    """Every class with two classes for each of its shingles of least hash."""
+def bits_allow(both, bits, percent: int):
+    """Whether sets of ``both`` shingles together, whose signatures differ in ``bits``, can be a link; arrays or columns."""
+    return (100 + percent) * (both - bits) >= 2 * percent * both
+
+
+def hub_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Every class with two classes for each of its shingles of least hash, if sizes and folded signatures allow a link."""
     rare = F.col("n_rare") / F.greatest(F.length("lead") / 8, F.lit(1))
-    least = exploded(sets.withColumn("rare", rare.cast("double")), "least", "0", ("doc_id", "n", "rare"))
+    least = exploded(sets.withColumn("rare", rare.cast("double")), "least", "0", ("doc_id", "n", "rare", *FOLDS))
+    hub = F.struct(F.col("doc_id").alias("hub"), F.col("n").alias("n_hub"), *[F.col(f).alias(f"hub_{f}") for f in FOLDS])
     hubs = least.groupBy("token").agg(
-        F.min_by("doc_id", F.struct("rare", "n", "doc_id")).alias("centre"),
-        F.min_by("doc_id", F.struct(F.xxhash64("token", "doc_id"), "doc_id")).alias("chance"),
+        F.min_by(hub, F.struct("rare", "n", "doc_id")).alias("centre"),
+        F.min_by(hub, F.struct(F.xxhash64("token", "doc_id"), "doc_id")).alias("chance"),
         F.count(F.lit(1)).alias("n_in"),
     )
-    met = least.join(hubs.where("n_in > 1"), "token").select("doc_id", F.explode(F.array("centre", "chance")).alias("hub")).where("doc_id <> hub")
+    able = F.filter(
+        F.array("centre", "chance"),
+        lambda h: (h["hub"] != F.col("doc_id"))
+        & (100 * F.least("n", h["n_hub"]) >= percent * F.greatest("n", h["n_hub"]))
+        & bits_allow(F.col("n") + h["n_hub"], sum((F.bit_count(F.col(f).bitwiseXOR(h[f"hub_{f}"])) for f in FOLDS), F.lit(0)), percent),
+    )
+    met = least.join(hubs.where("n_in > 1"), "token").select("doc_id", F.explode(F.transform(able, lambda h: h["hub"])).alias("hub"))
     return met.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
 
 
@@ -271,6 +285,7 @@ def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs of different components that share a leading shingle that is not common; tiles are packed per bucket."""
     spark = sets.sparkSession
     buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    carried = ("doc_id", "n", "comp", *FOLDS)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -284,13 +299,13 @@ def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             bucket = (mix(flat) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            held = {c: batch[c].to_numpy(dtype="<i8") for c in ("doc_id", "n", "comp")}
+            held = {c: batch[c].to_numpy(dtype="<i8") for c in carried}
             out = []
             for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 if b > a:
                     used, local = np.unique(row[order[a:b]], return_inverse=True)
                     out.append((number, flat[order[a:b]].tobytes(), local.astype("<u2").tobytes(), rank[order[a:b]].tobytes(), *[held[c][used].tobytes() for c in held]))
-            yield pd.DataFrame(out, columns=["bucket", "tokens", "rows", "ranks", "doc_id", "n", "comp"])
+            yield pd.DataFrame(out, columns=["bucket", "tokens", "rows", "ranks", *carried])
 
     def pairs(group: pd.DataFrame) -> pd.DataFrame:
         tokens = np.frombuffer(b"".join(group["tokens"]), _U)
@@ -299,7 +314,7 @@ def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             rows.append(np.frombuffer(r, "<u2").astype(np.int64) + base)
             base += len(ids) // 8
         row = np.concatenate(rows)
-        ids, n, comp = (np.frombuffer(b"".join(group[c]), "<i8") for c in ("doc_id", "n", "comp"))
+        ids, n, comp, *folds = (np.frombuffer(b"".join(group[c]), "<i8") for c in carried)
         order = np.lexsort((n[row], tokens))
         token, row = tokens[order], row[order]
         # At their first common shingle two sets can share no more than what follows it in either.
@@ -314,15 +329,20 @@ def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             at, other = at[near], other[near]
             both = n[row[at]] + n[row[other]]
             apart = (comp[row[at]] != comp[row[other]]) & ((100 + percent) * np.minimum(left[at], left[other]) >= percent * both)
-            found.append(np.stack([ids[row[at[apart]]], ids[row[other[apart]]]]))
+            x, y, both = row[at[apart]], row[other[apart]], both[apart]
+            bits = np.zeros(len(x), dtype=np.int64)
+            for fold in folds:
+                bits += np.bitwise_count((fold[x] ^ fold[y]).view("<u8"))  # of signed numbers it would count the absolute value
+            able = bits_allow(both, bits, percent)
+            found.append(np.stack([ids[x[able]], ids[y[able]]]))
             if sum(f.shape[1] for f in found) > 2_000_000:
                 found = [np.unique(np.concatenate(found, axis=1), axis=1)]
             step += 1
         both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
         return pd.DataFrame({"a": both.min(axis=0), "b": both.max(axis=0)}) if both.size else pd.DataFrame({"a": [], "b": []}, dtype="int64")
 
-    packed = sets.select("doc_id", "n", "comp", "lead", "n_rare").mapInPandas(
-        pack, "bucket int, tokens binary, rows binary, ranks binary, doc_id binary, n binary, comp binary"
+    packed = sets.select(*carried, "lead", "n_rare").mapInPandas(
+        pack, "bucket int, tokens binary, rows binary, ranks binary, " + ", ".join(f"{c} binary" for c in carried)
     )
     return packed.groupBy("bucket").applyInPandas(pairs, "a long, b long").distinct()
 
@@ -332,24 +352,23 @@ def common_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Of each shingle only classes outside its largest component are compared with the others.
     """
-    folds = ("f0", "f1", "f2", "f3")
-    leads = exploded(sets, "lead", "n_rare", ("doc_id", "n", "comp", *folds))
+    leads = exploded(sets, "lead", "n_rare", ("doc_id", "n", "comp", *FOLDS))
     shares = leads.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = shares.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
     mixed = stage(leads.join(main.where("comps > 1"), "token"), "common-leads")
     band = F.floor(F.log("n") / float(np.log(100 / percent))).cast("int")
-    carried = ("doc_id", "n", "comp", "place", *folds)
+    carried = ("doc_id", "n", "comp", "place", *FOLDS)
     few = mixed.where("comp <> main").select("token", F.explode(F.array(band - 1, band, band + 1)).alias("band"), *[F.col(c).alias(f"{c}_a") for c in carried])
     all_ = mixed.select("token", band.alias("band"), "main", *[F.col(c).alias(f"{c}_b") for c in carried])
     both = F.col("n_a") + F.col("n_b")
     # Equal bits bound the overlap, and so does what follows the first common shingle in either set.
-    bits = sum((F.bit_count(F.col(f"{f}_a").bitwiseXOR(F.col(f"{f}_b"))) for f in folds), F.lit(0))
+    bits = sum((F.bit_count(F.col(f"{f}_a").bitwiseXOR(F.col(f"{f}_b"))) for f in FOLDS), F.lit(0))
     after = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     met = few.join(all_, ["token", "band"]).where(
         (F.col("comp_a") != F.col("comp_b"))
         & ((F.col("comp_b") == F.col("main")) | (F.col("doc_id_a") < F.col("doc_id_b")))
         & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        & ((100 + percent) * (both - bits) >= 2 * percent * both)
+        & bits_allow(both, bits, percent)
         & ((100 + percent) * after >= percent * both)
     )
     return met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
@@ -376,7 +395,7 @@ def _join_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     sets = sets.withColumnRenamed("node", "doc_id").dropDuplicates(["doc_id"])
     sets = stage(sets.withColumn("comp", F.col("doc_id")), "sets")
 
-    hubs = stage(pruned(hub_pairs(sets), sets, percent), "hub-pairs")
+    hubs = stage(pruned(hub_pairs(sets, percent), sets, percent), "hub-pairs")
     links = verified(hubs, docs, classes, size, percent)
     roots = stage(connected(links), "roots")
     labelled = sets.drop("comp").join(roots.select(F.col("id").alias("doc_id"), "root"), "doc_id", "left")
