@@ -53,6 +53,29 @@ def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
     return salted.join(copies, on, how).drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
 
 
+def shielded(df: DataFrame, needed: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with every column outside ``needed`` under a name that no operator uses, and those names with the old ones.
+
+    Work on it and give the result to ``unshielded``: columns of any name then pass an operator untouched.
+    """
+    hidden = {f"_column{i}": c for i, c in enumerate(df.columns) if c not in needed}
+    back = {c: h for h, c in hidden.items()}
+    return df.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in df.columns]), hidden
+
+
+def unshielded(df: DataFrame, hidden: dict[str, str]) -> DataFrame:
+    """Old names again; a column whose name the operator has given to a result of its own comes back as ``doc_<name>``."""
+    taken = {c for c in df.columns if c not in hidden}
+    names = []
+    for c in df.columns:
+        name = hidden.get(c, c)
+        while c in hidden and name in taken:
+            name = f"doc_{name}"
+        taken.add(name)
+        names.append(F.col(c).alias(name))
+    return df.select(*names)
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Fewer rows per Arrow batch for the jobs of one block, where rows are wide; the old setting comes back."""

@@ -21,7 +21,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import join_small, split_words, stage
+from .common import join_small, shielded, split_words, stage, unshielded
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -149,8 +149,10 @@ def with_size(docs: DataFrame) -> DataFrame:
 def mix(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """Every row of ``sized`` (doc_id, source, size, ...) with source_size, target, copies and taken = copies * size.
 
-    The rows are read four times and ranked once: give a staged table of narrow rows, not texts.
+    The rows are read four times and ranked once: give a staged table of narrow rows, not texts.  Columns of ``sized``
+    named like a result come back as ``doc_<name>``.
     """
+    sized, hidden = shielded(sized, ("doc_id", "source", "size"))
     cells = stage(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "size-cells")
     targets = stage(source_targets(cells, weights, share, most), "source-targets")
     shared = settle(cell_copies(cells, targets, tilts(cells, targets, most), most), most=most)
@@ -167,6 +169,5 @@ def mix(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE
     full = join_small(ranked, stage(earlier, "part-counts"), ["source", "size", "_part"], "left", salt=["doc_id"])
     extra = (F.coalesce(F.col("_earlier"), F.lit(0)) + F.col("_rank") <= remainder).cast("long")
     copies = F.floor(F.col("copies") / F.col("n")).cast("long") + F.when(remainder > 0, extra).otherwise(F.lit(0))
-    return full.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).select(
-        *sized.columns, "source_size", "target", "copies", "taken"
-    )
+    mixed = full.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
+    return unshielded(mixed.select(*sized.columns, "source_size", "target", "copies", "taken"), hidden)

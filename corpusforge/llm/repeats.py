@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import arrow_batches, stage
+from .common import arrow_batches, shielded, stage, unshielded
 from .hashing import bare_word_hashes, mix, powers, prefix_hashes, window_hashes, word_starts
 from .suffixes import common_prefixes, suffix_array
 
@@ -327,7 +327,8 @@ def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
 
 
 def cut_by(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``cut`` by any rule."""
+    """``cut`` by any rule; columns of ``docs`` named like a result come back as ``doc_<name>``."""
+    docs, hidden = shielded(docs, ("doc_id", "text"))
     spans = removed_spans(docs, rule)
     on = docs.doc_id.eqNullSafe(spans["_id"]) & (F.xxhash64(docs.text) == spans["_hash"])
     met = docs.join(spans, on, "left").drop("_id", "_hash")
@@ -353,7 +354,7 @@ def cut_by(docs: DataFrame, rule: Rule) -> DataFrame:
         return pd.DataFrame(out, columns=["kept", "n_bytes", "n_removed", "n_spans"])
 
     done = met.withColumn("_r", remove("text", "runs")).drop("runs")
-    return done.select(*docs.columns, "_r.*")
+    return unshielded(done.select(*docs.columns, "_r.*"), hidden)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -367,6 +368,7 @@ def without_passages(docs: DataFrame) -> DataFrame:
 
 
 def _with_rest(docs: DataFrame, rule: Rule) -> DataFrame:
+    docs, hidden = shielded(docs, ("doc_id", "text", "n_chars"))
     done = cut_by(docs, rule)
 
     @F.pandas_udf("string")
@@ -377,4 +379,4 @@ def _with_rest(docs: DataFrame, rule: Rule) -> DataFrame:
     changed = done.withColumn("text", text)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*docs.columns)
+    return unshielded(changed.select(*docs.columns), hidden)

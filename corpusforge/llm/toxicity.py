@@ -29,6 +29,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from .common import shielded, unshielded
+
 DECAY, SPAN, SHARPEN = 0.7, 6, 4
 LANDMARKS = 96
 SAMPLE, SAMPLE_CHARS = 2_500, 50_000
@@ -311,9 +313,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted``; texts are scored whole."""
+    """``docs`` with ``score`` (0 to 1) and ``predicted``; texts are scored whole.
+
+    Columns of ``docs`` that have these names come back as ``doc_score`` and ``doc_predicted``.
+    """
+    docs, hidden = shielded(docs, ("doc_id", "text"))
     if model is None:
-        return docs.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
+        return unshielded(docs.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)}), hidden)
     sent = docs.sparkSession.sparkContext.broadcast((model.landmarks, model.weights, model.bias, model.scale))
 
     @F.pandas_udf("double")
@@ -323,7 +329,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             yield pd.Series(own.scores(list(texts)), dtype="float64")
 
     scored = docs.withColumn("score", toxic("text"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return unshielded(scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int")), hidden)
 
 
 def detect(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
