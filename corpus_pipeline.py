@@ -1,19 +1,41 @@
-"""The pipeline over ``documents``: stages in order, each written as Parquet and read back by the next."""
+"""The pipeline over ``documents``: stages in order, each written as Parquet and read back by the next.
+
+In every stage null texts and texts without words stay, null ids are rows like others, repeated rows and rows of one id
+are told apart by their texts (stage 2 says which of them go), and an empty table gives no rows.  Columns beyond those of
+``documents`` pass a stage untouched, whatever their names.
+"""
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from corpusforge.llm import decontaminate, jaccard, mixing, repeats, toxicity
-from corpusforge.llm.common import stage, table
+from corpusforge.llm.common import shielded, stage, table, unshielded
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def any_columns(function):
+    """The stage with all further columns under names that meet none of its own."""
+
+    @wraps(function)
+    def guarded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inner, hidden = shielded(docs, COLUMNS)
+        return unshielded(function(spark, inner, sf_dir), hidden)
+
+    return guarded
 
 
+@any_columns
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the trained classifier calls toxic go."""
     scored = toxicity.detect(docs, table(spark, sf_dir, "labels"))
     return scored.where("predicted = 0").select(*docs.columns)
 
 
+@any_columns
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near and exact copies one document stays: that of smallest id, else of smallest hash.
 
@@ -40,20 +62,24 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return once.unionByName(again)
 
 
+@any_columns
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of over 50 words that stand elsewhere too are cut out; the rest of the text stays."""
     return repeats.without_passages(docs)
 
 
+@any_columns
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a verified benchmark window go; the rest stay as they are."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@any_columns
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, text included, with the copies of it that bring the sources to their target weights.
 
     ``copies`` says how often a document stands in the mix; one of 0 copies is listed but is no part of it.
+    Columns of ``docs`` named like one of these five results come back as ``doc_<name>``.
     """
     key = ["doc_id", "lang", "source", "n_chars", "_hash"]
     hashed = docs.withColumn("_hash", F.xxhash64("text"))
