@@ -84,6 +84,28 @@ def test_stages_on_empty_documents(spark, tables):
     assert now.count() == 0
 
 
+CLASHES = (
+    "_id", "_h", "_hash", "_r", "_spans", "_nth", "_column0", "group", "kept", "runs", "n_removed", "n_bytes", "score", "predicted",
+    "size", "n", "parts", "copies", "taken", "target", "source_size", "row_hash", "n_shingles", "a.b",
+)
+
+
+def test_stages_leave_columns_of_any_name_alone(spark, tables):
+    """The same rows as without them, and their values unchanged; results of the last stage keep their names."""
+    folder, _, _ = tables
+    now = plain = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 20 or doc_id >= 150")
+    now = now.select("*", *[F.concat(F.lit(f"{name}:"), "doc_id").alias(name) for name in CLASHES])
+    for name, function in corpus_pipeline.STAGES:
+        now, plain = function(spark, now, folder), function(spark, plain, folder)
+        columns = [c for c in plain.columns]
+        got, want = ([str(r) for r in t.select(*columns).collect()] for t in (now, plain))
+        assert sorted(got) == sorted(want) and len(want) > 0, name
+    added = {"size", "copies", "taken", "target", "source_size"}
+    assert now.count() > 0 and set(now.columns) == set(plain.columns) | {f"doc_{c}" if c in added else c for c in CLASHES}
+    for row in now.collect():
+        assert all(row[f"doc_{c}" if c in added else c] == f"{c}:{row.doc_id}" for c in CLASHES)
+
+
 def test_passage_of_51_short_words_goes(spark):
     """Shared by otherwise different documents, and well under 400 bytes; 50 shared words stay."""
     rng = random.Random(17)
