@@ -25,8 +25,11 @@ from typing import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .common import arrow_batches, join_small, stage
+
 CHUNK = 64 * 1024
-RECORDS = 20_000
+#: Records of an archive, which a task reads whole, and of an Arrow batch of payloads.
+RECORDS, BATCH = 2_000, 200
 # Fixed values of the format.
 VERSION, BREAK, REVISIT = "WARC/1.1", b"\r\n\r\n", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -62,19 +65,19 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
 def with_originals(pages: DataFrame, least: int = 0) -> DataFrame:
     """``pages`` with ``payload``, ``refers_to`` and ``revisit``.
 
-    Copies are found by digest and length on narrow rows; the join that brings the answer back to the pages may be
-    split by the engine where one payload has very many copies.
+    Copies are found by digest and length on narrow rows.  Few payloads have copies, as a rule: then they are broadcast and
+    no payload is shuffled or sorted; beyond that the pages of one payload are spread over salts.
     """
     held = pages.withColumn("payload", F.encode(F.coalesce("html", F.lit("")), "UTF-8"))
     keyed = held.withColumns({"_digest": F.sha1("payload"), "_bytes": F.octet_length("payload")})
     first = (
         keyed.where(F.col("_bytes") >= least)
-        .groupBy(F.col("_digest").alias("_d"), F.col("_bytes").alias("_b"))
+        .groupBy("_digest", "_bytes")
         .agg(F.max("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1 and _first is not null")
         .drop("_n")
     )
-    met = keyed.join(first, (keyed["_digest"] == first["_d"]) & (keyed["_bytes"] == first["_b"]), "left")
+    met = join_small(keyed, stage(first, "copied-payloads"), ["_digest", "_bytes"], "left", salt=["page_id"])
     revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
     return met.select("page_id", "url", "payload", F.when(revisit, F.col("_first")).alias("refers_to"), revisit.alias("revisit"))
 
@@ -93,7 +96,8 @@ def write_archives(pages: DataFrame, path: str, records: int = RECORDS, least: i
     """Archives of ``pages`` (page_id, url, html) below ``path``; payloads of at least ``least`` bytes are revisited."""
     ready = with_originals(pages, least).withColumn("page_id", F.col("page_id").cast("string")).withColumn("refers_to", F.col("refers_to").cast("string"))
     members = ready.mapInPandas(_members, "member binary")
-    members.select(F.col("member").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", records).text(path)
+    with arrow_batches(pages.sparkSession, BATCH):
+        members.select(F.col("member").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", records).text(path)
 
 
 def stream_members(data: bytes, chunk: int = CHUNK) -> Iterator[tuple[dict, bytes]]:
@@ -147,7 +151,7 @@ def parse_record(fields: dict, block: bytes) -> dict:
     }
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = True, batch: int = 200) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payloads: bool = True, batch: int = BATCH) -> DataFrame:
     """Rows of every record of the archives below ``path`` in archive order; ``payloads`` keeps response bodies."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

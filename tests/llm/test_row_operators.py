@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusforge.llm import density, licences, mixing, outliers, perspectives, toxicity, warc
+from corpusforge.llm import common, density, licences, mixing, outliers, perspectives, toxicity, warc
 
 DOC = "doc_id long, text string, lang string, source string"
 
@@ -141,6 +141,21 @@ def test_perspectives(spark):
 # --- archives -----------------------------------------------------------------
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_copies_are_found_without_a_shuffle_of_payloads(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 100 if few else 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pages = [(1, "a", "same"), (5, "b", "same"), (None, "c", "same"), (2, "d", None), (3, "e", ""), (4, "f", "other"), (5, "b", "same")]
+        df = warc.with_originals(spark.createDataFrame(pages, "page_id long, url string, html string"))
+        assert not few or "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.url, r.refers_to, r.revisit) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == [("a", 5, True), ("b", None, False), ("b", None, False), ("c", 5, True), ("d", 3, True), ("e", None, False), ("f", None, False)]
+
+
 def test_archive_round_trip(spark, tmp_path):
     big = "".join(chr(97 + (i * i) % 26) for i in range(300_000))
     pages = [(1, "http://a", "same"), (5, "http://b", "same"), (3, None, "same"), (2, "http://c", None), (4, "http://d\r\nX: y", ""), (6, "u", "é\r\n\r\nx" + big), (None, "n", "same"), (5, "http://b", "same"), (None, "m", "lonely")]
