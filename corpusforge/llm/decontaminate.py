@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import NON_ALNUM, fold_ascii, split_words
+from .common import BROADCAST_ROWS, NON_ALNUM, fold_ascii, split_words, stage
 
 WINDOW = 10
 #: At most this many item windows are broadcast at once; more are taken in blocks, each a scan of its own.
@@ -26,13 +26,14 @@ def _window_hash(words: Column, start: Column, size: int) -> Column:
     return F.xxhash64(*[F.get(words, start + F.lit(k)) for k in range(size)])
 
 
+def _n_windows(words: Column, size: int) -> Column:
+    return F.greatest(F.size(words) - F.lit(size - 1), F.lit(0))
+
+
 def _hashes(words: Column, size: int) -> Column:
-    """One struct per window of ``size`` words: hash, start, length."""
+    """The hash of every window of ``size`` words, in order; bare numbers, as there is one for each word of a text."""
     starts = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size)).otherwise(F.array().cast("array<int>"))
-    return F.transform(
-        starts,
-        lambda i: F.struct(_window_hash(words, i, size).alias("hash"), i.alias("start"), F.lit(size).alias("length")),
-    )
+    return F.transform(starts, lambda i: _window_hash(words, i, size))
 
 
 def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -75,18 +76,26 @@ def find_hits(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFram
         split_words(fold_ascii(F.col("text")), NON_ALNUM).alias("words"),
     )
     # The first element stands for the document itself and always finds the row ``mark``.
-    own = F.array(F.struct(F.lit(0).cast("long").alias("hash"), F.lit(-1).alias("start"), F.lit(0).alias("length")))
-    scanned = words.withColumn("windows", F.concat(own, *[_hashes(F.col("words"), n) for n in sorted(counts)]))
+    own = F.array(F.lit(0).cast("long"))
+    lengths = sorted(counts)
+    scanned = words.withColumn("windows", F.concat(own, *[_hashes(F.col("words"), n) for n in lengths]))
     # Never empty; the outer form keeps the optimizer from computing ``windows`` a second time in a filter below.
-    each = scanned.select("doc_id", "text_hash", "words", F.explode_outer("windows").alias("w")).select(
-        "doc_id", "text_hash", "words", F.col("w.hash").alias("h"), F.col("w.start").alias("start"), F.col("w.length").alias("n")
-    )
+    each = scanned.select("doc_id", "text_hash", "words", F.posexplode_outer("windows").alias("place", "h"))
 
     def look_up(block: DataFrame) -> DataFrame:
-        return each.join(F.broadcast(block), (each.h == block.hash) & (each.n == block.length))
+        return each.join(F.broadcast(block), each.h == block.hash)
 
     met = reduce(DataFrame.unionByName, [look_up(lookup.where(F.pmod("hash", F.lit(blocks)) == b)) for b in range(blocks)])
-    verified = met.where((F.col("n") == 0) | (F.array_join(F.slice("words", F.col("start") + 1, F.col("n")), " ") == F.col("phrase")))
+    # Windows stand by length, then by start, behind the first element.
+    before = F.lit(1)
+    start = F.lit(-1)
+    for n in lengths:
+        start = F.when(F.col("length") == n, F.col("place") - before).otherwise(start)
+        before = before + _n_windows(F.col("words"), n)
+    met = met.select("doc_id", "text_hash", "words", "phrase", "ids", "place", F.col("length").alias("n"), start.alias("start"))
+    # Words hold no blank, so equal phrases are windows of one length.
+    is_phrase = (F.col("start") >= 0) & (F.array_join(F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("n")), " ") == F.col("phrase"))
+    verified = met.where(F.when(F.col("n") == 0, F.col("place") == 0).otherwise((F.col("place") > 0) & is_phrase))
     return (
         verified.select(
             "doc_id", "text_hash", F.size("words").alias("n_words"), "ids", "n",
@@ -149,9 +158,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, action:
     found = find_hits(docs, items, size).where("size(spans) > 0").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")
     )
-    on = [docs.doc_id.eqNullSafe(found["_id"]), F.xxhash64(docs.text) == found["_hash"]]
     if action == "documents":
-        return docs.join(found, on, "left_anti")
+        found = stage(found.drop("_spans"), "contaminated")
+        # Few documents are contaminated, as a rule: then they go to all tasks and no text is shuffled.
+        few = found.count() <= BROADCAST_ROWS
+        on = [docs.doc_id.eqNullSafe(found["_id"]), F.xxhash64(docs.text) == found["_hash"]]
+        return docs.join(F.broadcast(found) if few else found, on, "left_anti")
+    on = [docs.doc_id.eqNullSafe(found["_id"]), F.xxhash64(docs.text) == found["_hash"]]
     joined = docs.join(found, on, "left")
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(remove_spans(F.col("text"), F.col("_spans")))
     changed = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})

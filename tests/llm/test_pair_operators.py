@@ -182,6 +182,40 @@ def test_contamination_cases(spark):
     assert decontaminate.contamination(docs.where("doc_id = 9"), items).count() == 0
 
 
+def test_windows_of_several_lengths(spark):
+    """Items of 1 to 14 words give windows of ten lengths; starts in the texts are those of brute force."""
+    rng = random.Random(11)
+    some = [f"w{i}" for i in range(12)]
+    items = [(n, " ".join(rng.choice(some) for _ in range(n))) for n in range(2, 15)] + [(15, "w3")]
+    texts = [(n, " ".join(rng.choice(some) for _ in range(rng.randrange(30)))) for n in range(40)] + [(50, "x " + items[11][1] + " " + items[4][1])]
+    found = decontaminate.find_hits(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {r.doc_id: ([tuple(s) for s in r.spans], list(r.item_ids)) for r in found.collect()}
+    for doc_id, text in texts:
+        words, spans, ids = text.split(), set(), set()
+        for item_id, item in items:
+            of = item.split()
+            for at in range(max(1, len(of) - 9)):
+                window = of[at : at + 10]
+                hits = {(k, len(window)) for k in range(len(words) - len(window) + 1) if words[k : k + len(window)] == window}
+                spans |= hits
+                ids |= {str(item_id)} if hits else set()
+        assert got[doc_id] == (sorted(spans), sorted(ids))
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_contaminated_documents_go_without_a_shuffle_of_texts(spark, monkeypatch, few):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 100 if few else 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(1, "a b c"), (2, "x"), (None, "a b c"), (None, "y"), (1, "z")], "doc_id long, text string")
+        left = decontaminate.decontaminate(docs, spark.createDataFrame([(1, "a b c")], "item_id long, text string"))
+        assert ("Exchange hashpartitioning" in left._jdf.queryExecution().executedPlan().toString()) != few
+        assert sorted((r.text, r.doc_id) for r in left.collect()) == [("x", 2), ("y", None), ("z", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_windows_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 2)
     ten = " ".join(f"t{i}" for i in range(15))
