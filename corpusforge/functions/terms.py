@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from typing import Callable, Iterator
+from zlib import crc32
 
 import pandas as pd
 from pyspark.broadcast import Broadcast
@@ -60,6 +61,31 @@ def _automaton(terms: tuple[str, ...], returns: str, pick: Callable):
     return search
 
 
+def _numbers_by_size(spellings: list) -> dict[int, dict[str, list[int]]]:
+    by_size: dict[int, dict[str, list[int]]] = {}
+    for key, number, _ in spellings:
+        by_size.setdefault(len(_TOKEN.findall(key)), {}).setdefault(key, []).append(number)
+    return by_size
+
+
+def _sequences(tokens: list[str], size: int) -> set[str]:
+    return set(tokens) if size == 1 else set(map("".join, zip(*[tokens[at:] for at in range(size)])))
+
+
+def _stands(tokens: list[str], key: str, size: int) -> bool:
+    """Is a sequence of the tokens bounded as a term is?"""
+    return _is_word(key[0]) and _is_word(key[-1]) or _bounded_somewhere(tokens, key, size)
+
+
+def _held(tokens: list[str], by_size: dict[int, dict[str, list[int]]], sequences: dict[int, set[str]]) -> list[int]:
+    found: set[int] = set()
+    for size, numbers in by_size.items():
+        for key in numbers.keys() & sequences[size]:
+            if _stands(tokens, key, size):
+                found.update(numbers[key])
+    return sorted(found)
+
+
 def whole_terms(lower_text: Column, spellings: Broadcast) -> Column:
     """Terms that the lower-cased text holds as whole words, in vocabulary order.
 
@@ -69,22 +95,11 @@ def whole_terms(lower_text: Column, spellings: Broadcast) -> Column:
 
     @F.pandas_udf("array<string>")
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        terms: dict[int, str] = {}
-        by_size: dict[int, dict[str, list[int]]] = {}
-        for key, number, term in spellings.value:
-            terms[number] = term
-            by_size.setdefault(len(_TOKEN.findall(key)), {}).setdefault(key, []).append(number)
-
+        terms = {number: term for _, number, term in spellings.value}
+        by_size = _numbers_by_size(spellings.value)
         def held(text: str | None) -> list[str]:
-            found: set[int] = set()
             tokens = _TOKEN.findall(text or "")
-            for size, numbers in by_size.items():
-                shifted = [tokens[at:] for at in range(size)]
-                met = numbers.keys() & (set(tokens) if size == 1 else set(map("".join, zip(*shifted))))
-                for key in met:
-                    if _is_word(key[0]) and _is_word(key[-1]) or _bounded_somewhere(tokens, key, size):
-                        found.update(numbers[key])
-            return [terms[number] for number in sorted(found)]
+            return [terms[n] for n in _held(tokens, by_size, {size: _sequences(tokens, size) for size in by_size})]
 
         for texts in batches:
             yield pd.Series([held(text) for text in texts], index=texts.index, dtype=object)
@@ -92,6 +107,60 @@ def whole_terms(lower_text: Column, spellings: Broadcast) -> Column:
     return search(lower_text)
 
 
+def key_bit(key: Column, bits: int) -> Column:
+    """Place of a spelling in a bitmap of ``bits``, a power of two."""
+    return F.crc32(key).bitwiseAND(F.lit(bits - 1))
+
+
+def numbers_and_keys(lower_text: Column, spellings: Broadcast, bitmap: Broadcast, kinds: list[tuple[int, bool, bool]]) -> Column:
+    """``(numbers, keys)`` of a lower-cased text: its terms of ``spellings``, as ``whole_terms`` finds them, and its sequences that may be other spellings.
+
+    Those are the sequences of ``kinds`` (tokens, begins with a word, ends with one) whose ``key_bit`` is set in ``bitmap``.
+    """
+
+    @F.pandas_udf("numbers array<int>, keys array<string>")
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        by_size = _numbers_by_size(spellings.value)
+        flags, last = bitmap.value, len(bitmap.value) * 8 - 1
+        ends: dict[int, set[tuple[bool, bool]]] = {}
+        for size, first, end in kinds:
+            ends.setdefault(size, set()).add((first, end))
+
+        def met(text: str | None) -> tuple[list[int], list[str]]:
+            tokens = _TOKEN.findall(text or "")
+            sequences = {size: _sequences(tokens, size) for size in {*by_size, *ends}}
+            keys = []
+            for size, bounds in ends.items():
+                for key in sequences[size]:
+                    at = crc32(key.encode()) & last
+                    if flags[at >> 3] >> (at & 7) & 1 and (_is_word(key[0]), _is_word(key[-1])) in bounds and _stands(tokens, key, size):
+                        keys.append(key)
+            return _held(tokens, by_size, sequences), keys
+
+        for texts in batches:
+            yield pd.DataFrame([met(text) for text in texts], columns=["numbers", "keys"])
+
+    return search(lower_text)
+
+
+def named_terms(numbers: Column, further: Column, vocabulary: Broadcast) -> Column:
+    """The terms of ``numbers``, by ``vocabulary`` (number to (position, term)), and of the structs ``further``, in vocabulary order."""
+
+    @F.pandas_udf("array<string>")
+    def named(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        known = vocabulary.value
+        for some, more in batches:
+            rows = [{*(known[n] for n in a), *((item["position"], item["term"]) for item in b)} for a, b in zip(some, more)]
+            yield pd.Series([[term for _, term in sorted(row, key=in_order)] for row in rows], index=some.index, dtype=object)
+
+    return named(numbers, further)
+
+
+def in_order(pair: tuple) -> tuple:
+    position, term = pair
+    return (position is not None, position if position is not None else 0, term)
+
+
 def _bounded_somewhere(tokens: list[str], key: str, size: int) -> bool:
     """Is a sequence with another character than a word's at an end somewhere bounded by a word there?"""
     for at in range(len(tokens) - size + 1):

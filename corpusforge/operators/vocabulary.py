@@ -2,18 +2,22 @@
 
 A term of ``functions.concepts`` is a whole word or several words with a blank, a hyphen or nothing between them.  Every
 spelling of it is a row of an inverted table, which is written and measured.  A table within the bounds of a broadcast goes
-to all tasks, which read each text once for all spellings; nothing is shuffled.  With a larger one the documents' sequences of
-tokens (runs of word characters, and single other characters) are looked up by an equi-join.  Either way the work for a
-document grows with its length, not with the terms, and the result is the same.
+to all tasks, which read each text once for all spellings; nothing is shuffled.  Of a larger one as much as fits goes to the
+tasks, and the documents' sequences of tokens (runs of word characters, and single other characters) that may be other
+spellings are looked up by an equi-join.  Either way the work for a document grows with its length, not with the terms,
+and the result is the same.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.concepts import WORD
-from ..functions.terms import whole_terms
+from ..functions.terms import in_order, key_bit, named_terms, numbers_and_keys, whole_terms
 from ..staging import stage
+from . import joins
 from .joins import is_small
 from .rows import keep_where
 
@@ -24,6 +28,8 @@ _LAST_WORD = rf"{WORD}$"
 
 #: Words of a term at most; every further one triples its spellings.
 MAX_WORDS = 8
+#: Bits of the bitmap of the spellings that are not sent to the tasks, whatever their number.
+BITS = 1 << 26
 
 
 def tokens(lower_text: Column) -> Column:
@@ -53,21 +59,6 @@ def spellings(terms: DataFrame) -> DataFrame:
     return rows.select("key", F.size(tokens(key)).alias("size"), key.rlike(_FIRST_WORD).alias("first"), key.rlike(_LAST_WORD).alias("last"), "position", "term")
 
 
-def sequences(lower_text: Column, size: int, first: bool, last: bool) -> Column:
-    """All sequences of ``size`` tokens that begin and end with a word or not, as terms are bounded, by one pattern.
-
-    A word is bounded by anything else.  Where a term begins or ends with another character, a word stands beside it,
-    because a word boundary lies between the two sorts.
-    """
-    begin, end = (rf"(?<!{WORD})", rf"{WORD}++") if first else (rf"(?<={WORD})", _OTHER)
-    tail = "" if last else rf"(?={WORD})"
-    if size == 1:
-        body = end
-    else:
-        body = rf"{end}(?:{_TOKEN}){{{size - 2}}}" + (rf"{WORD}++" if last else _OTHER)
-    return F.regexp_extract_all(lower_text, F.lit(rf"{begin}(?=({body}){tail})"), F.lit(1))
-
-
 def tag_with_table(docs: DataFrame, terms: DataFrame, key: str = "id", content: str = "content") -> DataFrame:
     """``(key, concepts)`` of the documents that hold a term, in vocabulary order.
 
@@ -88,11 +79,50 @@ def _read_once(found: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def _looked_up(found: DataFrame, table: DataFrame) -> DataFrame:
+    """Spellings beyond the bounds of a broadcast: as many as fit go to all tasks, the others are met by an equi-join.
+
+    Which ones go is all one for the result: those of terms of few words, then by vocabulary order, as a word stands in more texts than
+    a sequence.  Of a text only sequences that may be other spellings are shuffled, by a bitmap of fixed size, and the numbers of its terms.
+    """
+    spark = found.sparkSession
+    words = F.size(F.split("term", " "))
+    order = F.struct(words.alias("words"), "position", "term", "key")
+    brief = F.octet_length("key") + F.octet_length("term") + 16 <= joins.BROADCAST_BYTES // joins.BROADCAST_ROWS
+    sent = table.where(brief).select(order.alias("at")).orderBy("at").limit(joins.BROADCAST_ROWS).select("at.*").collect()
+    if sent:
+        last = sent[-1]
+        kinds = {name: table.schema[name].dataType for name in ("position", "term", "key")}
+        bound = F.struct(F.lit(last["words"]).alias("words"), *[F.lit(last[name]).cast(kind).alias(name) for name, kind in kinds.items()])
+        rest = stage(table.where(~brief | (order > bound)), "further-spellings")
+    else:
+        rest = table
+    pairs = sorted({(row["position"], row["term"]) for row in sent}, key=in_order)
+    numbers = {pair: number for number, pair in enumerate(pairs)}
+    send = spark.sparkContext.broadcast
+    spellings_sent = send([(row["key"], numbers[row["position"], row["term"]], None) for row in sent])
     # At most four rows for every number of tokens that a term may have.
-    kinds = sorted(map(tuple, table.select("size", "first", "last").distinct().collect()))
-    looked_up = F.array_distinct(F.concat(*[sequences(F.col("_lower"), *kind) for kind in kinds]))
-    # The outer form keeps the optimizer from computing the sequences a second time in a filter below.
-    each = found.select("_id", F.explode_outer(looked_up).alias("key"))
-    hits = F.array_sort(F.collect_set(F.struct("position", "term")))
-    tagged = each.join(table, "key").groupBy("_id").agg(hits.alias("_hits"))
-    return tagged.select("_id", F.transform("_hits", lambda item: item["term"]).alias("concepts"))
+    kinds = sorted(map(tuple, rest.select("size", "first", "last").distinct().collect()))
+    met = numbers_and_keys(F.col("_lower"), spellings_sent, send(_bitmap(rest)), kinds)
+    seen = stage(found.select("_id", met.alias("met")).select("_id", "met.numbers", "met.keys").where("size(numbers) > 0 or size(keys) > 0"), "met-spellings")
+    none = F.array().cast("array<int>")
+    further = seen.select("_id", F.explode("keys").alias("key")).join(rest, "key").select("_id", none.alias("numbers"), F.struct("position", "term").alias("item"))
+    own = seen.where("size(numbers) > 0").select("_id", "numbers", F.lit(None).cast(further.schema["item"].dataType).alias("item"))
+    hits = own.unionByName(further).groupBy("_id").agg(
+        F.array_distinct(F.flatten(F.collect_list("numbers"))).alias("numbers"), F.collect_set("item").alias("items")
+    )
+    return hits.select("_id", named_terms(F.col("numbers"), F.col("items"), send(pairs)).alias("concepts"))
+
+
+def _bitmap(spelled: DataFrame) -> bytes:
+    """The ``key_bit`` of every spelling in a bitmap of ``BITS``; its pieces come to the driver, of fixed size in all."""
+    width = BITS >> 8
+    at = key_bit(F.col("key"), BITS)
+    word = spelled.select(F.shiftright(at, width.bit_length() - 1).cast("int").alias("part"), at.bitwiseAND(F.lit(width - 1)).cast("int").alias("at"))
+
+    def packed(group: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(width, dtype=bool)
+        flags[group["at"].to_numpy()] = True
+        return pd.DataFrame({"part": [group["part"].iloc[0]], "bits": [np.packbits(flags, bitorder="little").tobytes()]})
+
+    pieces = {row["part"]: row["bits"] for row in word.distinct().groupBy("part").applyInPandas(packed, "part int, bits binary").collect()}
+    return b"".join(pieces.get(part, bytes(width // 8)) for part in range(1 << 8))

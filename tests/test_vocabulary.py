@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusforge.functions.concepts import concept_tags
-from corpusforge.operators import vocabulary
+from corpusforge.operators import joins, vocabulary
 from corpusforge.operators.vocabulary import spellings, tag_with_table
 
 TERMS = (
@@ -44,6 +44,32 @@ def test_table_and_single_tests_agree(spark, monkeypatch, small):
     assert got == expected(spark, rows, TERMS) and len(got) > 300
 
 
+def test_spellings_beyond_a_broadcast_are_looked_up(spark, monkeypatch):
+    """Whatever number of spellings goes to the tasks, and also if terms have one position, repeat or have none, the result is the same."""
+    rows = list(enumerate(texts(7)))
+    docs = spark.createDataFrame(rows, "id long, content string").repartition(3)
+    want = expected(spark, rows, TERMS)
+    for most in (0, 1, 5, 12, 20):
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", most or 1)
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", 200 * most)
+        assert {r.id: r.concepts for r in tag_with_table(docs, table(spark, TERMS)).collect()} == want, most
+    odd = spark.createDataFrame([(None, "worker"), (1, "worker"), (1, "que"), (1, "Task Queue"), (0, "ab"), (0, "ab")], "position int, term string")
+    got = tag_with_table(spark.createDataFrame([(1, "ab task-queue que worker"), (2, "none")], "id long, content string"), odd).collect()
+    assert [tuple(r) for r in got] == [(1, ["worker", "ab", "Task Queue", "que", "worker"])]
+
+
+def test_only_possible_spellings_of_a_large_table_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    docs = spark.createDataFrame([(n, " ".join(f"word{n} of{i}" for i in range(200)) + " rare7 term7") for n in range(50)], "id long, content string")
+    terms = table(spark, ("of1", "of2", *(f"rare{n} term{n}" for n in range(100))))
+    written = []
+    stage = vocabulary.stage
+    monkeypatch.setattr(vocabulary, "stage", lambda df, label: written.append((label, stage(df, label))) or written[-1][1])
+    assert {r.id: r.concepts for r in tag_with_table(docs, terms).collect()} == {n: ["of1", "of2", "rare7 term7"] for n in range(50)}
+    met = dict(written)["met-spellings"].select(F.sum(F.size("keys")).alias("n")).first().n
+    assert met < 60
+
+
 def test_spellings(spark):
     rows = spellings(table(spark, ("Task Queue", "c++"))).collect()
     assert sorted(r.key for r in rows) == ["c++", "task queue", "task-queue", "taskqueue"]
