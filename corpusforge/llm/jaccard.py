@@ -4,12 +4,13 @@ Documents are sets of hashed word shingles.  Equal sets are one class from the s
 are one set.  Two sets of Jaccard ``PERCENT`` % or more share a shingle among the first n - ceil(n * PERCENT / 100) + 1
 of either under any fixed order; here shingles seen often (a bounded bitmap) come last, so passages that many
 documents share do not make tiles.  Candidates meet in tiles of one shingle and neighbouring size bands, are
-pruned by sizes and by the bit counts of their signatures (equal bits bound the overlap from above), and are
+pruned by sizes and by the parities of their signatures (differing bits bound the overlap from above), and are
 then checked by intersecting their sorted arrays.
 
 1. Every class is compared with two classes for each of its ``LEADS`` shingles of least hash: the one with the smallest
    share of uncommon shingles, which is the centre of a family of near copies, and one by chance.
-2. Only tiles whose classes are still in different components are compared in full; what is left is exact.
+2. Of the tiles whose classes are still in different components, as many likely pairs are checked as tie these together.
+3. Pairs that are apart even then are compared in full; what is left is exact.
 
 Components, not all pairs, are the result, so pairs inside a component need no check and no link is lost.
 Nothing about all documents reaches the driver but the bitmaps, whose sizes are fixed.
@@ -35,6 +36,8 @@ from .hashing import in_blocks, mix, shingle_sets
 
 SIZE, PERCENT = 5, 80
 LEADS = 4
+#: Bits of a signature for each shingle, and the largest signature as a power of two.
+PER_SHINGLE, MOST_BITS = 2, 15
 #: Times common shingles are looked for.
 ROUNDS = 3
 #: A shingle in the leading part of more sets than this comes last in the order.
@@ -52,26 +55,28 @@ def lead_length(n, percent: int = PERCENT):
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    """Bitmap of a set; larger sets get more bits, a power of two."""
-    bits = 1 << min(14, max(8, int(len(tokens) - 1).bit_length()))
-    flags = np.zeros(bits, dtype=np.uint8)
-    flags[(tokens & np.uint64(bits - 1)).astype(np.int64)] = 1
-    return np.packbits(flags, bitorder="little").tobytes()
+    """Parities of a set: a bit says whether an odd number of shingles fall on it; larger sets get more bits, a power of two.
+
+    What two sets share cancels out where their parities differ, however large the sets are.
+    """
+    bits = 1 << min(MOST_BITS, max(8, int(PER_SHINGLE * len(tokens) - 1).bit_length()))
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 def folded(sig: bytes) -> list[int]:
     """A signature as four whole numbers, 256 bits."""
     bits = np.frombuffer(sig or bytes(32), np.uint8)
-    return np.bitwise_or.reduce(bits.reshape(-1, 32), axis=0).view("<i8").tolist()
+    return np.bitwise_xor.reduce(bits.reshape(-1, 32), axis=0).view("<i8").tolist()
 
 
 def overlap_bound(a: bytes, b: bytes, size_a: int, size_b: int) -> int:
     """No two sets of these signatures and sizes share more: each differing bit stands for a shingle of one alone."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
     while len(x) > len(y):
-        x = x[: len(x) // 2] | x[len(x) // 2 :]
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
     while len(y) > len(x):
-        y = y[: len(y) // 2] | y[len(y) // 2 :]
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
     return (size_a + size_b - int(np.bitwise_count(x ^ y).sum())) // 2
 
 
@@ -95,7 +100,7 @@ def in_order(tokens: np.ndarray, common: np.ndarray, percent: int) -> tuple[np.n
 
 
 def _common_tokens(docs: DataFrame, size: int, percent: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Bitmap of shingles that lead more than ``COMMON`` rows; counts are of all rows, exact per hash.
+    """Bitmap of shingles that lead more than ``COMMON`` rows; counts are of all rows, by the low 32 bits of a hash.
 
     When common shingles go last, others come up that may be as common: the rows this happens to are counted again.
     """
@@ -120,19 +125,19 @@ def _leading_often(docs: DataFrame, size: int, percent: int, bitmap: np.ndarray,
                 if rare and not (changed and np.array_equal(lead, tokens[: len(lead)])):
                     found.append(lead[:rare])
             if found:
-                token, count = np.unique(np.concatenate(found), return_counts=True)
-                part = ((token & np.uint64(BITS - 1)) // np.uint64(width)).astype(np.int64)
+                token, count = np.unique(np.concatenate(found).astype("<u4"), return_counts=True)
+                part = ((token & np.uint32(BITS - 1)) // np.uint32(width)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 cuts = np.searchsorted(part[order], np.arange(parts + 1))
-                rows = [(p, token[order[a:b]].astype(_U).tobytes(), count[order[a:b]].astype("<u4").tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+                rows = [(p, token[order[a:b]].tobytes(), count[order[a:b]].astype("<u4").tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
                 yield pd.DataFrame(rows, columns=["part", "tokens", "counts"])
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
-        tokens = np.frombuffer(b"".join(group["tokens"]), _U)
+        tokens = np.frombuffer(b"".join(group["tokens"]), "<u4")
         counts = np.frombuffer(b"".join(group["counts"]), "<u4")
         token, where = np.unique(tokens, return_inverse=True)
         often = token[np.bincount(where, counts) > COMMON]
-        bits = np.unique(often & np.uint64(BITS - 1)).astype("<u4")
+        bits = np.unique(often & np.uint32(BITS - 1)).astype("<u4")
         return pd.DataFrame({"bits": [bits.tobytes()]})
 
     chunks = docs.select("text").mapInPandas(leads, "part int, tokens binary, counts binary")
@@ -267,8 +272,44 @@ def hub_pairs(sets: DataFrame) -> DataFrame:
     return met.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs of different components that share a leading shingle that is not common; tiles are packed per bucket."""
+def _steps(token: np.ndarray, n: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Neighbours at a distance of 1, 2, ... in tiles, sorted by token and size, until the sizes are too far apart."""
+    at, step = np.arange(len(token) - 1), 1
+    while len(at):
+        at = at[at + step < len(token)]
+        other = at + step
+        near = (token[at] == token[other]) & (100 * n[at] >= percent * n[other])
+        at = at[near]
+        yield at, other[near]
+        step += 1
+
+
+def _shared(number: int, row: np.ndarray, token: np.ndarray, rank: np.ndarray, n: np.ndarray, comp: np.ndarray, ids: np.ndarray, percent: int) -> pd.DataFrame:
+    """Of one bucket the shingles (places ``row`` of ``n``, ``comp`` and ``ids``) that sets of different components share."""
+    order = np.lexsort((n[row], token))
+    token, row, rank = token[order], row[order], rank[order]
+    size, part = n[row], comp[row]
+    left = size - rank.astype(np.int64)
+    partner = np.zeros(len(token), dtype=bool)
+    for at, other in _steps(token, size, percent):
+        apart = (part[at] != part[other]) & ((100 + percent) * np.minimum(left[at], left[other]) >= percent * (size[at] + size[other]))
+        partner[at[apart]] = partner[other[apart]] = True
+    at = np.nonzero(partner)[0]
+    at = at[np.argsort(row[at], kind="stable")]
+    cuts = np.r_[0, np.nonzero(np.diff(row[at]))[0] + 1, len(at)] if len(at) else [0]
+    out = [(number, ids[row[at[a]]], n[row[at[a]]], token[at[a:b]].tobytes(), rank[at[a:b]].tobytes()) for a, b in zip(cuts, cuts[1:])]
+    return pd.DataFrame(out, columns=["bucket", "doc_id", "n", "tokens", "ranks"])
+
+
+_MEMBERS = "bucket int, doc_id long, n long, tokens binary, ranks binary"
+
+
+def tile_members(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """bucket, doc_id, n, tokens, ranks: the leading shingles that are not common and that a set shares with another.
+
+    Tiles are packed per bucket, and no tile is wider than ``COMMON`` rows but for those that ``ROUNDS`` missed. What two sets share
+    lies behind their first common shingle, so sets whose rest is too short there are no partners.
+    """
     spark = sets.sparkSession
     buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -284,56 +325,107 @@ def rare_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             bucket = (mix(flat) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            held = {c: batch[c].to_numpy(dtype="<i8") for c in ("doc_id", "n", "comp")}
+            held = {c: batch[c].to_numpy(dtype="<i8") for c in ("doc_id", "n")}
             out = []
             for number, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 if b > a:
                     used, local = np.unique(row[order[a:b]], return_inverse=True)
                     out.append((number, flat[order[a:b]].tobytes(), local.astype("<u2").tobytes(), rank[order[a:b]].tobytes(), *[held[c][used].tobytes() for c in held]))
-            yield pd.DataFrame(out, columns=["bucket", "tokens", "rows", "ranks", "doc_id", "n", "comp"])
+            yield pd.DataFrame(out, columns=["bucket", "tokens", "rows", "ranks", "doc_id", "n"])
 
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
+    def sharing(group: pd.DataFrame) -> pd.DataFrame:
         tokens = np.frombuffer(b"".join(group["tokens"]), _U)
         base, rows = 0, []
         for r, ids in zip(group["rows"], group["doc_id"]):
             rows.append(np.frombuffer(r, "<u2").astype(np.int64) + base)
             base += len(ids) // 8
         row = np.concatenate(rows)
-        ids, n, comp = (np.frombuffer(b"".join(group[c]), "<i8") for c in ("doc_id", "n", "comp"))
-        order = np.lexsort((n[row], tokens))
-        token, row = tokens[order], row[order]
-        # At their first common shingle two sets can share no more than what follows it in either.
-        left = n[row] - np.frombuffer(b"".join(group["ranks"]), "<u4").astype(np.int64)[order]
-        found = []
-        # Neighbours at a distance of 1, 2, ... in a tile, sorted by size, until the sizes are too far apart.
-        at, step = np.arange(len(token) - 1), 1
-        while len(at):
-            other = at + step
-            at, other = at[other < len(token)], other[other < len(token)]
-            near = (token[at] == token[other]) & (100 * n[row[at]] >= percent * n[row[other]])
-            at, other = at[near], other[near]
-            both = n[row[at]] + n[row[other]]
-            apart = (comp[row[at]] != comp[row[other]]) & ((100 + percent) * np.minimum(left[at], left[other]) >= percent * both)
-            found.append(np.stack([ids[row[at[apart]]], ids[row[other[apart]]]]))
-            if sum(f.shape[1] for f in found) > 2_000_000:
-                found = [np.unique(np.concatenate(found, axis=1), axis=1)]
-            step += 1
-        both = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"a": both.min(axis=0), "b": both.max(axis=0)}) if both.size else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-    packed = sets.select("doc_id", "n", "comp", "lead", "n_rare").mapInPandas(
-        pack, "bucket int, tokens binary, rows binary, ranks binary, doc_id binary, n binary, comp binary"
+        ids, n = (np.frombuffer(b"".join(group[c]), "<i8") for c in ("doc_id", "n"))
+        rank = np.frombuffer(b"".join(group["ranks"]), "<u4")
+        return _shared(group["bucket"].iloc[0], row, tokens, rank, n, ids, ids, percent)
+
+    packed = sets.select("doc_id", "n", "lead", "n_rare").mapInPandas(
+        pack, "bucket int, tokens binary, rows binary, ranks binary, doc_id binary, n binary"
     )
-    return packed.groupBy("bucket").applyInPandas(pairs, "a long, b long").distinct()
+    return packed.groupBy("bucket").applyInPandas(sharing, _MEMBERS)
+
+
+def _unpacked(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, shingle and rank of everything packed in a bucket's members."""
+    row = np.repeat(np.arange(len(group)), [len(t) // 8 for t in group["tokens"]])
+    return row, np.frombuffer(b"".join(group["tokens"]), _U), np.frombuffer(b"".join(group["ranks"]), "<u4")
 
 
-def common_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def still_apart(members: DataFrame, roots: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The members, and their shingles, that share one with a set of another component; with ``comp``."""
+
+    def apart(group: pd.DataFrame) -> pd.DataFrame:
+        ids, n, comp = (group[c].to_numpy(dtype=np.int64) for c in ("doc_id", "n", "comp"))
+        return _shared(group["bucket"].iloc[0], *_unpacked(group), n, comp, ids, percent)
+
+    return with_components(members, roots).groupBy("bucket").applyInPandas(apart, _MEMBERS)
+
+
+def tile_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, spanning: bool, percent: int = PERCENT) -> DataFrame:
+    """Pairs of different components in a tile of ``members`` whose sizes, places and signatures allow a link.
+
+    ``spanning`` keeps of each bucket only as many as tie its components together, the likeliest first: what they leave
+    apart once they are checked is found by a second call without it.
+    """
+    def pairs(group: pd.DataFrame) -> pd.DataFrame:
+        row, token, rank = _unpacked(group)
+        ids, n, comp = (group[c].to_numpy(dtype=np.int64) for c in ("doc_id", "n", "comp"))
+        folds = group[["f0", "f1", "f2", "f3"]].to_numpy(dtype=np.int64).view(np.uint64)
+        order = np.lexsort((n[row], token))
+        token, row, left = token[order], row[order], (n[row] - rank.astype(np.int64))[order]
+        found = [np.zeros(0, np.int64)]
+        for at, other in _steps(token, n[row], percent):
+            x, y = row[at], row[other]
+            both = n[x] + n[y]
+            apart = (comp[x] != comp[y]) & ((100 + percent) * np.minimum(left[at], left[other]) >= percent * both)
+            x, y, both = x[apart], y[apart], both[apart]
+            odd = np.bitwise_count(folds[x] ^ folds[y]).sum(axis=1, dtype=np.int64)
+            near = (100 + percent) * (both - odd) >= 2 * percent * both
+            found.append(np.minimum(x, y)[near] * len(group) + np.maximum(x, y)[near])
+        x, y = np.divmod(np.unique(np.concatenate(found)), len(group))
+        if spanning:
+            odd = np.bitwise_count(folds[x] ^ folds[y]).sum(axis=1, dtype=np.int64)
+            nearest = np.lexsort((ids[y], ids[x], odd / (n[x] + n[y])))
+            x, y = x[nearest], y[nearest]
+        sig, sizes, parts, out = list(group["sig"]), n.tolist(), comp.tolist(), []
+        above: dict[int, int] = {}
+
+        def root(part: int) -> int:
+            while (up := above.get(part, part)) != part:
+                above[part] = part = above.get(up, up)
+            return part
+
+        for i, j in zip(x.tolist(), y.tolist()):
+            if spanning and root(parts[i]) == root(parts[j]) or not _bound_ok(sizes[i], sig[i], sizes[j], sig[j], percent):
+                continue
+            if spanning:
+                above[root(parts[i])] = root(parts[j])
+            out.append((i, j))
+        both = ids[np.array(out, dtype=np.int64).reshape(-1, 2)]
+        return pd.DataFrame({"a": both.min(axis=1), "b": both.max(axis=1)})
+
+    held = sets.select("doc_id", "sig", "f0", "f1", "f2", "f3")
+    return with_components(members, roots).join(held, "doc_id").groupBy("bucket").applyInPandas(pairs, "a long, b long").distinct()
+
+
+def with_components(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """``sets`` with ``comp``, the component of each; a set without links is one of its own."""
+    joined = sets.join(roots.select(F.col("id").alias("doc_id"), "root"), "doc_id", "left")
+    return joined.withColumn("comp", F.coalesce("root", "doc_id")).drop("root")
+
+
+def common_pairs(sets: DataFrame, roots: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs of different components that share a common leading shingle: tiles of a shingle and a size band.
 
     Of each shingle only classes outside its largest component are compared with the others.
     """
     folds = ("f0", "f1", "f2", "f3")
-    leads = exploded(sets, "lead", "n_rare", ("doc_id", "n", "comp", *folds))
+    leads = with_components(exploded(sets, "lead", "n_rare", ("doc_id", "n", *folds)), roots)
     shares = leads.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     main = shares.groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
     mixed = stage(leads.join(main.where("comps > 1"), "token"), "common-leads")
@@ -355,6 +447,11 @@ def common_pairs(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     return met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
 
 
+def _tied(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Edges of the components so far and of further links."""
+    return roots.select(F.col("id").alias("a"), F.col("root").alias("b")).where("a <> b").unionByName(links)
+
+
 def join_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, row_hash, n_shingles, component_id, and group.
 
@@ -372,19 +469,24 @@ def _join_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     classes = classes.select("key", F.col("first.doc_id").alias("first_id"), F.col("first.row_hash").alias("rep_hash"))
     classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "set-classes")
     own = classes.select(F.col("key").alias("_key"), "rep_hash", "node")
-    sets = every.join(own, (every.key == own["_key"]) & (every.row_hash == own.rep_hash)).drop("_key", "rep_hash", "row_hash", "doc_id")
-    sets = sets.withColumnRenamed("node", "doc_id").dropDuplicates(["doc_id"])
-    sets = stage(sets.withColumn("comp", F.col("doc_id")), "sets")
+    # Rows that are equal in id and text go by the keys of the join, so the wide rows move once.
+    sets = every.dropDuplicates(["key", "row_hash"]).join(own, (F.col("key") == F.col("_key")) & (F.col("row_hash") == F.col("rep_hash")))
+    sets = stage(sets.drop("_key", "key", "rep_hash", "row_hash", "doc_id").withColumnRenamed("node", "doc_id"), "sets")
 
     hubs = stage(pruned(hub_pairs(sets), sets, percent), "hub-pairs")
-    links = verified(hubs, docs, classes, size, percent)
-    roots = stage(connected(links), "roots")
-    labelled = sets.drop("comp").join(roots.select(F.col("id").alias("doc_id"), "root"), "doc_id", "left")
-    labelled = stage(labelled.withColumn("comp", F.coalesce("root", "doc_id")).drop("root"), "labelled-sets")
-    more = rare_pairs(labelled, percent).unionByName(common_pairs(labelled, percent)).distinct()
-    rest = verified(stage(pruned(more, sets, percent), "tile-pairs"), docs, classes, size, percent)
+    roots = stage(connected(verified(hubs, docs, classes, size, percent)), "roots")
+    members = stage(still_apart(stage(tile_members(sets, percent), "tile-members"), roots, percent), "members-apart")
+    tiled = stage(sets.select("doc_id", "sig", "f0", "f1", "f2", "f3").join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "tiled-sets")
+    ties = stage(tile_pairs(members, tiled, roots, True, percent), "tile-ties")
+    if not ties.isEmpty():
+        roots = stage(connected(_tied(roots, verified(ties, docs, classes, size, percent))), "roots")
+    more = tile_pairs(members, tiled, roots, False, percent)
+    often = stage(common_pairs(sets, roots, percent), "common-pairs")
+    if not often.isEmpty():
+        more = more.unionByName(pruned(often, sets, percent)).distinct()
+    rest = verified(stage(more, "tile-pairs"), docs, classes, size, percent)
     if not rest.isEmpty():
-        roots = stage(connected(links.unionByName(rest)), "roots")
+        roots = stage(connected(_tied(roots, rest)), "roots")
 
     of_class = classes.join(roots.select(F.col("id").alias("node"), "root"), "node", "left").withColumn("group", F.coalesce("root", "node"))
     smallest = of_class.where("root is not null").groupBy("group").agg(F.min("first_id").alias("smallest"))

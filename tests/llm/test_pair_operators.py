@@ -79,6 +79,41 @@ def test_bound_never_below_the_overlap():
         assert jaccard.overlap_bound(jaccard.signature(a), jaccard.signature(b), len(a), len(b)) >= shared
 
 
+def test_parities_part_large_sets_that_share_much():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**63, 700).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[:560], rng.integers(0, 2**63, 140).astype(np.uint64)])) for _ in range(12)]
+    pairs = [(a, b) for i, a in enumerate(sets) for b in sets[:i]]
+    assert all(len(np.intersect1d(a, b)) / len(np.union1d(a, b)) < 0.7 for a, b in pairs)
+    assert not any(jaccard._bound_ok(len(a), jaccard.signature(a), len(b), jaccard.signature(b), 80) for a, b in pairs)
+
+
+def test_large_family_makes_few_pairs(spark, monkeypatch):
+    """Links beside the centre are found by pairs in proportion to a family, not to its square."""
+    rng, checked, links = random.Random(31), [], jaccard.verified
+    base = [f"{rng.choice(WORDS)}{i}" for i in range(150)]
+    texts = []
+    for number in range(240):
+        words = list(base)
+        for at in rng.sample(range(2, 148), 2 if number % 3 else 3):
+            words[at] = f"x{number}y{at}"
+        texts.append(" ".join(words))
+
+    def counted(pairs, *rest):
+        checked.append(pairs.count())
+        return links(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    monkeypatch.setattr(jaccard, "hub_pairs", lambda sets: spark.createDataFrame([], "a long, b long"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = jaccard.join_classes(docs).select("doc_id", "n_shingles", "component_id").collect()
+    want = brute_components(texts)
+    assert sorted(map(tuple, got)) == want and len({root for _, _, root in want}) < 200
+    assert len(texts) / 20 < sum(checked) < 12 * len(texts), checked
+
+
 def test_family_on_both_sides_of_the_threshold(spark):
     """One large family of near copies: some pairs link, others just do not; and a family in which none do."""
     rng = random.Random(23)
