@@ -291,6 +291,20 @@ def test_repeated_passages_equal_brute_force(spark, monkeypatch, crowd):
     assert got == brute_words(texts, 51)
 
 
+def test_only_texts_that_lose_something_go_to_python_and_once(spark, capsys):
+    passage = " ".join(f"w{i}" for i in range(60))
+    texts = [f"one {passage} é", f"two {passage}", "clean", None, ""]
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int")
+    for make in (repeats.without_passages, repeats.cut):
+        make(docs).explain()
+        plan = capsys.readouterr().out
+        assert plan.count("ArrowEvalPython") == 1 and "isnotnull(runs" in plan, plan
+    got = repeats.without_passages(docs).orderBy("doc_id").collect()
+    assert [(r.text, r.n_chars) for r in got] == [("one é", 5), ("two ", 4), ("clean", 5), (None, None), ("", 0)]
+    got = repeats.cut(docs.where("doc_id > 1")).orderBy("doc_id").collect()
+    assert [(bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in got] == [(b"clean", 5, 0, 0), (b"", 0, 0, 0), (b"", 0, 0, 0)]
+
+
 def test_passage_between_signs_and_without_blanks(spark):
     rng = random.Random(3)
     words = " ".join(rng.choice("abcdefgh") for _ in range(51))
