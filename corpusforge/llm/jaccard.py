@@ -9,8 +9,9 @@ then checked by intersecting their sorted arrays.
 
 1. Every class is compared with two classes for each of its ``LEADS`` shingles of least hash: the one with the smallest
    share of uncommon shingles, which is the centre of a family of near copies, and one by chance.
-2. Of the tiles whose classes are still in different components, as many likely pairs are checked as tie these together.
-3. Pairs that are apart even then are compared in full; what is left is exact.
+2. Of the tiles whose classes are still in different components, as many likely pairs are checked as tie these together;
+   members of pairs that this leaves out are noted.
+3. Their pairs that are apart even then are compared in full; what is left is exact.
 
 Components, not all pairs, are the result, so pairs inside a component need no check and no link is lost.
 Nothing about all documents reaches the driver but the bitmaps, whose sizes are fixed.
@@ -137,15 +138,15 @@ def _leading_often(docs: DataFrame, size: int, percent: int, bitmap: np.ndarray,
         counts = np.frombuffer(b"".join(group["counts"]), "<u4")
         token, where = np.unique(tokens, return_inverse=True)
         often = token[np.bincount(where, counts) > COMMON]
-        bits = np.unique(often & np.uint32(BITS - 1)).astype("<u4")
-        return pd.DataFrame({"bits": [bits.tobytes()]})
+        bits = np.zeros(width, dtype=bool)
+        bits[((often & np.uint32(BITS - 1)) % np.uint32(width)).astype(np.int64)] = True
+        return pd.DataFrame({"part": [group["part"].iloc[0]], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
     chunks = docs.select("text").mapInPandas(leads, "part int, tokens binary, counts binary")
-    found = chunks.groupBy("part").applyInPandas(count, "bits binary").where("length(bits) > 0")
-    bitmap = np.zeros(BITS, dtype=bool)
-    for row in found.toLocalIterator():  # at most BITS positions in all, a part at a time
-        bitmap[np.frombuffer(row["bits"], "<u4")] = True
-    return np.packbits(bitmap, bitorder="little")
+    bitmap = np.zeros((parts, width // 8), dtype=np.uint8)
+    for row in chunks.groupBy("part").applyInPandas(count, "part int, bits binary").collect():  # BITS in all, whatever the input
+        bitmap[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return bitmap.reshape(-1)
 
 
 def _has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -208,8 +209,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int =
     bit = F.expr(f"shiftleft(1L, cast(pmod(row_hash, {BITS}) & 31 as int))")
     words = wanted.select(F.shiftright(spot, 5).cast("int").alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
     bitmap = np.zeros(BITS // 32, dtype=np.uint32)
-    for row in words.toLocalIterator():  # at most BITS / 32 rows
-        bitmap[row["word"]] = row["bits"]
+    found = words.toArrow()  # at most BITS / 32 rows, in one job
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy()
     wanted_bits = spark.sparkContext.broadcast(bitmap)
 
     def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -311,7 +312,7 @@ def tile_members(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     lies behind their first common shingle, so sets whose rest is too short there are no partners.
     """
     spark = sets.sparkSession
-    buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -367,10 +368,10 @@ def still_apart(members: DataFrame, roots: DataFrame, percent: int = PERCENT) ->
 
 
 def tile_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, spanning: bool, percent: int = PERCENT) -> DataFrame:
-    """Pairs of different components in a tile of ``members`` whose sizes, places and signatures allow a link.
+    """Pairs (a, b) of different components in a tile of ``members`` whose sizes, places and signatures allow a link.
 
-    ``spanning`` keeps of each bucket only as many as tie its components together, the likeliest first: what they leave
-    apart once they are checked is found by a second call without it.
+    ``spanning`` keeps of each bucket only as many as tie its components together, the likeliest first.  The members of the
+    others come as (doc_id, null, bucket): what is apart once the ties are checked is among these (``left_out``).
     """
     def pairs(group: pd.DataFrame) -> pd.DataFrame:
         row, token, rank = _unpacked(group)
@@ -394,6 +395,7 @@ def tile_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, spanning:
             x, y = x[nearest], y[nearest]
         sig, sizes, parts, out = list(group["sig"]), n.tolist(), comp.tolist(), []
         above: dict[int, int] = {}
+        passed: set[int] = set()
 
         def root(part: int) -> int:
             while (up := above.get(part, part)) != part:
@@ -401,16 +403,29 @@ def tile_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, spanning:
             return part
 
         for i, j in zip(x.tolist(), y.tolist()):
-            if spanning and root(parts[i]) == root(parts[j]) or not _bound_ok(sizes[i], sig[i], sizes[j], sig[j], percent):
+            if spanning and root(parts[i]) == root(parts[j]):
+                passed.update((i, j))
+                continue
+            if not _bound_ok(sizes[i], sig[i], sizes[j], sig[j], percent):
                 continue
             if spanning:
                 above[root(parts[i])] = root(parts[j])
             out.append((i, j))
         both = ids[np.array(out, dtype=np.int64).reshape(-1, 2)]
-        return pd.DataFrame({"a": both.min(axis=1), "b": both.max(axis=1)})
+        rest = ids[np.array(sorted(passed), dtype=np.int64)]
+        a, b = np.r_[both.min(axis=1), rest], np.r_[both.max(axis=1), np.zeros_like(rest)]
+        tie = np.arange(len(a)) < len(both)
+        bucket = np.full(len(a), group["bucket"].iloc[0], dtype=np.int64)
+        return pd.DataFrame({"a": a, "b": pd.arrays.IntegerArray(b, ~tie), "bucket": pd.arrays.IntegerArray(bucket, tie)})
 
     held = sets.select("doc_id", "sig", "f0", "f1", "f2", "f3")
-    return with_components(members, roots).join(held, "doc_id").groupBy("bucket").applyInPandas(pairs, "a long, b long").distinct()
+    return with_components(members, roots).join(held, "doc_id").groupBy("bucket").applyInPandas(pairs, "a long, b long, bucket int").distinct()
+
+
+def left_out(members: DataFrame, ties: DataFrame) -> DataFrame:
+    """The members of pairs that were no ties of their bucket, as ``tile_pairs`` noted them."""
+    noted = ties.where("b is null").select("bucket", F.col("a").alias("doc_id"))
+    return members.join(noted, ["bucket", "doc_id"], "left_semi")
 
 
 def with_components(sets: DataFrame, roots: DataFrame) -> DataFrame:
@@ -452,6 +467,14 @@ def _tied(roots: DataFrame, links: DataFrame) -> DataFrame:
     return roots.select(F.col("id").alias("a"), F.col("root").alias("b")).where("a <> b").unionByName(links)
 
 
+def _linked(roots: DataFrame, pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """``roots`` after the links among the staged ``pairs``."""
+    if pairs.isEmpty():
+        return roots
+    links = verified(pairs, docs, classes, size, percent)
+    return roots if links.isEmpty() else stage(connected(_tied(roots, links)), "roots")
+
+
 def join_classes(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, row_hash, n_shingles, component_id, and group.
 
@@ -478,15 +501,12 @@ def _join_classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     members = stage(still_apart(stage(tile_members(sets, percent), "tile-members"), roots, percent), "members-apart")
     tiled = stage(sets.select("doc_id", "sig", "f0", "f1", "f2", "f3").join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "tiled-sets")
     ties = stage(tile_pairs(members, tiled, roots, True, percent), "tile-ties")
-    if not ties.isEmpty():
-        roots = stage(connected(_tied(roots, verified(ties, docs, classes, size, percent))), "roots")
-    more = tile_pairs(members, tiled, roots, False, percent)
+    roots = _linked(roots, ties.where("b is not null").select("a", "b"), docs, classes, size, percent)
+    more = tile_pairs(left_out(members, ties), tiled, roots, False, percent).select("a", "b")
     often = stage(common_pairs(sets, roots, percent), "common-pairs")
     if not often.isEmpty():
         more = more.unionByName(pruned(often, sets, percent)).distinct()
-    rest = verified(stage(more, "tile-pairs"), docs, classes, size, percent)
-    if not rest.isEmpty():
-        roots = stage(connected(_tied(roots, rest)), "roots")
+    roots = _linked(roots, stage(more, "tile-pairs"), docs, classes, size, percent)
 
     of_class = classes.join(roots.select(F.col("id").alias("node"), "root"), "node", "left").withColumn("group", F.coalesce("root", "node"))
     smallest = of_class.where("root is not null").groupBy("group").agg(F.min("first_id").alias("smallest"))

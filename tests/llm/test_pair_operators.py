@@ -305,6 +305,28 @@ def test_only_texts_that_lose_something_go_to_python_and_once(spark, capsys):
     assert [(bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in got] == [(b"clean", 5, 0, 0), (b"", 0, 0, 0), (b"", 0, 0, 0)]
 
 
+def test_bitmaps_reach_the_driver_in_few_jobs(spark):
+    """One job per partition made most of the time of a run of many partitions."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i + k) % 90}" for k in range(100))) for i in range(300)], "doc_id long, text string")
+    changed = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in changed}
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        began = jobs()
+        bitmap, levels = jaccard._common_tokens(docs, 5, 80, 1), repeats._repeated_anchors(docs, repeats.WORDS)
+        assert jobs() - began < 12
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    least = [jaccard.shingle_sets([row.text.encode()], 5)[0][:1] for row in docs.collect()]
+    token, count = jaccard.np.unique(jaccard.np.concatenate(least), return_counts=True)
+    often = token[count > jaccard.COMMON]
+    assert len(often) and jaccard._has(bitmap, (often & jaccard.np.uint64(jaccard.BITS - 1)).astype("int64")).all()
+    assert len(levels) == repeats.CELLS and levels.any()
+
+
 def test_passage_between_signs_and_without_blanks(spark):
     rng = random.Random(3)
     words = " ".join(rng.choice("abcdefgh") for _ in range(51))
