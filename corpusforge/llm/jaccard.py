@@ -159,7 +159,7 @@ def row_hash():
 
 
 def profiles(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, row_hash, n, key, sig, lead (packed shingles in order), n_rare (how many of lead are not common), least (of least hash), f0..f3 (sig folded)."""
+    """doc_id, row_hash, n, key, sig, lead (packed shingles in order), n_rare (how many of lead are not common), least (shingles of least hash), f0..f3 (sig folded)."""
     common = docs.sparkSession.sparkContext.broadcast(_common_tokens(docs, size, percent))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,12 +169,12 @@ def profiles(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataF
                 n = len(tokens)
                 lead, rare = in_order(tokens, common.value, percent)
                 sig = signature(tokens) if n else b""
-                out.append((n, _key(tokens), sig, lead.astype(_U).tobytes(), rare, tokens[:LEADS].astype(_U).tobytes(), *folded(sig)))
+                out.append((n, _key(tokens), sig, lead.astype(_U).tobytes(), rare, tokens[:LEADS].astype("<i8"), *folded(sig)))
             yield pd.DataFrame(out, columns=["n", "key", "sig", "lead", "n_rare", "least", "f0", "f1", "f2", "f3"]).assign(doc_id=batch["doc_id"], row_hash=batch["row_hash"])
 
     # Ids go as text: beside nulls pandas would make them floats.
     named = docs.select(F.col("doc_id").cast("string"), "text", row_hash())
-    found = named.mapInPandas(rows, "n long, key binary, sig binary, lead binary, n_rare int, least binary, f0 long, f1 long, f2 long, f3 long, doc_id string, row_hash long")
+    found = named.mapInPandas(rows, "n long, key binary, sig binary, lead binary, n_rare int, least array<long>, f0 long, f1 long, f2 long, f3 long, doc_id string, row_hash long")
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -263,7 +263,7 @@ def exploded(sets: DataFrame, packed: str, begin: str, columns: tuple[str, ...])
 def hub_pairs(sets: DataFrame) -> DataFrame:
     """Every class with two classes for each of its shingles of least hash."""
     rare = F.col("n_rare") / F.greatest(F.length("lead") / 8, F.lit(1))
-    least = exploded(sets.withColumn("rare", rare.cast("double")), "least", "0", ("doc_id", "n", "rare"))
+    least = sets.select(F.explode("least").alias("token"), "doc_id", "n", rare.cast("double").alias("rare"))
     hubs = least.groupBy("token").agg(
         F.min_by("doc_id", F.struct("rare", "n", "doc_id")).alias("centre"),
         F.min_by("doc_id", F.struct(F.xxhash64("token", "doc_id"), "doc_id")).alias("chance"),

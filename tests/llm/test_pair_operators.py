@@ -114,6 +114,29 @@ def test_large_family_makes_few_pairs(spark, monkeypatch):
     assert len(texts) / 20 < sum(checked) < 12 * len(texts), checked
 
 
+def test_hubs_are_chosen_without_python(spark, capsys):
+    """Both passes over the shingles of least hash went through Python."""
+    texts = near_copies(7)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = jaccard.stage(jaccard.profiles(docs).where("n > 0").dropDuplicates(["key"]), "sets")
+    pairs = jaccard.hub_pairs(sets)
+    pairs.explain()
+    plan = capsys.readouterr().out
+    assert "Generate explode(least" in plan and "InPandas" not in plan, plan
+    rows = {r.doc_id: r for r in sets.collect()}
+    least = {i: jaccard.shingle_sets([texts[i].encode()], 5)[0][: jaccard.LEADS].astype("<i8").tolist() for i in rows}
+    assert {i: r.least for i, r in rows.items()} == least
+    expected = {}
+    for i, tokens in least.items():
+        for token in tokens:
+            expected.setdefault(token, []).append(i)
+    share = lambda i: (rows[i].n_rare / max(1, len(rows[i].lead) / 8), rows[i].n, i)
+    centres = {(i, min(ids, key=share)) for ids in expected.values() for i in ids}
+    found = set(map(tuple, pairs.collect()))
+    assert {(a, b) for a, b in centres if a != b} <= found
+    assert all(a != b and set(least[a]) & set(least[b]) for a, b in found)
+
+
 def test_family_on_both_sides_of_the_threshold(spark):
     """One large family of near copies: some pairs link, others just do not; and a family in which none do."""
     rng = random.Random(23)
