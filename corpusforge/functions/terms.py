@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from typing import Callable, Iterator
-from zlib import crc32
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, functions as F
 
-from .concepts import _is_word
-
-# Runs of word characters, and every other character alone.
-_TOKEN = re.compile(r"\w+|\W")
+from .packed import key_bits, lists, numbers_of, possible_keys
 
 #: Up to this many terms are tested one by one in the JVM; more are searched together by an automaton.
 #: Both give the same positions.
@@ -61,84 +58,45 @@ def _automaton(terms: tuple[str, ...], returns: str, pick: Callable):
     return search
 
 
-def _numbers_by_size(spellings: list) -> dict[int, dict[str, list[int]]]:
-    by_size: dict[int, dict[str, list[int]]] = {}
-    for key, number, _ in spellings:
-        by_size.setdefault(len(_TOKEN.findall(key)), {}).setdefault(key, []).append(number)
-    return by_size
-
-
-def _sequences(tokens: list[str], size: int) -> set[str]:
-    return set(tokens) if size == 1 else set(map("".join, zip(*[tokens[at:] for at in range(size)])))
-
-
-def _stands(tokens: list[str], key: str, size: int) -> bool:
-    """Is a sequence of the tokens bounded as a term is?"""
-    return _is_word(key[0]) and _is_word(key[-1]) or _bounded_somewhere(tokens, key, size)
-
-
-def _held(tokens: list[str], by_size: dict[int, dict[str, list[int]]], sequences: dict[int, set[str]]) -> list[int]:
-    found: set[int] = set()
-    for size, numbers in by_size.items():
-        for key in numbers.keys() & sequences[size]:
-            if _stands(tokens, key, size):
-                found.update(numbers[key])
-    return sorted(found)
-
-
 def whole_terms(lower_text: Column, spellings: Broadcast) -> Column:
     """Terms that the lower-cased text holds as whole words, in vocabulary order.
 
-    ``spellings`` are ``(key, number, term)`` rows, ``number`` being a term's place in the vocabulary.  A text is cut into
-    tokens once; its sequences of as many tokens as spellings have are met with them as sets.
+    ``spellings`` are the packed spellings and the terms, whose places in the vocabulary are the numbers.
     """
 
-    @F.pandas_udf("array<string>")
-    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        terms = {number: term for _, number, term in spellings.value}
-        by_size = _numbers_by_size(spellings.value)
-        def held(text: str | None) -> list[str]:
-            tokens = _TOKEN.findall(text or "")
-            return [terms[n] for n in _held(tokens, by_size, {size: _sequences(tokens, size) for size in by_size})]
-
+    @F.arrow_udf("array<string>")
+    def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        packed, terms = spellings.value
         for texts in batches:
-            yield pd.Series([held(text) for text in texts], index=texts.index, dtype=object)
+            counts, numbers = numbers_of(texts, packed)
+            yield lists(counts, terms.take(pa.array(numbers)))
 
     return search(lower_text)
 
 
 def key_bit(key: Column, bits: int) -> Column:
     """Place of a spelling in a bitmap of ``bits``, a power of two."""
-    return F.crc32(key).bitwiseAND(F.lit(bits - 1))
+
+    @F.arrow_udf("long")
+    def place(texts: pa.Array) -> pa.Array:
+        return pa.array(key_bits(texts, bits))
+
+    return place(key)
 
 
 def numbers_and_keys(lower_text: Column, spellings: Broadcast, bitmap: Broadcast, kinds: list[tuple[int, bool, bool]]) -> Column:
-    """``(numbers, keys)`` of a lower-cased text: its terms of ``spellings``, as ``whole_terms`` finds them, and its sequences that may be other spellings.
+    """``(numbers, keys)`` of a lower-cased text: its terms of the packed ``spellings`` and its sequences that may be other spellings.
 
     Those are the sequences of ``kinds`` (tokens, begins with a word, ends with one) whose ``key_bit`` is set in ``bitmap``.
     """
 
-    @F.pandas_udf("numbers array<int>, keys array<string>")
-    def search(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        by_size = _numbers_by_size(spellings.value)
-        flags, last = bitmap.value, len(bitmap.value) * 8 - 1
-        ends: dict[int, set[tuple[bool, bool]]] = {}
-        for size, first, end in kinds:
-            ends.setdefault(size, set()).add((first, end))
-
-        def met(text: str | None) -> tuple[list[int], list[str]]:
-            tokens = _TOKEN.findall(text or "")
-            sequences = {size: _sequences(tokens, size) for size in {*by_size, *ends}}
-            keys = []
-            for size, bounds in ends.items():
-                for key in sequences[size]:
-                    at = crc32(key.encode()) & last
-                    if flags[at >> 3] >> (at & 7) & 1 and (_is_word(key[0]), _is_word(key[-1])) in bounds and _stands(tokens, key, size):
-                        keys.append(key)
-            return _held(tokens, by_size, sequences), keys
-
+    @F.arrow_udf("numbers array<int>, keys array<string>")
+    def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        packed, flags = spellings.value, np.frombuffer(bitmap.value, dtype=np.uint8)
         for texts in batches:
-            yield pd.DataFrame([met(text) for text in texts], columns=["numbers", "keys"])
+            counts, numbers = numbers_of(texts, packed)
+            held = lists(counts, pa.array(numbers.astype(np.int32)))
+            yield pa.StructArray.from_arrays([held, possible_keys(texts, flags, kinds)], names=["numbers", "keys"])
 
     return search(lower_text)
 
@@ -159,14 +117,3 @@ def named_terms(numbers: Column, further: Column, vocabulary: Broadcast) -> Colu
 def in_order(pair: tuple) -> tuple:
     position, term = pair
     return (position is not None, position if position is not None else 0, term)
-
-
-def _bounded_somewhere(tokens: list[str], key: str, size: int) -> bool:
-    """Is a sequence with another character than a word's at an end somewhere bounded by a word there?"""
-    for at in range(len(tokens) - size + 1):
-        if "".join(tokens[at : at + size]) == key:
-            before = at > 0 and _is_word(tokens[at - 1][0])
-            after = at + size < len(tokens) and _is_word(tokens[at + size][0])
-            if before != _is_word(key[0]) and after != _is_word(key[-1]):
-                return True
-    return False

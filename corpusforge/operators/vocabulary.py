@@ -1,8 +1,8 @@
 """Tagging with a vocabulary that is a table.
 
 A term of ``functions.concepts`` is a whole word or several words with a blank, a hyphen or nothing between them.  Every
-spelling of it is a row of an inverted table, which is written and measured.  A table within the bounds of a broadcast goes
-to all tasks, which read each text once for all spellings; nothing is shuffled.  Of a larger one as much as fits goes to the
+spelling of it is a row of an inverted table, which is written and measured.  A table within the bounds of what is sent goes
+to all tasks in packed arrays, and they read each text once for all spellings; nothing is shuffled.  Of a larger one some goes to the
 tasks, and the documents' sequences of tokens (runs of word characters, and single other characters) that may be other
 spellings are looked up by an equi-join.  Either way the work for a document grows with its length, not with the terms,
 and the result is the same.
@@ -12,13 +12,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.concepts import WORD
-from ..functions.terms import in_order, key_bit, named_terms, numbers_and_keys, whole_terms
+from ..functions.packed import Spellings
+from ..functions.terms import key_bit, named_terms, numbers_and_keys, whole_terms
 from ..staging import stage
 from . import joins
-from .joins import is_small
 from .rows import keep_where
 
 _OTHER = r"[^\p{L}\p{N}_]"
@@ -30,6 +32,8 @@ _LAST_WORD = rf"{WORD}$"
 MAX_WORDS = 8
 #: Bits of the bitmap of the spellings that are not sent to the tasks, whatever their number.
 BITS = 1 << 26
+#: A packed spelling takes about 50 bytes in a task, so that many times the rows and bytes of a broadcast are sent.
+PACKED_ROWS, PACKED_BYTES = 6, 2
 
 
 def tokens(lower_text: Column) -> Column:
@@ -70,14 +74,34 @@ def tag_with_table(docs: DataFrame, terms: DataFrame, key: str = "id", content:
     return tagged.select(F.col("_id").alias(key), "concepts")
 
 
+def is_small(table: DataFrame) -> bool:
+    """May all spellings go to the tasks?"""
+    return joins.fits(table, PACKED_ROWS * joins.BROADCAST_ROWS, PACKED_BYTES * joins.BROADCAST_BYTES)
+
+
 def _read_once(found: DataFrame, table: DataFrame) -> DataFrame:
-    rows = table.orderBy("position", "term").select("key", "position", "term").collect()
-    numbers = {pair: number for number, pair in enumerate(dict.fromkeys((row["position"], row["term"]) for row in rows))}
-    sent = found.sparkSession.sparkContext.broadcast([(row["key"], numbers[row["position"], row["term"]], row["term"]) for row in rows])
+    sent = found.sparkSession.sparkContext.broadcast(_packed(table)[:2])
     tags = F.struct(whole_terms(F.col("_lower"), sent).alias("concepts"))
     return keep_where(found, ["_id"], tags, lambda item: F.size(item["concepts"]) > 0)
 
 
+def _packed(table: DataFrame) -> tuple[Spellings, pa.Array, pa.Array]:
+    """The spellings, with the places of their terms in the vocabulary as numbers, and the terms and positions by number."""
+    rows = table.select("key", "position", "term").orderBy("position", "term").toArrow().combine_chunks()
+    new = np.zeros(len(rows), dtype=bool)
+    new[:1] = True
+    for column in (rows["position"], rows["term"]):
+        here, before = column.slice(1), column.slice(0, max(len(rows) - 1, 0))
+        other = pc.fill_null(pc.not_equal(here, before), False)
+        new[1:] |= pc.or_(other, pc.xor(pc.is_null(here), pc.is_null(before))).to_numpy()
+    keys, first = _whole(rows["key"]), rows.filter(pa.array(new))
+    return Spellings.of(keys, np.cumsum(new) - 1), _whole(first["term"]), _whole(first["position"])
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+
 def _looked_up(found: DataFrame, table: DataFrame) -> DataFrame:
     """Spellings beyond the bounds of a broadcast: as many as fit go to all tasks, the others are met by an equi-join.
 
@@ -88,18 +112,18 @@ def _looked_up(found: DataFrame, table: DataFrame) -> DataFrame:
     words = F.size(F.split("term", " "))
     order = F.struct(words.alias("words"), "position", "term", "key")
     brief = F.octet_length("key") + F.octet_length("term") + 16 <= joins.BROADCAST_BYTES // joins.BROADCAST_ROWS
-    sent = table.where(brief).select(order.alias("at")).orderBy("at").limit(joins.BROADCAST_ROWS).select("at.*").collect()
-    if sent:
-        last = sent[-1]
+    last = table.where(brief).select(order.alias("at")).orderBy("at").limit(joins.BROADCAST_ROWS).agg(F.max("at").alias("at")).first()["at"]
+    if last:
         kinds = {name: table.schema[name].dataType for name in ("position", "term", "key")}
         bound = F.struct(F.lit(last["words"]).alias("words"), *[F.lit(last[name]).cast(kind).alias(name) for name, kind in kinds.items()])
         rest = stage(table.where(~brief | (order > bound)), "further-spellings")
+        own_terms = table.where(brief & (order <= bound))
     else:
-        rest = table
-    pairs = sorted({(row["position"], row["term"]) for row in sent}, key=in_order)
-    numbers = {pair: number for number, pair in enumerate(pairs)}
+        rest, own_terms = table, table.limit(0)
+    packed, terms, positions = _packed(own_terms)
+    pairs = list(zip(positions.to_pylist(), terms.to_pylist()))
     send = spark.sparkContext.broadcast
-    spellings_sent = send([(row["key"], numbers[row["position"], row["term"]], None) for row in sent])
+    spellings_sent = send(packed)
     # At most four rows for every number of tokens that a term may have.
     kinds = sorted(map(tuple, rest.select("size", "first", "last").distinct().collect()))
     met = numbers_and_keys(F.col("_lower"), spellings_sent, send(_bitmap(rest)), kinds)

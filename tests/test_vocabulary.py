@@ -1,11 +1,15 @@
 """Tagging with a table of terms gives what tagging term by term gives."""
 
 import random
+import re
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from corpusforge.functions import packed
 from corpusforge.functions.concepts import concept_tags
 from corpusforge.operators import joins, vocabulary
 from corpusforge.operators.vocabulary import spellings, tag_with_table
@@ -93,3 +97,69 @@ def test_work_does_not_grow_with_the_terms(spark):
     begun = time.time()
     assert tag_with_table(docs, many).first().concepts == ["workflow"]
     assert time.time() - begun < 20
+
+
+def _plainly(text, keys):
+    """The keys that stand in a text bounded as terms are, by a regex for each."""
+    return {key for key in keys if _bounded(text, key)}
+
+
+def _bounded(text, key):
+    before, after = (r"(?<!\w)" if re.match(r"\w", key) else r"(?<=\w)"), (r"(?!\w)" if re.search(r"\w\Z", key) else r"(?=\w)")
+    return re.search(f"{before}{re.escape(key)}{after}", text) is not None
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_packed_search_is_exact(monkeypatch, collide):
+    """Also across pieces of the input, for all widths of characters, long keys and hashes that collide."""
+    rng = random.Random(3)
+    if collide:
+        monkeypatch.setattr(packed, "_VALUE", np.ones(256, dtype=np.uint64))
+    monkeypatch.setattr(packed, "CHUNK", 200)
+    packed._chunk_powers.cache_clear()
+    bits = ["a", "ab", "ba", "été", "日本", "𝒳y", "𐍈", "x_1", "½", "٣", " ", " ", "-", ".", "\n", "💡", "́", "averyveryverylongwordindeed", "averyveryverylongwordindeee"]
+    written = [None, "", *("".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(300)), "", "ab " * 400 + "été", None]
+    keys = sorted({"".join(rng.choice(bits) for _ in range(rng.randrange(1, 4))) for _ in range(400)} | {"ab été", "ab"})
+    rows = [(key, n) for n, key in enumerate(keys)] + [(key, len(keys)) for key in keys[:5]]
+    spelled = packed.Spellings.of(pa.array([k for k, _ in rows]), np.array([n for _, n in rows]))
+    texts_ = pa.array(["cut off", *written])[1:]
+    counts, numbers = packed.numbers_of(texts_, spelled)
+    got = packed.lists(counts, pa.array(numbers)).to_pylist()
+    held = [_plainly(text or "", keys) for text in written]
+    assert got == [sorted({n for key, n in rows if key in here}) for here in held] and sum(counts) > 1_000
+    flags = np.zeros(1 << 10, dtype=bool)
+    flags[packed.key_bits(pa.array(keys), 1 << 10)] = True
+    met = packed.possible_keys(texts_, np.packbits(flags, bitorder="little"), spelled.kinds).to_pylist()
+    assert all(here <= set(keys_met) for here, keys_met in zip(held, met))
+    assert all(keys_met == [] for keys_met, text in zip(met, written) if not text)
+    if not collide:
+        assert all(len(keys_met) == len(set(keys_met)) for keys_met in met)
+    packed._chunk_powers.cache_clear()
+
+
+def test_search_of_many_spellings_is_quick(spark):
+    """A text's cost per byte is that of array steps, not of a Python object per token and sequence."""
+    rng = random.Random(5)
+    words = [f"w{n:x}" for n in range(30_000)]
+    keys = pa.array([*words, *(f"{rng.choice(words)} {rng.choice(words)}" for _ in range(60_000))])
+    spelled = packed.Spellings.of(keys, np.arange(len(keys)))
+    texts_ = pa.array([" ".join(rng.choices(words, k=500)) for _ in range(1_000)])
+    packed.numbers_of(texts_[:10], spelled)
+    begun = time.process_time()
+    counts, _ = packed.numbers_of(texts_, spelled)
+    took = time.process_time() - begun
+    begun = time.process_time()
+    for text in texts_.to_pylist():  # what the search took at least before: the tokens and their sequences of three
+        tokens = re.findall(r"\w+|\W", text)
+        assert len({*tokens}) and len({*map("".join, zip(tokens, tokens[1:], tokens[2:]))})
+    assert took < time.process_time() - begun and counts.sum() > 400_000
+
+
+def test_more_spellings_than_rows_of_a_broadcast_are_read_once(spark, monkeypatch):
+    """Packed, they are small: up to six times the rows of a broadcast no text's terms are shuffled."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
+    terms = table(spark, tuple(f"rare{n}" for n in range(50)))
+    docs = spark.createDataFrame([(n, f"a rare{n} rare7") for n in range(60)], "id long, content string")
+    tagged = tag_with_table(docs, terms)
+    assert "Exchange" not in tagged._jdf.queryExecution().executedPlan().toString()
+    assert {r.id: r.concepts for r in tagged.collect()} == {n: sorted({f"rare{n}", "rare7"}, key=lambda t: int(t[4:])) if n < 50 else ["rare7"] for n in range(60)}
