@@ -14,6 +14,7 @@ from typing import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes that are searched together; a longer text is searched alone.
 CHUNK = 1 << 18
@@ -169,7 +170,7 @@ def text_hashes(texts: pa.Array) -> np.ndarray:
 
 @dataclass
 class Spellings:
-    """Distinct spellings by hash: ``first`` has where those begin that share the uppermost bits, ``words`` their bytes, ``numbers`` their terms' numbers."""
+    """Spellings by hash: ``first`` has where those begin that share the uppermost bits, ``words`` their bytes, ``numbers`` their terms' numbers."""
 
     hashes: np.ndarray
     first: np.ndarray
@@ -183,15 +184,16 @@ class Spellings:
     @staticmethod
     def of(keys: pa.Array, numbers: np.ndarray) -> Spellings:
         """From rows of a spelling, which is no empty text, and a number."""
-        coded = keys.cast(pa.large_string()).dictionary_encode()
-        texts, codes = coded.dictionary, coded.indices.to_numpy()
-        hashes = text_hashes(texts)
-        order = np.argsort(hashes, kind="stable")
-        texts, hashes = texts.take(pa.array(order)), hashes[order]
-        place = np.empty(len(order), dtype=np.int32)
-        place[order] = np.arange(len(order))
-        by_place = np.lexsort((numbers, place[codes]))
-        numbers_at = np.searchsorted(place[codes][by_place], np.arange(len(order) + 1)).astype(np.int32)
+        hashes = text_hashes(keys)
+        order = np.argsort(hashes, kind="stable").astype(np.int32)
+        texts, hashes, numbers = keys.cast(pa.large_string()).take(pa.array(order)), hashes[order], np.asarray(numbers, dtype=np.int32)[order]
+        del keys, order
+        new = np.ones(len(texts), dtype=bool)
+        if len(texts):  # rows of one spelling are neighbours, but for hashes that collide; then it comes twice, which does no harm
+            new[1:] = (hashes[1:] != hashes[:-1]) | pc.not_equal(texts[1:], texts[:-1]).to_numpy(zero_copy_only=False)
+        numbers_at = np.append(np.flatnonzero(new), len(new)).astype(np.int32)
+        if not new.all():
+            texts, hashes = texts.filter(pa.array(new)), hashes[new]
         bits = max(len(hashes), 1).bit_length()
         first = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
         sizes = np.diff(_bytes_of(texts)[1]).astype(np.int32)
@@ -203,7 +205,7 @@ class Spellings:
                 words[words_at[begin:end][long] + number] = tokens.words(tokens.starts[long], sizes[begin:end][long], number)
             at = np.append(np.searchsorted(tokens.at, tokens.starts), len(tokens.word))
             kinds.update(zip(np.diff(at).tolist(), tokens.word[at[:-1]].tolist(), tokens.word[at[1:] - 1].tolist()))
-        return Spellings(hashes, first, sizes, words, words_at[:-1].astype(np.int32), np.asarray(numbers, dtype=np.int32)[by_place], numbers_at, sorted(kinds))
+        return Spellings(hashes, first, sizes, words, words_at[:-1].astype(np.int32), numbers, numbers_at, sorted(kinds))
 
     def _held(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """Texts and spellings, once for every place where a text holds a spelling."""

@@ -32,8 +32,8 @@ _LAST_WORD = rf"{WORD}$"
 MAX_WORDS = 8
 #: Bits of the bitmap of the spellings that are not sent to the tasks, whatever their number.
 BITS = 1 << 26
-#: A packed spelling takes about 50 bytes in a task, so that many times the rows and bytes of a broadcast are sent.
-PACKED_ROWS, PACKED_BYTES = 6, 2
+#: A packed spelling takes about 60 bytes in a task, so that many times the rows and bytes of a broadcast are sent.
+PACKED_ROWS, PACKED_BYTES = 8, 3
 
 
 def tokens(lower_text: Column) -> Column:
@@ -87,15 +87,17 @@ def _read_once(found: DataFrame, table: DataFrame) -> DataFrame:
 
 def _packed(table: DataFrame) -> tuple[Spellings, pa.Array, pa.Array]:
     """The spellings, with the places of their terms in the vocabulary as numbers, and the terms and positions by number."""
-    rows = table.select("key", "position", "term").orderBy("position", "term").toArrow().combine_chunks()
+    rows = table.select("key", "position", "term").orderBy("position", "term").toArrow()
     new = np.zeros(len(rows), dtype=bool)
     new[:1] = True
     for column in (rows["position"], rows["term"]):
         here, before = column.slice(1), column.slice(0, max(len(rows) - 1, 0))
         other = pc.fill_null(pc.not_equal(here, before), False)
         new[1:] |= pc.or_(other, pc.xor(pc.is_null(here), pc.is_null(before))).to_numpy()
-    keys, first = _whole(rows["key"]), rows.filter(pa.array(new))
-    return Spellings.of(keys, np.cumsum(new) - 1), _whole(first["term"]), _whole(first["position"])
+    first = rows.select(["term", "position"]).filter(pa.array(new))
+    keys = _whole(rows["key"])
+    del rows, column, here, before
+    return Spellings.of(keys, np.cumsum(new, dtype=np.int32) - 1), _whole(first["term"]), _whole(first["position"])
 
 
 def _whole(column: pa.ChunkedArray) -> pa.Array:

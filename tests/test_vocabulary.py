@@ -156,7 +156,7 @@ def test_search_of_many_spellings_is_quick(spark):
 
 
 def test_more_spellings_than_rows_of_a_broadcast_are_read_once(spark, monkeypatch):
-    """Packed, they are small: up to six times the rows of a broadcast no text's terms are shuffled."""
+    """Packed, they are small: up to eight times the rows of a broadcast no text's terms are shuffled."""
     monkeypatch.setattr(joins, "BROADCAST_ROWS", 10)
     terms = table(spark, tuple(f"rare{n}" for n in range(50)))
     docs = spark.createDataFrame([(n, f"a rare{n} rare7") for n in range(60)], "id long, content string")
