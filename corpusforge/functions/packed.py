@@ -267,27 +267,37 @@ def key_bits(texts: pa.Array, bits: int) -> np.ndarray:
     return (text_hashes(texts) >> np.uint64(65 - bits.bit_length())).astype(np.int64)
 
 
-def possible_keys(texts: pa.Array, bitmap: np.ndarray, kinds: list[tuple[int, bool, bool]]) -> pa.ListArray:
-    """Sequences of ``kinds`` (tokens, begins with a word, ends with one) of each text whose place in the packed ``bitmap`` is set."""
+def numbers_and_keys_of(texts: pa.Array, spellings: Spellings, bitmap: np.ndarray, kinds: list[tuple[int, bool, bool]]) -> tuple[pa.ListArray, pa.ListArray]:
+    """The numbers of each text's terms, and its sequences of ``kinds`` (tokens, begins with a word, ends with one) whose place in the packed ``bitmap`` is set."""
+    own, further = ([], []), ([], [])
+    for first, end, tokens in _chunks(texts):
+        held, found = spellings.numbers_in(tokens)
+        text, keys = _possible_keys(tokens, bitmap, kinds)
+        for (counts, values), (of, some) in zip((own, further), ((held, pa.array(found.astype(np.int32))), (text, keys))):
+            counts.append(np.bincount(of, minlength=end - first))
+            values.append(some)
+    none = np.zeros(0, dtype=np.int64), pa.array([], pa.int32()), pa.array([], pa.string())
+    return tuple(lists(np.concatenate([none[0], *counts]), pa.concat_arrays([empty, *values])) for (counts, values), empty in zip((own, further), none[1:]))
+
+
+def _possible_keys(tokens: Tokens, bitmap: np.ndarray, kinds: list[tuple[int, bool, bool]]) -> tuple[np.ndarray, pa.StringArray]:
     shift = np.uint64(65 - (len(bitmap) * 8).bit_length())
-    counts, found = [np.zeros(0, dtype=np.int64)], [pa.array([], pa.string())]
-    for first, last, tokens in _chunks(texts):
-        spans = []
-        for size, *ends in kinds:
-            at = tokens.sequences(size, *ends)
-            begin, end = tokens.at[at], tokens.at[at + size]
-            hashes = tokens.hashes(begin, end)
-            place = hashes >> shift
-            in_map = np.flatnonzero(bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
-            spans.append((begin[in_map], end[in_map] - begin[in_map], hashes[in_map]))
-        begin, size, hashes = (np.concatenate(column) for column in zip(*spans)) if spans else [np.zeros(0, dtype=np.int64)] * 3
-        text = tokens.text_of(begin)
-        order = np.lexsort((size, hashes, text))
-        begin, size, hashes, text = begin[order], size[order], hashes[order], text[order]
-        # Left out is a copy of the span in front of it.
-        here = np.flatnonzero((text[1:] == text[:-1]) & (hashes[1:] == hashes[:-1]) & (size[1:] == size[:-1])) + 1
-        copy = here[_equal(size[here], lambda p, n: tokens.words(begin[here[p]], size[here[p]], n), lambda p, n: tokens.words(begin[here[p] - 1], size[here[p]], n))]
-        kept = np.delete(np.arange(len(begin)), copy)
-        counts.append(np.bincount(text[kept], minlength=last - first))
-        found.append(tokens.spans(begin[kept], size[kept]))
-    return lists(np.concatenate(counts), pa.concat_arrays(found))
+    spans = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64))]
+    for size, *ends in kinds:
+        at = tokens.sequences(size, *ends)
+        begin, end = tokens.at[at], tokens.at[at + size]
+        hashes = tokens.hashes(begin, end)
+        place = hashes >> shift
+        in_map = np.flatnonzero(bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+        spans.append((begin[in_map], end[in_map] - begin[in_map], hashes[in_map]))
+    begin, size, hashes = (np.concatenate(column) for column in zip(*spans))
+    text = tokens.text_of(begin)
+    # Left out is a copy of the span in front of it in this order.
+    order = np.argsort(hashes + text.astype(np.uint64) * np.uint64(_BASE))
+    here, before = order[1:], order[:-1]
+    near = np.flatnonzero((text[here] == text[before]) & (hashes[here] == hashes[before]) & (size[here] == size[before]))
+    here, before = here[near], before[near]
+    copy = here[_equal(size[here], lambda p, n: tokens.words(begin[here[p]], size[here[p]], n), lambda p, n: tokens.words(begin[before[p]], size[before[p]], n))]
+    kept = np.delete(np.arange(len(begin)), copy)
+    kept = kept[np.argsort(text[kept], kind="stable")]
+    return text[kept], tokens.spans(begin[kept], size[kept])

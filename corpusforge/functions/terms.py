@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from typing import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, functions as F
 
-from .packed import key_bits, lists, numbers_of, possible_keys
+from .packed import key_bits, lists, numbers_and_keys_of, numbers_of
 
 #: Up to this many terms are tested one by one in the JVM; more are searched together by an automaton.
 #: Both give the same positions.
@@ -94,9 +96,7 @@ def numbers_and_keys(lower_text: Column, spellings: Broadcast, bitmap: Broadcast
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         packed, flags = spellings.value, np.frombuffer(bitmap.value, dtype=np.uint8)
         for texts in batches:
-            counts, numbers = numbers_of(texts, packed)
-            held = lists(counts, pa.array(numbers.astype(np.int32)))
-            yield pa.StructArray.from_arrays([held, possible_keys(texts, flags, kinds)], names=["numbers", "keys"])
+            yield pa.StructArray.from_arrays(numbers_and_keys_of(texts, packed, flags, kinds), names=["numbers", "keys"])
 
     return search(lower_text)
 
@@ -104,12 +104,28 @@ def numbers_and_keys(lower_text: Column, spellings: Broadcast, bitmap: Broadcast
 def named_terms(numbers: Column, further: Column, vocabulary: Broadcast) -> Column:
     """The terms of ``numbers``, by ``vocabulary`` (number to (position, term)), and of the structs ``further``, in vocabulary order."""
 
-    @F.pandas_udf("array<string>")
-    def named(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def named(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         known = vocabulary.value
+        names = pa.array([term for _, term in known], pa.string())
         for some, more in batches:
-            rows = [{*(known[n] for n in a), *((item["position"], item["term"]) for item in b)} for a, b in zip(some, more)]
-            yield pd.Series([[term for _, term in sorted(row, key=in_order)] for row in rows], index=some.index, dtype=object)
+            # A further term that is not known itself comes in front of the known one that it is before.
+            items = more.flatten()
+            pairs = list(zip(items.field("position").to_pylist(), items.field("term").to_pylist()))
+            distinct = sorted(set(pairs), key=in_order)
+            before = np.array([bisect_left(known, in_order(pair), key=in_order) for pair in distinct], dtype=np.int64)
+            is_known = np.array([n < len(known) and known[n] == pair for n, pair in zip(before, distinct)], dtype=bool)
+            rank = {pair: number for number, pair in enumerate(distinct)}
+            ranks = np.array([rank[pair] for pair in pairs], dtype=np.int64)
+            own = some.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.concatenate([np.repeat(np.arange(len(some)), pc.list_value_length(held).to_numpy(zero_copy_only=False)) for held in (some, more)])
+            place = np.concatenate([2 * own + 1, (2 * before + is_known)[ranks]])
+            name = np.concatenate([own, np.where(is_known, before, len(known) + np.arange(len(distinct)))[ranks]])
+            order = np.lexsort((name, place, row))
+            row, name = row[order], name[order]
+            new = np.append(True, (row[1:] != row[:-1]) | (name[1:] != name[:-1])) if len(row) else np.zeros(0, dtype=bool)
+            both = pa.concat_arrays([names, pa.array([term for _, term in distinct], pa.string())])
+            yield lists(np.bincount(row[new], minlength=len(some)), both.take(pa.array(name[new])))
 
     return named(numbers, further)
 

@@ -129,7 +129,8 @@ def test_packed_search_is_exact(monkeypatch, collide):
     assert got == [sorted({n for key, n in rows if key in here}) for here in held] and sum(counts) > 1_000
     flags = np.zeros(1 << 10, dtype=bool)
     flags[packed.key_bits(pa.array(keys), 1 << 10)] = True
-    met = packed.possible_keys(texts_, np.packbits(flags, bitorder="little"), spelled.kinds).to_pylist()
+    again, met = (column.to_pylist() for column in packed.numbers_and_keys_of(texts_, spelled, np.packbits(flags, bitorder="little"), spelled.kinds))
+    assert again == got
     assert all(here <= set(keys_met) for here, keys_met in zip(held, met))
     assert all(keys_met == [] for keys_met, text in zip(met, written) if not text)
     if not collide:
